@@ -73,3 +73,14 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
             began, piece = i, 0
         piece += n
     yield batch.slice(began)
+
+
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
+
+
+def record_batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    """Rows as an Arrow batch of a flat schema such as "a long, b array<string>"."""
+    fields = [f.split() for f in ddl.split(", ")]
+    types = [pa.list_(_ARROW[t[6:-1]]) if t.startswith("array<") else _ARROW[t] for _, t in fields]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[n for n, _ in fields])

@@ -27,7 +27,6 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +41,9 @@ READINGS = {
 }
 CLASSES = 28  # 0 edge, 1-26 a-z, 27 other letters
 WORD = re.compile(r"[^\W\d_]+")
-SPELLED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*]{1,2}[^\W\d_]){3,}(?![^\W_])")
-MARKED = re.compile(r"[^\W_]*[^\W\d_][\w@$!|+(€£¡*]*[0-9@$!|+(€£¡*][\w@$!|+(€£¡*]*|[0-9@$!|+(€£¡*]+[^\W\d_][\w@$!|+(€£¡*]*|\w*([^\W\d_])\1{2,}\w*")
-SUBSTITUTE, DOUBLE, DROP, KEEP_OTHER = 0.7, 1.5, 0.3, 8.0
+SPELLED = re.compile(r"(?<!\S)\w(?: \w){3,}(?!\S)")
+MARKED = re.compile(r"[^\W\d_][.\-_*][^\W\d_]|[^\W\d_][0-9@$!|+(€£¡*]|[0-9@$!|+(€£¡*][^\W\d_]|([^\W\d_])\1\1").search
+SUBSTITUTE, DOUBLE, DROP = 0.7, 1.5, 0.3
 
 
 def trigram_counts(docs: DataFrame) -> np.ndarray:
@@ -86,7 +85,7 @@ def letter_class(ch: str) -> int:
 class Decoder:
     """Viterbi over the lattice of a marked token; keeps what it has decoded."""
 
-    def __init__(self, cost: np.ndarray, most: int = 100_000):
+    def __init__(self, cost: np.ndarray, most: int = 200_000):
         self.cost, self.most, self.known = cost.tolist(), most, {}
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
@@ -97,10 +96,9 @@ class Decoder:
             if ch in READINGS:
                 options = [(r, SUBSTITUTE + 0.2 * i) for i, r in enumerate(READINGS[ch])]
                 options += [(r + r, SUBSTITUTE + DOUBLE) for r in READINGS[ch][:2] if n > 1]
-                edge = k == len(runs) - 1 or k == 0
-                options.append(("", DROP if edge else 2.0 + n))
+                options.append(("", DROP if k == len(runs) - 1 and not ch.isdigit() else 4.0 + n))
             elif ch.isalpha():
-                options = [(ch, 0.0 if n != 2 else 1.0)] + ([(ch + ch, 0.0 if n == 2 else DOUBLE)] if n > 1 else [])
+                options = [(ch, 0.0 if n != 2 else 2.5)] + ([(ch + ch, 0.0 if n == 2 else DOUBLE)] if n > 1 else [])
             else:
                 options = [("", 0.5)]
             out.append(options)
@@ -130,18 +128,46 @@ class Decoder:
         self.known[token] = out
         return out
 
-    def restore(self, text: str) -> str:
-        """The text in lower case with marked tokens decoded."""
-        text = SPELLED.sub(lambda m: m.group() if len(set(m.group().lower()) - set(" .-_*")) < 3 else self.decode("".join(WORD.findall(m.group()))), text)
-        return MARKED.sub(lambda m: self.decode(m.group()), text).lower()
+    def words(self, token: str) -> list[str]:
+        """Words of a white-space token, restored if it shows marks."""
+        if MARKED(token):
+            token = self.decode(token)
+        return WORD.findall(token.lower())
 
 
 BEGINNINGS = (4, 5, 6)
 
 
-def features(restored: str) -> set[str]:
-    words = set(WORD.findall(restored))
-    return words | {w[:n] + "~" for n in BEGINNINGS for w in words if len(w) > n}
+def tokens_of(text: str) -> set[str]:
+    """Distinct white-space tokens of a text; words spelled out with blanks count as one token."""
+    found = set(text.split())
+    if sum(len(t) == 1 for t in found) >= 3:
+        found.update("".join(m.split()) for m in SPELLED.findall(text) if len(set(m.lower().split())) >= 3)
+    return found
+
+
+class Features:
+    """Features of texts; what a token gives is kept."""
+
+    def __init__(self, cost: np.ndarray, chosen=None, most: int = 500_000):
+        self.decoder, self.chosen, self.most, self.known = Decoder(cost), chosen, most, {}
+
+    def of_token(self, token: str) -> tuple:
+        words = self.decoder.words(token)
+        found = (*words, *(w[:n] + "~" for w in words for n in BEGINNINGS if len(w) > n))
+        return found if self.chosen is None else tuple(f for f in found if f in self.chosen)
+
+    def of(self, text: str | None) -> set[str]:
+        if not text:
+            return set()
+        tokens = tokens_of(text)
+        if len(self.known) > self.most:
+            self.known.clear()
+        known = self.known
+        for t in tokens:
+            if t not in known:
+                known[t] = self.of_token(t)
+        return set().union(*filter(None, map(known.__getitem__, tokens)))
 
 
 def held_out(doc_id):
@@ -154,11 +180,8 @@ class Model:
     def __init__(self, cost: np.ndarray, weights: dict[str, float], intercept: float):
         self.cost, self.weights, self.intercept = cost, weights, intercept
 
-    def score(self, decoder: Decoder, text: str | None) -> float:
-        get, total = self.weights.get, self.intercept
-        if text:
-            for f in features(decoder.restore(text)):
-                total += get(f, 0.0)
+    def score(self, features: Features, text: str | None) -> float:
+        total = self.intercept + sum(map(self.weights.__getitem__, sorted(features.of(text))))
         return 1 / (1 + np.exp(-min(max(total, -30.0), 30.0)))
 
 
@@ -189,21 +212,24 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, max_featu
     learn = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")  # at most max_train rows
 
     def count(batches):
-        decoder, bad, seen = Decoder(cost), Counter(), Counter()
-        for pdf in batches:
-            for toxic, t in zip(pdf["toxic"], pdf["text"]):
-                f = features(decoder.restore(t)) if isinstance(t, str) else ()
+        features, bad, seen = Features(cost), Counter(), Counter()
+        for batch in batches:
+            for t, toxic in zip(*(c.to_pylist() for c in batch.columns)):
+                f = features.of(t)
                 seen.update(f)
                 if toxic:
                     bad.update(f)
-        yield pd.DataFrame({"f": list(seen), "a": [bad[x] for x in seen], "n": list(seen.values())})
+        names = list(seen)
+        for k in range(0, len(names), 50_000):
+            part = names[k : k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([bad[x] for x in part], pa.int64()), pa.array([seen[x] for x in part], pa.int64())], names=["f", "a", "n"])
 
     totals = {r.toxic: r["count"] for r in learn.groupBy("toxic").count().collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     share = min(max(bad / max(1, bad + good), 1e-6), 1 - 1e-6)
     if not bad or not good:
         return Model(cost, {}, float(np.log(share / (1 - share))))
-    each = learn.select("text", "toxic").mapInPandas(count, "f string, a long, n long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
+    each = learn.select("text", "toxic").mapInArrow(count, "f string, a long, n long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
     # G of the 2 x 2 table, for features that are more frequent in toxic rows
     a, n = F.col("a"), F.col("n")
     gain = a * F.log((a + 0.5) / (n * F.lit(share) + 0.5)) + (n - a) * F.log((n - a + 0.5) / (n * F.lit(1 - share) + 0.5))
@@ -212,11 +238,12 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, max_featu
     index = {f: i for i, f in enumerate(names)}
 
     def project(batches):
-        decoder = Decoder(cost)
-        for pdf in batches:
-            yield pd.DataFrame({"toxic": pdf["toxic"], "f": [sorted(index[x] for x in features(decoder.restore(t)) if x in index) if isinstance(t, str) else [] for t in pdf["text"]]})
+        features = Features(cost, index)
+        for batch in batches:
+            f = [sorted(index[x] for x in features.of(t)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(f, pa.list_(pa.int32()))], names=["toxic", "f"])
 
-    data = learn.select("text", "toxic").mapInPandas(project, "toxic int, f array<int>").collect()  # at most max_train rows
+    data = learn.select("text", "toxic").mapInArrow(project, "toxic int, f array<int>").collect()  # at most max_train rows
     weights, intercept = logistic([r.f for r in data], np.array([r.toxic for r in data], float), len(names))
     return Model(cost, {f: float(w) for f, w in zip(names, weights) if abs(w) > 1e-4}, intercept)
 
@@ -229,10 +256,10 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
 
     def run(batches):
         m = held.value
-        decoder = Decoder(m.cost)
+        features = Features(m.cost, m.weights)
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array([m.score(decoder, t.as_py()) for t in text], pa.float64())], names=[*keep, "_toxicity"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array([m.score(features, t.as_py()) for t in text], pa.float64())], names=[*keep, "_toxicity"])
 
     return docs.mapInArrow(run, schema)
 

@@ -23,11 +23,10 @@ import hashlib
 import re
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import record_batch, table
 
 # Strings that mark turns here or in other common templates.
 CONTROL = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -35,6 +34,9 @@ _BREAK = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
 PROBES = "", ""
 
+FORMATTED = "conv_id long, formatted string, spans array<long>, loss array<long>, rewrote int"
+DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+
 Turn = tuple[str, str]
 
 
@@ -76,18 +78,18 @@ def format_chats(conversations: DataFrame, render: Callable[[list[Turn]], str] =
     """conv_id, formatted, spans and loss (begin, end, ... as flat arrays), rewrote."""
 
     def run(batches):
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for conv, turns in zip(pdf["conv_id"], pdf["turns"]):
+            for conv, turns in zip(*(c.to_pylist() for c in batch.columns)):
                 pairs = [(t["role"] or "", t["text"] or "") for t in turns]
                 text, spans, rewrote = turn_spans(pairs, render)
                 loss = [x for (role, _), s in zip(pairs, spans) if role == "assistant" for x in s[2:]]
-                rows.append((None if pd.isna(conv) else int(conv), text, [x for s in spans for x in s[:2]], loss, rewrote))
-            yield pd.DataFrame(rows, columns=["conv_id", "formatted", "spans", "loss", "rewrote"]).astype({"conv_id": "Int64"})
+                rows.append((conv, text, [x for s in spans for x in s[:2]], loss, rewrote))
+            yield record_batch(rows, FORMATTED)
 
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     grouped = conversations.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.array_sort(F.collect_list(turn), _by_turn).alias("turns"))
-    return grouped.mapInPandas(run, "conv_id long, formatted string, spans array<long>, loss array<long>, rewrote int")
+    return grouped.mapInArrow(run, FORMATTED)
 
 
 def _by_turn(x, y):
@@ -104,16 +106,16 @@ def digest(formatted: DataFrame) -> DataFrame:
     """The contract's columns, from the formatted strings and their masks alone."""
 
     def run(batches):
-        for pdf in batches:
+        for batch in batches:
             rows = []
-            for conv, text, loss in zip(pdf["conv_id"], pdf["formatted"], pdf["loss"]):
+            for conv, text, loss in zip(*(c.to_pylist() for c in batch.columns)):
                 turns = read_back(text)
                 said = "".join(unescape(text[loss[i] : loss[i + 1]]) for i in range(0, len(loss), 2))
                 sha = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{r}\n{t}\n" for r, t in turns), said)]
-                rows.append((None if pd.isna(conv) else int(conv), len(turns), sha[0], len(said), sha[1], len(text)))
-            yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]).astype({"conv_id": "Int64"})
+                rows.append((conv, len(turns), sha[0], len(said), sha[1], len(text)))
+            yield record_batch(rows, DIGEST)
 
-    return formatted.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.select("conv_id", "formatted", "loss").mapInArrow(run, DIGEST)
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,12 +65,13 @@ class Encoder:
         if len(self.chunks) > self.most_chunks:
             self.chunks = {"": b""}
         cut = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = set().union(*cut) - self.chunks.keys() if cut else set()
+        chunks, words = self.chunks, self.words
+        new = {c for x in cut for c in x if c not in chunks}
         if new:
             plain = {c: PIECES(c.lower()) for c in new if PLAIN(c)}
-            if unknown := list({p for x in plain.values() for p in x} - self.words.keys()):
+            if unknown := list({p for x in plain.values() for p in x if p not in words}):
                 self._learn_words(unknown)
-                unknown = list({p for x in plain.values() for p in x} - self.words.keys())  # after a cleared memo
+                unknown = list({p for x in plain.values() for p in x if p not in words})  # after a cleared memo
                 if unknown:
                     self._learn_words(unknown)
             get = self.words.__getitem__
