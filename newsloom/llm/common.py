@@ -84,3 +84,32 @@ def record_batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     types = [pa.list_(_ARROW[t[6:-1]]) if t.startswith("array<") else _ARROW[t] for _, t in fields]
     columns = list(zip(*rows)) if rows else [()] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[n for n, _ in fields])
+
+
+ROLL = np.uint64(0x9E3779B97F4A7C15)
+ROLL_INVERSE = np.uint64(pow(int(ROLL), -1, 1 << 64))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(n: int, base: np.uint64) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), mod 2 ** 64; kept for the next buffer."""
+    if len(_powers.get(int(base), ())) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        _powers[int(base)] = np.cumprod(out)
+    return _powers[int(base)][:n]
+
+
+def hash_spans(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of raw[begin:end] for each span: a polynomial from prefix sums, shifted back to the span's start, and its length."""
+    prefix = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(len(raw), ROLL), out=prefix[1:])
+    return mix((prefix[end] - prefix[begin]) * powers(len(raw), ROLL_INVERSE)[begin] ^ (end - begin).astype(np.uint64))

@@ -24,17 +24,17 @@ Other columns of the input are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import handover, partitions, table
+from .common import handover, partitions, record_batch, table
 from .tokens import crc, encoder, vocabulary_path, with_end
 
 MAGIC = 0x31434144
 BLOCK = 512
 CODES = "part int, segment long, first_id long, n_ids long, doc_ids array<long>, doc_ends array<long>, codes binary"
+READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def encode_codes(ids: np.ndarray) -> bytes:
@@ -103,26 +103,23 @@ def write_codes(docs: DataFrame, path: str | None = None, segment_tokens: int =
         first, segment, ids, docs_in, ends, size = 0, 0, [], [], [], 0
 
         def row():
-            return pd.DataFrame([(part, segment, first, size, docs_in, ends, encode_codes(np.concatenate(ids) if ids else np.zeros(0, "<u4")))], columns=["part", "segment", "first_id", "n_ids", "doc_ids", "doc_ends", "codes"])
-
-        for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                texts = pdf["text"].iloc[lo : lo + 256]
-                for doc, raw in zip(pdf["doc_id"].iloc[lo : lo + 256], enc.encode([t if isinstance(t, str) else "" for t in texts])):
-                    x = with_end(raw, enc.dtype)
-                    ids.append(x)
-                    size += len(x)
-                    docs_in.append(None if pd.isna(doc) else int(doc))
-                    ends.append(size)
-                    if size >= segment_tokens:
-                        yield row()
-                        first, segment, ids, docs_in, ends, size = first + size, segment + 1, [], [], [], 0
+            return record_batch([(part, segment, first, size, docs_in, ends, encode_codes(np.concatenate(ids)))], CODES)
+
+        for batch in batches:
+            for doc, raw in zip(batch.column(0).to_pylist(), enc.column(batch.column(1))):
+                ids.append(with_end(raw))
+                size += len(ids[-1])
+                docs_in.append(doc)
+                ends.append(size)
+                if size >= segment_tokens:
+                    yield row()
+                    first, segment, ids, docs_in, ends, size = first + size, segment + 1, [], [], [], 0
         if docs_in:
             yield row()
 
     spark = docs.sparkSession
     ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return handover(ordered.mapInPandas(run, CODES), "codes")
+    return handover(ordered.mapInArrow(run, CODES), "codes")
 
 
 def read_codes(codes: DataFrame) -> DataFrame:
@@ -134,17 +131,15 @@ def read_codes(codes: DataFrame) -> DataFrame:
         total += r.n
 
     def run(batches):
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                ids, began, rows = Codes(r.codes).ids(), 0, []
-                at = base[r.part] + r.first_id
-                for doc, end in zip(r.doc_ids, r.doc_ends):
-                    rows.append((None if pd.isna(doc) else int(doc), at + began, int(end) - began, crc(ids[began:end])))
-                    began = int(end)
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-                yield out.astype({"doc_id": "Int64", "start": "int64", "n_tokens": "int64", "ids_crc32": "int64"})
-
-    return codes.mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        for batch in batches:
+            for part, first, docs_in, ends, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, began, rows = Codes(raw).ids(), 0, []
+                for doc, end in zip(docs_in, ends):
+                    rows.append((doc, base[part] + first + began, end - began, crc(ids[began:end])))
+                    began = end
+                yield record_batch(rows, READ)
+
+    return codes.select("part", "first_id", "doc_ids", "doc_ends", "codes").mapInArrow(run, READ)
 
 
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,11 +18,11 @@ Empty table: no rows. Other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import record_batch, table
 from .tokens import crc, encoder, vocabulary_path, with_end
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
@@ -70,28 +70,25 @@ def pack(docs: DataFrame, path: str | None = None, max_len: int = 4096, pool_byt
 
     def encode(batches):
         enc = encoder(path)
-        for pdf in batches:
-            for lo in range(0, len(pdf), 256):
-                part = pdf.iloc[lo : lo + 256]
-                ids = [with_end(x, enc.dtype).astype(enc.dtype).tobytes() for x in enc.encode([t if isinstance(t, str) else "" for t in part["text"]])]
-                yield pd.DataFrame({"pool": part["pool"], "doc_id": part["doc_id"], "ids": ids})
+        for batch in batches:
+            ids = [with_end(x).tobytes() for x in enc.column(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(ids, pa.binary())], names=["pool", "doc_id", "ids"])
 
     width = encoder(path).dtype
-    columns = [c.split()[0] for c in PIECE.split(", ")]
+    schema = PIECE + (", ids array<int>" if keep_ids else "")
 
-    def run(key, pdf):
-        pdf = pdf.sort_values(["doc_id", "ids"], na_position="first", kind="stable")
-        ids = [np.frombuffer(x, width).astype("<u4") for x in pdf["ids"]]
-        names = [None if pd.isna(x) else int(x) for x in pdf["doc_id"]]
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("doc_id", "ascending"), ("ids", "ascending")])
+        pool = group["pool"][0].as_py() if len(group) else 0
+        names, ids = group["doc_id"].to_pylist(), [np.frombuffer(x, width) for x in group["ids"].to_pylist()]
         rows = []
         for d, at, n, seq, offset in plan_pool([len(x) for x in ids], max_len, linear, quadratic):
             piece = ids[d][at : at + n]
-            rows.append((names[d], at, n, crc(piece), len(ids[d]), (int(key[0]) << 32) + seq, offset, linear * n + quadratic * n * n) + ((piece.astype("int32").tolist(),) if keep_ids else ()))
-        out = pd.DataFrame(rows, columns=columns + ["ids"] * keep_ids)
-        return out.astype({"doc_id": "Int64"})
+            rows.append((names[d], at, n, crc(piece), len(ids[d]), (pool << 32) + seq, offset, linear * n + quadratic * n * n) + ((piece.tolist(),) if keep_ids else ()))
+        return pa.Table.from_batches([record_batch(rows, schema)])
 
     pooled = base.withColumn("pool", F.pmod(F.xxhash64("doc_id", "text"), F.lit(pools)))
-    return pooled.mapInPandas(encode, "pool long, doc_id long, ids binary").groupBy("pool").applyInPandas(run, PIECE + (", ids array<int>" if keep_ids else ""))
+    return pooled.mapInArrow(encode, "pool long, doc_id long, ids binary").groupBy("pool").applyInArrow(run, schema)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,33 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import handover, partitions, record_batch, slices, table, text_buffers
+from .common import ROLL, handover, hash_spans, mix, partitions, record_batch, slices, table, text_buffers
 
 WORDS = 5
-ODD = np.uint64(0x9E3779B97F4A7C15)
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
-
-
-def powers(n: int, base: np.uint64 = ODD) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out)
-
-
-INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
-
-
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text of a buffer."""
     n = len(raw)
@@ -80,15 +62,12 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> list[n
     after = np.append(space, True)
     after[inner] = True
     ends = np.flatnonzero(~space & after[1:]) + 1
-    # polynomial hash of each word from prefix sums, shifted back to its start
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOW[raw].astype(np.uint64) + np.uint64(1)) * powers(n), out=prefix[1:])
-    words = mix((prefix[ends] - prefix[starts]) * powers(n, INVERSE)[starts] ^ (ends - starts).astype(np.uint64))
+    words = hash_spans(_LOW[raw], starts, ends)
     first = np.searchsorted(starts, offsets)
     if len(words) >= k:
         rolled = np.zeros(len(words) - k + 1, np.uint64)
         for i in range(k):
-            rolled = rolled * ODD + words[i : len(words) - k + 1 + i]
+            rolled = rolled * ROLL + words[i : len(words) - k + 1 + i]
         rolled = mix(rolled ^ np.uint64(k))
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -97,7 +76,7 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int = WORDS) -> list[n
         elif b > a:
             h = np.zeros(1, np.uint64)
             for i in range(a, b):
-                h = h * ODD + words[i : i + 1]
+                h = h * ROLL + words[i : i + 1]
             out.append(mix(h ^ np.uint64(b - a)))
         else:
             out.append(np.zeros(0, np.uint64))

@@ -1,24 +1,31 @@
 """Token ids of whole texts by the tokenizers library, with a memo of words.
 
-`word_bpe` vocabularies drop white space and end every word with a marked
-token, so the ids of a text are the ids of its space-separated chunks in a
-row. Chunks of plain letters, digits and punctuation are cut further, as the
-vocabulary's own rule cuts them; all other chunks go to the tokenizer whole.
+`word_bpe` vocabularies drop white space, split at every change between letters,
+single digits and other signs, lower-case, and end each such piece with a marked
+token: the ids of a text are the ids of its pieces in a row. Pieces are found and
+hashed (64 bits) in whole buffers with numpy; the tokenizer sees each distinct
+piece once, and a gather puts the ids together. Blank-separated chunks with
+anything but ASCII and Latin-1 letters, digits and plain signs are pieces as a
+whole, so the library's own rules hold for them.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+
+from .common import hash_spans, slices, text_buffers
 
 END_ID = 2
-#: Letters that stay one letter when normalised and lower-cased.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-PLAIN = re.compile(rf"[{LETTERS}0-9!-&(-/:;=-@\[-`{{-~]+").fullmatch
-PIECES = re.compile(rf"[{LETTERS}]+|[0-9]|[!-&(-/:;=-@\[-`{{-~]+").findall
+SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
+_CLASS = np.full(256, ODD, np.uint8)
+_CLASS[[32, 9, 10]] = SPACE
+_CLASS[65:91] = _CLASS[97:123] = LETTER
+_CLASS[48:58] = DIGIT
+_CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'<"]] = SIGN
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -28,9 +35,7 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """encode(texts) gives each text's ids as little-endian bytes of `dtype`."""
-
-    def __init__(self, path: str, most_words: int = 600_000, most_chunks: int = 400_000):
+    def __init__(self, path: str, most_pieces: int = 4_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -39,47 +44,101 @@ class Encoder:
         self.dtype = np.dtype("<u2") if max(vocab.values(), default=0) < 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.ends[[i for k, i in vocab.items() if k.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.most_words, self.most_chunks = most_words, most_chunks
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn_words(self, words: list[str]) -> None:
-        if len(self.words) > self.most_words:
-            self.words.clear()
-        lines = [words[i : i + 128] for i in range(0, len(words), 128)]
+        self.most_pieces = most_pieces
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)  # ascending, with the place of each piece's ids in the pool
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, self.dtype)
+
+    def _ids(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of distinct pieces and how many each has: encoded as lines, cut after the tokens that end a piece."""
+        out, sizes = [], []
+        lines = [pieces[i : i + 128] for i in range(0, len(pieces), 128)]
         for line, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
             ids = np.array(e.ids, dtype=self.dtype)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(line):
-                raw, w, at = ids.tobytes(), self.dtype.itemsize, 0
-                for word, end in zip(line, ends.tolist()):
-                    self.words[word] = raw[at * w : end * w]
-                    at = end
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(line):
+                out.append(ids)
+                sizes.append(np.diff(cuts, prepend=0))
             else:
-                self.words.update(zip(line, self._whole(line)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) > self.most_chunks:
-            self.chunks = {"": b""}
-        cut = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        chunks, words = self.chunks, self.words
-        new = {c for x in cut for c in x if c not in chunks}
-        if new:
-            plain = {c: PIECES(c.lower()) for c in new if PLAIN(c)}
-            if unknown := list({p for x in plain.values() for p in x if p not in words}):
-                self._learn_words(unknown)
-                unknown = list({p for x in plain.values() for p in x if p not in words})  # after a cleared memo
-                if unknown:
-                    self._learn_words(unknown)
-            get = self.words.__getitem__
-            self.chunks.update((c, b"".join(map(get, x))) for c, x in plain.items())
-            if odd := [c for c in new if c not in plain]:
-                self.chunks.update(zip(odd, self._whole(odd)))
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+                whole = self._whole(line)
+                out += whole
+                sizes.append(np.array([len(x) for x in whole], np.int64))
+        return out, sizes
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, hashes: np.ndarray, plain: list[str], odd: list[str]) -> None:
+        ids, sizes = self._ids(plain)
+        whole = self._whole(odd)
+        ids, sizes = ids + whole, np.concatenate([*sizes, np.array([len(x) for x in whole], np.int64)])
+        at = len(self.pool) + np.cumsum(sizes) - sizes
+        self.pool = np.concatenate([self.pool, *ids])
+        order = np.argsort(hashes)
+        where = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, where, hashes[order])
+        self.at, self.size = np.insert(self.at, where, at[order]), np.insert(self.size, where, sizes[order])
+
+    def buffer(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text of a buffer."""
+        n = len(raw)
+        if not n:
+            return [np.zeros(0, self.dtype)] * (len(offsets) - 1)
+        kind = _CLASS[raw]
+        low = raw.copy()
+        low[(raw >= 65) & (raw <= 90)] += 32
+        lead = np.flatnonzero(raw[:-1] == 0xC3)
+        second = raw[lead + 1]
+        good = lead[(second >= 0x80) & (second <= 0xBF) & (second != 0x97) & (second != 0xB7)]
+        kind[good] = kind[good + 1] = LETTER
+        upper = good[raw[good + 1] <= 0x9E]
+        low[upper + 1] += 32
+        inner = offsets[(offsets > 0) & (offsets < n)]
+        solid = kind != SPACE
+        chunk = solid.copy()
+        chunk[1:] &= ~solid[:-1]
+        chunk[inner] = solid[inner]
+        starts = np.flatnonzero(chunk)
+        no = np.cumsum(chunk) - 1  # chunk of each solid byte
+        odd_chunk = np.zeros(len(starts) + 1, bool)
+        odd_chunk[no[kind == ODD]] = True
+        odd = odd_chunk[no] & solid
+        begin = chunk | (solid & ~odd & (kind == DIGIT))
+        begin[1:] |= solid[1:] & solid[:-1] & ~odd[1:] & (kind[1:] != kind[:-1])
+        low = np.where(odd, raw, low)
+        after = np.append(begin[1:] | ~solid[1:], True)
+        first, last = np.flatnonzero(begin), np.flatnonzero(solid & after) + 1
+        hashes = hash_spans(low, first, last) ^ odd[first].astype(np.uint64)
+        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > self.most_pieces:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
+        new = self.hashes[at] != distinct if len(self.hashes) else np.ones(len(distinct), bool)
+        if new.any():
+            w = where[new]
+            is_odd = odd[first[w]]
+            text = low.tobytes()
+            names = [text[a:b].decode() for a, b in zip(first[w].tolist(), last[w].tolist())]
+            h = distinct[new]
+            self._learn(np.r_[h[~is_odd], h[is_odd]], [x for x, o in zip(names, is_odd) if not o], [x for x, o in zip(names, is_odd) if o])
+            at = np.searchsorted(self.hashes, distinct)
+        size = self.size[at][back]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        ids = self.pool[np.repeat(self.at[at][back] - upto[:-1], size) + np.arange(upto[-1])]
+        return np.split(ids, upto[np.searchsorted(first, offsets[1:-1])]) if len(offsets) > 2 else [ids]
+
+    def column(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of an Arrow column; null: none."""
+        out: list[np.ndarray] = []
+        for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", 4 << 20):
+            out += self.buffer(*text_buffers(part.column(0)))
+        return out
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return [x.tobytes() for x in self.column(pa.array(texts, pa.string()))]
 
 
 _kept: dict[str, Encoder] = {}
@@ -92,8 +151,8 @@ def encoder(path: str) -> Encoder:
     return _kept[path]
 
 
-def with_end(ids: bytes, dtype: np.dtype, end: int = END_ID) -> np.ndarray:
-    return np.append(np.frombuffer(ids, dtype=dtype), np.array(end, dtype)).astype("<u4")
+def with_end(ids: np.ndarray, end: int = END_ID) -> np.ndarray:
+    return np.append(ids, np.array(end, ids.dtype))
 
 
 def crc(ids: np.ndarray) -> int:
