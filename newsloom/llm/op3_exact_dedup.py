@@ -1,7 +1,8 @@
 """Exact dedup by content sort (DataFrame functions only).
 
-Texts are lower-cased (A-Z only) and range-partitioned by their bytes: Spark
-samples the splitters. Inside a partition an external sort puts equal texts next
+Texts are lower-cased (A-Z only) and range-partitioned by their first characters,
+then by a hash of the rest: Spark samples the splitters, which so stay short
+however long the texts are. Inside a partition an external sort puts equal texts next
 to each other, and a sorted aggregation compares whole neighbouring texts; of
 equal ones the `keep` ("max" or "min") doc_id stays.
 
@@ -34,13 +35,13 @@ def exact_dedup(docs: DataFrame, keep: str = "max") -> DataFrame:
     salted = (
         base.withColumn("h", F.xxhash64("norm"))
         .join(F.broadcast(hot), "h", "left")
-        .select("doc_id", "norm", F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("doc_id"), "pieces")).cast("long").alias("salt"))
+        .select("doc_id", "norm", "h", F.substring("norm", 1, 32).alias("front"), F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("doc_id"), "pieces")).cast("long").alias("salt"))
     )
     members = F.collect_list(F.struct("doc_id"))  # of a struct: null doc_ids stay
     pieces = (
-        salted.repartitionByRange(n, "norm", "salt")
-        .sortWithinPartitions("norm", "salt")
-        .groupBy("norm", "salt")
+        salted.repartitionByRange(n, "front", "h", "salt")
+        .sortWithinPartitions("front", "h", "norm", "salt")
+        .groupBy("front", "h", "norm", "salt")
         .agg(members.alias("members"), best("doc_id").alias("best"), F.count(F.lit(1)).alias("size"))
         .select("salt", "members", "best", "size", F.sha2(F.encode("norm", "UTF-8"), 256).alias("text_sha256"))
     )
