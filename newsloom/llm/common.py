@@ -101,7 +101,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def powers(n: int, base: np.uint64) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), mod 2 ** 64; kept for the next buffer."""
-    if len(_powers.get(int(base), ())) < n:
+    if int(base) not in _powers or len(_powers[int(base)]) < n:
         out = np.full(max(n, 1 << 16), base, np.uint64)
         out[0] = 1
         _powers[int(base)] = np.cumprod(out)

@@ -45,7 +45,7 @@ def escape(text: str) -> str:
 
 
 def unescape(text: str) -> str:
-    return re.sub(r"\\([\;]?)", lambda m: "\n" if m.group(1) == ";" else m.group(1), text)
+    return re.sub(r"\\([\\;]?)", lambda m: "\n" if m.group(1) == ";" else m.group(1), text)
 
 
 def chatml(turns: list[Turn]) -> str:
