@@ -14,7 +14,7 @@ def as_of_ts(as_of: str) -> Column:
 
 def age_hours(dt: Column, as_of: str) -> Column:
     """Whole hours before as_of; null stays null."""
-    return F.floor((F.unix_micros(as_of_ts(as_of)) - F.unix_micros(dt)) / F.lit(3_600_000_000)).cast("long")
+    return F.floor((F.unix_micros(as_of_ts(as_of)) - F.unix_micros(dt.cast("timestamp"))) / F.lit(3_600_000_000)).cast("long")
 
 
 def parse_dt(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief
+from . import brief, more
 
-QUERIES = {**brief.QUERIES}
-ORACLES = {**brief.ORACLES}
+QUERIES = {**brief.QUERIES, **more.QUERIES}
+ORACLES = {**brief.ORACLES, **more.ORACLES}

@@ -26,8 +26,8 @@ def cjk(x: str) -> str:
 
 
 def tokens(x: str) -> str:
-    words = f"list_filter(string_split(regexp_replace(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'), ' '), w -> w <> '')"
-    grams = f"list_transform({words}, w -> CASE WHEN regexp_full_match(w, '[\\x{{4e00}}-\\x{{9fff}}]+') AND length(w) > 2 THEN list_transform(range(1, length(w)), i -> substr(w, i, 2)) ELSE [w] END)"
+    words = f"list_filter(string_split(regexp_replace(lower(coalesce({x}, '')), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'), ' '), lambda w: w <> '')"
+    grams = f"list_transform({words}, lambda w: CASE WHEN regexp_full_match(w, '[\\x{{4e00}}-\\x{{9fff}}]+') AND length(w) > 2 THEN list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) ELSE [w] END)"
     return f"list_distinct(flatten({grams}))"
 
 

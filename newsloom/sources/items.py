@@ -34,7 +34,7 @@ def items(spark: SparkSession, sf_dir: str, desc: bool = True) -> DataFrame:
         F.when(F.col("lang") == "de", F.concat(F.lit("新模型上架："), first)).otherwise(first).alias("title"),
         F.when(F.col("lang") == "fr", F.concat(F.lit("中文 "), first)).alias("title_cn"),
         F.when(F.col("lang") == "es", F.upper(first)).alias("title_en"),
-        F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/p/"), F.floor(d / 2).cast("string"), F.lit("?ref="), d.cast("string")).alias("url"),
+        F.concat(F.lit("https://www.site"), (F.floor(d / 2) % 20).cast("string"), F.lit(".example.com/p/"), F.floor(d / 2).cast("string"), F.lit("?ref="), d.cast("string")).alias("url"),
         F.when(d % 53 != 0, as_of_ts(C.AS_OF) - F.make_interval(hours=(d * 37 % 900).cast("int"))).alias("dt"),
         F.when(
             F.col("scored"),
@@ -55,7 +55,7 @@ items AS (
          CASE WHEN lang = 'fr' THEN '中文 ' || substr(string_split(text, chr(10))[1], 1, 150) END AS title_cn,
          CASE WHEN lang = 'es' THEN upper(substr(string_split(text, chr(10))[1], 1, 150)) END AS title_en,
          text AS descr,
-         'https://www.' || d.source || '.example.com/p/' || (d.doc_id // 2) || '?ref=' || d.doc_id AS url,
+         'https://www.site' || (d.doc_id // 2 % 20) || '.example.com/p/' || (d.doc_id // 2) || '?ref=' || d.doc_id AS url,
          CASE WHEN d.doc_id % 53 <> 0 THEN TIMESTAMP '{C.AS_OF}' - to_hours(CAST(d.doc_id * 37 % 900 AS INT)) END AS dt,
          l.doc_id IS NOT NULL AS scored,
          CASE WHEN l.doc_id IS NOT NULL THEN d.doc_id * 7 % 11 END AS rel,
