@@ -46,6 +46,22 @@ def ascii_lower(col):
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+#: Rows and bytes that an Arrow batch may hold: texts are long, and two tasks share an executor's memory.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def batched(df: DataFrame, run, schema) -> DataFrame:
+    """mapInArrow with bounded batches; a Python worker gives its buffers back after each task."""
+    for k, v in BATCH.items():
+        df.sparkSession.conf.set(k, v)
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(whole, schema)
+
+
 def text_buffers(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes as uint8, offsets) of an Arrow string column; nulls are empty."""
     arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -60,7 +76,7 @@ def text_buffers(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.nda
     return raw, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20):
     """Cut a batch so that a piece holds about `most` bytes of text; a longer text stands alone."""
     col = batch.column(batch.schema.get_field_index(column))
     if not batch.num_rows:

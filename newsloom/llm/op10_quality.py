@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import batched, table
 from .op1_toxicity import held_out
 
 _UPPER = bytes(range(65, 91))
@@ -129,7 +129,7 @@ def views(docs: DataFrame, model: CoTrained | None, keep: list[str]) -> DataFram
             out = [pa.array(m.score(np.array(a), np.array(b)) if a else [], pa.float64())] if m else [pa.array(v, pa.list_(pa.float64())) for v in (a, b)]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), *out], names=[*keep, *(f.name for f in more)])
 
-    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in keep), *more]))
+    return docs.transform(batched, run, T.StructType([*(docs.schema[c] for c in keep), *more]))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 10_000, max_pool: int = 10_000) -> CoTrained:

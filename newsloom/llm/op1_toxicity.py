@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, table, text_buffers
+from .common import batched, slices, table, text_buffers
 
 # The letters a symbol may stand for, likelier ones first.
 READINGS = {
@@ -64,7 +64,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
 
     out = np.zeros(CLASSES**3)
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col("text").cast("string")).transform(batched, run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     for r in rows.collect():  # at most 28**3 rows
         out[r.gram] = r.n
     return out
@@ -85,7 +85,7 @@ def letter_class(ch: str) -> int:
 class Decoder:
     """Viterbi over the lattice of a marked token; keeps what it has decoded."""
 
-    def __init__(self, cost: np.ndarray, most: int = 200_000):
+    def __init__(self, cost: np.ndarray, most: int = 50_000):
         self.cost, self.most, self.known = cost.tolist(), most, {}
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
@@ -149,7 +149,7 @@ def tokens_of(text: str) -> set[str]:
 class Features:
     """Features of texts; what a token gives is kept."""
 
-    def __init__(self, cost: np.ndarray, chosen=None, most: int = 500_000):
+    def __init__(self, cost: np.ndarray, chosen=None, most: int = 250_000):
         self.decoder, self.chosen, self.most, self.known = Decoder(cost), chosen, most, {}
 
     def of_token(self, token: str) -> tuple:
@@ -229,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, max_featu
     share = min(max(bad / max(1, bad + good), 1e-6), 1 - 1e-6)
     if not bad or not good:
         return Model(cost, {}, float(np.log(share / (1 - share))))
-    each = learn.select("text", "toxic").mapInArrow(count, "f string, a long, n long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
+    each = learn.select("text", "toxic").transform(batched, count, "f string, a long, n long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
     # G of the 2 x 2 table, for features that are more frequent in toxic rows
     a, n = F.col("a"), F.col("n")
     gain = a * F.log((a + 0.5) / (n * F.lit(share) + 0.5)) + (n - a) * F.log((n - a + 0.5) / (n * F.lit(1 - share) + 0.5))
@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, max_featu
             f = [sorted(index[x] for x in features.of(t)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(f, pa.list_(pa.int32()))], names=["toxic", "f"])
 
-    data = learn.select("text", "toxic").mapInArrow(project, "toxic int, f array<int>").collect()  # at most max_train rows
+    data = learn.select("text", "toxic").transform(batched, project, "toxic int, f array<int>").collect()  # at most max_train rows
     weights, intercept = logistic([r.f for r in data], np.array([r.toxic for r in data], float), len(names))
     return Model(cost, {f: float(w) for f, w in zip(names, weights) if abs(w) > 1e-4}, intercept)
 
@@ -261,7 +261,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
             text = batch.column(batch.schema.get_field_index("text"))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array([m.score(features, t.as_py()) for t in text], pa.float64())], names=[*keep, "_toxicity"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(batched, run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **limits) -> DataFrame:

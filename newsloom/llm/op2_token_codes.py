@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import handover, partitions, record_batch, table
+from .common import batched, handover, partitions, record_batch, table
 from .tokens import crc, encoder, vocabulary_path, with_end
 
 MAGIC = 0x31434144
@@ -119,7 +119,7 @@ def write_codes(docs: DataFrame, path: str | None = None, segment_tokens: int =
 
     spark = docs.sparkSession
     ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return handover(ordered.mapInArrow(run, CODES), "codes")
+    return handover(ordered.transform(batched, run, CODES), "codes")
 
 
 def read_codes(codes: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def read_codes(codes: DataFrame) -> DataFrame:
                     began = end
                 yield record_batch(rows, READ)
 
-    return codes.select("part", "first_id", "doc_ids", "doc_ends", "codes").mapInArrow(run, READ)
+    return codes.select("part", "first_id", "doc_ids", "doc_ends", "codes").transform(batched, run, READ)
 
 
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

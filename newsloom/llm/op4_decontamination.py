@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER, table
+from .common import LOWER, UPPER, batched, table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TO_LOWER = str.maketrans(UPPER, LOWER)
@@ -170,7 +170,7 @@ def find_hits(docs: DataFrame, automaton: SuffixAutomaton, keep: list[str] | Non
                 items.append(sorted({a.names[k] for k in found if a.names[k] is not None}))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=[*keep, "_n_words", "_spans", "_items"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(batched, run, schema)
 
 
 def united(spans: list[list[int]]) -> list[tuple[int, int]]:

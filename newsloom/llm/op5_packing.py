@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import record_batch, table
+from .common import batched, record_batch, table
 from .tokens import crc, encoder, vocabulary_path, with_end
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
@@ -88,7 +88,7 @@ def pack(docs: DataFrame, path: str | None = None, max_len: int = 4096, pool_byt
         return pa.Table.from_batches([record_batch(rows, schema)])
 
     pooled = base.withColumn("pool", F.pmod(F.xxhash64("doc_id", "text"), F.lit(pools)))
-    return pooled.mapInArrow(encode, "pool long, doc_id long, ids binary").groupBy("pool").applyInArrow(run, schema)
+    return pooled.transform(batched, encode, "pool long, doc_id long, ids binary").groupBy("pool").applyInArrow(run, schema)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

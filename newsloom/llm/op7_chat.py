@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import record_batch, table
+from .common import batched, record_batch, table
 
 # Strings that mark turns here or in other common templates.
 CONTROL = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -89,7 +89,7 @@ def format_chats(conversations: DataFrame, render: Callable[[list[Turn]], str] =
 
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     grouped = conversations.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.array_sort(F.collect_list(turn), _by_turn).alias("turns"))
-    return grouped.mapInArrow(run, FORMATTED)
+    return grouped.transform(batched, run, FORMATTED)
 
 
 def _by_turn(x, y):
@@ -115,7 +115,7 @@ def digest(formatted: DataFrame) -> DataFrame:
                 rows.append((conv, len(turns), sha[0], len(said), sha[1], len(text)))
             yield record_batch(rows, DIGEST)
 
-    return formatted.select("conv_id", "formatted", "loss").mapInArrow(run, DIGEST)
+    return formatted.select("conv_id", "formatted", "loss").transform(batched, run, DIGEST)
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROLL, handover, hash_spans, mix, partitions, record_batch, slices, table, text_buffers
+from .common import ROLL, batched, handover, hash_spans, mix, partitions, record_batch, slices, table, text_buffers
 
 WORDS = 5
 _SPACE = np.zeros(256, bool)
@@ -105,11 +105,11 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text"):
                 sets = shingle_sets(*text_buffers(batch.column(1)))
                 yield record_batch([(d, set_key(x) if len(x) else None, len(x)) for d, x in zip(batch.column(0).to_pylist(), sets)], "doc_id long, set_key binary, n long")
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, set_key binary, n long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(batched, run, "doc_id long, set_key binary, n long")
 
 
 def pack_sorted(x: np.ndarray) -> bytes:
@@ -152,7 +152,7 @@ def postings(docs: DataFrame, buckets: int, chunk_tokens: int = 2_000_000) -> Da
             return record_batch(out, POSTED)
 
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text"):
                 for d, x in zip(batch.column(0).to_pylist(), shingle_sets(*text_buffers(batch.column(1)))):
                     if not len(x):
                         continue
@@ -170,7 +170,7 @@ def postings(docs: DataFrame, buckets: int, chunk_tokens: int = 2_000_000) -> Da
         if sets:
             yield rows()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, POSTED)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(batched, run, POSTED)
 
 
 def shared_tokens(posted: DataFrame) -> DataFrame:

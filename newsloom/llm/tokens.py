@@ -133,7 +133,7 @@ class Encoder:
     def column(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of an Arrow column; null: none."""
         out: list[np.ndarray] = []
-        for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", 4 << 20):
+        for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
             out += self.buffer(*text_buffers(part.column(0)))
         return out
 
