@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import brief, more
+from . import brief, feeds, more
 
-QUERIES = {**brief.QUERIES, **more.QUERIES}
-ORACLES = {**brief.ORACLES, **more.ORACLES}
+QUERIES = {**brief.QUERIES, **more.QUERIES, **feeds.QUERIES}
+ORACLES = {**brief.ORACLES, **more.ORACLES, **feeds.ORACLES}

@@ -15,13 +15,18 @@ def session(name: str = "newsloom", **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
-def handover(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write a table in the shared folder spark.checkpoint.dir and read it back."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         at = tempfile.mkdtemp(prefix="newsloom-")
         spark.conf.set("spark.checkpoint.dir", at)
-    path = f"{at.rstrip('/')}/handover-{uuid.uuid4().hex}"
+    return at.rstrip("/")
+
+
+def handover(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write a table in the shared folder spark.checkpoint.dir and read it back."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/handover-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

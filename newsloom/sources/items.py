@@ -18,8 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def items(spark: SparkSession, sf_dir: str, desc: bool = True) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def items(spark: SparkSession, sf_dir: str, desc: bool = True, docs: DataFrame | None = None) -> DataFrame:
+    """`docs` may be a stream of documents; by default the table."""
+    docs = table(spark, sf_dir, "documents") if docs is None else docs
     scored = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("scored", F.lit(True))
     lanes = F.array(*[F.lit(x) for x in C.LANES])
     no = F.regexp_extract("source", r"(\d+)", 1).cast("int")
