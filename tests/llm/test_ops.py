@@ -168,6 +168,43 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup(empty).count() == 0
 
 
+def removed_by_hand(texts, min_lines, min_words):
+    """Per text the lines that lie in a run that occurs before, by listing all runs."""
+    places, gone = set(), []
+    for text in texts:
+        lines, out = [x.strip().lower() for x in text.split("\n") if x.strip()], set()
+        for i in range(len(lines)):
+            for n in range(1, min_lines + 1):
+                run = tuple(lines[i : i + n])
+                if len(run) == n and (n == min_lines or sum(len(x.split()) for x in run) >= min_words):
+                    out |= set(range(i, i + n)) if run in places else set()
+                    places.add(run)
+        gone.append(out)
+    return gone
+
+
+def test_line_dedup_against_brute_force(spark):
+    import random
+
+    from newsloom.llm.op6_line_dedup import line_dedup, repeated_runs
+
+    # both lines of the run that 4 repeats of 3 stand first with other neighbours
+    texts = ["x0\nlicence\nx1", "w0\nhead\nw1", "y0\nhead\nlicence\ny1", "z0\nHEAD\n\n licence \nz1"]
+    got = {r.doc_id: r._n_removed for r in line_dedup(spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 2}
+    rnd = random.Random(3)
+    pool = [f"line {k}" for k in range(40)] + [f"long {k} " + "w " * 60 for k in range(4)] + ["filler"] * 8
+    texts = ["\n".join(rnd.choice(pool) for _ in range(rnd.randrange(0, 12))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for limits in ({}, {"min_lines": 3, "min_words": 50}, {"min_lines": 1, "window": 1}, {"window": 4}):
+        found = {r.doc_id: {i for k in range(0, len(r.runs), 2) for i in range(r.runs[k], r.runs[k + 1])} for r in repeated_runs(df, **limits).collect()}
+        want = removed_by_hand(texts, limits.get("min_lines", 2), 50)
+        if "window" in limits and limits["window"] > 2:
+            assert found and all(lines <= want[d] for d, lines in found.items())
+        else:
+            assert [found.get(d, set()) for d in range(len(texts))] == want
+
+
 def test_chat(spark):
     from newsloom.llm import op7_chat as m
 
