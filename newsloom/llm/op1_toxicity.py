@@ -6,8 +6,9 @@
 2. Noisy channel: leetspeak, spelled-out words (s p a c e d) and repeated letters
    make a lattice of readings - each symbol with the letters it may stand for, a
    run of a letter as one or two of it, trailing symbols as noise. Viterbi finds
-   the reading of least channel cost plus trigram cost. Only tokens that show
-   such marks are decoded.
+   the reading of least channel cost plus trigram cost. Decoded are tokens that
+   show such marks, and runs of three or more single characters with white space
+   or punctuation between them, where each separator is dropped or a word edge.
 3. Score: words and word beginnings of the restored text, of which those that
    tell toxic documents are chosen by their counts over the labelled rows, feed a
    logistic regression.
@@ -41,9 +42,15 @@ READINGS = {
 }
 CLASSES = 28  # 0 edge, 1-26 a-z, 27 other letters
 WORD = re.compile(r"[^\W\d_]+")
-SPELLED = re.compile(r"(?<!\S)\w(?: \w){3,}(?!\S)")
+SIGNS = "@$!|+(€£¡*"
+SEPARATOR = re.compile(rf"([^\w{SIGNS}]|_)+")
+#: Three or more single characters apart, not cut out of a word (nor the s of it's).
+SPELLED = re.compile(rf"(?<![^\W_])(?<![^\W_]['’])(?:[^\W_]|[{SIGNS}])(?:(?:[^\w{SIGNS}]|_)++(?:[^\W_]|[{SIGNS}])){{2,}}(?![^\W_])")
+#: A letter four times or more reads as three times: beyond two it is stretched.
+STRETCHED = re.compile(rf"((?P<ch>[^\W_])(?P<by>(?:[^\w{SIGNS}]|_)++)(?P=ch)(?P=by)(?P=ch))(?:(?P=by)(?P=ch))+(?![^\W_])")
 MARKED = re.compile(r"[^\W\d_][.\-_*][^\W\d_]|[^\W\d_][0-9@$!|+(€£¡*]|[0-9@$!|+(€£¡*][^\W\d_]|([^\W\d_])\1\1").search
 SUBSTITUTE, DOUBLE, DROP = 0.7, 1.5, 0.3
+EDGE, OTHER = 2.0, 1.5  # a word edge at the usual separator of a run; a dropped separator of another kind
 
 
 def trigram_counts(docs: DataFrame) -> np.ndarray:
@@ -79,7 +86,7 @@ def costs(counts: np.ndarray) -> np.ndarray:
 
 
 def letter_class(ch: str) -> int:
-    return ord(ch) - 96 if "a" <= ch <= "z" else 27
+    return ord(ch) - 96 if "a" <= ch <= "z" else 0 if ch == " " else 27
 
 
 class Decoder:
@@ -104,13 +111,33 @@ class Decoder:
             out.append(options)
         return out
 
-    def decode(self, token: str) -> str:
+    def spelled(self, run: str) -> list[list[tuple[str, float]]]:
+        """Of a run of single characters: letters and signs as above, separators dropped or a word edge."""
+        parts = [m.group() for m in re.finditer(rf"{SEPARATOR.pattern}|.", run)]
+        usual = Counter(parts[1::2]).most_common(1)[0][0] if len(parts) > 1 else ""
+        out = []
+        for k, ch in enumerate(parts):
+            if k % 2:
+                options = [("", 0.0), (" ", EDGE)] if ch == usual else [("", OTHER), (" ", 0.0)]
+            elif ch in READINGS:
+                options = [(r, SUBSTITUTE + 0.2 * i) for i, r in enumerate(READINGS[ch])]
+                if k == len(parts) - 1 and not ch.isdigit():
+                    options.append(("", DROP))
+            else:
+                options = [(ch, 0.0)]
+                if k > 3 and parts[k - 2] == parts[k - 4] == ch:
+                    options.append(("", DROP))
+            out.append(options)
+        return out
+
+    def decode(self, token: str, spelled: bool = False) -> str:
         token = token.lower()
-        if token in self.known:
-            return self.known[token]
-        best = {(0, 0): (0.0, "")}
-        for options in self.lattice(token):
-            step: dict[tuple[int, int], tuple[float, str]] = {}
+        key = (token, spelled)
+        if key in self.known:
+            return self.known[key]
+        best: dict[tuple[int, int], tuple] = {(0, 0): (0.0, None)}  # cost and the reading, linked backwards
+        for options in self.spelled(token) if spelled else self.lattice(token):
+            step: dict[tuple[int, int], tuple] = {}
             for (a, b), (total, text) in best.items():
                 for read, price in options:
                     x, y, new = a, b, total + price
@@ -120,16 +147,26 @@ class Decoder:
                         x, y = y, z
                     at = (x, y)
                     if at not in step or new < step[at][0]:
-                        step[at] = (new, text + read)
+                        step[at] = (new, (text, read) if read else text)
             best = step
-        out = min((total + self.cost[a][b][0], text) for (a, b), (total, text) in best.items())[1]
+        text = min(((total + self.cost[a][b][0], a, b, text) for (a, b), (total, text) in best.items()), key=lambda x: x[:3])[3]
+        read = []
+        while text:
+            text, last = text
+            read.append(last)
+        out = "".join(reversed(read))
         if len(self.known) >= self.most:
             self.known.clear()
-        self.known[token] = out
+        self.known[key] = out
         return out
 
     def words(self, token: str) -> list[str]:
-        """Words of a white-space token, restored if it shows marks."""
+        """Words of a token, restored if it is spelled out or shows marks."""
+        if SPELLED.fullmatch(token):
+            # an "a" before or an "I" after may stand outside of what is spelled out: such readings count too
+            ends = [m.span() for m in SEPARATOR.finditer(token)]
+            parts = [token[a:b] for a in (0, ends[0][1]) for b in (len(token), ends[-1][0]) if a + 1 < b]
+            return [w for part in parts for w in WORD.findall(self.decode(part, spelled=True))]
         if MARKED(token):
             token = self.decode(token)
         return WORD.findall(token.lower())
@@ -139,10 +176,9 @@ BEGINNINGS = (4, 5, 6)
 
 
 def tokens_of(text: str) -> set[str]:
-    """Distinct white-space tokens of a text; words spelled out with blanks count as one token."""
+    """Distinct white-space tokens of a text; a run of single characters apart, of which one is a letter, is a token too."""
     found = set(text.split())
-    if sum(len(t) == 1 for t in found) >= 3:
-        found.update("".join(m.split()) for m in SPELLED.findall(text) if len(set(m.lower().split())) >= 3)
+    found.update(STRETCHED.sub(r"\1", m) for m in SPELLED.findall(text) if WORD.search(m))
     return found
 
 
