@@ -9,9 +9,10 @@ looked up per item.
 
 Size: an automaton is made of at most `shard_words` item words, which bounds what
 is broadcast (about 120 bytes a word). Larger benchmarks are dealt by item into
-more shards; documents are then scanned once per shard and the hits united.
+more shards; documents are then scanned once per shard, always whole, and the hits
+united. Coverage is judged and text cut once, on the union.
 
-Documents are read in a narrow pass: no shuffle with one shard. Null or empty
+Documents are read in narrow passes: no shuffle. Null or empty
 texts have no words; null items and items without words are ignored; items that
 share an item_id count once, those with a null item_id mark hits but are not
 counted. Rows that share a doc_id are all returned. Other columns are ignored.
@@ -152,52 +153,62 @@ def automata(benchmark: DataFrame, window: int = 10, shard_words: int = 2_000_00
         yield SuffixAutomaton([(r.item_id, w) for r in rows if (w := words_of(r.text))], window)
 
 
+def united(spans: list[list[int]]) -> list[tuple[int, int]]:
+    """Union of flat span lists."""
+    out: list[list[int]] = []
+    for a, b in sorted((x[i], x[i + 1]) for x in spans for i in range(0, len(x), 2)):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+FOUND = [T.StructField("_n_words", T.LongType()), T.StructField("_spans", T.ArrayType(T.LongType())), T.StructField("_items", T.ArrayType(T.StringType()))]
+
+
 def find_hits(docs: DataFrame, automaton: SuffixAutomaton, keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` of docs (default: all), then _n_words, _spans (begin, end of hit words), _items."""
-    keep = docs.columns if keep is None else keep
+    """The columns `keep` of docs (default: all), then _n_words, _spans (begin, end of hit words), _items.
+
+    Where docs has these already, from another shard, the hits are united with them.
+    """
+    before = "_spans" in docs.columns
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("_n_words", "_spans", "_items")]
     held = docs.sparkSession.sparkContext.broadcast(automaton)
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("_n_words", T.LongType()), T.StructField("_spans", T.ArrayType(T.LongType())), T.StructField("_items", T.ArrayType(T.StringType()))])
+    schema = T.StructType([*(docs.schema[c] for c in keep), *FOUND])
 
     def run(batches):
         a = held.value
         for batch in batches:
             n, spans, items = [], [], []
-            for t in batch.column(batch.schema.get_field_index("text")):
+            column = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
+            for k, t in enumerate(column["text"]):
                 words = words_of(t.as_py())
                 at, found = a.scan(words)
+                names = {a.names[k] for k in found if a.names[k] is not None}
+                if before:
+                    at = united([column["_spans"][k].as_py(), [x for span in at for x in span]])
+                    names.update(column["_items"][k].as_py())
                 n.append(len(words))
                 spans.append([x for span in at for x in span])
-                items.append(sorted({a.names[k] for k in found if a.names[k] is not None}))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=[*keep, "_n_words", "_spans", "_items"])
+                items.append(sorted(names))
+            yield pa.RecordBatch.from_arrays([*(column[c] for c in keep), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=[*keep, "_n_words", "_spans", "_items"])
 
     return docs.transform(batched, run, schema)
 
 
-def united(spans: list[list[int]]) -> list[tuple[int, int]]:
-    """Union of flat span lists."""
-    out: list[list[int]] = []
-    for a, b in sorted((x[i], x[i + 1]) for x in spans for i in range(0, len(x), 2)):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def all_hits(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int, keep: list[str]) -> DataFrame:
+    """find_hits over all shards, each on the whole text; `keep` holds in the end."""
+    shards = list(automata(benchmark, window, shard_words))
+    for a in shards[:-1]:
+        docs = find_hits(docs, a)
+    return find_hits(docs, shards[-1], keep)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 2_000_000) -> DataFrame:
     """doc_id, n_words, spans, items of every document row."""
-    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("_h"))
-    names = [F.col("_n_words").alias("n_words"), F.col("_spans").alias("spans"), F.col("_items").alias("items")]
-    found = [find_hits(base, a, ["doc_id", "_h"]).select("doc_id", "_h", *names) for a in automata(benchmark, window, shard_words)]
-    if len(found) == 1:
-        return found[0].drop("_h")
-    merged = found[0].withColumn("_k", F.lit(0))
-    for k, f in enumerate(found[1:], 1):
-        merged = merged.unionByName(f.withColumn("_k", F.lit(k)))
-    # rows with the same doc_id and text are alike: one of them is judged, then repeated
-    flat = merged.groupBy("doc_id", "_h", "n_words").agg(F.collect_list("spans").alias("s"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.count_if(F.col("_k") == 0).alias("copies"))
-    unite = F.udf(lambda s: [x for span in united(s) for x in span], "array<long>")
-    return flat.select("doc_id", "n_words", unite("s").alias("spans"), F.array_sort("items").alias("items"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("col")
+    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return all_hits(base, benchmark, window, shard_words, ["doc_id"]).toDF("doc_id", "n_words", "spans", "items")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -219,32 +230,29 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
 
     All columns stay; text (and n_chars, if there) follow the cut. Text between the kept words is untouched.
     """
-    out = docs
-    for a in automata(benchmark, window, shard_words):
-        found = find_hits(out, a)
-
-        def cut(t: pd.Series, spans: pd.Series) -> pd.Series:
-            texts = []
-            for text, flat in zip(t, spans):
-                if text is not None and len(flat):
-                    places = [m.span() for m in WORD.finditer(text.translate(TO_LOWER))]
-                    kept, at = [], 0
-                    for i in range(0, len(flat), 2):
-                        kept.append(text[at : places[flat[i]][0]])
-                        at = places[flat[i + 1] - 1][1]
-                    text = "".join([*kept, text[at:]])
-                texts.append(text)
-            return pd.Series(texts, dtype=object)
-
-        cut.__annotations__ = {"t": pd.Series, "spans": pd.Series, "return": pd.Series}
-        index = F.sequence(F.lit(0), F.size("_spans") - 2, F.lit(2))
-        hit = F.when(F.size("_spans") > 0, F.aggregate(index, F.lit(0).cast("long"), lambda x, i: x + F.get("_spans", i + 1) - F.get("_spans", i))).otherwise(F.lit(0))
-        kept = found.filter(hit <= F.lit(max_coverage) * F.col("_n_words"))
-        kept = kept.withColumn("text", F.when(F.size("_spans") > 0, F.pandas_udf(cut, "string")("text", "_spans")).otherwise(F.col("text")))
-        if "n_chars" in docs.columns:
-            kept = kept.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-        out = kept.select(*[F.col(f"`{c}`") for c in docs.columns])
-    return out
+    found = all_hits(docs, benchmark, window, shard_words, docs.columns)
+
+    def cut(t: pd.Series, spans: pd.Series) -> pd.Series:
+        texts = []
+        for text, flat in zip(t, spans):
+            if text is not None and len(flat):
+                places = [m.span() for m in WORD.finditer(text.translate(TO_LOWER))]
+                kept, at = [], 0
+                for i in range(0, len(flat), 2):
+                    kept.append(text[at : places[flat[i]][0]])
+                    at = places[flat[i + 1] - 1][1]
+                text = "".join([*kept, text[at:]])
+            texts.append(text)
+        return pd.Series(texts, dtype=object)
+
+    cut.__annotations__ = {"t": pd.Series, "spans": pd.Series, "return": pd.Series}
+    index = F.sequence(F.lit(0), F.size("_spans") - 2, F.lit(2))
+    hit = F.when(F.size("_spans") > 0, F.aggregate(index, F.lit(0).cast("long"), lambda x, i: x + F.get("_spans", i + 1) - F.get("_spans", i))).otherwise(F.lit(0))
+    kept = found.filter(hit <= F.lit(max_coverage) * F.col("_n_words"))
+    kept = kept.withColumn("text", F.when(F.size("_spans") > 0, F.pandas_udf(cut, "string")("text", "_spans")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

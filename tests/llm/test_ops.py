@@ -103,6 +103,36 @@ def test_decontamination_shards_agree(spark, docs, empty):
     assert cut[1]["text"] == "A b  n" and cut[1]["n_chars"] == 6 and 6 not in cut and cut[5]["text"] == ODD[4][1] and set(cut[1]) == set(SCHEMA.replace(",", "").split()[::2])
 
 
+def test_decontamination_cuts_once_over_all_shards(spark):
+    import random
+
+    from newsloom.llm import op4_decontamination as m
+
+    rnd = random.Random(7)
+    items = [[f"w{rnd.randrange(30)}" for _ in range(rnd.choice([2, 3, 5, 6]))] for _ in range(12)]
+    bench = spark.createDataFrame([(str(k), " ".join(x)) for k, x in enumerate(items)], "item_id string, text string")
+    texts = []
+    for _ in range(80):
+        words = [f"w{rnd.randrange(30)}" for _ in range(rnd.randrange(0, 12))]
+        for _ in range(rnd.randrange(0, 3)):
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = rnd.choice(items)
+        texts.append(words)
+    want = {}
+    for d, words in enumerate(texts):
+        hit = set()
+        for x in items:
+            n = min(4, len(x))
+            for g in {tuple(x[i : i + n]) for i in range(len(x) - n + 1)}:
+                hit |= {j for i in range(len(words) - n + 1) if tuple(words[i : i + n]) == g for j in range(i, i + n)}
+        if len(hit) <= 0.5 * len(words):
+            want[d] = [w for j, w in enumerate(words) if j not in hit]
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(texts)], "doc_id long, text string")
+    for shard in (2_000_000, 20, 12):
+        assert {r.doc_id: m.words_of(r.text) for r in m.decontaminate(df, bench, window=4, shard_words=shard).collect()} == want
+    assert 0 < len(want) < len(texts)
+
+
 def test_token_codes_and_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
