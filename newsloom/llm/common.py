@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +10,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import handover, shared_dir  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -19,23 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="newsloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def handover(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -46,18 +30,38 @@ def ascii_lower(col):
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def free_name(name: str, taken) -> str:
+    """`name`, with underscores behind it until no column in `taken` is called so (case aside)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 #: Rows and bytes that an Arrow batch may hold: texts are long, and two tasks share an executor's memory.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
+def give_back() -> None:
+    """Free buffers go back to the system after a task, since Python workers live on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no glibc
+        pass
+
+
 def batched(df: DataFrame, run, schema) -> DataFrame:
-    """mapInArrow with bounded batches; a Python worker gives its buffers back after each task."""
+    """mapInArrow with bounded batches: a bound that the session has set itself is left as it is."""
+    spark = df.sparkSession
+    own = spark.conf.getAll
     for k, v in BATCH.items():
-        df.sparkSession.conf.set(k, v)
+        if k not in own:
+            spark.conf.set(k, v)
 
     def whole(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(whole, schema)
 

@@ -13,9 +13,12 @@
    tell toxic documents are chosen by their counts over the labelled rows, feed a
    logistic regression.
 
-The model learns from at most `max_train` labelled rows (those of smallest hash;
-all of them below the bound) whose crc32(doc_id) mod 5 is not 0. Labels, lang,
-source and doc_id are no inputs of a score. Scoring is one narrow pass.
+The model learns from at most `max_train` labelled documents (those of smallest
+hash; all of them below the bound) whose crc32(doc_id) mod 5 is not 0, and keeps at
+most `max_features` features (those that tell most). A document labelled more than
+once counts as toxic if one of its labels says so. Labels, lang, source and doc_id
+are no inputs of a score. Texts are read three times: for the trigrams, for the
+labelled rows (which are handed over as a table) and to be scored, in a narrow pass.
 
 Null and empty texts have no features and get the intercept's score. Rows that
 share a doc_id are all scored. With no labelled row of either class every score
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, slices, table, text_buffers
+from .common import batched, handover, slices, table, text_buffers
 
 # The letters a symbol may stand for, likelier ones first.
 READINGS = {
@@ -92,7 +95,7 @@ def letter_class(ch: str) -> int:
 class Decoder:
     """Viterbi over the lattice of a marked token; keeps what it has decoded."""
 
-    def __init__(self, cost: np.ndarray, most: int = 50_000):
+    def __init__(self, cost: np.ndarray, most: int = 20_000):
         self.cost, self.most, self.known = cost.tolist(), most, {}
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
@@ -185,7 +188,7 @@ def tokens_of(text: str) -> set[str]:
 class Features:
     """Features of texts; what a token gives is kept."""
 
-    def __init__(self, cost: np.ndarray, chosen=None, most: int = 250_000):
+    def __init__(self, cost: np.ndarray, chosen=None, most: int = 100_000):
         self.decoder, self.chosen, self.most, self.known = Decoder(cost), chosen, most, {}
 
     def of_token(self, token: str) -> tuple:
@@ -243,9 +246,11 @@ def logistic(rows: list[list[int]], y: np.ndarray, width: int, l2: float = 1.0,
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, max_features: int = 4096) -> Model:
     cost = costs(trigram_counts(docs))
-    rows = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    rows = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(~held_out(F.col("doc_id")))
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    learn = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")  # at most max_train rows
+    learn = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")  # at most max_train documents
+    learn = handover(learn.select("text", "toxic"), "labelled")
 
     def count(batches):
         features, bad, seen = Features(cost), Counter(), Counter()
@@ -284,18 +289,18 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, max_featu
     return Model(cost, {f: float(w) for f, w in zip(names, weights) if abs(w) > 1e-4}, intercept)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` of docs (default: all), then _toxicity."""
+def score(docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "toxicity") -> DataFrame:
+    """The columns `keep` of docs (default: all), then the score as `name`, which must not be one of them."""
     keep = docs.columns if keep is None else keep
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most max_features weights and 28**3 costs
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("_toxicity", T.DoubleType())])
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(name, T.DoubleType())])
 
     def run(batches):
         m = held.value
         features = Features(m.cost, m.weights)
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array([m.score(features, t.as_py()) for t in text], pa.float64())], names=[*keep, "_toxicity"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array([m.score(features, t.as_py()) for t in text], pa.float64())], names=[*keep, name])
 
     return docs.transform(batched, run, schema)
 
@@ -303,7 +308,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
 def toxicity(docs: DataFrame, labels: DataFrame, **limits) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     scored = score(base, train(docs, labels, **limits), ["doc_id"])
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_toxicity").alias("score"), (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,22 +3,28 @@
 A document's tokens are the 64-bit hashes of its distinct five-word shingles.
 Two documents link when 100 * common >= 80 * united.
 
-1. Postings. Tokens leave the scan as sorted, packed blobs per hash range
-   ("bucket"): about 5 bytes a token, one row per range and scan chunk. A task of a
-   range counts in how many sets each token occurs (df) and sends back, to the
-   chunk that holds them, the tokens with df > 1. So every document learns which
-   of its tokens are shared, and how often, from counts over all documents.
+1. Postings. Tokens (48 bits) leave the scan as sorted, packed blobs per hash range
+   ("bucket"), one row per range and scan chunk. Each chunk tells of a token how many
+   of its documents have it; the documents themselves travel along only where they are
+   `LISTED` at most, else their list goes straight to the chunk's own row. So a token
+   that most documents have costs one entry a chunk. A task of a range counts in how
+   many sets each token occurs (df) and sends back, to the chunk that holds them, the
+   tokens with df > 1: every document learns which of its tokens are shared, and how
+   often, from counts over all documents.
 2. A document with set size n can only link if two sets meet among its
    p = n - ceil(0.8 n) + 1 rarest tokens (one global order: df, hash). If p or more
    of its tokens are its own (df = 1), it is done: no partner exists. Most
    documents end here. Overlaps need only shared tokens.
 3. Groups. The rest is partitioned into groups of similar documents (same least
    hash among the document's rarer shared tokens); large groups are dealt into
-   blocks of `block` documents. Inside a block, documents are compared with one
-   pivot of each component so far, never pair by pair.
+   blocks of `block` documents. Inside a block, documents are compared with the
+   pivots so far, one of each component that they meet being enough, never pair by
+   pair; a document that links to several pivots unites their components. Pivots meet
+   again across blocks and groups, under their group's key and under a second one.
 4. Token-group matrix. Prefix tokens whose documents are all in one component are
    dropped; the rest gives (token, group) entries with the group's size range. A
-   document probes it with its prefix tokens and gets the groups it might link to;
+   document probes it with its prefix tokens and gets the groups it might link to,
+   where its component is not the one with most documents of that token;
    the overlap with the union of all tokens of such a group bounds the overlap with
    each member, and only groups whose bound suffices are opened. Pairs already in
    one component are skipped: they can't change the result.
@@ -28,7 +34,8 @@ Documents with equal sets (copies) are one class from the start: class sizes nev
 enter the work. Null text is empty; texts without words link with nothing; fewer
 than five words are one shingle. Rows that share a doc_id are classed row by row;
 a null doc_id is never a representative of others (its class's id stays null if
-all are null). Empty table: no rows. Other columns are ignored.
+all are null). Empty table: no rows. Other columns are ignored, but for those named
+in `carry`.
 """
 
 from __future__ import annotations
@@ -40,8 +47,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ROLL, batched, handover, hash_spans, mix, partitions, record_batch, slices, table, text_buffers
+from .common import ROLL, batched, free_name, give_back, handover, hash_spans, mix, partitions, record_batch, slices, table, text_buffers
 
 WORDS = 5
 _SPACE = np.zeros(256, bool)
@@ -100,66 +108,89 @@ def linked(common: int, a: int, b: int) -> bool:
     return 100 * common >= 80 * (a + b - common)
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
-    """doc_id, set_key (null: no words), n of every row."""
+def sets_of(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, set_key (null: no words), n and the columns `carry` of every row."""
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text"):
                 sets = shingle_sets(*text_buffers(batch.column(1)))
-                yield record_batch([(d, set_key(x) if len(x) else None, len(x)) for d, x in zip(batch.column(0).to_pylist(), sets)], "doc_id long, set_key binary, n long")
+                keys = pa.array([set_key(x) if len(x) else None for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), keys, pa.array([len(x) for x in sets], pa.int64()), *batch.columns[2:]], names=["doc_id", "set_key", "n", *carry])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(batched, run, "doc_id long, set_key binary, n long")
+    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("set_key", T.BinaryType()), T.StructField("n", T.LongType()), *(base.schema[c] for c in carry)])
+    return base.transform(batched, run, schema)
+
+
+DROPPED = np.uint64(16)  # low bits of a hash that the postings go without: 48 bits stay
+PLANES = 6
 
 
 def pack_sorted(x: np.ndarray) -> bytes:
-    """Ascending u32 as byte planes of their gaps: the upper planes are nearly empty and compress away."""
-    return np.ascontiguousarray(np.diff(x, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Ascending 48-bit numbers as byte planes of their gaps: the upper planes are nearly empty and compress away."""
+    return np.ascontiguousarray(np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PLANES].T).tobytes()
 
 
 def unpack_sorted(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel(), dtype=np.uint32)
+    gaps = np.zeros((len(raw) // PLANES, 8), np.uint8)
+    gaps[:, :PLANES] = np.frombuffer(raw, np.uint8).reshape(PLANES, -1).T
+    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64)
+
+
+#: A chunk with more documents than this per token keeps their list to itself.
+LISTED = 8
+#: Of a chunk and bucket: tokens ascending, documents per token (counts), the listed documents (docs, token by token).
+#: Of a chunk (tokens null): its directory of sets, and the tokens, counts and docs that it kept to itself.
+POSTED = "bucket int, chunk long, tokens binary, docs binary, counts binary, df binary, directory binary"
+
 
+def bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    return ((tokens >> np.uint64(16)) * np.uint64(buckets)) >> np.uint64(32)
 
-POSTED = "bucket int, chunk long, tokens binary, docs binary, counts binary, directory binary"
 
+def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """values[begin[i] : begin[i] + size[i]] of all i in a row."""
+    ends = np.cumsum(size)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)]
 
-def postings(docs: DataFrame, buckets: int, chunk_tokens: int = 2_000_000) -> DataFrame:
-    """Rows of one chunk and bucket: its tokens (low 32 bits, ascending) and which document of the chunk has them."""
+
+def postings(docs: DataFrame, buckets: int, chunk_tokens: int = 1_000_000) -> DataFrame:
+    """Rows of a chunk and bucket, and one of each chunk (schema POSTED)."""
 
     def run(batches):
         part, chunk, seen = TaskContext.get().partitionId(), 0, set()
         sets, directory, size = [], [], 0
 
         def rows():
-            token = np.concatenate(sets)
+            token = np.concatenate(sets) >> DROPPED
             doc = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
-            order = np.argsort(token)
+            order = np.argsort(token, kind="stable")
             token, doc = token[order], doc[order]
-            high, low = (token >> np.uint64(32)), (token & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            bucket = (high * np.uint64(buckets)) >> np.uint64(32)
-            # inside a bucket tokens are ordered by their low bits
-            order = np.lexsort((low, bucket))
-            bucket, low, doc = bucket[order], low[order], doc[order]
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            begin = np.flatnonzero(np.diff(token, prepend=token[0] + np.uint64(1)))
+            counts = np.diff(begin, append=len(token))
+            distinct = token[begin]
+            cold = counts <= LISTED
+            edges = np.searchsorted(bucket_of(distinct, buckets), np.arange(buckets + 1))
             me = (part << 32) | chunk
             out = []
-            for b in range(buckets):
+            for b in np.flatnonzero(np.diff(edges)).tolist():
                 x, y = edges[b], edges[b + 1]
-                if y > x:
-                    out.append((b, me, pack_sorted(low[x:y]), doc[x:y].tobytes(), None, None))
-            out.append((me % buckets, me, None, None, None, b"".join(directory)))
+                listed = gathered(doc, begin[x:y], np.where(cold[x:y], counts[x:y], 0))
+                out.append((b, me, pack_sorted(distinct[x:y]), listed.tobytes(), counts[x:y].astype("<u2").tobytes(), None, None))
+            own = [distinct[~cold].tobytes(), gathered(doc, begin[~cold], counts[~cold]).tobytes(), counts[~cold].astype("<u4").tobytes()]
+            out.append((me % buckets, me, None, own[1], own[2], own[0], b"".join(directory)))
             return record_batch(out, POSTED)
 
         for whole in batches:
             for batch in slices(whole, "text"):
-                for d, x in zip(batch.column(0).to_pylist(), shingle_sets(*text_buffers(batch.column(1)))):
+                for x in shingle_sets(*text_buffers(batch.column(0))):
                     if not len(x):
                         continue
                     key = set_key(x)
                     if key in seen:  # a copy within this task
                         continue
-                    if len(seen) < 2_000_000:
+                    if len(seen) < 500_000:
                         seen.add(key)
                     sets.append(x)
                     directory.append(key + np.array([len(x)], "<i8").tobytes())
@@ -170,51 +201,70 @@ def postings(docs: DataFrame, buckets: int, chunk_tokens: int = 2_000_000) -> Da
         if sets:
             yield rows()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).transform(batched, run, POSTED)
+    return docs.select(F.col("text").cast("string")).transform(batched, run, POSTED)
 
 
 def shared_tokens(posted: DataFrame) -> DataFrame:
-    """Per bucket: df of its tokens; back to each chunk those with df > 1. Directories pass through."""
+    """Per bucket: df of its tokens; back to each chunk those with df > 1. The chunks' own rows pass through."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         full = [r for r in rows if r["tokens"] is not None]
-        out = [(r["bucket"], r["chunk"], None, None, None, r["directory"]) for r in rows if r["directory"] is not None]
+        out = [tuple(r.values()) for r in rows if r["tokens"] is None]
         if full:
             tokens = [unpack_sorted(r["tokens"]) for r in full]
-            values, counts = np.unique(np.concatenate(tokens), return_counts=True)
-            shared = counts > 1
-            values, counts = values[shared], counts[shared].astype("<u4")
-            for r, x in zip(full, tokens):
-                if len(values):
-                    at = np.minimum(np.searchsorted(values, x), len(values) - 1)
-                    hit = values[at] == x
-                    if hit.any():
-                        out.append((r["bucket"], r["chunk"], pack_sorted(x[hit]), np.frombuffer(r["docs"], np.uint16)[hit].tobytes(), counts[at[hit]].tobytes(), None))
-        return pa.Table.from_batches([record_batch(out, POSTED)])
+            counts = [np.frombuffer(r["counts"], "<u2") for r in full]
+            values, where = np.unique(np.concatenate(tokens), return_inverse=True)
+            df = np.bincount(where, weights=np.concatenate(counts), minlength=len(values)).astype("<u4")
+            shared = df > 1
+            values, df = values[shared], df[shared]
+            for r, x, c in zip(full, tokens, counts):
+                if not len(values):
+                    break
+                at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+                hit = values[at] == x
+                if hit.any():
+                    sizes = np.where(c <= LISTED, c, 0).astype(np.int64)
+                    docs = gathered(np.frombuffer(r["docs"], np.uint16), (np.cumsum(sizes) - sizes)[hit], sizes[hit])
+                    out.append((r["bucket"], r["chunk"], pack_sorted(x[hit]), docs.tobytes(), c[hit].tobytes(), df[at[hit]].tobytes(), None))
+        table = pa.Table.from_batches([record_batch(out, POSTED)])
+        give_back()
+        return table
 
     return posted.groupBy("bucket").applyInArrow(run, POSTED)
 
 
-MEMBER = "set_key binary, n long, tokens binary, prefix array<long>, group_key long"
+MEMBER = "set_key binary, n long, tokens binary, prefix array<long>, group_key long, second_key long"
 
 
 def candidates(shared: DataFrame) -> DataFrame:
-    """Documents that may have a partner. tokens: shared ones as u64, ascending; prefix: those of them to probe with."""
+    """Documents that may have a partner. tokens: shared ones, ascending; prefix: those of them to probe with."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        entries = b"".join(r["directory"] for r in rows if r["directory"] is not None)
+        own = next((r for r in rows if r["tokens"] is None), None)
         full = [r for r in rows if r["tokens"] is not None]
         out = []
-        if full and entries:
-            low = np.concatenate([unpack_sorted(r["tokens"]) for r in full]).astype(np.uint64)
-            bucket = np.repeat(np.array([r["bucket"] for r in full], np.uint64), [len(r["docs"]) // 2 for r in full])
-            doc = np.concatenate([np.frombuffer(r["docs"], np.uint16) for r in full])
-            df = np.concatenate([np.frombuffer(r["counts"], "<u4") for r in full])
-            token = (bucket << np.uint64(32)) | low
+        if full and own:
+            token, doc, df = [], [], []
+            kept = np.frombuffer(own["df"], "<u8")  # tokens whose documents the chunk kept to itself
+            kept_size = np.frombuffer(own["counts"], "<u4").astype(np.int64)
+            kept_begin, kept_docs = np.cumsum(kept_size) - kept_size, np.frombuffer(own["docs"], np.uint16)
+            for r in full:
+                x, c, f = unpack_sorted(r["tokens"]), np.frombuffer(r["counts"], "<u2"), np.frombuffer(r["df"], "<u4")
+                cold = c <= LISTED
+                token.append(np.repeat(x[cold], c[cold]))
+                df.append(np.repeat(f[cold], c[cold]))
+                doc.append(np.frombuffer(r["docs"], np.uint16))
+                if not cold.all():
+                    at = np.searchsorted(kept, x[~cold])
+                    token.append(np.repeat(x[~cold], kept_size[at]))
+                    df.append(np.repeat(f[~cold], kept_size[at]))
+                    doc.append(gathered(kept_docs, kept_begin[at], kept_size[at]))
+            token, doc, df = np.concatenate(token), np.concatenate(doc), np.concatenate(df)
             order = np.lexsort((token, df, doc))
             token, doc, df = token[order], doc[order], df[order]
+            entries = own["directory"]
             edges = np.searchsorted(doc, np.arange(len(entries) // 24 + 1))
             for i in range(len(entries) // 24):
                 t, f = token[edges[i] : edges[i + 1]], df[edges[i] : edges[i + 1]]
@@ -222,8 +272,11 @@ def candidates(shared: DataFrame) -> DataFrame:
                 left = prefix_length(n) - (n - len(t))
                 if left > 0 and len(t):
                     rare = t[f <= f[len(f) // 2]]
-                    out.append((entries[24 * i : 24 * i + 16], n, np.sort(t).tobytes(), t[:left].view(np.int64).tolist(), int(rare[mix(rare).argmin()].view(np.int64))))
-        return pa.Table.from_batches([record_batch(out, MEMBER)])
+                    keys = [int(x[mix(x).argmin()]) for x in (rare, t)]
+                    out.append((entries[24 * i : 24 * i + 16], n, np.sort(t).tobytes(), t[:left].view(np.int64).tolist(), *keys))
+        table = pa.Table.from_batches([record_batch(out, MEMBER)])
+        give_back()
+        return table
 
     return shared.groupBy("chunk").applyInArrow(run, MEMBER)
 
@@ -242,25 +295,43 @@ def common_size(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def pivot_components(members: DataFrame, keys: list[str]) -> DataFrame:
-    """rep, comp: inside each key, documents joined to a pivot they link to. comp is the pivot's rep."""
+    """rep, comp, pivot: inside each key, components of documents and the pivots they link to. comp is the least pivot's rep."""
 
     def run(group: pa.Table) -> pa.Table:
         rows = sorted(group.select(["rep", "n", "tokens"]).to_pylist(), key=lambda r: (r["n"], r["rep"]))
-        pivots, out = [], []
+        pivots, root, of = [], [], []  # (n, tokens), parent of a pivot, pivot of each row
+
+        def top(k):
+            while root[k] != k:
+                k = root[k]
+            return k
+
         for r in rows:
-            t, n, comp = _tokens(r["tokens"]), r["n"], r["rep"]
-            for p, m, u in reversed(pivots):
+            t, n, met = _tokens(r["tokens"]), r["n"], None
+            for k in range(len(pivots) - 1, -1, -1):
+                m, u = pivots[k]
                 if 5 * m < 4 * n:
                     break  # sizes fall: no smaller pivot can link
-                if linked(common_size(t, u), n, m):
-                    comp = p
-                    break
-            if comp == r["rep"]:
-                pivots.append((comp, n, t))
-            out.append((r["rep"], comp))
-        return pa.Table.from_batches([record_batch(out, "rep long, comp long")])
-
-    return members.groupBy(*keys).applyInArrow(run, "rep long, comp long")
+                here = top(k)
+                if here != met and linked(common_size(t, u), n, m):
+                    if met is not None:
+                        root[max(met, here)] = min(met, here)
+                    met = here if met is None else min(met, here)
+            if met is None:
+                met = len(pivots)
+                pivots.append((n, t))
+                root.append(met)
+                of.append((met, True))
+            else:
+                of.append((met, False))
+        least: dict[int, int] = {}
+        for r, (k, own) in zip(rows, of):
+            if own:
+                least[top(k)] = min(r["rep"], least.get(top(k), r["rep"]))
+        out = [(r["rep"], least[top(k)], own) for r, (k, own) in zip(rows, of)]
+        return pa.Table.from_batches([record_batch(out, "rep long, comp long, pivot boolean")])
+
+    return members.groupBy(*keys).applyInArrow(run, "rep long, comp long, pivot boolean")
 
 
 def open_groups(opened: DataFrame) -> DataFrame:
@@ -278,7 +349,7 @@ def open_groups(opened: DataFrame) -> DataFrame:
             n, comp, t = r["n"], r["comp"], _tokens(r["tokens"])
             if common_size(t, union) < least_overlap(n):
                 continue  # the group's bound
-            for m, other, _, u in held[np.searchsorted(sizes, least_overlap(n)) : np.searchsorted(sizes, n, "right")]:
+            for m, other, _, u in held[np.searchsorted(sizes, least_overlap(n)) : np.searchsorted(sizes, 5 * n // 4, "right")]:
                 link = (min(comp, other), max(comp, other))
                 if comp != other and link not in found and linked(common_size(t, u), n, m):
                     found.add(link)
@@ -303,36 +374,47 @@ def least_labels(edges: DataFrame) -> DataFrame:
         pairs = new
 
 
-def jaccard_components(docs: DataFrame, block: int = 512) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+def dealt(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """rows (rep, key, ...) with blk: blocks of about `block` rows of each key. Only keys with more rows than that are joined."""
+    large = handover(rows.groupBy(key).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > block), "sizes")
+    return rows.join(large, key, "left").withColumn("blk", F.coalesce(F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / block)), F.lit(0).cast("long"))).drop("c")
+
+
+def first_components(members: DataFrame, block: int) -> DataFrame:
+    """rep, gid, comp: the block of every document, and its component after all blocks and the meetings of their pivots."""
+    blocks = handover(dealt(members.select("rep", "group_key"), "group_key", block), "blocks")
+    inside = handover(pivot_components(members.join(blocks.select("rep", "blk"), "rep"), ["group_key", "blk"]), "inside")
+    pivots = handover(members.select("rep", "n", "tokens", "group_key", "second_key").join(inside.filter("pivot").select("rep"), "rep", "left_semi"), "pivots")
+    links = None
+    for key in ("group_key", "second_key"):
+        met = pivot_components(dealt(pivots.select("rep", "n", "tokens", key), key, block), [key, "blk"]).filter("rep <> comp").select(F.col("rep").alias("a"), F.col("comp").alias("b"))
+        links = met if links is None else links.unionByName(met)
+    own = inside.filter("pivot and rep <> comp").select(F.col("rep").alias("a"), F.col("comp").alias("b"))
+    roots = least_labels(links.unionByName(own)).withColumnRenamed("node", "comp")
+    return blocks.join(inside, "rep").join(roots, "comp", "left").select("rep", F.xxhash64("group_key", "blk").alias("gid"), F.coalesce("root", "comp").alias("comp"))
+
+
+def jaccard_components(docs: DataFrame, block: int = 512, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id and the columns `carry` of every row."""
     spark = docs.sparkSession
-    sets = handover(sets_of(docs), "sets")
+    sets = handover(sets_of(docs, carry), "sets")
     total = sets.agg(F.sum("n").alias("n")).first().n or 0
     buckets = max(partitions(spark), -(-total // 1_500_000))
     reps = sets.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
 
     found = candidates(shared_tokens(postings(docs, buckets)))
-    found = found.groupBy("set_key").agg(F.first(F.struct("n", "tokens", "prefix", "group_key")).alias("m")).select("set_key", "m.*")
+    found = found.groupBy("set_key").agg(F.first(F.struct("n", "tokens", "prefix", "group_key", "second_key")).alias("m")).select("set_key", "m.*")
     members = handover(found.join(reps.select("set_key", "rep"), "set_key").drop("set_key"), "members")
-
-    def dealt(df, key, name):
-        """df with `name`: blocks of about `block` rows of each key."""
-        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
-        return df.join(sizes, key).withColumn(name, F.pmod(F.xxhash64("rep"), F.ceil(F.col("c") / block))).drop("c")
-
-    blocks = dealt(members.select("rep", "group_key"), "group_key", "blk")
-    inside = handover(pivot_components(members.join(blocks.select("rep", "blk"), "rep"), ["group_key", "blk"]), "inside")
-    split = blocks.groupBy("group_key").agg(F.max("blk").alias("last")).filter("last > 0").select("group_key")
-    pivots = members.join(split, "group_key").join(inside.filter("rep = comp").select("rep"), "rep", "left_semi")
-    across = pivot_components(dealt(pivots, "group_key", "blk"), ["group_key", "blk"]).select(F.col("rep").alias("comp"), F.col("comp").alias("above"))
-    labels = blocks.join(inside, "rep").join(across, "comp", "left").select("rep", F.xxhash64("group_key", "blk").alias("gid"), F.coalesce("above", "comp").alias("comp"))
-    labels = handover(labels, "labels")
+    labels = handover(first_components(members, block), "labels")
 
     posts = members.select("rep", "n", F.explode("prefix").alias("token")).join(labels, "rep")
-    live = posts.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
-    posts = handover(posts.join(live, "token"), "posts")
-    matrix = posts.groupBy("token", "gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    probes = posts.select("token", "rep", "n", "comp").join(matrix, "token").filter("least <= n and 5 * most >= 4 * n and not (lo = comp and hi = comp)")
+    of_comp = posts.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
+    live = of_comp.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("token", "major")
+    posts = handover(posts.join(live, "token").withColumn("minor", F.col("comp") != F.col("major")), "posts")
+    matrix = posts.groupBy("token", "gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("minor").alias("minors"))
+    # the component with most documents of a token need not probe: the others probe its groups, above their size too
+    near = "4 * least <= 5 * n and 5 * most >= 4 * n and (least <= n or not minors) and not (lo = comp and hi = comp)"
+    probes = posts.filter("minor").select("token", "rep", "n", "comp").join(matrix, "token").filter(near)
     probes = handover(probes.select("rep", "gid").distinct(), "probes")
     sizes = probes.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / (2 * block)).alias("parts"))
     asked = probes.join(sizes, "gid").select("gid", F.pmod(F.xxhash64("rep"), "parts").alias("part"), "rep")
@@ -346,7 +428,23 @@ def jaccard_components(docs: DataFrame, block: int = 512) -> DataFrame:
     ends = labels.join(roots, F.col("comp") == F.col("node"), "left").select("rep", F.coalesce("root", "comp").alias("root"))
     ends = ends.join(ends.groupBy("root").agg(F.min("rep").alias("component")), "root").filter("component <> rep").select("rep", "component")
     classes = reps.join(ends, "rep", "left").filter("copies > 1 or component is not null").select("set_key", F.coalesce("component", "rep").alias("component"))
-    return sets.join(classes, "set_key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return sets.join(classes, "set_key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), *carry)
+
+
+def distinct_documents(docs: DataFrame, block: int = 512) -> DataFrame:
+    """One whole row of each component, with all columns of docs: the least doc_id (null ids last).
+
+    Rows are told apart by their place in the scan, whatever their ids, so docs should
+    be a table; a row only goes if the hash of its text agrees as well.
+    """
+    row, mark = free_name("row", docs.columns), free_name("mark", docs.columns)
+    placed = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(mark, F.xxhash64("text"))
+    named = placed.select(F.col(row).alias("doc_id"), F.col("text"), F.col("doc_id").cast("long").alias("own_id"), F.col(mark).alias("mark"))
+    found = handover(jaccard_components(named, block, ("own_id", "mark")), "components")
+    order = F.struct(F.col("own_id").isNull().alias("no_id"), "own_id", "doc_id")
+    kept = found.groupBy("component_id").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("component_id", F.col("best.doc_id").alias("best"))
+    gone = handover(found.join(kept, "component_id").filter("doc_id <> best").select(F.col("doc_id").alias(row), F.col("mark").alias(mark)), "near")
+    return placed.join(gone, [row, mark], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

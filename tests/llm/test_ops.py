@@ -185,7 +185,7 @@ def test_toxicity(spark, docs, empty):
     labels = spark.createDataFrame([(i, y) for i, _, y in text] + [(None, 1), (5000, None)], "doc_id long, toxic int")
     model = m.train(corpus, labels)
     hard = spark.createDataFrame([(1, "you 1d10t there"), (2, "you i d i o t"), (3, "you idioooot"), (4, "plain calm text"), (5, None), (6, "")], "doc_id long, text string")
-    got = {r.doc_id: r._toxicity for r in m.score(hard, model).collect()}
+    got = {r.doc_id: r.toxicity for r in m.score(hard, model).collect()}
     assert got[2] > 0.5 and got[3] > 0.5 and max(got[4], got[5], got[6]) < 0.5
     assert m.toxicity(empty, labels).count() == 0 and m.toxicity(docs, labels.filter("false")).count() == len(ODD)
 
