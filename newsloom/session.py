@@ -16,17 +16,19 @@ def session(name: str = "newsloom", **conf) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
+    """The shared folder named by spark.checkpoint.dir. Only a local session may do without: it gets a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if spark.conf.get("spark.master", "").partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="newsloom-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
-def handover(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write a table in the shared folder spark.checkpoint.dir and read it back."""
+def handover(df: DataFrame, name: str = "handover") -> DataFrame:
+    """Cut the lineage: write df as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/handover-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
