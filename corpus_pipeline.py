@@ -2,7 +2,10 @@
 
 Each stage gets all documents its predecessor kept and returns a DataFrame, which is
 written and read again before the next one. All but the last return the columns of
-`documents`.
+`documents`. Decisions belong to rows, not to doc_ids: rows that share a doc_id are
+judged apart, rows with a null doc_id like all others. Null and empty texts are clean
+documents without words; further columns are kept, whatever their names. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -11,29 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import op1_toxicity, op3_exact_dedup, op4_decontamination, op5_packing, op9_jaccard
-from newsloom.llm.common import handover, table
-
-
-def _same(docs: DataFrame, columns: list[str]) -> DataFrame:
-    return docs.select(*[F.col(f"`{c}`") for c in columns])
+from newsloom.llm.common import free_name, handover, table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents scored toxic (0.5 or more)."""
+    """Drops documents scored toxic (0.5 or more). Without labels of both classes a document's score is the share of toxic labels."""
     model = op1_toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return _same(op1_toxicity.score(docs, model).filter("_toxicity < 0.5"), docs.columns)
+    name = free_name("toxicity", docs.columns)
+    return op1_toxicity.score(docs, model, name=name).filter(F.col(name) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays."""
-    dropped = op3_exact_dedup.exact_dedup(docs).filter("not kept").select("doc_id")
-    return _same(docs.join(dropped, "doc_id", "left_anti"), docs.columns)
+    """Of equal texts one row stays: the largest doc_id. All null and empty texts are equal."""
+    return op3_exact_dedup.distinct_texts(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the smallest doc_id stays."""
-    dropped = handover(op9_jaccard.jaccard_components(docs).filter("doc_id <> component_id").select("doc_id"), "near")
-    return _same(docs.join(dropped, "doc_id", "left_anti"), docs.columns)
+    """Of each component of similar documents one row stays: the smallest doc_id (null ids last). Texts without words all stay."""
+    return op9_jaccard.distinct_documents(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +40,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences; a document without words is its end id."""
     return op5_packing.pack(docs)
 
 
-STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 #: SQL can't express the toxicity model or the tokenizer.
 ORACLE_SQL = None
