@@ -8,20 +8,23 @@ where it occurs whole. Each state knows the items of its windows, so nothing is
 looked up per item.
 
 Size: an automaton is made of at most `shard_words` item words, which bounds what
-is broadcast (about 120 bytes a word). Larger benchmarks are dealt by item into
-more shards; documents are then scanned once per shard, always whole, and the hits
-united. Coverage is judged and text cut once, on the union.
+the driver builds (some 700 bytes a word while it grows) and broadcasts (some 150).
+Larger benchmarks are dealt by item into more shards, one alive at a time: documents
+are scanned once per shard, always whole, the hits so far are handed over as a table
+and united with the next. Coverage is judged and text cut once, on the union.
 
 Documents are read in narrow passes: no shuffle. Null or empty
 texts have no words; null items and items without words are ignored; items that
 share an item_id count once, those with a null item_id mark hits but are not
-counted. Rows that share a doc_id are all returned. Other columns are ignored.
+counted. Rows that share a doc_id are all returned. Other columns are ignored by
+`contamination` and kept by `decontaminate`, whatever their names. Empty tables of
+documents give no rows; an empty benchmark hits nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER, batched, table
+from .common import LOWER, UPPER, batched, free_name, handover, table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TO_LOWER = str.maketrans(UPPER, LOWER)
@@ -101,49 +104,74 @@ class SuffixAutomaton:
                     s = self.link[s]
                 own.setdefault(s, set()).add(k)
         self.names = [None if i is None else str(i) for i, _ in items]
-        self.windows: dict[int, tuple[int, ...]] = {}
+        self.found: list[tuple[int, ...]] = [()]  # sets of items, and which of them holds for a state
+        self.at = array("i", [0]) * len(self.next)
         self.short: dict[int, tuple[tuple[int, int], ...]] = {}
         for s in sorted(range(1, len(self.next)), key=self.len.__getitem__):  # links first
             up = self.link[s]
             if self.len[s] >= self.window:
-                found = own.get(s) if self.len[up] < self.window else None
-                self.windows[s] = tuple(found) if found else self.windows.get(up, ())
+                if self.len[up] < self.window and s in own:
+                    self.found.append(tuple(own[s]))
+                    self.at[s] = len(self.found) - 1
+                else:
+                    self.at[s] = self.at[up]
             if both := (*self.short.get(up, ()), *short.get(s, ())):
                 self.short[s] = both
+        self._pack()
+
+    def _pack(self) -> None:
+        """Most states have one way on: it is kept in arrays, and only the others keep a dict."""
+        self.root = self.next[0]
+        self.word: list[str | None] = [None] * len(self.next)
+        self.to = array("i", [0]) * len(self.next)
+        self.more: dict[int, dict[str, int]] = {}
+        for s, ways in enumerate(self.next):
+            if s and len(ways) == 1:
+                ((self.word[s], self.to[s]),) = ways.items()
+            elif s and ways:
+                self.more[s] = ways
+        self.link, self.len = array("i", self.link), array("i", self.len)
+        del self.next
 
     def scan(self, words: list[str]) -> tuple[list[tuple[int, int]], set[int]]:
         """Spans [begin, end) of hit words, in order and apart, and the items found."""
-        nxt, link, length, window, short = self.next, self.link, self.len, self.window, self.short
-        root = nxt[0]
+        word, on, more, root, link, length = self.word, self.to, self.more, self.root, self.link, self.len
+        window, short, none = self.window, self.short, {}
         state = match = 0
         spans: list[list[int]] = []
         found: set[int] = set()
         for i, w in enumerate(words):
-            if state:
-                while state and w not in nxt[state]:
-                    state = link[state]
-                    match = length[state]
-            to = nxt[state].get(w) if state else root.get(w)
-            if to is None:
+            to = 0
+            while state:
+                if word[state] == w:
+                    to = on[state]
+                    break
+                if to := more.get(state, none).get(w, 0):
+                    break
+                state = link[state]
+                match = length[state]
+            to = to or root.get(w, 0)
+            if not to:
                 continue
             state, match = to, match + 1
             begin = i + 1
             if match >= window:
-                found.update(self.windows[state])
+                found.add(self.at[state])
                 begin = i + 1 - window
             if state in short:
                 for m, k in short[state]:
                     if m <= match:
-                        found.add(k)
+                        found.add(-1 - k)
                         begin = min(begin, i + 1 - m)
             if begin <= i:
                 while spans and begin <= spans[-1][1]:
                     begin = min(begin, spans.pop()[0])
                 spans.append([begin, i + 1])
-        return [(a, b) for a, b in spans], found
+        items = {k for f in found for k in ((-1 - f,) if f < 0 else self.found[f])}
+        return [(a, b) for a, b in spans], items
 
 
-def automata(benchmark: DataFrame, window: int = 10, shard_words: int = 2_000_000) -> Iterator[SuffixAutomaton]:
+def automata(benchmark: DataFrame, window: int = 10, shard_words: int = 500_000) -> Iterator[SuffixAutomaton]:
     """One automaton per shard of at most about shard_words words of items."""
     items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).filter("text is not null")
     size = items.agg(F.sum(F.size(F.split("text", r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))).alias("n")).first().n or 0
@@ -164,73 +192,83 @@ def united(spans: list[list[int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-FOUND = [T.StructField("_n_words", T.LongType()), T.StructField("_spans", T.ArrayType(T.LongType())), T.StructField("_items", T.ArrayType(T.StringType()))]
-
-
-def find_hits(docs: DataFrame, automaton: SuffixAutomaton, keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` of docs (default: all), then _n_words, _spans (begin, end of hit words), _items.
+def find_hits(docs: DataFrame, automaton, names: list[str], keep: list[str]) -> DataFrame:
+    """The columns `keep` of docs, then number of words, spans (begin, end of hit words) and items under three `names`.
 
     Where docs has these already, from another shard, the hits are united with them.
+    `automaton` is broadcast.
     """
-    before = "_spans" in docs.columns
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("_n_words", "_spans", "_items")]
-    held = docs.sparkSession.sparkContext.broadcast(automaton)
-    schema = T.StructType([*(docs.schema[c] for c in keep), *FOUND])
+    n_words, spans_name, items_name = names
+    before = spans_name in docs.columns
+    types = (T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.StringType()))
+    schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(n, t) for n, t in zip(names, types))])
 
     def run(batches):
-        a = held.value
+        a = automaton.value
         for batch in batches:
             n, spans, items = [], [], []
             column = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
             for k, t in enumerate(column["text"]):
                 words = words_of(t.as_py())
                 at, found = a.scan(words)
-                names = {a.names[k] for k in found if a.names[k] is not None}
+                told = {a.names[k] for k in found if a.names[k] is not None}
                 if before:
-                    at = united([column["_spans"][k].as_py(), [x for span in at for x in span]])
-                    names.update(column["_items"][k].as_py())
+                    at = united([column[spans_name][k].as_py(), [x for span in at for x in span]])
+                    told.update(column[items_name][k].as_py())
                 n.append(len(words))
                 spans.append([x for span in at for x in span])
-                items.append(sorted(names))
-            yield pa.RecordBatch.from_arrays([*(column[c] for c in keep), pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], names=[*keep, "_n_words", "_spans", "_items"])
+                items.append(sorted(told))
+            arrays = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(column[c] for c in keep), *arrays], names=[*keep, *names])
 
     return docs.transform(batched, run, schema)
 
 
-def all_hits(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int, keep: list[str]) -> DataFrame:
-    """find_hits over all shards, each on the whole text; `keep` holds in the end."""
-    shards = list(automata(benchmark, window, shard_words))
-    for a in shards[:-1]:
-        docs = find_hits(docs, a)
-    return find_hits(docs, shards[-1], keep)
+def all_hits(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int, keep: list[str], names: list[str]) -> DataFrame:
+    """find_hits over all shards, each on the whole text; `keep` holds in the end. One automaton is alive at a time."""
+    context, held = docs.sparkSession.sparkContext, None
+    every = docs.columns
+    for automaton in automata(benchmark, window, shard_words):
+        if held is not None:
+            docs = handover(find_hits(docs, held, names, every), "hits")
+            held.destroy()
+        held = context.broadcast(automaton)
+    return find_hits(docs, held, names, keep)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 2_000_000) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 500_000) -> DataFrame:
     """doc_id, n_words, spans, items of every document row."""
     base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return all_hits(base, benchmark, window, shard_words, ["doc_id"]).toDF("doc_id", "n_words", "spans", "items")
+    return all_hits(base, benchmark, window, shard_words, ["doc_id"], ["n_words", "spans", "items"])
+
+
+def hit_words(spans: str):
+    """Number of words in a column of flat spans."""
+    index = F.sequence(F.lit(0), F.size(spans) - 2, F.lit(2))
+    none = F.lit(0).cast("long")
+    return F.when(F.size(spans) > 0, F.aggregate(index, none, lambda a, i: a + F.get(spans, i + 1) - F.get(spans, i))).otherwise(none)
 
 
 def digest(found: DataFrame) -> DataFrame:
     """The contract's columns of contamination()."""
-    index = F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2))
-    hit = F.when(F.size("spans") > 0, F.aggregate(index, F.lit(0).cast("long"), lambda a, i: a + F.get("spans", i + 1) - F.get("spans", i))).otherwise(F.lit(0).cast("long"))
     return found.select(
         "doc_id",
         "n_words",
-        hit.alias("n_hit"),
+        hit_words("spans").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, shard_words: int = 2_000_000) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, shard_words: int = 500_000) -> DataFrame:
     """Documents without benchmark spans; a document of which they cover more than max_coverage of the words goes.
 
     All columns stay; text (and n_chars, if there) follow the cut. Text between the kept words is untouched.
     """
-    found = all_hits(docs, benchmark, window, shard_words, docs.columns)
+    names = [free_name(n, docs.columns) for n in ("n_words", "spans", "items")]
+    n_words, spans, _ = names
+    found = all_hits(docs, benchmark, window, shard_words, docs.columns, names)
 
     def cut(t: pd.Series, spans: pd.Series) -> pd.Series:
         texts = []
@@ -246,12 +284,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
         return pd.Series(texts, dtype=object)
 
     cut.__annotations__ = {"t": pd.Series, "spans": pd.Series, "return": pd.Series}
-    index = F.sequence(F.lit(0), F.size("_spans") - 2, F.lit(2))
-    hit = F.when(F.size("_spans") > 0, F.aggregate(index, F.lit(0).cast("long"), lambda x, i: x + F.get("_spans", i + 1) - F.get("_spans", i))).otherwise(F.lit(0))
-    kept = found.filter(hit <= F.lit(max_coverage) * F.col("_n_words"))
-    kept = kept.withColumn("text", F.when(F.size("_spans") > 0, F.pandas_udf(cut, "string")("text", "_spans")).otherwise(F.col("text")))
+    kept = found.filter(hit_words(spans) <= F.lit(max_coverage) * F.col(n_words))
+    touched = F.size(spans) > 0
+    kept = kept.withColumn("text", F.when(touched, F.pandas_udf(cut, "string")("text", spans)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        kept = kept.withColumn("n_chars", F.when(touched, length).otherwise(F.col("n_chars")))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
