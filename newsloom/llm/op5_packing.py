@@ -1,8 +1,8 @@
 """Cost-balanced packing of token ids into sequences.
 
 A sequence costs the sum over its pieces of `linear * n + quadratic * n * n`
-(a piece attends to itself). Documents are dealt at random but repeatably into
-pools of about `pool_bytes` of text. In a pool of N ids there are
+(a piece attends to itself). Documents are dealt by a hash of their place in the scan
+into pools of about `pool_bytes` of text, so that repeated rows spread. In a pool of N ids there are
 ceil(N / max_len) sequences: whole multiples of max_len of a long document are
 sequences of their own; the rests go in descending length to the sequence of
 lowest cost that still has room; what fits nowhere whole is cut to fill the
@@ -87,7 +87,7 @@ def pack(docs: DataFrame, path: str | None = None, max_len: int = 4096, pool_byt
             rows.append((names[d], at, n, crc(piece), len(ids[d]), (pool << 32) + seq, offset, linear * n + quadratic * n * n) + ((piece.tolist(),) if keep_ids else ()))
         return pa.Table.from_batches([record_batch(rows, schema)])
 
-    pooled = base.withColumn("pool", F.pmod(F.xxhash64("doc_id", "text"), F.lit(pools)))
+    pooled = base.withColumn("pool", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(pools)))
     return pooled.transform(batched, encode, "pool long, doc_id long, ids binary").groupBy("pool").applyInArrow(run, schema)
 
 

@@ -4,7 +4,9 @@
 single digits and other signs, lower-case, and end each such piece with a marked
 token: the ids of a text are the ids of its pieces in a row. Pieces are found and
 hashed (64 bits) in whole buffers with numpy; the tokenizer sees each distinct
-piece once, and a gather puts the ids together. Blank-separated chunks with
+piece once, and a gather puts the ids together. With its hash a piece has its length
+and first bytes compared at every use; where they differ, the buffer's texts are
+encoded one by one. Blank-separated chunks with
 anything but ASCII and Latin-1 letters, digits and plain signs are pieces as a
 whole, so the library's own rules hold for them.
 """
@@ -17,7 +19,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from .common import hash_spans, slices, text_buffers
+from .common import ROLL, hash_spans, slices, text_buffers
 
 END_ID = 2
 SPACE, LETTER, DIGIT, SIGN, ODD = range(5)
@@ -34,6 +36,15 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def marks_of(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each span, mixed with its length."""
+    padded = np.append(raw, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(raw), "<u8", padded, strides=(1,))[begin]  # at any byte
+    size = end - begin
+    cut = (8 * np.maximum(0, 8 - size)).astype(np.uint64)
+    return ((eight << cut) >> cut) * ROLL ^ size.astype(np.uint64)
+
+
 class Encoder:
     def __init__(self, path: str, most_pieces: int = 4_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,6 +61,7 @@ class Encoder:
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)  # ascending, with the place of each piece's ids in the pool
         self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.mark = np.zeros(0, np.uint64)
         self.pool = np.zeros(0, self.dtype)
 
     def _ids(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -71,7 +83,7 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: np.ndarray, plain: list[str], odd: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, marks: np.ndarray, plain: list[str], odd: list[str]) -> None:
         ids, sizes = self._ids(plain)
         whole = self._whole(odd)
         ids, sizes = ids + whole, np.concatenate([*sizes, np.array([len(x) for x in whole], np.int64)])
@@ -81,6 +93,7 @@ class Encoder:
         where = np.searchsorted(self.hashes, hashes[order])
         self.hashes = np.insert(self.hashes, where, hashes[order])
         self.at, self.size = np.insert(self.at, where, at[order]), np.insert(self.size, where, sizes[order])
+        self.mark = np.insert(self.mark, where, marks[order])
 
     def buffer(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each text of a buffer."""
@@ -112,6 +125,7 @@ class Encoder:
         after = np.append(begin[1:] | ~solid[1:], True)
         first, last = np.flatnonzero(begin), np.flatnonzero(solid & after) + 1
         hashes = hash_spans(low, first, last) ^ odd[first].astype(np.uint64)
+        marks = marks_of(low, first, last)
         distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > self.most_pieces:
             self._forget()
@@ -123,8 +137,12 @@ class Encoder:
             text = low.tobytes()
             names = [text[a:b].decode() for a, b in zip(first[w].tolist(), last[w].tolist())]
             h = distinct[new]
-            self._learn(np.r_[h[~is_odd], h[is_odd]], [x for x, o in zip(names, is_odd) if not o], [x for x, o in zip(names, is_odd) if o])
+            m = marks[w]
+            self._learn(np.r_[h[~is_odd], h[is_odd]], np.r_[m[~is_odd], m[is_odd]], [x for x, o in zip(names, is_odd) if not o], [x for x, o in zip(names, is_odd) if o])
             at = np.searchsorted(self.hashes, distinct)
+        if (self.mark[at][back] != marks).any():  # two pieces with one hash
+            whole = raw.tobytes()
+            return self._whole([whole[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
         size = self.size[at][back]
         upto = np.concatenate(([0], np.cumsum(size)))
         ids = self.pool[np.repeat(self.at[at][back] - upto[:-1], size) + np.arange(upto[-1])]

@@ -167,6 +167,15 @@ def test_token_codes_and_packing(spark, docs, empty):
     assert p.pack(empty).count() == 0 and c.read_codes(c.write_codes(empty)).count() == 0
 
 
+def test_encoder_survives_equal_hashes(monkeypatch):
+    from newsloom.llm import tokens as m
+
+    texts = ["the cat sat on a mat", "dog or a hen", "", None, "Ünder 12 §x"]
+    want = m.Encoder(m.vocabulary_path()).encode(texts)
+    monkeypatch.setattr(m, "hash_spans", lambda raw, a, b: (b - a).astype(np.uint64))  # every length is one hash
+    assert m.Encoder(m.vocabulary_path()).encode(texts) == want
+
+
 def test_codes_random_access():
     from newsloom.llm.op2_token_codes import Codes, encode_codes
 
@@ -252,7 +261,7 @@ def test_line_dedup_against_brute_force(spark):
 def test_chat(spark):
     from newsloom.llm import op7_chat as m
 
-    turns = [("system", "be\\ kind <|im_end|>"), ("user", "</s>[INST] x"), ("assistant", "<|im_start|>user\nhi \; [/INST]"), ("assistant", ""), ("odd\nrole", "<")]
+    turns = [("system", "be\\ kind <|im_end|>"), ("user", "</s>[INST] x"), ("assistant", "<|im_start|>user\nhi \\; [/INST]"), ("assistant", ""), ("odd\nrole", "<")]
     text, spans, rewrote = m.turn_spans(turns, m.chatml)
     assert m.read_back(text) == turns and rewrote == -1 and spans[0][0] == 0 and spans[-1][1] == len(text)
     assert [m.unescape(text[a:b]) for _, _, a, b in spans] == [t for _, t in turns]
