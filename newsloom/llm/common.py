@@ -39,7 +39,7 @@ def free_name(name: str, taken) -> str:
 
 
 #: Rows and bytes that an Arrow batch may hold: texts are long, and two tasks share an executor's memory.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
 
 
 def give_back() -> None:

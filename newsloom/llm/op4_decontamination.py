@@ -27,7 +27,6 @@ import re
 from array import array
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,40 +191,44 @@ def united(spans: list[list[int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def scanned(automaton: SuffixAutomaton, batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[int, list[tuple[int, int]], list[str]]]:
+    """Per row of a batch: words, spans and items, united with those of the shards before, if the batch has any."""
+    column = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
+    _, spans_name, items_name = names
+    before = spans_name in column
+    for k, text in enumerate(column["text"]):
+        words = words_of(text.as_py())
+        spans, found = automaton.scan(words)
+        items = {automaton.names[i] for i in found if automaton.names[i] is not None}
+        if before:
+            spans = united([column[spans_name][k].as_py(), [x for span in spans for x in span]])
+            items.update(column[items_name][k].as_py())
+        yield len(words), spans, sorted(items)
+
+
 def find_hits(docs: DataFrame, automaton, names: list[str], keep: list[str]) -> DataFrame:
     """The columns `keep` of docs, then number of words, spans (begin, end of hit words) and items under three `names`.
 
-    Where docs has these already, from another shard, the hits are united with them.
     `automaton` is broadcast.
     """
-    n_words, spans_name, items_name = names
-    before = spans_name in docs.columns
     types = (T.LongType(), T.ArrayType(T.LongType()), T.ArrayType(T.StringType()))
     schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(n, t) for n, t in zip(names, types))])
 
     def run(batches):
-        a = automaton.value
         for batch in batches:
             n, spans, items = [], [], []
-            column = {c: batch.column(batch.schema.get_field_index(c)) for c in batch.schema.names}
-            for k, t in enumerate(column["text"]):
-                words = words_of(t.as_py())
-                at, found = a.scan(words)
-                told = {a.names[k] for k in found if a.names[k] is not None}
-                if before:
-                    at = united([column[spans_name][k].as_py(), [x for span in at for x in span]])
-                    told.update(column[items_name][k].as_py())
-                n.append(len(words))
-                spans.append([x for span in at for x in span])
-                items.append(sorted(told))
+            for words, found, told in scanned(automaton.value, batch, names):
+                n.append(words)
+                spans.append([x for span in found for x in span])
+                items.append(told)
             arrays = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(column[c] for c in keep), *arrays], names=[*keep, *names])
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in keep), *arrays], names=[*keep, *names])
 
     return docs.transform(batched, run, schema)
 
 
-def all_hits(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int, keep: list[str], names: list[str]) -> DataFrame:
-    """find_hits over all shards, each on the whole text; `keep` holds in the end. One automaton is alive at a time."""
+def all_hits(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: int, names: list[str], last) -> DataFrame:
+    """Scan shard by shard, and `last`(docs, automaton) with the last one. One automaton is alive at a time."""
     context, held = docs.sparkSession.sparkContext, None
     every = docs.columns
     for automaton in automata(benchmark, window, shard_words):
@@ -233,13 +236,14 @@ def all_hits(docs: DataFrame, benchmark: DataFrame, window: int, shard_words: in
             docs = handover(find_hits(docs, held, names, every), "hits")
             held.destroy()
         held = context.broadcast(automaton)
-    return find_hits(docs, held, names, keep)
+    return last(docs, held)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 500_000) -> DataFrame:
     """doc_id, n_words, spans, items of every document row."""
     base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return all_hits(base, benchmark, window, shard_words, ["doc_id"], ["n_words", "spans", "items"])
+    names = ["n_words", "spans", "items"]
+    return all_hits(base, benchmark, window, shard_words, names, lambda df, a: find_hits(df, a, names, ["doc_id"]))
 
 
 def hit_words(spans: str):
@@ -261,36 +265,50 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
+def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
+    """Text without the words of the spans and what stands between them."""
+    places = [m.span() for m in WORD.finditer(text.translate(TO_LOWER))]
+    kept, at = [], 0
+    for a, b in spans:
+        kept.append(text[at : places[a][0]])
+        at = places[b - 1][1]
+    return "".join([*kept, text[at:]])
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, shard_words: int = 500_000) -> DataFrame:
     """Documents without benchmark spans; a document of which they cover more than max_coverage of the words goes.
 
     All columns stay; text (and n_chars, if there) follow the cut. Text between the kept words is untouched.
     """
     names = [free_name(n, docs.columns) for n in ("n_words", "spans", "items")]
-    n_words, spans, _ = names
-    found = all_hits(docs, benchmark, window, shard_words, docs.columns, names)
-
-    def cut(t: pd.Series, spans: pd.Series) -> pd.Series:
-        texts = []
-        for text, flat in zip(t, spans):
-            if text is not None and len(flat):
-                places = [m.span() for m in WORD.finditer(text.translate(TO_LOWER))]
-                kept, at = [], 0
-                for i in range(0, len(flat), 2):
-                    kept.append(text[at : places[flat[i]][0]])
-                    at = places[flat[i + 1] - 1][1]
-                text = "".join([*kept, text[at:]])
-            texts.append(text)
-        return pd.Series(texts, dtype=object)
-
-    cut.__annotations__ = {"t": pd.Series, "spans": pd.Series, "return": pd.Series}
-    kept = found.filter(hit_words(spans) <= F.lit(max_coverage) * F.col(n_words))
-    touched = F.size(spans) > 0
-    kept = kept.withColumn("text", F.when(touched, F.pandas_udf(cut, "string")("text", spans)).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(touched, length).otherwise(F.col("n_chars")))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns, schema = docs.columns, docs.schema
+
+    def last(df, automaton):
+        def run(batches):
+            for batch in batches:
+                column = {c: batch.column(batch.schema.get_field_index(c)) for c in columns}
+                rows, cuts = [], {}
+                for k, (words, spans, _) in enumerate(scanned(automaton.value, batch, names)):
+                    if sum(b - a for a, b in spans) <= max_coverage * words:
+                        if spans:
+                            cuts[len(rows)] = without_spans(column["text"][k].as_py(), spans)
+                        rows.append(k)
+                kept = {c: x.take(pa.array(rows, pa.int64())) for c, x in column.items()}
+                if cuts:
+                    text = kept["text"].to_pylist()
+                    for k, t in cuts.items():
+                        text[k] = t
+                    kept["text"] = pa.array(text, column["text"].type)
+                    if "n_chars" in kept:
+                        size = kept["n_chars"].to_pylist()
+                        for k, t in cuts.items():
+                            size[k] = len(t)
+                        kept["n_chars"] = pa.array(size, column["n_chars"].type)
+                yield pa.RecordBatch.from_arrays(list(kept.values()), names=columns)
+
+        return df.transform(batched, run, schema)
+
+    return all_hits(docs, benchmark, window, shard_words, names, last)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -155,7 +155,7 @@ def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndar
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)]
 
 
-def postings(docs: DataFrame, buckets: int, chunk_tokens: int = 1_000_000) -> DataFrame:
+def postings(docs: DataFrame, buckets: int, chunk_tokens: int = 500_000) -> DataFrame:
     """Rows of a chunk and bucket, and one of each chunk (schema POSTED)."""
 
     def run(batches):

@@ -46,7 +46,7 @@ def marks_of(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    def __init__(self, path: str, most_pieces: int = 4_000_000):
+    def __init__(self, path: str, most_pieces: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
