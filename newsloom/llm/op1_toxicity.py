@@ -271,10 +271,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 24_000, max_featu
     if not bad or not good:
         return Model(cost, {}, float(np.log(share / (1 - share))))
     each = learn.select("text", "toxic").transform(batched, count, "f string, a long, n long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
-    # G of the 2 x 2 table, for features that are more frequent in toxic rows
+    # G of the 2 x 2 table, for features with twice the odds of toxic rows
     a, n = F.col("a"), F.col("n")
     gain = a * F.log((a + 0.5) / (n * F.lit(share) + 0.5)) + (n - a) * F.log((n - a + 0.5) / (n * F.lit(1 - share) + 0.5))
-    chosen = each.filter((a >= 3) & (a > 2 * F.lit(share) * n)).orderBy(gain.desc(), "f").limit(max_features)
+    chosen = each.filter((a >= 3) & (a * good > 2 * (n - a) * bad)).orderBy(gain.desc(), "f").limit(max_features)
     names = [r.f for r in chosen.select("f").collect()]
     index = {f: i for i, f in enumerate(names)}
 

@@ -16,6 +16,9 @@ Shuffle: one range partitioning by doc_id, so files are in ascending doc_id
 order; each partition numbers its own ids, and the offset of a partition is a
 sum over one number per partition.
 
+`token_at` reads single tokens of the data set: the document directory's sums tell the
+segment, and the segment's codes the id.
+
 Null text: no ids but the end id. Rows that share a doc_id keep one entry each,
 in order of text. Null doc_ids come first. Empty table: no segments, no rows.
 Other columns of the input are ignored.
@@ -124,11 +127,7 @@ def write_codes(docs: DataFrame, path: str | None = None, segment_tokens: int =
 
 def read_codes(codes: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, from the written segments."""
-    sums = codes.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()  # one number per partition
-    base, total = {}, 0
-    for r in sums:
-        base[r.part] = total
-        total += r.n
+    base = bases(codes)
 
     def run(batches):
         for batch in batches:
@@ -142,5 +141,41 @@ def read_codes(codes: DataFrame) -> DataFrame:
     return codes.select("part", "first_id", "doc_ids", "doc_ends", "codes").transform(batched, run, READ)
 
 
+def bases(codes: DataFrame) -> dict[int, int]:
+    """Ids before each partition's first; one number per partition comes to the driver."""
+    sums = codes.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
+    base, total = {}, 0
+    for r in sums:
+        base[r.part] = total
+        total += r.n
+    return base
+
+
+def token_at(codes: DataFrame, positions: DataFrame) -> DataFrame:
+    """position, id of the ids at places (`position`, from 0) of the whole data set; places beyond its end give no row.
+
+    A segment is opened once and gives only the ids that are asked for, each by rank.
+    """
+    spark = codes.sparkSession
+    base = spark.createDataFrame(list(bases(codes).items()) or [(-1, 0)], "part int, base long")
+    at = codes.select("part", "segment", "n_ids", "first_id").join(F.broadcast(base), "part")
+    spans = at.select("part", "segment", (F.col("base") + F.col("first_id")).alias("begin"), (F.col("base") + F.col("first_id") + F.col("n_ids")).alias("end"))
+    width = 1 << 18
+    cells = spans.withColumn("cell", F.explode(F.sequence(F.floor(F.col("begin") / width), F.floor((F.col("end") - 1) / width))))
+    asked = positions.select(F.col("position").cast("long")).withColumn("cell", F.floor(F.col("position") / width))
+    met = asked.join(cells, "cell").filter("position >= begin and position < end")
+    wanted = met.groupBy("part", "segment").agg(F.collect_set((F.col("position") - F.col("begin"))).alias("at"), F.first("begin").alias("begin"))
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for places, begin, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                code = Codes(raw)
+                rows += [(begin + i, code[i]) for i in places]
+            yield record_batch(rows, "position long, id long")
+
+    return wanted.join(codes, ["part", "segment"]).select("at", "begin", "codes").transform(batched, run, "position long, id long")
+
+
 def op2_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_codes(write_codes(table(spark, sf_dir, "documents")))

@@ -4,15 +4,16 @@ A template is any function from a list of turns to a string. Successive prefixes
 of a conversation are rendered and each output is compared with the one before:
 if it starts with it, the rest is the new turn's span; if not, the template
 rewrites history and the conversation is flagged with the first turn that did so.
-Two probe texts in the last turn tell where inside its span the text stands, which
-gives the loss mask of assistant turns.
+A probe character in place of the last turn's text tells where inside its span the
+text stands, which gives the loss mask of assistant turns.
 
 The template `chatml` marks turns with control strings. Inside texts a control
 string is broken by a backslash after its first character and backslashes are
 doubled, so that texts can't forge turns and can be read back.
 
 A conversation is one group: its turns have to be rendered together, and black-box
-rendering of n turns costs n renderings. Rows are put in order of turn, role and
+rendering of n turns costs 2 n renderings of up to n turns: the price of knowing
+nothing about the template. Rows are put in order of turn, role and
 text (nulls first); null role or text is empty; rows with a null conv_id form one
 conversation. Empty table: no rows. Other columns are ignored.
 """
@@ -32,7 +33,11 @@ from .common import batched, record_batch, table
 CONTROL = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 _BREAK = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
 _TURN = re.compile(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", re.S)
-PROBES = "", ""
+def probe_for(turns: list[Turn]) -> str:
+    """A private-use character that no text has."""
+    said = set("".join(text for _, text in turns))
+    return next((c for c in map(chr, range(0xE000, 0xF900)) if c not in said), "\U0010fffd")
+
 
 FORMATTED = "conv_id long, formatted string, spans array<long>, loss array<long>, rewrote int"
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -56,20 +61,37 @@ def read_back(formatted: str) -> list[Turn]:
     return [(unescape(role), unescape(text)) for role, text in _TURN.findall(formatted)]
 
 
+def common_length(a: str, b: str, begin: int = 0) -> int:
+    """Length of the longest common prefix, known to be `begin` at least: by halving."""
+    end = min(len(a), len(b))
+    while begin < end:
+        mid = (begin + end + 1) // 2
+        if a[begin:mid] == b[begin:mid]:
+            begin = mid
+        else:
+            end = mid - 1
+    return begin
+
+
 def turn_spans(turns: list[Turn], render: Callable[[list[Turn]], str]) -> tuple[str, list[tuple[int, int, int, int]], int]:
-    """The whole rendering; per turn (begin, end, text begin, text end); the first turn that rewrote history, or -1."""
-    before, spans, rewrote = "", [], -1
-    for k in range(1, len(turns) + 1):
-        now = render(turns[:k])
+    """The whole rendering; per turn (begin, end, text begin, text end); the first turn that rewrote history, or -1.
+
+    A template that doesn't show the last text gives it an empty span at the end.
+    """
+    before, spans, rewrote, probe = "", [], -1, probe_for(turns)
+    for k, (role, _) in enumerate(turns):
+        now = render(turns[: k + 1])
+        begin = len(before)
         if not now.startswith(before):
-            rewrote = k - 1 if rewrote < 0 else rewrote
-            begin = next((i for i, (x, y) in enumerate(zip(before, now)) if x != y), min(len(before), len(now)))
+            rewrote = k if rewrote < 0 else rewrote
+            begin = common_length(before, now)
+        probed = render([*turns[:k], (role, probe)])
+        head = probed.find(probe, begin)
+        if head < 0:
+            head = tail = len(now)
         else:
-            begin = len(before)
-        a, b = (render([*turns[: k - 1], (turns[k - 1][0], p)]) for p in PROBES)
-        head = next((i for i, (x, y) in enumerate(zip(a[begin:], b[begin:]), begin) if x != y), len(now))
-        tail = len(a) - head - 1
-        spans.append((begin, len(now), head, max(head, len(now) - tail)))
+            tail = len(now) - (len(probed) - head - 1)
+        spans.append((begin, len(now), head, max(head, tail)))
         before = now
     return before, spans, rewrote
 

@@ -31,24 +31,36 @@ def low(t):
     return (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
-def test_exact_dedup(docs, empty):
-    from newsloom.llm.op3_exact_dedup import exact_dedup
-
-    got = rows(exact_dedup(docs))
-    assert len(got) == len(ODD)
-    for r in got:
-        same = [x[0] for x in ODD if hashlib.sha256(low(x[1]).encode()).hexdigest() == r["text_sha256"]]
-        assert r["group_size"] == len(same) and r["doc_id"] in same
-        assert r["keep_id"] == max((x for x in same if x is not None), default=None)
-    assert exact_dedup(empty).count() == 0
+def test_exact_dedup(spark, docs, empty):
+    from newsloom.llm.op3_exact_dedup import distinct_texts, exact_dedup
+
+    for most in (None, 1):  # with 1 every repeated text is hot
+        got = rows(exact_dedup(docs, most=most))
+        assert len(got) == len(ODD)
+        for r in got:
+            same = [x[0] for x in ODD if hashlib.sha256(low(x[1]).encode()).hexdigest() == r["text_sha256"]]
+            assert r["group_size"] == len(same) and r["doc_id"] in same
+            assert r["keep_id"] == max((x for x in same if x is not None), default=None)
+            assert not r["kept"] or r["doc_id"] == r["keep_id"]
+        texts = {low(x[1]) for x in ODD}
+        assert sum(r["kept"] for r in got) == len(texts)
+        left = rows(distinct_texts(docs, most=most))
+        assert sorted(low(r["text"]) for r in left) == sorted(texts) and {r["doc_id"] for r in left} == {2, 4, 5, 6, None, 8, 9, 10}
+        assert all(tuple(r.values()) in ODD for r in left)
+    assert exact_dedup(empty).count() == 0 and distinct_texts(empty).count() == 0
+    plan = exact_dedup(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Sort [") == 1
 
 
 def test_exact_dedup_spreads_a_hot_text(spark):
-    from newsloom.llm.op3_exact_dedup import exact_dedup
+    from newsloom.llm.op3_exact_dedup import distinct_texts, exact_dedup
 
     df = spark.range(400).selectExpr("id as doc_id", "if(id % 2 = 0, 'Same', concat('t', id)) as text")
     got = rows(exact_dedup(df))
     assert {(r["keep_id"], r["group_size"]) for r in got if r["doc_id"] % 2 == 0} == {(398, 200)} and len(got) == 400
+    assert [r["doc_id"] for r in got if r["kept"] and r["doc_id"] % 2 == 0] == [398]
+    assert {r["keep_id"] for r in rows(exact_dedup(df, keep="min")) if r["doc_id"] % 2 == 0} == {0}
+    assert distinct_texts(df).count() == 201
 
 
 def test_jaccard(docs, empty, spark):
@@ -176,6 +188,18 @@ def test_encoder_survives_equal_hashes(monkeypatch):
     assert m.Encoder(m.vocabulary_path()).encode(texts) == want
 
 
+def test_token_at(spark, docs):
+    from newsloom.llm import op2_token_codes as c
+
+    codes = c.write_codes(docs, segment_tokens=500)
+    parts = {}
+    for r in codes.orderBy("part", "segment").collect():
+        parts.setdefault(r.part, []).extend(c.Codes(bytes(r.codes)).ids().tolist())
+    ids = [x for _, part in sorted(parts.items()) for x in part]
+    asked = spark.createDataFrame([(k,) for k in [0, 1, len(ids) - 1, len(ids), *range(5, len(ids), 97)]], "position long")
+    assert {r.position: r.id for r in c.token_at(codes, asked).collect()} == {r.position: ids[r.position] for r in asked.collect() if r.position < len(ids)}
+
+
 def test_codes_random_access():
     from newsloom.llm.op2_token_codes import Codes, encode_codes
 
@@ -203,7 +227,7 @@ def test_line_dedup(spark, docs, empty):
     from newsloom.llm.op6_line_dedup import line_dedup
 
     got = {r["doc_id"]: r for r in rows(line_dedup(docs))}
-    assert got[9]["_n_removed"] == 0 and got[10]["_n_removed"] == 3 and got[10]["text"] == "start\nend" and got[3]["text"] is None
+    assert got[9]["n_removed"] == 0 and got[10]["n_removed"] == 3 and got[10]["text"] == "start\nend" and got[3]["text"] is None
     assert line_dedup(empty).count() == 0
 
 
@@ -221,6 +245,64 @@ def test_toxicity_of_spelled_out_words(spark):
     assert [t for t in calm if model.score(features, t) >= 0.5] == []
 
 
+def test_viterbi_finds_the_cheapest_of_all_readings():
+    import itertools
+
+    from newsloom.llm import op1_toxicity as m
+
+    cost = m.costs(np.random.default_rng(2).integers(0, 60, m.CLASSES**3).astype(float))
+    decoder = m.Decoder(cost)
+
+    def price(options, readings):
+        text, total = "".join(r for r, _ in readings), sum(p for _, p in readings)
+        x = y = 0
+        for ch in text:
+            z = m.letter_class(ch)
+            total += cost[x][y][z]
+            x, y = y, z
+        return total + cost[x][y][0], text
+
+    for token in ("1d10t", "3v1l", "b@@d", "id11oot!", "a*s", "sc0m$"):
+        options = decoder.lattice(token)
+        best = min(price(options, x) for x in itertools.product(*options))
+        assert abs(price(options, [(decoder.decode(token), 0)])[0] - cost_of(cost, m, best[1])) < 1e-9 or decoder.decode(token) == best[1], token
+    for token in ("b a d", "i  d  i  o  t", "h e l l o!", "$ c u m"):
+        options = decoder.spelled(token)
+        best = min(price(options, x) for x in itertools.product(*options))
+        assert decoder.decode(token, spelled=True) == best[1], token
+
+
+def cost_of(cost, m, text):
+    x = y = 0
+    total = 0.0
+    for ch in text:
+        z = m.letter_class(ch)
+        total += cost[x][y][z]
+        x, y = y, z
+    return total + cost[x][y][0]
+
+
+def test_obfuscated_words_are_restored(spark):
+    from newsloom.llm import op1_toxicity as m
+
+    said = "such an evil idiot says hello and is bad to a moron in the village of bald old men who hold hello signs "
+    cost = m.costs(m.trigram_counts(spark.createDataFrame([(said * 50,)], "text string")))
+    words = lambda text: [w for t in sorted(m.tokens_of(text), key=len)[-1:] for w in m.Decoder(cost).words(t)]
+    for text, want in (("b a d", "bad"), ("i  d  i  o  t", "idiot"), ("h e l l o!", "hello"), ("3v1l", "evil"), ("1d10t", "idiot"), ("idiooooot", "idiot"), ("m-o-r-o-n", "moron")):
+        assert want in words(text), (text, words(text))
+
+
+def test_labels_given_twice(spark):
+    from newsloom.llm import op1_toxicity as t
+    from newsloom.llm import op10_quality as q
+
+    corpus = spark.createDataFrame([(i, "you scum you" if i % 2 else "calm words here", "en", "s") for i in range(200)], "doc_id long, text string, lang string, source string")
+    twice = spark.createDataFrame([(i, y, 1 - y) for i in range(200) for y in ({0, i % 2})], "doc_id long, toxic int, quality int")
+    got = {r.doc_id: r.predicted for r in t.toxicity(corpus, twice).collect()}
+    assert got == {i: i % 2 for i in range(200)}
+    assert {r.doc_id: r.kept for r in q.quality(corpus, twice).collect()} == {i: i % 2 == 0 for i in range(200)}
+
+
 def removed_by_hand(texts, min_lines, min_words):
     """Per text the lines that lie in a run that occurs before, by listing all runs."""
     places, gone = set(), []
@@ -243,7 +325,7 @@ def test_line_dedup_against_brute_force(spark):
 
     # both lines of the run that 4 repeats of 3 stand first with other neighbours
     texts = ["x0\nlicence\nx1", "w0\nhead\nw1", "y0\nhead\nlicence\ny1", "z0\nHEAD\n\n licence \nz1"]
-    got = {r.doc_id: r._n_removed for r in line_dedup(spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.n_removed for r in line_dedup(spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")).collect()}
     assert got == {1: 0, 2: 0, 3: 0, 4: 2}
     rnd = random.Random(3)
     pool = [f"line {k}" for k in range(40)] + [f"long {k} " + "w " * 60 for k in range(4)] + ["filler"] * 8
@@ -258,6 +340,27 @@ def test_line_dedup_against_brute_force(spark):
             assert [found.get(d, set()) for d in range(len(texts))] == want
 
 
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    from newsloom.llm.op6_line_dedup import line_dedup
+
+    df = spark.createDataFrame([(1, "a\nb\nc", 0), (7, "x\na\nb", 1), (7, "u\nv\nw\nz", 2), (None, "q\na\nb", 3)], "doc_id long, text string, n_removed int")
+    got = {r.n_removed: (r.text, r.n_removed_) for r in line_dedup(df).collect()}
+    assert got[2] == ("u\nv\nw\nz", 0) and sorted(v[1] for v in got.values()) == [0, 0, 2, 2]
+
+
+def test_chat_odd_tables(spark):
+    from newsloom.llm import op7_chat as m
+
+    turns = [(5, k, "assistant" if k % 2 else "user", f"turn {k} " * (k % 7), "more") for k in range(600)] + [(6, 0, "assistant", "long \ue000 text " * 50_000, None)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, formatted string")
+    got = {r.conv_id: r for r in m.digest(m.format_chats(df)).collect()}
+    assert got[5].n_turns == 600 and got[5].loss_chars == sum(len(t[3]) for t in turns[:600] if t[2] == "assistant")
+    assert got[6].loss_sha256 == hashlib.sha256(turns[-1][3].encode()).hexdigest()
+    assert m.digest(m.format_chats(df.filter("false"))).count() == 0
+    hidden = lambda ts: "".join(f"<{r}>" for r, _ in ts)
+    assert m.turn_spans([("user", "x")], hidden) == ("<user>", [(0, 6, 6, 6)], -1)
+
+
 def test_chat(spark):
     from newsloom.llm import op7_chat as m
 
@@ -299,6 +402,123 @@ def test_quality(spark, docs, empty):
     assert quality(docs, labels).count() == len(ODD) and quality(empty, labels).count() == 0 and quality(docs, labels.filter("false")).count() == len(ODD)
 
 
+def co_trained_by_hand(labelled, pool, rounds, each, sure):
+    """The rounds again, over lists and with a sort of the whole pool."""
+    from newsloom.llm import op10_quality as q
+
+    own, rest = [x for k, x in enumerate(labelled) if k % 5 != 4], [x for k, x in enumerate(labelled) if k % 5 == 4]
+    data = [[(x[c], x["y"]) for x in own] for c in "ab"]
+    fit = lambda: [q.learn(v, [x for x, _ in data[v]], [y for _, y in data[v]]) for v in (0, 1)]
+    models, said = fit(), [set(), set()]
+    chance = lambda v, x: float(q.sigmoid(models[v][0][np.frombuffer(x["ab"[v]], "<u2")].sum() + models[v][1]))
+    for _ in range(rounds):
+        more = [[], []]
+        for v in (0, 1):
+            for label in (0, 1):
+                scored = [(-(chance(v, x) if label else 1 - chance(v, x)), x["row"], x) for x in pool if x["row"] not in said[v]]
+                chosen = sorted((c, r) for c, r, _ in scored if -c >= sure)[:each]
+                by_row = {x["row"]: x for x in pool}
+                more[v] += [(by_row[r], label) for _, r in chosen]
+        for v in (0, 1):
+            data[1 - v] += [(x["ab"[1 - v]], label) for x, label in more[v]]
+            said[v] |= {x["row"] for x, _ in more[v]}
+        models = fit()
+    return models, said, rest
+
+
+def test_co_training_against_brute_force(spark):
+    import random
+
+    from newsloom.llm import op10_quality as q
+
+    rnd = random.Random(4)
+    words = [[f"bad{k}" for k in range(30)], [f"good{k}" for k in range(30)], [f"any{k}" for k in range(30)]]
+    corpus, labels = [], []
+    for i in range(400):
+        y = i % 2
+        text = " ".join(rnd.choice(words[rnd.choice([y, y, 2])]) for _ in range(rnd.randrange(1, 12)))
+        corpus.append((i, text, rnd.choice("ab" if y else "bc"), f"s{rnd.choice([y, 2])}"))
+        labels += [(i, y)] if i < 120 else []
+    base = spark.createDataFrame(corpus, "doc_id long, text string, lang string, source string")
+    picked = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, y int")
+    held = [r.asDict() for r in q.features(base, picked).collect()]
+    held = [{**r, "a": bytes(r["a"]), "b": bytes(r["b"])} for r in held]
+    table = spark.createDataFrame([tuple(r.values()) for r in held], q.FEATURES)
+    labelled = sorted((r for r in held if r["y"] is not None), key=lambda r: r["row"])
+    pool = [r for r in held if r["pool"]]
+    limits = {"rounds": 2, "each": 15, "sure": 0.7}
+    model = q.co_train(table.filter("y is not null").orderBy("row").collect(), table.filter("pool"), **limits)
+    want, said, _ = co_trained_by_hand(labelled, pool, **limits)
+    assert min(map(len, said)) > 15
+    for (w, b), (w2, b2) in zip(model.views, want):
+        assert np.allclose(w, w2) and abs(b - b2) < 1e-9
+
+
+def test_beta_tail(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from newsloom.llm.op8_host_reputation import chance_above, registered
+
+    cases = [(2, 3), (5, 1), (40, 35), (3, 50), (700, 650)]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in cases], "a double, b double")
+    for r in df.select("a", "b", chance_above(F.col("a"), F.col("b"), 0.5).alias("p")).collect():
+        n, a = int(r.a + r.b - 1), int(r.a)  # whole numbers: a binomial sum
+        assert abs(r.p - sum(math.comb(n, j) for j in range(a)) / 2**n) < 1e-6
+    hosts = {"a.b.co.uk": ("b.co.uk", "co.uk"), "u@x.y.com:80": ("y.com", "com"), "10.0.0.1": ("10.0.0.1", ""), "co.uk": ("co.uk", "co.uk"), "localhost": ("localhost", "localhost"), "": ("", "")}
+    got = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", *registered(F.col("h"))).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == hosts
+
+
+@pytest.fixture(scope="module")
+def small(spark, tmp_path_factory):
+    """Tables for the stages: labels tell one word as toxic, the benchmark has one item."""
+    at = str(tmp_path_factory.mktemp("tables"))
+    texts = [(i, f"plain words of a calm text number {i} and others like it" + (" you moron" if i % 4 == 0 else "")) for i in range(400)]
+    spark.createDataFrame([(1000 + i, int(i % 4 == 0), 1) for i, _ in texts], "doc_id long, toxic int, quality int").write.parquet(f"{at}/labels.parquet")
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    spark.createDataFrame([("b1", item)], "item_id string, text string").write.parquet(f"{at}/benchmark.parquet")
+    return at, texts, item
+
+
+def test_stages_judge_rows_not_ids(spark, small):
+    import corpus_pipeline as cp
+
+    at, texts, item = small
+    long = " ".join(f"w{k}" for k in range(60))
+    extra = [
+        (7, "unique text", 1), (7, "dup", 2), (9, "dup", 3), (6, "same", 4), (6, "same", 5), (None, "DUP", 6), (None, None, 7), (12, "", 8),
+        (20, long + " one", 9), (20, long + " other", 10), (None, long + " third", 11), (21, "you m o r o n", 12), (None, f"before {long} {item} after", 13), (22, item, 14),
+        (23, "word " * 30_000, 15), (None, "lonely words of no id", 16), (None, "some other words of no id", 17),
+    ]
+    clash = "doc_id long, text string, score int"
+    names = ["toxicity", "row", "mark", "_spans", "n_words", "own_id", "hot", "place", "norm", "front", "h", "spans", "items", "pool", "all_best"]
+    table = spark.createDataFrame([(d, t, k, *["x"] * len(names)) for d, t, k in extra + [(1000 + i, t, 100 + i) for i, t in texts]], clash + ", " + ", ".join(f"{n} string" for n in names))
+    path = f"{at}/extra.parquet"
+    table.write.parquet(path)
+    docs = spark.read.parquet(path)
+    stages = dict(cp.STAGES)
+    left = {}
+    for name in ("toxicity", "exact_dedup", "near_dedup", "decontamination"):
+        kept = stages[name](spark, docs, at)
+        assert kept.columns == docs.columns
+        assert stages[name](spark, docs.filter("false"), at).count() == 0
+        left[name] = {r.score: r for r in kept.collect()}
+    ours = lambda name: {k for k in left[name] if k < 100}
+    assert ours("toxicity") == {k for _, _, k in extra} - {12} and len(left["toxicity"]) == len(extra) - 1 + 300
+    e = ours("exact_dedup")
+    assert {1, 3} <= e and not e & {2, 6} and len(e & {4, 5}) == 1 and len(e & {7, 8}) == 1 and len(e) == len(extra) - 4
+    n = ours("near_dedup")
+    assert len(n & {2, 3, 6}) == 1 and 2 in n and len(n & {4, 5}) == 1 and len(n & {9, 10, 11}) == 1 and {1, 7, 8, 16, 17} <= n
+    d = left["decontamination"]
+    assert 14 not in d and d[13].text == f"before {long}  after" and len(d) == docs.count() - 1
+    pieces = stages["packing"](spark, docs, at)
+    whole = pieces.groupBy("doc_id").sum("length").collect()
+    assert sum(r[1] for r in whole) == sum(r.doc_tokens for r in pieces.filter("start = 0").collect()) and pieces.filter("start = 0").count() == docs.count()
+    assert stages["packing"](spark, docs.filter("false"), at).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
