@@ -16,7 +16,7 @@ TAKE, MIN_TAKE = 20, 2
 FLOOR_TOP, FLOOR_WATCH, FLOOR_KEYWORD, KEYWORD_BONUS = 8.0, 6.5, 7.0, 1.0
 TOP_MAX, TOP_MIN, TOP_PERCENT, WATCH_PERCENT = 15, 4, 12, 35
 CASE_MIN_TOTAL, CASE_MIN_REL, CASE_MAX, RESCORE_MAX, HALF_LIFE_DAYS = 6.0, 5, 300, 30, 21
-SIM_TITLE, SIM_HOST, HOST_HOURS = 0.55, 0.25, 6
+SIM_TITLE, SIM_HOST, HOST_HOURS = 55, 25, 6  # similarities in hundredths
 
 # Base of the fallback total per lane, in tenths.
 FALLBACK_TENTHS = {"model": 90, "official": 76, "apps": 66, "paper": 62, "cn": 62, "community": 54, "media": 54, "hot": 64}
@@ -46,7 +46,27 @@ TYPE_RULES = {
     "Web 应用": ["网站", "web 应用", "网页", "在线工具", "saas", "landing page"],
 }
 
-# Fine category of a list section -> coarse category.
+# Section of a list -> fine category, as stored.
+FINE_TYPES = {
+    "agent skills": "Agent 技能",
+    "starter ai agents": "入门 Agent",
+    "advanced ai agents": "进阶 Agent",
+    "always-on agents": "常驻 Agent",
+    "multi-agent teams": "多 Agent 协作",
+    "voice ai agents": "语音 Agent",
+    "generative ui and agentic frontends": "生成式 UI",
+    "autonomous game-playing agents": "游戏 Agent",
+    "mcp ai agents": "MCP Agent",
+    "rag (retrieval augmented generation)": "RAG 检索增强",
+    "ai browser tools": "浏览器工具",
+    "llm apps with memory": "带记忆的应用",
+    "chat with x": "数据问答",
+    "llm optimization tools": "推理优化",
+    "llm fine-tuning": "微调",
+    "ai agent framework crash courses": "框架教程",
+}
+
+# Section of a list -> coarse category.
 COARSE_TYPES = {
     "agent skills": "Agent 技能",
     "starter ai agents": "Agent 工作流",

@@ -1,14 +1,19 @@
-"""Page residue at the head and tail of a text. Rounds depend on what the round before left, hence an Arrow function."""
+"""HTML to plain text without page residue at its head and tail.
+
+Tags go by built-in functions. Entities (all names of HTML) and the residue, whose
+rounds depend on what the round before left, take one Arrow function.
+"""
 
 from __future__ import annotations
 
+import html
 import re
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import strip_inline_ui, text_or_empty
+from .text import INLINE_NOTES, strip_inline_ui, text_or_empty, without_tags
 
 # What stands at the head or tail of scraped pages.
 CSS = re.compile(r"^[\s:;,.\[\]\w-]{0,60}(?:last-child|first-child|mb-\d|mt-\d|px-\d|py-\d|flex|grid|text-)[\s\S]{0,50}?\">\s*")
@@ -53,7 +58,7 @@ def without_residue(text: str) -> str:
     tail = TAIL.search(now)
     if tail and len(tail.group()) <= 600 and len(words := tail.group().split()) >= 12 and repeat_ends(words):
         now = now[: tail.start()].rstrip()
-    return text if len(now) < LEAST_KEPT * len(text) else now.strip()
+    return (text if len(now) < LEAST_KEPT * len(text) else now).strip()
 
 
 def clean_web_junk(c: Column) -> Column:
@@ -64,3 +69,32 @@ def clean_web_junk(c: Column) -> Column:
 
     clean.__annotations__ = {"s": pd.Series, "return": pd.Series}
     return F.pandas_udf(clean, "string")(strip_inline_ui(text_or_empty(c)))
+
+
+_NOTES = [re.compile(note) for note in INLINE_NOTES]
+
+
+def plain(text: str) -> str:
+    """Text without tags to clean text: entities, white space, inline notes, residue."""
+    text = re.sub("[ \t\u00a0]+", " ", html.unescape(text))
+    text = re.sub("\n{3,}", "\n\n", text).strip()
+    for note in _NOTES:
+        text = note.sub("", text)
+    return without_residue(text)
+
+
+def strip_tags(c: Column) -> Column:
+    """Clean plain text of a piece of HTML. Null: empty."""
+
+    def clean(s: pd.Series) -> pd.Series:
+        return s.map(plain)
+
+    clean.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(clean, "string")(without_tags(c))
+
+
+def body_header_strip(c: Column, most: int = 1500) -> Column:
+    """Body of a reader service without its header lines, as plain text of `most` characters at most."""
+    # fixed values: names of the header lines
+    c = F.regexp_replace(text_or_empty(c), r"(?m)^(Title|URL Source|Markdown Content):.*$", "")
+    return F.substring(strip_tags(c), 1, most)

@@ -54,9 +54,9 @@ def latin_tokens(c: Column) -> Column:
     return F.when(has_cjk(c), F.array().cast("array<string>")).otherwise(token_set(c))
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """0 when either side is empty."""
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
+def similar(a: Column, b: Column, percent: int) -> Column:
+    """Whether the Jaccard similarity of two sets is `percent` hundredths at least, in whole numbers; never if one is empty."""
+    return (F.size(a) > 0) & (F.size(b) > 0) & (100 * F.size(F.array_intersect(a, b)) >= percent * F.size(F.array_union(a, b)))
 
 
 def host_of(c: Column) -> Column:
@@ -70,6 +70,7 @@ def canonical_url(c: Column) -> Column:
 
 
 def source_label(c: Column) -> Column:
+    # fixed value: marks of a feed's kind behind its name
     s = F.regexp_replace(text_or_empty(c), "(?i)（(?:RSS|网页|Atom|feed)[^）]*）", "")
     return F.substring(F.trim(F.regexp_replace(s, r"\s+", " ")), 1, 34)
 
@@ -89,19 +90,11 @@ def strip_inline_ui(c: Column) -> Column:
     return c
 
 
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
-
-
-def strip_tags(c: Column) -> Column:
-    """Plain text of a piece of HTML: blocks of script and style go, line ends stay."""
-    c = F.regexp_replace(text_or_empty(c), r"(?is)<script.*?</script>|<style.*?</style>", "")
+def without_tags(c: Column) -> Column:
+    """HTML without its tags; blocks of script and style go, line ends stay. Entities are left."""
+    c = F.regexp_replace(text_or_empty(c), r"(?is)<script.*?</script>|<style.*?</style>", " ")
     c = F.regexp_replace(c, r"(?i)<br\s*/?>|</p>", "\n")
-    c = F.regexp_replace(c, "<[^>]+>", " ")
-    for entity, ch in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(ch))
-    c = F.regexp_replace(c, "[ \\t\\u00a0]+", " ")
-    c = F.regexp_replace(c, r"\n{3,}", "\n\n")
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, "<[^>]+>", " ")
 
 
 def is_nonwork(c: Column) -> Column:
@@ -114,7 +107,7 @@ def keyword_hit(*titles: Column) -> Column:
 
 
 def guess_type(title: Column, title_cn: Column, *rest: Column) -> Column:
-    """Form of an application by keyword; digests first."""
+    """Form of an application by keyword in the titles and the rest (summary, text, block, url); digests first."""
     hay = F.lower(F.concat_ws(" ", title, title_cn, *rest))
     out = F.when(is_nonwork(title) | is_nonwork(title_cn), C.NONWORK_LABEL)
     for label, words in C.TYPE_RULES.items():
@@ -126,12 +119,6 @@ def is_quota_error(c: Column) -> Column:
     return F.lower(text_or_empty(c)).rlike(_any(C.QUOTA_HINTS))
 
 
-def body_header_strip(c: Column) -> Column:
-    """Body of a reader service without its header lines, as plain text of 1500 characters at most."""
-    c = F.regexp_replace(text_or_empty(c), r"(?m)^(Title|URL Source|Markdown Content):.*$", "")
-    return F.substring(strip_tags(c), 1, 1500)
-
-
 def ngram_repeat(words: Column, n: int) -> Column:
     """Whether a run of n words occurs twice in an array."""
     grams = F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))

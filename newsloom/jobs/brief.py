@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import scalars as S
 from ..functions import text as X
+from ..operators import history as H
 from ..operators import report as R
 from ..operators import select as L
+from ..session import handover
 from ..sources.items import items
 from . import sqltext as Q
 from .registering import register
@@ -32,10 +34,20 @@ def daily_brief(spark: SparkSession, d: str) -> DataFrame:
     return _ordered(spark, d).select("run_date", "ord", "pos", "source_id", "lane", "title", "level", "total", "kw_boost", "fallback", "stale", "age_h", F.array_join("also_in", "|").alias("also_in"))
 
 
-@query(Q.chain("items", f", one AS (SELECT DISTINCT source_id, lane FROM items) SELECT source_id, lane, {Q.RANK} AS lane_rank FROM one"))
-def dim_sources(spark, d):
-    one = items(spark, d, desc=False).select("source_id", "lane").distinct()
-    return one.join(F.broadcast(R.dim_lane(spark)), "lane", "left").select("source_id", "lane", F.coalesce("lane_rank", F.lit(99)).alias("lane_rank"))
+def _flagged(spark, d):
+    """The brief with is_repeat, against the brief of the day before."""
+    brief = handover(_ordered(spark, d))
+    return brief.join(H.cross_day_repeat(brief), ["run_date", "pos"])
+
+
+_FORMS = f"[{Q.norm('title')}, {Q.norm('title_cn')}, {Q.norm('title_en')}]"
+_FLAGGED = f""", okeys AS (SELECT DISTINCT run_date, pos, key FROM (SELECT run_date, pos, unnest({_FORMS}) AS key FROM ordered) WHERE key <> ''),
+oprev AS (SELECT run_date, lag(run_date) OVER (ORDER BY run_date) AS prev_date FROM (SELECT DISTINCT run_date FROM ordered)),
+again AS (
+  SELECT DISTINCT k.run_date, k.pos, true AS yes FROM okeys k JOIN oprev p ON p.run_date = k.run_date
+  JOIN okeys o ON o.run_date = p.prev_date AND o.key = k.key
+),
+flagged AS (SELECT o.*, coalesce(a.yes, false) AS is_repeat FROM ordered o LEFT JOIN again a ON a.run_date = o.run_date AND a.pos = o.pos)"""
 
 
 @query(Q.chain("items", f" SELECT pos, lane, {Q.RANK} AS lane_rank FROM items"))
@@ -133,9 +145,16 @@ def level_counts(spark, d):
     return R.level_counts(_ordered(spark, d))
 
 
-@query(Q.chain("ordered", " SELECT run_date, lane, level, count(*) AS n, count(*) FILTER (stale) AS stale FROM ordered GROUP BY GROUPING SETS ((run_date), (run_date, lane), (run_date, level))"))
+@query(
+    Q.chain(
+        "ordered",
+        _FLAGGED
+        + """ SELECT run_date, lane, level, count(*) AS n, count(*) FILTER (stale) AS stale, count(*) FILTER (is_repeat) AS repeat
+        FROM flagged GROUP BY GROUPING SETS ((run_date), (run_date, lane), (run_date, level))""",
+    )
+)
 def brief_counts(spark, d):
-    return R.brief_counts(_ordered(spark, d))
+    return R.brief_counts(_flagged(spark, d))
 
 
 @query(Q.chain("ordered", " SELECT run_date, min(total) FILTER (level = 'top') AS top_min, max(total) FILTER (level = 'watch') AS watch_max, coalesce(min(total) FILTER (level = 'top') < max(total) FILTER (level = 'watch'), false) AS inverted FROM ordered GROUP BY run_date"))
@@ -160,24 +179,50 @@ def batch_assign(spark, d):
     return R.batch_assign(_folded(spark, d))
 
 
+_SHOWN = f"""CASE WHEN dt IS NULL THEN '' WHEN CAST(dt + INTERVAL 8 HOUR AS DATE) = CAST(n8 AS DATE) THEN strftime(dt + INTERVAL 8 HOUR, '%H:%M')
+        WHEN CAST(dt + INTERVAL 8 HOUR AS DATE) = CAST(n8 AS DATE) - 1 THEN '昨天 ' || strftime(dt + INTERVAL 8 HOUR, '%H:%M')
+        WHEN year(dt + INTERVAL 8 HOUR) = year(n8) THEN month(dt + INTERVAL 8 HOUR) || '月' || day(dt + INTERVAL 8 HOUR) || '日 ' || strftime(dt + INTERVAL 8 HOUR, '%H:%M')
+        ELSE strftime(dt + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M') END"""
+
+
 @query(
     Q.chain(
         "ordered",
-        f""" SELECT run_date, pos, substr(md5({Q.norm('title')}), 1, 10) AS id, coalesce(strftime(dt + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '+08:00', '') AS pub_ts, substr(descr, 1, 2000) AS descr,
-        CASE WHEN coalesce(title_en, '') = '' THEN substr(descr, 1, 200) ELSE title_en END AS summary FROM ordered""",
+        f""" SELECT run_date, pos, substr(md5({Q.norm('title')}), 1, 10) AS id, {_SHOWN} AS pub_time,
+        coalesce(strftime(dt + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '+08:00', '') AS pub_ts, substr(descr, 1, 2000) AS descr,
+        CASE WHEN coalesce(title_en, '') = '' THEN substr(descr, 1, 200) ELSE substr(title_en, 1, 300) END AS summary,
+        CASE WHEN level = 'top' THEN substr('译文 ' || descr, 1, 2400) END AS desc_zh
+        FROM (SELECT *, TIMESTAMP '{C.AS_OF}' + INTERVAL 8 HOUR AS n8 FROM ordered)""",
     )
 )
 def publish_projection(spark, d):
-    x = L.brief(items(spark, d))
-    return x.select("run_date", "pos", X.item_id(F.col("title")).alias("id"), S.pub_iso(F.col("dt")).alias("pub_ts"), F.substring("desc", 1, 2000).alias("descr"), R.summary_or_desc(F.col("title_en"), F.col("desc")).alias("summary"))
+    x = L.brief(items(spark, d)).withColumn("summary", F.col("title_en"))
+    return R.publish(x.withColumn("desc_zh", F.when(F.col("level") == "top", F.concat(F.lit("译文 "), "desc"))))
 
 
-@query(Q.chain("ordered", " SELECT run_date, pos, ord FROM (SELECT run_date, pos, ord, descr, url FROM ordered WHERE length(descr) < 300 AND url <> '') QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY ord) <= 8"))
+@query(
+    Q.chain(
+        "ordered",
+        _FLAGGED
+        + """ SELECT run_date, pos, ord FROM flagged WHERE length(coalesce(descr, '')) < 300 AND url <> '' AND NOT is_repeat AND lane <> 'hot'
+        QUALIFY row_number() OVER (PARTITION BY run_date ORDER BY ord) <= 8""",
+    )
+)
 def body_fetch_worklist(spark, d):
-    return R.worklist(L.brief(items(spark, d)).filter((F.char_length("desc") < 300) & (F.col("url") != "")), 8).select("run_date", "pos", "ord")
+    """Short texts that are neither repeats nor curated (the lane `hot`)."""
+    length = items(spark, d).select("pos", F.char_length(F.coalesce("desc", F.lit(""))).alias("length"))
+    x = _flagged(spark, d).join(length.filter("length < 300"), "pos").filter("url <> '' and not is_repeat and lane <> 'hot'")
+    return R.worklist(x, 8).select("run_date", "pos", "ord")
 
 
-@query(Q.chain("ordered", f", w AS (SELECT run_date, pos, row_number() OVER (PARTITION BY run_date ORDER BY ord) AS rn FROM ordered WHERE level = 'top' AND NOT {Q.cjk('title')} AND length(descr) >= 300 QUALIFY rn <= 20) SELECT run_date, pos, (rn - 1) // 5 AS batch FROM w"))
+@query(
+    Q.chain(
+        "ordered",
+        f""", w AS (SELECT run_date, pos, substr(descr, 1, 1200) AS body, row_number() OVER (PARTITION BY run_date ORDER BY ord) AS rn FROM ordered
+        WHERE level = 'top' AND NOT {Q.cjk('title')} AND length(descr) >= 300 QUALIFY rn <= 20)
+        SELECT run_date, pos, (rn - 1) // 5 AS batch, body FROM w""",
+    )
+)
 def translate_worklist(spark, d):
     x = L.brief(items(spark, d)).filter((F.col("level") == "top") & ~X.has_cjk(F.col("title")) & (F.char_length("desc") >= 300))
-    return R.worklist(x, 20).select("run_date", "pos", F.floor((F.col("rn") - 1) / 5).alias("batch"))
+    return R.worklist(x, 20).select("run_date", "pos", F.floor((F.col("rn") - 1) / 5).alias("batch"), F.substring("desc", 1, 1200).alias("body"))

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import text as X
 from ..functions.residue import clean_web_junk as cleaned
+from ..operators import curated as U
 from ..operators import report as R
 from ..operators import responses as M
 from ..operators import select as L
-from ..session import shared_dir
+from ..session import handover, shared_dir
 from ..sources import feeds as B
+from ..sources import settings as N
 from ..sources import sinks as K
 from ..sources.items import items, table
 from ..streaming import jobs as T
@@ -33,13 +35,16 @@ _STAMP = "strftime(dt, '%Y-%m-%d %H:%M:%S')"
 
 def _stories(spark, d):
     title = F.trim(F.regexp_replace(F.coalesce("title", F.lit("")), r"[^\p{L}\p{N}]+", " "))
-    return items(spark, d, desc=False).select("run_date", "source_id", "pos", title.alias("title"), "url", "dt")
+    return items(spark, d, desc=False).select("run_date", "source_id", "pos", title.alias("title"), "url", "dt").withColumn("page", F.floor(F.col("pos") / PAGE))
+
+
+PAGE = 3000  # ids a body may span, so that bodies don't grow with the table
 
 
 def _bodies(rows, entry, head, tail):
-    """Entries of a source and day in order of pos, as one body: a feed's page, bounded by its source and day."""
+    """Entries of a source, day and page in order of pos, as one body."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", entry.alias("x")))), lambda e: e["x"]), "")
-    return rows.groupBy("run_date", "source_id").agg(F.concat(F.lit(head), text, F.lit(tail)).alias("body"))
+    return rows.groupBy("run_date", "source_id", "page").agg(F.concat(F.lit(head), text, F.lit(tail)).alias("body"))
 
 
 def _element(name, value):
@@ -60,7 +65,7 @@ def parse_rss(spark, d):
         F.lit("</item>"),
     )
     head = '<rss xmlns:content="c" xmlns:dc="d"><channel>'
-    return B.parse_rss(_bodies(_stories(spark, d), entry, head, "</channel></rss>")).drop("ord")
+    return B.parse_rss(_bodies(_stories(spark, d), entry, head, "</channel></rss>")).drop("ord", "page")
 
 
 @query(Q.chain("items", f" SELECT run_date, source_id, {_PLAIN_TITLE.format('title')} AS title, CASE WHEN pos % 4 = 0 THEN 'https://self.example.com/' || pos ELSE url END AS url, 'text ' || pos AS \"desc\", {_STAMP} AS dt FROM items"))
@@ -77,11 +82,15 @@ def parse_atom(spark, d):
         F.when(F.col("pos") % 2 == 0, _element("published", stamp)).otherwise(_element("updated", stamp)),
         F.lit("</entry>"),
     )
-    return B.parse_atom(_bodies(_stories(spark, d), entry, "<feed>", "</feed>")).drop("ord")
+    return B.parse_atom(_bodies(_stories(spark, d), entry, "<feed>", "</feed>")).drop("ord", "page")
 
 
 @query(Q.chain("items", f" SELECT run_date, source_id, {_PLAIN_TITLE.format('title')} AS title, CASE WHEN pos % 3 = 0 THEN '{B.PAPERS}' || pos ELSE url END AS url, 'about ' || pos AS \"desc\", {_STAMP} AS dt FROM items WHERE {_PLAIN_TITLE.format('title')} <> ''"))
 def parse_json_items(spark, d):
+    return _parsed_json(spark, d)
+
+
+def _parsed_json(spark, d):
     p = F.col("pos").cast("string")
     about = F.concat(F.lit("about "), p)
     none = F.lit(None).cast("string")
@@ -93,18 +102,22 @@ def parse_json_items(spark, d):
         F.when(F.col("pos") % 3 == 0, none).otherwise(F.col("url")).alias("url"), p.alias("id"),
         F.when(F.col("pos") % 4 == 0, stamp).alias("publishedAt"), F.when(F.col("pos") % 4 != 0, stamp).alias("createdAt"),
     )
-    rows = _stories(spark, d).filter("title <> ''").groupBy("run_date", "source_id").agg(F.array_sort(F.collect_list(row)).alias("papers"))
+    rows = _stories(spark, d).filter("title <> ''").groupBy("run_date", "source_id", "page").agg(F.array_sort(F.collect_list(row)).alias("papers"))
     body = F.when(F.size("papers") % 2 == 0, F.to_json("papers")).otherwise(F.to_json(F.struct("papers")))
-    return B.parse_json_items(rows.select("run_date", "source_id", body.alias("body"))).drop("ord")
+    return B.parse_json_items(rows.select("run_date", "source_id", "page", body.alias("body"))).drop("ord", "page")
 
 
 def _listed(rows, entry, key, root=None):
-    """Bodies by `key`: entries in order of the struct's first field."""
-    rows = rows.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("x"))
-    return rows.select(key, F.to_json(F.struct(F.col("x").alias(root)) if root else F.col("x")).alias("body"))
+    """Bodies by `key` and page: entries in order of the struct's first field."""
+    rows = rows.groupBy(key, "page").agg(F.array_sort(F.collect_list(entry)).alias("x"))
+    return rows.select(key, "page", F.to_json(F.struct(F.col("x").alias(root)) if root else F.col("x")).alias("body"))
 
 
-_FIRST = "QUALIFY row_number() OVER (PARTITION BY p_size ORDER BY {}p_partkey) <= {}"
+_FIRST = f"QUALIFY row_number() OVER (PARTITION BY p_size, p_partkey // {PAGE} ORDER BY {{}}p_partkey) <= {{}}"
+
+
+def _parts(spark, d):
+    return table(spark, d, "part").withColumn("page", F.floor(F.col("p_partkey") / PAGE))
 
 
 @query(
@@ -122,7 +135,7 @@ def parse_model_listing(spark, d):
         p, F.concat(F.lit("m/"), p.cast("string")).alias("id"), F.when(p % 11 != 0, F.col("p_name")).alias("display_name"), F.col("p_brand").alias("org"), F.when(p % 7 != 0, stamp).alias("listed_at_iso"),
         F.when(p % 2 == 0, 1000 + p % 500).alias("arena_score"), F.when(p % 4 == 0, p).alias("arena_rank"), (p % 3 == 0).alias("open_weights"), (F.col("p_size") * 1000).alias("context_length"), (p % 9).alias("price_in"), (p % 8).alias("price_out"),
     )
-    return B.parse_model_listing(_listed(table(spark, d, "part"), entry, "p_size", "models"), C.AS_OF).drop("ord")
+    return B.parse_model_listing(_listed(_parts(spark, d), entry, "p_size", "models"), C.AS_OF).drop("ord", "page")
 
 
 @query(
@@ -136,7 +149,7 @@ def parse_stealth_models(spark, d):
         p, F.concat(name, p.cast("string")).alias("id"), F.col("p_name").alias("name"), (F.col("p_size") * 1000).alias("context_length"), F.when(p % 4 != 0, F.struct((p % 9).alias("prompt"), (p % 8).alias("completion"))).alias("pricing"),
         F.struct(F.array(F.lit("text"), F.lower("p_brand")).alias("input_modalities")).alias("architecture"), F.regexp_replace("p_type", " ", "  ").alias("description"),
     )
-    return B.parse_stealth_models(_listed(table(spark, d, "part"), entry, "p_size", "data")).drop("ord")
+    return B.parse_stealth_models(_listed(_parts(spark, d), entry, "p_size", "data")).drop("ord", "page")
 
 
 @query(
@@ -146,7 +159,7 @@ def parse_stealth_models(spark, d):
 def parse_new_models(spark, d):
     p = F.col("p_partkey")
     entry = F.struct(p, F.concat(F.lit("m/"), p.cast("string")).alias("modelId"), F.lit("2024-01-30T08:00:00.000Z").alias("createdAt"), (p % 13).alias("likes"), (p * 1000).alias("downloads"), F.array("p_brand", "p_type").alias("tags"))
-    return B.parse_new_models(_listed(table(spark, d, "part"), entry, "p_size"), ["BRAND#11"]).drop("ord")
+    return B.parse_new_models(_listed(_parts(spark, d), entry, "p_size"), ["BRAND#11"]).drop("ord", "page")
 
 
 @query(
@@ -156,18 +169,79 @@ def parse_new_models(spark, d):
 def parse_spaces(spark, d):
     p = F.col("p_partkey")
     entry = F.struct(p, F.concat(F.lit("s/"), p.cast("string")).alias("id"), F.when(p % 2 == 0, "gradio").otherwise("").alias("sdk"), (p % 13).alias("likes"), F.lit("2024-01-31T09:00:00.000Z").alias("lastModified"))
-    return B.parse_spaces(_listed(table(spark, d, "part"), entry, "p_size")).drop("ord")
+    return B.parse_spaces(_listed(_parts(spark, d), entry, "p_size")).drop("ord", "page")
 
 
-@query(Q.chain("items", f" SELECT run_date, substr({_PLAIN_TITLE.format('title')}, 1, 150) AS title, substr('EN ' || {_PLAIN_TITLE.format('title')}, 1, 150) AS title_en, 'a b ' || pos AS \"desc\", url, {_STAMP} AS dt, coalesce({Q.AGE}, -1) AS age_h, upper(source_id) AS block, CAST(pos % 100 AS INT) AS score FROM items WHERE pos % 3 <> 0 AND pos % 7 <> 0 AND {_PLAIN_TITLE.format('title')} <> ''"))
-def parse_curated(spark, d):
+_CHOSEN = f"pos % 3 <> 0 AND pos % 7 <> 0 AND {_PLAIN_TITLE.format('title')} <> ''"
+_CURATED = f"""SELECT run_date, substr({_PLAIN_TITLE.format('title')}, 1, 150) AS title, substr('EN ' || {_PLAIN_TITLE.format('title')}, 1, 150) AS title_en, 'a b ' || pos AS "desc",
+  url, {_STAMP} AS dt, coalesce({Q.AGE}, -1) AS age_h, upper(source_id) AS block, CAST(pos % 100 AS INT) AS score, CASE WHEN pos % 2 = 0 THEN 'why ' || pos ELSE '' END AS reason,
+  CASE WHEN pos % 5 = 0 THEN 'other' ELSE '{B.CURATED[0]}' END AS attribution, coalesce({Q.AGE} > {C.LANE_HOURS['hot']}, false) AS stale FROM items WHERE {_CHOSEN}"""
+
+
+def _curated(spark, d):
     p = F.col("pos")
     stamp = F.date_format("dt", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     entry = F.struct(
         "pos", "title", F.concat(F.lit("EN "), "title").alias("originalTitle"), F.concat(F.lit("a \n b  "), p.cast("string")).alias("summary"), F.struct(F.concat(F.upper("source_id"), F.lit("（RSS）")).alias("name")).alias("source"),
         F.struct(F.when(p % 7 != 0, F.col("url")).alias("original")).alias("links"), F.when(p % 2 == 0, stamp).alias("publishedAt"), stamp.alias("discoveredAt"), (p % 100).alias("score"), (p % 3 != 0).alias("selected"),
+        F.when(p % 2 == 0, F.concat(F.lit(" why "), p.cast("string"))).alias("reason"), F.when(p % 5 == 0, F.struct(F.lit("other").alias("name"))).alias("attribution"),
     )
-    return B.parse_curated(_listed(_stories(spark, d), entry, "run_date", "items"), C.AS_OF).drop("ord")
+    return B.parse_curated(_listed(_stories(spark, d), entry, "run_date", "items"), C.AS_OF).drop("ord", "page")
+
+
+@query(Q.chain("items", f" SELECT * EXCLUDE (stale) FROM ({_CURATED})"))
+def parse_curated(spark, d):
+    return _curated(spark, d).withColumn("attribution", F.col("attribution.name")).drop("stale", "category")
+
+
+@query(Q.chain("items", f" SELECT url, age_h, stale FROM ({_CURATED})"))
+def curated_stale(spark, d):
+    """Curated rows beyond the window are marked, not dropped."""
+    return _curated(spark, d).select("url", "age_h", "stale")
+
+
+@query(
+    Q.chain(
+        "items",
+        f""" SELECT run_date, {_PLAIN_TITLE.format('title')} AS title, source_id, CAST(NULL AS INT) AS score FROM items WHERE {_PLAIN_TITLE.format('title')} <> ''
+        UNION ALL SELECT run_date, title, NULL, score FROM ({_CURATED})""",
+    )
+)
+def union_sources(spark, d):
+    """Parsed rows and curated ones in one table; what a part lacks is null."""
+    parsed = _parsed_json(spark, d)
+    return U.union_sources(parsed, _curated(spark, d)).select("run_date", "title", "source_id", "score")
+
+
+_LANE = f"CASE WHEN s_suppkey % 9 = 8 THEN 'other' ELSE {C.LANES}[CAST(s_suppkey % 9 AS INT) + 1] END"
+_ENABLED = "s_suppkey % 4 <> 0"
+
+
+def _settings(spark, d):
+    """Configuration files with the suppliers as sources, a thousand a file, written and read."""
+    k = F.col("s_suppkey")
+    lane = F.when(k % 9 == 8, "other").otherwise(F.get(F.array(*[F.lit(x) for x in C.LANES]), (k % 9).cast("int")))
+    name = k.cast("string")
+    source = F.struct(
+        name.alias("id"), lane.alias("lane"), F.upper("s_name").alias("block"), (k % 4 != 0).alias("enabled"), F.lit("auto").alias("mode"), F.concat(F.lit("/r/"), name).alias("route"),
+        F.array(F.concat(F.lit("https://a.example.com/"), name)).alias("urls"), F.when(k % 5 != 0, k % 5 - 1).alias("take"),
+    )
+    rows = table(spark, d, "supplier").groupBy(F.floor(k / 1000).alias("file")).agg(F.collect_list(source).alias("sources"))
+    lanes = F.array(*[F.struct(F.lit(x).alias("id"), F.upper(F.lit(x)).alias("name")) for x in C.LANES])
+    path = f"{shared_dir(spark)}/settings-{uuid.uuid4().hex}"
+    rows.select("file", F.to_json(F.struct(lanes.alias("lanes"), "sources")).alias("value")).repartition("file").write.partitionBy("file").text(path)
+    return N.read_settings(spark, path)
+
+
+@query(f"WITH s AS (SELECT s_suppkey, {_LANE} AS lane FROM supplier) SELECT CAST(s_suppkey AS VARCHAR) AS source_id, lane, {Q.RANK} AS lane_rank FROM s")
+def dim_sources(spark, d):
+    return _settings(spark, d)[1].select("source_id", "lane", "lane_rank")
+
+
+@query(f"WITH s AS (SELECT *, {_LANE} AS lane FROM supplier) SELECT CAST(s_suppkey AS VARCHAR) AS source_id, upper(s_name) AS block FROM s WHERE {_ENABLED} AND s_suppkey % 5 <> 1 AND lane = 'apps'")
+def enabled_sources(spark, d):
+    """Sources of one lane that are on and take something."""
+    return N.enabled_sources(_settings(spark, d)[1], "apps").select("source_id", "block")
 
 
 @query(
@@ -191,8 +265,9 @@ def curated_snapshot(spark, d):
 
 # responses: batch = conversation, i = turn; every third is cut off in its last row, every third is fenced
 
-_SENT = "sent AS (SELECT conv_id AS batch_id, CAST(turn AS INT) AS i, turn % 2 = 0 AS translate, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, coalesce(text, '') DESC) AS back FROM conversations)"
-_GOT = _SENT + """, got AS (SELECT batch_id, i, translate, text, CASE WHEN i % 3 <> 1 THEN '译文 ' || i END AS title, CASE WHEN i % 4 <> 3 THEN 'why ' || i END AS reason FROM sent WHERE batch_id % 3 <> 1 OR back > 1),
+_SENT = """sent AS (SELECT conv_id AS batch_id, CAST(turn AS INT) AS i, turn % 2 = 0 AS translate, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY conv_id % 5 = 4 AND turn <> 0, turn DESC, coalesce(text, '') DESC) AS back FROM conversations)"""
+_GOT = _SENT + """, got AS (SELECT batch_id, i, translate, text, CASE WHEN i % 3 <> 1 THEN '译文 ' || i END AS title, CASE WHEN i % 4 <> 3 AND batch_id % 7 <> 6 THEN 'why ' || i END AS reason FROM sent WHERE (batch_id % 3 <> 1 OR back > 1) AND (batch_id % 5 <> 4 OR i = 0)),
 acc AS (SELECT batch_id, count(*) AS rows, count(*) FILTER (translate AND title IS NOT NULL) AS titles, count(reason) AS reasons FROM got GROUP BY 1),
 need AS (SELECT batch_id, count(*) AS n, count(*) FILTER (translate) AS need FROM sent GROUP BY 1),
 verdict AS (SELECT batch_id, rows, titles, reasons, rows >= greatest(1, n // 2) AND (need = 0 OR titles >= greatest(1, need * 3 // 10)) AS accepted, reasons < greatest(1, n * 3 // 10) AS low_yield FROM acc JOIN need USING (batch_id))"""
@@ -205,10 +280,11 @@ def _sent(spark, d):
 def _responses(spark, d):
     i = F.col("i")
     row = F.struct(
-        "i", "text", F.when(i % 3 != 1, F.concat(F.lit("译文 "), i.cast("string"))).otherwise("").alias("title"), F.when(i % 4 != 3, F.concat(F.lit("why "), i.cast("string"))).alias("reason"),
+        "i", "text", F.when(i % 3 != 1, F.concat(F.lit("译文 "), i.cast("string"))).otherwise("").alias("title"), F.when((i % 4 != 3) & (F.col("batch_id") % 7 != 6), F.concat(F.lit("why "), i.cast("string"))).alias("reason"),
         F.when(i % 2 == 0, "agent").alias("kind"), (i + 5).alias("rel"), F.lit(3).alias("info"), F.when(i % 5 == 4, "x").otherwise("7").alias("fresh"),
     )
-    x = _sent(spark, d).groupBy("batch_id").agg(F.to_json(F.array_sort(F.collect_list(row))).alias("t"))
+    answered = _sent(spark, d).filter("batch_id % 5 <> 4 or i = 0")  # every fifth batch brings its first row alone
+    x = answered.groupBy("batch_id").agg(F.to_json(F.array_sort(F.collect_list(row))).alias("t"))
     cut = F.when(F.col("batch_id") % 3 == 1, F.expr("left(t, length(t) - 6)")).when(F.col("batch_id") % 3 == 2, F.concat(F.lit("```json\n"), "t", F.lit("\n```"))).otherwise(F.col("t"))
     return x.select("batch_id", F.lit(0).alias("model_rank"), cut.alias("text"))
 
@@ -256,16 +332,72 @@ def brief_write(spark, d):
     return K.latest_brief(spark, path).select("run_date", "pos", "ord", "level")
 
 
-@query()
-def run_report_write(spark, d):
-    """Nested JSON of all days, written as text and read back; its parts have their own SQL (source_funnel, lane_counts)."""
-    x = items(spark, d, desc=False)
-    funnel = R.source_funnel(x)
-    empty = funnel.filter("taken < 2").select("run_date", "source_id", F.concat(F.lit("taken "), F.col("taken").cast("string")).alias("reason"))
+_FUNNEL = f"""{Q.WINDOWED}, fun AS (
+  SELECT r.run_date, r.source_id, r.raw, coalesce(x.deduped, 0) AS deduped, coalesce(x.in_window, 0) AS in_window, coalesce(w.taken, 0) AS taken, coalesce(w.stale, 0) AS stale
+  FROM (SELECT run_date, source_id, count(*) AS raw FROM items GROUP BY 1, 2) r
+  LEFT JOIN (SELECT run_date, source_id, count(*) AS deduped, count(*) FILTER (inw) AS in_window FROM marked GROUP BY 1, 2) x ON x.run_date = r.run_date AND x.source_id = r.source_id
+  LEFT JOIN (SELECT run_date, source_id, count(*) AS taken, count(*) FILTER (stale) AS stale FROM windowed GROUP BY 1, 2) w ON w.run_date = r.run_date AND w.source_id = r.source_id
+)"""
+
+
+def _reports(spark, d):
+    """Nested JSON of all days, written and read back."""
+    funnel = handover(R.source_funnel(items(spark, d, desc=False)))
+    few = funnel.filter("taken < 3").select("run_date", "source_id", F.concat(F.lit("taken "), F.col("taken").cast("string")).alias("reason"))
     counts = funnel.groupBy("run_date").agg(F.sum("taken").alias("total"), F.sum("stale").alias("stale"))
     path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
-    K.run_report(funnel, empty, counts).write.json(path)
-    return spark.read.schema("run_date date, report string").json(path)
+    K.run_report(funnel, few, counts).write.json(path)
+    return K.read_reports(spark, path)
+
+
+@query(
+    Q.chain(
+        "dedup",
+        f""", {_FUNNEL} SELECT run_date, CAST(sum(taken) AS BIGINT) AS total, CAST(sum(stale) AS BIGINT) AS stale, count(*) AS sources, count(*) FILTER (taken < 3) AS degraded,
+        string_agg(source_id || ' ' || raw || ' ' || taken, '; ' ORDER BY source_id) AS told FROM fun GROUP BY run_date""",
+    )
+)
+def run_report_write(spark, d):
+    told = F.transform("sources", lambda x: F.concat_ws(" ", x["source_id"], x["raw"].cast("string"), x["taken"].cast("string")))
+    x = _reports(spark, d)
+    return x.select("run_date", "counts.total", "counts.stale", F.size("sources").cast("long").alias("sources"), F.size("degraded").cast("long").alias("degraded"), F.array_join(told, "; ").alias("told"))
+
+
+@query(Q.chain("dedup", f", {_FUNNEL} SELECT run_date, source_id, raw, in_window, taken, CASE WHEN taken < 3 THEN 'taken ' || taken END AS reason FROM fun"))
+def reports_read(spark, d):
+    """Stored reports, a row per run and source."""
+    return K.report_sources(_reports(spark, d)).select("run_date", "source_id", "raw", "in_window", "taken", "reason")
+
+
+@query(
+    Q.chain(
+        "items",
+        """, l AS (SELECT nullif(CASE WHEN pos % 5 = 4 THEN '' ELSE split_part(url, '?', 1) END, '') AS url, title, pos FROM items)
+        SELECT url, arg_max(title, pos) AS title, max(pos) AS pos FROM l WHERE url IS NOT NULL GROUP BY url""",
+    )
+)
+def cases_read(spark, d):
+    """A library stored as JSON lines, some without a url, some urls twice."""
+    url = F.when(F.col("pos") % 5 == 4, "").otherwise(F.split("url", r"\?").getItem(0))
+    path = f"{shared_dir(spark)}/cases-{uuid.uuid4().hex}"
+    items(spark, d, desc=False).select(url.alias("url"), F.coalesce("title", F.lit("")).alias("title"), "pos").write.json(path)
+    return K.read_cases(spark.read.schema("url string, title string, pos long").json(path))
+
+
+@query(
+    Q.chain(
+        "items",
+        """, l AS (SELECT url, CASE WHEN max(pos) % 4 = 0 THEN '' ELSE 'type ' || (max(pos) % 3) END AS type FROM items WHERE lane = 'apps' GROUP BY url)
+        SELECT count(*) AS n, array_to_string(list_sort(list_distinct(list(nullif(type, '')))), '|') AS types FROM l""",
+    )
+)
+def cases_write(spark, d):
+    """A snapshot of the library; its size and types are read back."""
+    p = F.max("pos")
+    kind = F.when(p % 4 == 0, "").otherwise(F.concat(F.lit("type "), (p % 3).cast("string")))
+    path = f"{shared_dir(spark)}/cases-{uuid.uuid4().hex}"
+    K.write_cases(items(spark, d, desc=False).filter("lane = 'apps'").groupBy("url").agg(kind.alias("type")), path, 0)
+    return spark.read.schema("n long, types array<string>").json(f"{path}/about/v=*").select("n", F.array_join("types", "|").alias("types"))
 
 
 # streams: all that has landed is drained, then the sink is read
@@ -298,7 +430,7 @@ def stream_dedup(spark, d):
 
 @query(Q.chain("items", f" SELECT id, arg_min(title_cn, (run_date, title_cn)) AS pinned FROM (SELECT *, {_ID} AS id FROM items) WHERE coalesce(title_cn, '') <> '' GROUP BY id"))
 def stream_title_pin(spark, d):
-    return T.drained(T.title_pins(_arriving(spark, d)), shared_dir(spark), "update").select("id", "pinned")
+    return T.latest(T.drained(T.title_pins(_arriving(spark, d)), shared_dir(spark), "update"), "id").select("id", "pinned")
 
 
 @query("SELECT user_id AS source_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS since, count(*) AS attempts, count(*) FILTER (event_type = 'error') AS failed FROM events GROUP BY 1, 2, date_trunc('day', ts) HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
@@ -308,6 +440,17 @@ def stream_health(spark, d):
     return T.drained(T.health(e), shared_dir(spark)).select("source_id", "since", "attempts", "failed")
 
 
+@query(
+    """WITH e AS (SELECT user_id AS source_id, event_type = 'error' AS bad, date_trunc('day', ts) - to_days(CAST(k AS INT)) AS since FROM events, range(0, 7) t(k))
+    SELECT source_id, strftime(since, '%Y-%m-%d %H:%M:%S') AS since, count(*) AS attempts, count(*) FILTER (bad) AS failed FROM e
+    GROUP BY 1, e.since HAVING e.since + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
+)
+def stream_health_week(spark, d):
+    """Seven days, sliding by one."""
+    e = _landed(spark, d, "events").select(F.col("user_id").alias("source_id"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok"))
+    return T.drained(T.health(e, "7 days", "1 day"), shared_dir(spark)).select("source_id", "since", "attempts", "failed")
+
+
 @query(Q.chain("items", f" SELECT url, arg_max(title, pos) AS title, '{C.AS_OF_DATE}' AS first_seen FROM items WHERE lane = 'apps' AND coalesce(title, '') <> '' GROUP BY url UNION ALL SELECT url, NULL, '{C.AS_OF_DATE}' FROM items WHERE lane = 'apps' GROUP BY url HAVING max(coalesce(title, '')) = ''"))
 def stream_cases_upsert(spark, d):
     """An empty library and what has landed, merged batch by batch; the last version is read."""

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import scalars as S
 from ..functions import text as X
+from ..functions.residue import strip_tags as strip_tags_of
 from ..operators import cases as K
+from ..operators import curated as U
 from ..operators import dedup as D
 from ..operators import history as H
 from ..operators import report as R
+from ..operators import select as L
 from ..session import handover
 from ..sources.items import items, table
 from . import sqltext as Q
@@ -62,16 +65,17 @@ def strip_inline_ui(spark, d):
 
 
 _PLAIN = "html"
-for _p, _r, _o in (("<script.*?</script>|<style.*?</style>", "", "gis"), (r"<br\s*/?>|</p>", "\\n", "gi"), ("<[^>]+>", " ", "g")):
+for _p, _r, _o in (("<script.*?</script>|<style.*?</style>", " ", "gis"), (r"<br\s*/?>|</p>", "\\n", "gi"), ("<[^>]+>", " ", "g")):
     _PLAIN = f"regexp_replace({_PLAIN}, '{_p}', " + ("chr(10)" if _r == "\\n" else f"'{_r}'") + f", '{_o}')"
-for _e, _c in X.ENTITIES.items():
-    _PLAIN = f"replace({_PLAIN}, '{_e}', '{_c.replace(chr(39), chr(39) * 2)}')"
+# written out here apart from the library, which knows all names; the pages have these
+for _e, _c in (("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&nbsp;", "chr(160)"), ("&#8217;", "chr(8217)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&amp;", "'&'")):
+    _PLAIN = f"replace({_PLAIN}, '{_e}', {_c})"
 _PLAIN = rf"regexp_replace(regexp_replace(regexp_replace({_PLAIN}, '[ \t\x{{a0}}]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')"
 
 
 @query(f"SELECT page_id, md5({_PLAIN}) AS plain, length({_PLAIN}) AS n FROM pages")
 def strip_tags(spark, d):
-    plain = X.strip_tags(F.col("html"))
+    plain = strip_tags_of(F.col("html"))
     return table(spark, d, "pages").select("page_id", F.md5(plain.cast("binary")).alias("plain"), F.char_length(plain).alias("n"))
 
 
@@ -81,9 +85,26 @@ def nonwork_title(spark, d):
     return items(spark, d, desc=False).select("pos", X.is_nonwork(t).alias("nonwork"))
 
 
-@query(Q.chain("items", " SELECT pos, CASE " + " ".join(f"WHEN regexp_matches(lower(concat_ws(' ', title, title_cn, substr(descr, 1, 400), block, url)), '{Q.pattern(w)}') THEN '{k}'" for k, w in C.TYPE_RULES.items()) + f" ELSE '{C.DEFAULT_TYPE}' END AS type FROM items"))
+_WORDS = ["a userscript", "鸿蒙 one", "the cli", "an agent", "on macos", "a dashboard", "gguf files", "翻译 it", "a saas", "派早报：x", "nothing", "nothing 2"]
+_SUMMARY = "list_element([" + ", ".join(f"'{w}'" for w in _WORDS) + f"], CAST(pos % {len(_WORDS)} AS INT) + 1)"
+_DIGEST = "regexp_matches(t, '{0}') AND regexp_matches(t, '[：:]') AND NOT regexp_matches(t, '{1}')".format(C.NONWORK_COLUMN, C.NONWORK_MADE)
+_TYPES = " ".join(f"WHEN regexp_matches(hay, '{Q.pattern(w)}') THEN '{k}'" for k, w in C.TYPE_RULES.items())
+
+
+@query(
+    Q.chain(
+        "items",
+        f""", h AS (SELECT pos, CASE WHEN pos % {len(_WORDS)} = 9 THEN {_SUMMARY} || title ELSE title END AS t, title_cn,
+          {_SUMMARY} AS summary, substr(descr, 1, 400) AS body, block, url FROM items),
+        j AS (SELECT pos, t, lower(concat_ws(' ', t, title_cn, summary, body, block, url)) AS hay FROM h)
+        SELECT pos, CASE WHEN {_DIGEST} THEN '{C.NONWORK_LABEL}' {_TYPES} ELSE '{C.DEFAULT_TYPE}' END AS type FROM j""",
+    )
+)
 def keyword_type(spark, d):
-    return items(spark, d).select("pos", X.guess_type(F.col("title"), F.col("title_cn"), F.substring("desc", 1, 400), F.col("block"), F.col("url")).alias("type"))
+    k = F.col("pos") % len(_WORDS)
+    summary = F.element_at(F.array(*[F.lit(w) for w in _WORDS]), (k + 1).cast("int"))
+    title = F.when(k == 9, F.concat(summary, "title")).otherwise(F.col("title"))
+    return items(spark, d).select("pos", X.guess_type(title, F.col("title_cn"), summary, F.substring("desc", 1, 400), F.col("block"), F.col("url")).alias("type"))
 
 
 @query(f"SELECT event_id, regexp_matches(lower(event_type || CASE event_id % 4 WHEN 0 THEN ' HTTP 429' WHEN 1 THEN ' Rate Limit' ELSE '' END), '{Q.pattern(C.QUOTA_HINTS)}') AS quota FROM events")
@@ -93,12 +114,12 @@ def quota_error(spark, d):
 
 
 @query(
-    r"""WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents WHERE length(text) <= 600),
+    r"""WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS w FROM documents),
     g AS (SELECT doc_id, n, count(*) AS c, count(DISTINCT array_to_string(w[i:i + n - 1], ' ')) AS u FROM w, (VALUES (3), (4), (5)) t(n), range(1, greatest(len(w) - n + 1, 0) + 1) r(i) GROUP BY 1, 2)
-    SELECT w.doc_id, len(w.w) >= 12 AND coalesce(bool_or(c > u), false) AS nav FROM w LEFT JOIN g USING (doc_id) GROUP BY w.doc_id, w.w"""
+    SELECT w.doc_id, coalesce(length(any_value(text)), 0) <= 600 AND len(any_value(w.w)) >= 12 AND coalesce(bool_or(c > u), false) AS nav FROM w LEFT JOIN g USING (doc_id) GROUP BY w.doc_id"""
 )
 def nav_fragment(spark, d):
-    return table(spark, d, "documents").filter(F.char_length("text") <= 600).select("doc_id", X.is_nav_fragment(F.col("text")).alias("nav"))
+    return table(spark, d, "documents").select("doc_id", X.is_nav_fragment(F.col("text")).alias("nav"))
 
 
 # dates and scores
@@ -148,18 +169,19 @@ def case_decay(spark, d):
     return _cases(spark, d).select("url", F.round(S.case_decay(F.col("score"), F.col("last_seen"), C.AS_OF_DATE), 9).alias("decayed"))
 
 
-@query(Q.chain("items", f", {_CASES} SELECT url, CAST(row_number() OVER (ORDER BY score IS NOT NULL DESC, round(score * pow(0.5::DOUBLE, greatest(DATE '{C.AS_OF_DATE}' - last_seen, 0) / {C.HALF_LIFE_DAYS}.0::DOUBLE), 9) DESC NULLS LAST, last_seen DESC, url) AS BIGINT) AS place FROM cases QUALIFY place <= 100"))
+_DECAYED = f"round(score * pow(0.5::DOUBLE, greatest(DATE '{C.AS_OF_DATE}' - last_seen, 0) / {C.HALF_LIFE_DAYS}.0::DOUBLE), 9)"
+
+
+@query(Q.chain("items", f", {_CASES} SELECT url, {_DECAYED} AS decayed, last_seen FROM cases"))
 def case_show_order(spark, d):
-    """The first 100 of the library as shown."""
-    x = _cases(spark, d).withColumn("dec", F.round(S.case_decay(F.col("score"), F.col("last_seen"), C.AS_OF_DATE), 9))
-    top = x.orderBy(F.desc(F.col("score").isNotNull()), F.desc_nulls_last("dec"), F.desc("last_seen"), "url").limit(100)
-    w = W.orderBy(F.desc(F.col("score").isNotNull()), F.desc_nulls_last("dec"), F.desc("last_seen"), "url")
-    return top.select("url", F.row_number().over(w).cast("long").alias("place"))
+    """The whole library, sorted as shown (a range-partitioned sort; the order itself is tested on a small library)."""
+    library = _cases(spark, d).withColumn("first_seen", F.col("last_seen"))
+    return K.show_order(library, C.AS_OF_DATE).select("url", F.round("decayed", 9).alias("decayed"), "last_seen")
 
 
-@query(Q.chain("items", f", {_CASES} SELECT url, score FROM cases ORDER BY coalesce(score, 5.5) DESC, last_seen DESC, url LIMIT 50"))
+@query(Q.chain("items", f", {_CASES} SELECT url, score FROM cases ORDER BY coalesce(score, 5.5) DESC, last_seen DESC, url LIMIT {C.CASE_MAX}"))
 def case_evict(spark, d):
-    return K.evict(_cases(spark, d), 50).select("url", "score")
+    return K.evict(_cases(spark, d)).select("url", "score")
 
 
 @query(Q.chain("items", f", {_CASES} SELECT url FROM cases WHERE score IS NULL ORDER BY last_seen DESC, url LIMIT {C.RESCORE_MAX}"))
@@ -167,7 +189,7 @@ def rescore_worklist(spark, d):
     return K.rescore_worklist(_cases(spark, d)).select("url")
 
 
-_NEW = "SELECT url, max(title) AS title, '' AS summary, CASE WHEN max(pos) % 4 = 0 THEN '' ELSE 'type ' || (max(pos) % 4) END AS type, CASE WHEN max(pos) % 3 = 0 THEN 0.0::DOUBLE ELSE max(pos) % 11 + 0.5::DOUBLE END AS score, CAST(max(pos) % 10 AS INT) AS rel FROM items WHERE lane = 'apps' AND {} GROUP BY url"
+_NEW = "SELECT url, max(title) AS title, '' AS summary, CASE WHEN max(pos) % 4 = 0 THEN '' ELSE 'type ' || (max(pos) % 3) END AS type, CASE WHEN max(pos) % 3 = 0 THEN 0.0::DOUBLE ELSE max(pos) % 11 + 0.5::DOUBLE END AS score, CAST(max(pos) % 10 AS INT) AS rel FROM items WHERE lane = 'apps' AND {} GROUP BY url"
 
 
 def _batch(x, cond):
@@ -176,7 +198,7 @@ def _batch(x, cond):
         x.filter("lane = 'apps'").filter(cond).groupBy("url")
         .agg(
             F.max("title").alias("title"), F.lit("").alias("summary"),
-            F.when(p % 4 == 0, "").otherwise(F.concat(F.lit("type "), (p % 4).cast("string"))).alias("type"),
+            F.when(p % 4 == 0, "").otherwise(F.concat(F.lit("type "), (p % 3).cast("string"))).alias("type"),
             F.when(p % 3 == 0, F.lit(0.0)).otherwise(p % 11 + F.lit(0.5)).alias("score"), (p % 10).cast("int").alias("rel"),
         )
     )
@@ -199,9 +221,23 @@ def case_upsert(spark, d):
     return _library(spark, d)
 
 
-@query(Q.chain("items", f", {_MERGED} SELECT url, score, rel FROM merged WHERE url NOT IN (SELECT url FROM items WHERE pos % 13 = 0) AND (score IS NULL OR (score >= {C.CASE_MIN_TOTAL} AND NOT coalesce(rel < {C.CASE_MIN_REL}, false))) AND NOT (regexp_matches(coalesce(title, ''), '{C.NONWORK_COLUMN}') AND regexp_matches(coalesce(title, ''), '[：:]') AND NOT regexp_matches(coalesce(title, ''), '{C.NONWORK_MADE}'))"))
+_ENTERS = f"lane = 'apps' AND total >= {C.CASE_MIN_TOTAL} AND (rel IS NULL OR rel >= {C.CASE_MIN_REL})"
+
+
+@query(
+    Q.chain(
+        "totals",
+        f""", {_MERGED} SELECT url, score, rel FROM merged
+        WHERE url NOT IN (SELECT url FROM totals WHERE lane = 'apps' AND NOT coalesce({_ENTERS}, false))
+          AND (score IS NULL OR (score >= {C.CASE_MIN_TOTAL} AND NOT coalesce(rel < {C.CASE_MIN_REL}, false)))
+          AND NOT ({_DIGEST.replace('(t,', "(coalesce(title, ''),")})""",
+    )
+)
 def case_purge(spark, d):
-    return K.purge(_library(spark, d), items(spark, d, desc=False).filter("pos % 13 = 0")).select("url", "score", "rel")
+    """Cut: today's items of the lane that fail the entry gate."""
+    today = _totals(spark, d).filter("lane = 'apps'")
+    enters = K.entry_gate(F.col("title"), F.col("title_cn"), F.lit(""), F.col("total"), F.col("score.rel"), F.col("lane"))
+    return K.purge(_library(spark, d), today.filter(~F.coalesce(enters, F.lit(False)))).select("url", "score", "rel")
 
 
 @query(Q.chain("items", f", {_MERGED} SELECT DISTINCT type FROM merged WHERE type <> ''"))
@@ -209,17 +245,27 @@ def case_types(spark, d):
     return K.types(_library(spark, d))
 
 
-@query("SELECT p_partkey, coalesce(CASE lower(t) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.COARSE_TYPES.items()) + " END, t) AS type FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'MCP AI Agents' WHEN 1 THEN 'Chat with X' ELSE p_type END AS t FROM part)")
+# written out here apart from the library, which inverts its table of sections
+_COARSE = {"进阶 Agent": "Agent 工作流", "入门 Agent": "Agent 工作流", "数据问答": "RAG 检索增强", "微调": "模型与推理", "浏览器工具": "浏览器插件", "框架教程": "教程与学习", "生成式 UI": "Web 应用", "Agent 技能": "Agent 技能"}
+_STORED = [*_COARSE, "效率工具", "MCP AI Agents", ""]
+
+
+@query(
+    f"""SELECT p_partkey, CASE t {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _COARSE.items())} ELSE t END AS type
+    FROM (SELECT p_partkey, list_element([{', '.join(f"'{x}'" for x in _STORED)}], CAST(p_partkey % {len(_STORED)} AS INT) + 1) AS t FROM part)"""
+)
 def coarse_type(spark, d):
-    t = F.when(F.col("p_partkey") % 3 == 0, "MCP AI Agents").when(F.col("p_partkey") % 3 == 1, "Chat with X").otherwise(F.col("p_type"))
+    t = F.element_at(F.array(*[F.lit(x) for x in _STORED]), (F.col("p_partkey") % len(_STORED) + 1).cast("int"))
     return table(spark, d, "part").select("p_partkey", K.coarse_type(t).alias("type"))
 
 
-@query(Q.chain("totals", f" SELECT pos, lane = 'apps' AND total >= {C.CASE_MIN_TOTAL} AND (rel IS NULL OR rel >= {C.CASE_MIN_REL}) AS enters FROM totals"))
-def case_entry_gate(spark, d):
-    from ..operators import select as L
+def _totals(spark, d):
+    return L.score_items(L.cross_source_fold(L.window_with_floor(L.in_source_dedup(items(spark, d, desc=False)))))
+
 
-    x = L.score_items(L.cross_source_fold(L.window_with_floor(L.in_source_dedup(items(spark, d, desc=False)))))
+@query(Q.chain("totals", f" SELECT pos, {_ENTERS} AS enters FROM totals"))
+def case_entry_gate(spark, d):
+    x = _totals(spark, d)
     return x.select("pos", K.entry_gate(F.col("title"), F.col("title_cn"), F.lit(""), F.col("total"), F.col("score.rel"), F.col("lane")).alias("enters"))
 
 
@@ -273,7 +319,8 @@ _PAIR = f"pair AS (SELECT a.pos, b.pos AS other, a.canon <> '' AND a.canon = b.c
 
 
 def _sides(spark, d):
-    t = D.with_tokens(items(spark, d, desc=False))
+    """Incoming and base rows with their tokens, made once."""
+    t = handover(D.with_tokens(items(spark, d, desc=False)))
     return t.filter("pos % 10 = 3"), t.filter("pos % 10 <> 3")
 
 
@@ -283,13 +330,13 @@ def dup_url(spark, d):
     return D.url_edges(a, b.unionByName(a))
 
 
-@query(Q.chain("items", f", {_SIDES}, {_PAIR} SELECT pos, other FROM pair WHERE sim >= {C.SIM_TITLE}"))
+@query(Q.chain("items", f", {_SIDES}, {_PAIR} SELECT pos, other FROM pair WHERE 100 * sim >= {C.SIM_TITLE} - 1e-9"))
 def dup_title_jaccard(spark, d):
     a, b = _sides(spark, d)
     return D.title_edges(a, b.unionByName(a))
 
 
-@query(Q.chain("items", f", {_SIDES}, {_PAIR} SELECT pos, other FROM pair WHERE near AND sim >= {C.SIM_HOST}"))
+@query(Q.chain("items", f", {_SIDES}, {_PAIR} SELECT pos, other FROM pair WHERE near AND 100 * sim >= {C.SIM_HOST} - 1e-9"))
 def dup_host_time(spark, d):
     a, b = _sides(spark, d)
     return D.host_edges(a, b.unionByName(a))
@@ -301,32 +348,112 @@ def _resolved(spark, d):
     return D.resolve(ranked, handover(D.edges(a, b)), handover)
 
 
-@query()
+# greedy by rank, one row a step: `kept` grows by the rows without a conflict
+_GREEDY = f"""{_SIDES}, {_PAIR},
+edges AS (SELECT pos, other, CASE WHEN u THEN 0 WHEN 100 * sim >= {C.SIM_TITLE} - 1e-9 THEN 1 ELSE 2 END AS reason
+          FROM pair WHERE u OR 100 * sim >= {C.SIM_TITLE} - 1e-9 OR (near AND 100 * sim >= {C.SIM_HOST} - 1e-9)),
+rnk AS (SELECT pos, row_number() OVER (ORDER BY coalesce(rel, 0) DESC, pos) AS k FROM t WHERE incoming),
+nb AS (SELECT r.pos, r.k, coalesce(bool_or(o.pos IS NULL) FILTER (e.pos IS NOT NULL), false) AS base, list(o.pos) FILTER (o.pos IS NOT NULL) AS near
+       FROM rnk r LEFT JOIN edges e ON e.pos = r.pos LEFT JOIN rnk o ON o.pos = e.other GROUP BY 1, 2),
+steps AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS kept
+  UNION ALL
+  SELECT n.k, CASE WHEN n.base OR list_has_any(coalesce(n.near, []), s.kept) THEN s.kept ELSE list_append(s.kept, n.pos) END FROM steps s JOIN nb n ON n.k = s.k + 1
+),
+stay AS (SELECT unnest(kept) AS pos FROM steps WHERE k = (SELECT max(k) FROM steps)),
+why AS (
+  SELECT e.pos, min(e.reason) AS reason FROM edges e JOIN rnk r ON r.pos = e.pos LEFT JOIN rnk o ON o.pos = e.other LEFT JOIN stay s ON s.pos = e.other
+  WHERE o.pos IS NULL OR (s.pos IS NOT NULL AND o.k < r.k) GROUP BY e.pos
+),
+resolved AS (SELECT r.pos, CASE WHEN s.pos IS NULL THEN w.reason END AS reason FROM rnk r LEFT JOIN stay s ON s.pos = r.pos LEFT JOIN why w ON w.pos = r.pos)"""
+
+
+def _recursive(sql):
+    return sql.replace("WITH", "WITH RECURSIVE", 1)
+
+
+@query(_recursive(Q.chain("items", f", {_GREEDY} SELECT pos, reason FROM resolved")))
 def curated_dedup(spark, d):
-    """Greedy resolution: checked against a sequential version in the tests."""
+    """Greedy resolution in rounds; the SQL goes row by row."""
     return _resolved(spark, d)
 
 
-@query()
+@query(_recursive(Q.chain("items", f", {_GREEDY} SELECT name AS reason, (SELECT count(*) FROM resolved r WHERE r.reason = n.k) AS n FROM (VALUES (0, 'url'), (1, 'title'), (2, 'host_time')) n(k, name)")))
 def dedup_drop_counts(spark, d):
     return D.drop_counts(_resolved(spark, d))
 
 
+# curated rows and fetched bodies
+
+_CURATED = "CASE WHEN pos % 20 = 3 THEN 'own ' || pos WHEN pos % 20 = 13 THEN '' END"
+
+
+def _curated(spark, d):
+    """Every tenth item is curated; half of those have a summary of their own, a third a reason."""
+    p = F.col("pos")
+    own = F.when(p % 20 == 3, F.concat(F.lit("own "), p.cast("string"))).when(p % 20 == 13, "")
+    why = F.when(p % 30 == 3, F.concat(F.lit("why "), p.cast("string")))
+    x = items(spark, d).select("pos", "url", F.substring("desc", 1, 50).alias("desc"), (p % 10 == 3).alias("is_curated"))
+    return x.select("*", F.lit("model summary").alias("summary"), F.lit("model reason").alias("reason"), own.alias("curated_summary"), why.alias("curated_reason"))
+
+
+@query(
+    Q.chain(
+        "items",
+        f""" SELECT pos, CASE WHEN pos % 20 = 3 THEN 'own ' || pos ELSE 'model summary' END AS summary,
+        CASE WHEN pos % 30 = 3 THEN 'why ' || pos ELSE 'model reason' END AS reason,
+        CASE WHEN pos % 20 = 3 THEN 'own ' || pos ELSE CASE WHEN pos % 10 = 3 THEN coalesce(substr(descr, 1, 50), '') ELSE substr(descr, 1, 50) END END AS "desc" FROM items""",
+    )
+)
+def curated_restore(spark, d):
+    return U.restore(_curated(spark, d)).select("pos", "summary", "reason", "desc")
+
+
+@query(
+    Q.chain(
+        "items",
+        """, b AS (SELECT url, max(trim('Body of ' || pos || ' ' || repeat('word ', pos % 400))) AS body FROM items WHERE pos % 3 = 0 GROUP BY url),
+        c AS (SELECT i.pos, substr(i.descr, 1, 600) AS descr, substr(b.body, 1, 1500) AS body FROM items i LEFT JOIN b ON b.url = i.url)
+        SELECT pos, CASE WHEN length(body) > length(coalesce(descr, '')) THEN body ELSE descr END AS "desc",
+               CASE WHEN length(body) > length(coalesce(descr, '')) THEN 'reader' END AS desc_from FROM c""",
+    )
+)
+def body_fill(spark, d):
+    """Bodies of a reader service landed for every third url; the header lines go."""
+    p = F.col("pos").cast("string")
+    x = items(spark, d).select("pos", "url", F.substring("desc", 1, 600).alias("desc"))
+    text = F.concat(F.lit("Title: t\nURL Source: u\nMarkdown Content:\n<p>Body of "), p, F.lit(" "), F.expr("repeat('word ', cast(pos % 400 as int))"), F.lit("</p>"))
+    return U.fill_bodies(x, x.filter("pos % 3 = 0").select("url", text.alias("body"))).select("pos", "desc", "desc_from")
+
+
 # health and aggregates over events
 
-_ATT = "att AS (SELECT user_id AS source_id, event_type AS host, count(*) AS n, CAST(floor(median(value)) AS BIGINT) AS desc_median, max(ts) AS newest, bool_and(event_type <> 'error') AS ok, row_number() OVER (PARTITION BY user_id ORDER BY event_type) AS path_rank FROM events GROUP BY 1, 2)"
+# an attempt per user and kind of event: every eleventh user's paths bring nothing, some bring old items only
+_ATT = """att AS (
+  SELECT user_id AS source_id, event_type AS host, CASE WHEN user_id % 11 = 0 THEN 0 ELSE count(*) END AS n, CAST(floor(median(value)) AS BIGINT) AS desc_median,
+         max(ts) - to_hours(CAST(user_id % 3 * 300 AS INT)) AS newest, bool_and(event_type <> 'error') AS ok, user_id % 4 = 0 AS special,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_type) AS INT) AS path_rank
+  FROM events GROUP BY user_id, event_type
+)"""
 
 
 def _attempts(spark, d):
-    e = table(spark, d, "events")
-    a = e.groupBy(F.col("user_id").alias("source_id"), F.col("event_type").alias("host")).agg(F.count(F.lit(1)).alias("n"), F.floor(F.median("value")).alias("desc_median"), F.max("ts").alias("newest"))
-    return a.withColumn("ok", F.col("host") != "error").withColumn("path_rank", F.row_number().over(W.partitionBy("source_id").orderBy("host"))).withColumn("age_h", S.age_hours(F.col("newest"), C.AS_OF))
+    u = F.col("source_id")
+    e = table(spark, d, "events").withColumn("source_id", F.col("user_id"))
+    a = e.groupBy("source_id", F.col("event_type").alias("host")).agg(F.count(F.lit(1)).alias("n"), F.floor(F.median("value")).alias("desc_median"), F.max("ts").alias("newest"))
+    a = a.withColumn("n", F.when(u % 11 == 0, 0).otherwise(F.col("n"))).withColumn("newest", F.col("newest") - F.make_interval(hours=(u % 3 * 300).cast("int")))
+    a = a.withColumn("ok", F.col("host") != "error").withColumn("special", u % 4 == 0)
+    a = a.withColumn("path_rank", F.row_number().over(W.partitionBy("source_id").orderBy("host"))).withColumn("age_h", S.age_hours(F.col("newest"), C.AS_OF))
+    return a.withColumn("diag", F.concat("host", F.lit(":"), F.col("n").cast("string")))
+
 
+_LENGTH = "median(length(props)) FILTER (length(props) > 0)"
 
-@query("SELECT user_id AS source_id, event_type AS host, coalesce(CAST(floor(median(length(props)) FILTER (length(props) > 0)) AS BIGINT), 0) AS desc_median FROM events GROUP BY 1, 2")
+
+@query(f"SELECT user_id AS source_id, event_type AS host, coalesce(CAST(floor({_LENGTH}) AS BIGINT), 0) AS desc_median FROM events GROUP BY 1, 2")
 def desc_median(spark, d):
-    n = F.char_length("props")
-    return table(spark, d, "events").groupBy(F.col("user_id").alias("source_id"), F.col("event_type").alias("host")).agg(F.coalesce(F.floor(F.median(F.when(n > 0, n))), F.lit(0)).alias("desc_median"))
+    e = table(spark, d, "events").select(F.col("user_id").alias("source_id"), F.col("event_type").alias("host"), "props")
+    return R.desc_median(e, ["source_id", "host"], "props")
 
 
 @query(f"WITH {_ATT}, best AS (SELECT source_id, host FROM att WHERE ok QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY desc_median DESC, n DESC, path_rank) = 1) SELECT source_id, count(*) FILTER (ok) AS ok_paths, count(*) AS paths, any_value(best.host) AS best_host FROM att LEFT JOIN best USING (source_id) GROUP BY source_id")
@@ -339,20 +466,29 @@ def probe_freshness(spark, d):
     return R.freshness(_attempts(spark, d))
 
 
-@query(f"WITH {_ATT} SELECT source_id, arg_min(host, path_rank) AS host FROM att WHERE desc_median >= 30 AND ok GROUP BY source_id")
+_PASSES = "ok AND (n > 0 OR special) AND desc_median >= {}"
+
+
+@query(f"WITH {_ATT} SELECT source_id, arg_min(host, path_rank) AS host FROM att WHERE {_PASSES.format(30)} GROUP BY source_id")
 def pick_path(spark, d):
-    return _attempts(spark, d).filter((F.col("desc_median") >= 30) & F.col("ok")).groupBy("source_id").agg(F.min_by("host", "path_rank").alias("host"))
+    return R.pick_path(_attempts(spark, d), 30)
 
 
-@query(f"WITH {_ATT} SELECT source_id, string_agg(host || ':' || n, '; ' ORDER BY path_rank)[1:200] AS reason FROM att GROUP BY source_id HAVING NOT bool_or(ok AND desc_median >= 60)")
+@query(
+    f"""WITH {_ATT} SELECT source_id, string_agg(host || ':' || n, '; ' ORDER BY path_rank)[1:200] AS reason
+    FROM att GROUP BY source_id HAVING NOT bool_or({_PASSES.format(60)})"""
+)
 def degraded_sources(spark, d):
-    a = _attempts(spark, d)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path_rank", F.concat("host", F.lit(":"), F.col("n").cast("string")).alias("s")))), lambda x: x["s"]), "; ")
-    passing = F.max((F.col("ok") & (F.col("desc_median") >= 60)).cast("int"))
-    return a.groupBy("source_id").agg(F.substring(text, 1, 200).alias("reason"), passing.alias("p")).filter("p = 0").drop("p")
+    return R.degraded(_attempts(spark, d), 60)
 
 
-@query(Q.chain("items", f", s AS (SELECT source_id, any_value(lane) AS lane, count(*) > 40 AS enabled FROM items GROUP BY 1), lanes AS (SELECT unnest({C.LANES}) AS lane) SELECT lane, count(*) FILTER (enabled) AS enabled, count(source_id) AS total FROM lanes LEFT JOIN s USING (lane) GROUP BY lane"))
+@query(
+    Q.chain(
+        "items",
+        f""", s AS (SELECT source_id, any_value(lane) AS lane, count(*) > 40 AS enabled FROM items GROUP BY 1), lanes AS (SELECT unnest({C.LANES}) AS lane)
+        SELECT lane, count(*) FILTER (enabled) AS enabled, count(source_id) AS total FROM lanes LEFT JOIN s USING (lane) GROUP BY lane""",
+    )
+)
 def lane_coverage(spark, d):
-    s = items(spark, d, desc=False).groupBy("source_id").agg(F.first("lane").alias("lane"), (F.count(F.lit(1)) > 40).alias("enabled"))
-    return R.dim_lane(spark).join(s, "lane", "left").groupBy("lane").agg(F.count_if("enabled").alias("enabled"), F.count("source_id").alias("total"))
+    sources = items(spark, d, desc=False).groupBy("source_id").agg(F.first("lane").alias("lane"), (F.count(F.lit(1)) > 40).alias("enabled"))
+    return R.lane_coverage(sources)

@@ -44,13 +44,14 @@ def upsert(library: DataFrame, new: DataFrame, day: str) -> DataFrame:
 
 
 def purge(library: DataFrame, cut: DataFrame) -> DataFrame:
-    """Library without the urls of `cut` and without rows that fail the keep gate."""
+    """Library without the urls of `cut` (today's items that fail the entry gate) and without rows that fail the keep gate."""
     return library.join(cut.select("url").distinct(), "url", "left_anti").filter(keep_gate(F.col("title"), F.col("type"), F.col("score"), F.col("rel")))
 
 
 def coarse_type(c: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for pair in C.COARSE_TYPES.items() for x in pair])
-    return F.coalesce(F.try_element_at(table, F.lower(c)), c)
+    """Coarse category of a stored fine one; others stay as they are."""
+    table = {fine: C.COARSE_TYPES.get(section, C.DEFAULT_TYPE) for section, fine in C.FINE_TYPES.items()}
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), c), c)
 
 
 def evict(library: DataFrame, most: int = C.CASE_MAX) -> DataFrame:

@@ -22,8 +22,8 @@ def with_tokens(items: DataFrame) -> DataFrame:
     return items.withColumn("zh", both(X.cjk_tokens)).withColumn("en", both(X.latin_tokens)).withColumn("canon", X.canonical_url(F.col("url"))).withColumn("host", X.host_of(F.col("url")))
 
 
-def similarity(a: str = "a", b: str = "b"):
-    return F.greatest(X.jaccard(F.col(f"{a}.zh"), F.col(f"{b}.zh")), X.jaccard(F.col(f"{a}.en"), F.col(f"{b}.en")))
+def alike(percent: int, a: str = "a", b: str = "b"):
+    return X.similar(F.col(f"{a}.zh"), F.col(f"{b}.zh"), percent) | X.similar(F.col(f"{a}.en"), F.col(f"{b}.en"), percent)
 
 
 def url_edges(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -32,42 +32,49 @@ def url_edges(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.filter("canon <> ''").select("pos", "canon").join(b, "canon").filter("pos <> other").select("pos", "other")
 
 
-def title_edges(left: DataFrame, right: DataFrame, at_least: float = C.SIM_TITLE) -> DataFrame:
-    """pos, other: Jaccard of at least at_least in one language."""
+def title_edges(left: DataFrame, right: DataFrame, percent: int = C.SIM_TITLE) -> DataFrame:
+    """pos, other: Jaccard of at least `percent` hundredths in one language. All bounds are whole numbers.
+
+    The tokens of both sides are exploded once per language; document frequencies come
+    from the same rows.
+    """
     out = None
     for lang in ("zh", "en"):
-        sides = left.select("pos", F.col(lang).alias("t")).unionByName(right.select("pos", F.col(lang).alias("t"))).dropDuplicates(["pos"]).filter(F.size("t") > 0)
-        df = sides.select(F.explode("t").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("f"))
-        ranked = (
-            sides.select("pos", F.size("t").alias("n"), F.explode("t").alias("w"))
-            .join(df, "w")
-            .groupBy("pos", "n")
-            .agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("o"))
-            .select("pos", "n", F.explode(F.slice("o", 1, F.col("n") - F.ceil(F.col("n") * at_least).cast("int") + 1)).alias("p"))
-            .select("pos", "n", F.col("p.w").alias("w"))
-        )
-        a = ranked.join(left.select("pos"), "pos", "left_semi")
-        b = ranked.join(right.select("pos"), "pos", "left_semi").select(F.col("pos").alias("other"), F.col("n").alias("m"), "w")
-        met = a.join(b, "w").filter((F.col("pos") != F.col("other")) & (F.col("m") >= F.col("n") * at_least) & (F.col("n") >= F.col("m") * at_least)).select("pos", "other").distinct()
+        sides = left.select("pos", F.lit(True).alias("left"), F.col(lang).alias("t")).unionByName(right.select("pos", F.lit(False).alias("left"), F.col(lang).alias("t")))
+        sides = sides.filter(F.size("t") > 0).groupBy("pos").agg(F.max("left").alias("left"), F.max(~F.col("left")).alias("right"), F.first("t").alias("t"))
+        words = sides.select("pos", "left", "right", F.size("t").alias("n"), F.explode("t").alias("w"))
+        df = words.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
+        first = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+        ranked = words.join(df, "w").groupBy("pos", "left", "right", "n").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("o"))
+        ranked = ranked.select("pos", "left", "right", "n", F.explode(F.slice("o", 1, first)).alias("p")).select("pos", "left", "right", "n", F.col("p.w").alias("w"))
+        b = ranked.filter("right").select(F.col("pos").alias("other"), F.col("n").alias("m"), "w")
+        sizes = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
+        met = ranked.filter("left").select("pos", "n", "w").join(b, "w").filter((F.col("pos") != F.col("other")) & sizes).select("pos", "other").distinct()
         sure = (
             met.join(left.select("pos", F.col(lang).alias("t1")), "pos")
             .join(right.select(F.col("pos").alias("other"), F.col(lang).alias("t2")), "other")
-            .filter(X.jaccard(F.col("t1"), F.col("t2")) >= at_least)
+            .filter(X.similar(F.col("t1"), F.col("t2"), percent))
             .select("pos", "other")
         )
         out = sure if out is None else out.unionByName(sure)
     return out.distinct()
 
 
-def host_edges(left: DataFrame, right: DataFrame, hours: int = C.HOST_HOURS, at_least: float = C.SIM_HOST) -> DataFrame:
-    """pos, other: same host, both dated, less than `hours` apart, Jaccard of at least at_least."""
+def host_edges(left: DataFrame, right: DataFrame, hours: int = C.HOST_HOURS, percent: int = C.SIM_HOST, salts: int = 8) -> DataFrame:
+    """pos, other: same host, both dated, less than `hours` apart, Jaccard of at least `percent` hundredths.
+
+    Rows are dealt by host and time bucket, and by a salt: a busy host's bucket is `salts`
+    tasks, each with all of the (few) incoming rows and a part of the others.
+    """
     span = hours * 3600
-    second = F.unix_timestamp("dt")
-    a = left.filter("dt is not null and host <> ''").withColumn("s", second).withColumn("bucket", F.explode(F.array(*[F.floor(F.col("s") / span) + k for k in (-1, 0, 1)])))
-    b = right.filter("dt is not null and host <> ''").withColumn("s", second).withColumn("bucket", F.floor(F.col("s") / span))
-    met = a.alias("a").join(b.alias("b"), (F.col("a.host") == F.col("b.host")) & (F.col("a.bucket") == F.col("b.bucket")))
+    columns = ["pos", "host", "zh", "en", F.unix_timestamp("dt").alias("s")]
+    dated = "dt is not null and host <> ''"
+    a = left.filter(dated).select(*columns).withColumn("bucket", F.explode(F.array(*[F.floor(F.col("s") / span) + k for k in (-1, 0, 1)])))
+    a = a.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    b = right.filter(dated).select(*columns).withColumn("bucket", F.floor(F.col("s") / span)).withColumn("salt", F.pmod(F.xxhash64("pos"), F.lit(salts)).cast("int"))
+    same = (F.col("a.host") == F.col("b.host")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.salt") == F.col("b.salt"))
     near = (F.col("a.pos") != F.col("b.pos")) & (F.abs(F.col("a.s") - F.col("b.s")) < span)
-    return met.filter(near & (similarity() >= at_least)).select(F.col("a.pos").alias("pos"), F.col("b.pos").alias("other")).distinct()
+    return a.alias("a").join(b.alias("b"), same).filter(near & alike(percent)).select(F.col("a.pos").alias("pos"), F.col("b.pos").alias("other")).distinct()
 
 
 REASONS = {"url": 0, "title": 1, "host_time": 2}

@@ -19,6 +19,20 @@ def summary_or_desc(summary: Column, desc: Column) -> Column:
     return F.coalesce(F.nullif(summary, F.lit("")), F.substring(desc, 1, 200))
 
 
+def publish(brief: DataFrame, as_of: str = C.AS_OF) -> DataFrame:
+    """The published columns of a brief (with summary, desc, desc_zh, dt): texts cut to their lengths, nothing internal."""
+    return brief.select(
+        "run_date",
+        "pos",
+        X.item_id(F.col("title")).alias("id"),
+        L.S.pub_display(F.col("dt"), as_of).alias("pub_time"),
+        L.S.pub_iso(F.col("dt")).alias("pub_ts"),
+        F.substring("desc", 1, 2000).alias("descr"),
+        F.substring(summary_or_desc(F.col("summary"), F.col("desc")), 1, 300).alias("summary"),
+        F.substring("desc_zh", 1, 2400).alias("desc_zh"),
+    )
+
+
 def source_funnel(items: DataFrame) -> DataFrame:
     """Raw, deduped, in window, taken and stale rows per source and run: one aggregate per stage, joined on the same key."""
     key = ["run_date", "source_id"]
@@ -42,9 +56,9 @@ def level_counts(brief: DataFrame) -> DataFrame:
 
 
 def brief_counts(brief: DataFrame) -> DataFrame:
-    """Total, per lane and per level of each day in one pass."""
+    """Total, per lane and per level of each day in one pass; brief has is_repeat."""
     sets = [["run_date"], ["run_date", "lane"], ["run_date", "level"]]
-    return brief.groupingSets([[F.col(c) for c in s] for s in sets], "run_date", "lane", "level").agg(F.count(F.lit(1)).alias("n"), F.count_if("stale").alias("stale"))
+    return brief.groupingSets([[F.col(c) for c in s] for s in sets], "run_date", "lane", "level").agg(F.count(F.lit(1)).alias("n"), F.count_if("stale").alias("stale"), F.count_if("is_repeat").alias("repeat"))
 
 
 def tier_inversion(brief: DataFrame) -> DataFrame:
@@ -80,3 +94,34 @@ def freshness(attempts: DataFrame) -> DataFrame:
     """Age in hours of the freshest item; empty, zombie over 240 h, slow over 72 h."""
     fresh = attempts.groupBy("source_id").agg(F.sum("n").alias("n"), F.min("age_h").alias("fresh_h"))
     return fresh.withColumn("flag", F.when(F.col("n") == 0, "empty").when(F.col("fresh_h") > 240, "zombie").when(F.col("fresh_h") > 72, "slow").otherwise("ok"))
+
+
+def pick_path(attempts: DataFrame, desc_min: int) -> DataFrame:
+    """source_id, host: the first path (by rank) that parsed and has text enough (desc_min 0: no gate).
+
+    attempts: source_id, path_rank, host, ok, n, desc_median, special. A path without
+    items fails, but for special parsers, which may find nothing.
+    """
+    passes = F.col("ok") & ((F.col("n") > 0) | F.col("special")) & (F.lit(desc_min == 0) | (F.col("desc_median") >= desc_min))
+    return attempts.filter(passes).groupBy("source_id").agg(F.min_by("host", "path_rank").alias("host"))
+
+
+def degraded(attempts: DataFrame, desc_min: int) -> DataFrame:
+    """source_id, reason of sources with no passing path: what each path said, in order, 200 characters at most."""
+    told = F.array_sort(F.collect_list(F.struct("path_rank", "diag")))
+    reason = F.substring(F.array_join(F.transform(told, lambda x: x["diag"]), "; "), 1, 200)
+    every = attempts.groupBy("source_id").agg(reason.alias("reason"))
+    return every.join(pick_path(attempts, desc_min), "source_id", "left_anti")
+
+
+def lane_coverage(sources: DataFrame) -> DataFrame:
+    """Enabled and all sources per lane, lanes without sources included."""
+    lanes = dim_lane(sources.sparkSession)
+    return lanes.join(sources, "lane", "left").groupBy("lane").agg(F.count_if("enabled").alias("enabled"), F.count("source_id").alias("total"))
+
+
+def desc_median(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Median length of non-empty texts per key, whole (0 if none): from counts per length, not from all lengths."""
+    n = F.char_length(text)
+    lengths = rows.groupBy(*keys, n.alias("n")).agg(F.count(F.lit(1)).alias("c"))
+    return lengths.groupBy(*keys).agg(F.coalesce(F.floor(F.percentile(F.when(F.col("n") > 0, F.col("n")), 0.5, F.col("c"))), F.lit(0)).alias("desc_median"))

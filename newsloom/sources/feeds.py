@@ -11,13 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..config import LANE_HOURS
 from ..functions import text as X
+from ..functions.residue import strip_tags
 from ..functions.scalars import age_hours, as_of_ts, parse_dt
 
-# Where listed names live.
+# The curated feed's name and address, where an entry has none.
+CURATED = ("AIHOT", "https://aihot.news/")
+# Where listed names live. The display strings of the parsers below are fixed values too.
 PAPERS, HUB, APPS, ROUTER = "https://huggingface.co/papers/", "https://huggingface.co/", "https://huggingface.co/spaces/", "https://openrouter.ai/"
 
-RSS = "channel struct<item: array<struct<title:string, link:string, guid:string, description:string, `content:encoded`:string, pubDate:string, `dc:date`:string>>>"
+_RSS_ITEM = "array<struct<title:string, link:string, guid:string, description:string, `content:encoded`:string, pubDate:string, `dc:date`:string>>"
+RSS = f"channel struct<item: {_RSS_ITEM}>, item {_RSS_ITEM}"
 ATOM = "entry array<struct<title:string, link:array<struct<_href:string, _rel:string>>, content:string, summary:string, published:string, updated:string>>"
 _PAPER = "title:string, summary:string, abstract:string, url:string"
 _ENTRY = f"struct<{_PAPER}, id:string, description:string, publishedAt:string, published_at:string, date:string, createdAt:string, paper:struct<{_PAPER}>>"
@@ -25,7 +30,7 @@ _LISTED = "models array<struct<id:string, display_name:string, org:string, liste
 _CATALOGUE = "data array<struct<id:string, name:string, context_length:double, pricing:struct<prompt:string, completion:string>, architecture:struct<input_modalities:array<string>>, description:string>>"
 _REPOS = "array<struct<modelId:string, id:string, createdAt:string, likes:long, downloads:long, tags:array<string>>>"
 _SPACES = "array<struct<id:string, sdk:string, likes:long, createdAt:string, lastModified:string>>"
-_CURATED = "items array<struct<title:string, originalTitle:string, summary:string, source:struct<name:string>, links:struct<original:string>, publishedAt:string, discoveredAt:string, score:int, selected:boolean>>"
+_CURATED = "items array<struct<title:string, originalTitle:string, summary:string, source:struct<name:string>, links:struct<original:string>, reason:string, category:string, attribution:struct<name:string, url:string>, publishedAt:string, discoveredAt:string, score:int, selected:boolean>>"
 
 
 def filled(*columns: Column) -> Column:
@@ -55,10 +60,13 @@ def _commas(c: Column) -> Column:
 
 
 def parse_rss(bodies: DataFrame) -> DataFrame:
-    rows = _entries(bodies, F.from_xml("body", RSS)["channel"]["item"])
+    """Items of the channel, then those beside it (RSS 1.0)."""
+    none = F.array().cast(_RSS_ITEM)
+    rows = F.from_xml("body", RSS)
+    rows = _entries(bodies, F.concat(F.coalesce(rows["channel"]["item"], none), F.coalesce(rows["item"], none)))
     guid = F.trim("e.guid")
     url = F.coalesce(F.nullif(F.trim("e.link"), F.lit("")), F.when(guid.startswith("http"), guid))
-    return _items(rows, X.strip_tags(F.col("e.title")), X.strip_tags(filled(F.col("e.`content:encoded`"), F.col("e.description"))), url, parse_dt(filled(F.col("e.pubDate"), F.col("e.`dc:date`"))))
+    return _items(rows, strip_tags(F.col("e.title")), strip_tags(filled(F.col("e.`content:encoded`"), F.col("e.description"))), url, parse_dt(filled(F.col("e.pubDate"), F.col("e.`dc:date`"))))
 
 
 def parse_atom(bodies: DataFrame) -> DataFrame:
@@ -67,7 +75,7 @@ def parse_atom(bodies: DataFrame) -> DataFrame:
     own = F.filter("e.link", lambda x: x["_href"].isNotNull() & F.coalesce(x["_rel"] == "alternate", F.lit(True)))
     any_ = F.filter("e.link", lambda x: x["_href"].isNotNull())
     url = F.coalesce(F.get(own, F.lit(0))["_href"], F.get(any_, F.lit(0))["_href"])
-    return _items(rows, X.strip_tags(F.col("e.title")), X.strip_tags(filled(F.col("e.content"), F.col("e.summary"))), url, parse_dt(filled(F.col("e.published"), F.col("e.updated"))))
+    return _items(rows, strip_tags(F.col("e.title")), strip_tags(filled(F.col("e.content"), F.col("e.summary"))), url, parse_dt(filled(F.col("e.published"), F.col("e.updated"))))
 
 
 def parse_json_items(bodies: DataFrame) -> DataFrame:
@@ -80,8 +88,8 @@ def parse_json_items(bodies: DataFrame) -> DataFrame:
     desc = filled(e["paper"]["summary"], e["paper"]["abstract"], F.when(e["paper"].isNull(), filled(e["summary"], e["abstract"])), e["description"])
     return _items(
         rows,
-        X.strip_tags(filled(e["paper"]["title"], e["title"], e["id"])),
-        X.strip_tags(desc),
+        strip_tags(filled(e["paper"]["title"], e["title"], e["id"])),
+        strip_tags(desc),
         F.when(url.startswith("http"), url).otherwise(F.concat(F.lit(PAPERS), url)),
         parse_dt(filled(e["publishedAt"], e["published_at"], e["date"], e["createdAt"])),
     )
@@ -151,8 +159,11 @@ def parse_spaces(bodies: DataFrame, take: int = 6) -> DataFrame:
     return _first(_items(rows, F.concat(F.lit("Spaces 应用："), sid), F.concat_ws("；", *facts), F.concat(F.lit(APPS), sid), parse_dt(e["lastModified"])), take)
 
 
-def parse_curated(bodies: DataFrame, as_of: str) -> DataFrame:
-    """Selected entries with a title and an original link; more columns: title_en, block, age_h (-1 unknown), score."""
+def parse_curated(bodies: DataFrame, as_of: str, window_hours: int = LANE_HOURS["hot"]) -> DataFrame:
+    """Selected entries with a title and an original link; more columns: title_en, block, age_h (-1 unknown), score, reason, category, attribution, stale.
+
+    Entries older than `window_hours` stay and are marked stale.
+    """
     e = F.col("e")
     rows = _entries(bodies, F.from_json("body", _CURATED)["items"]).filter(e["selected"] & (F.trim(e["title"]) != "") & (F.trim(e["links"]["original"]) != ""))
     dt = parse_dt(filled(e["publishedAt"], e["discoveredAt"]))
@@ -167,6 +178,10 @@ def parse_curated(bodies: DataFrame, as_of: str) -> DataFrame:
         F.coalesce(age_hours(dt, as_of), F.lit(-1)).alias("age_h"),
         X.source_label(e["source"]["name"]).alias("block"),
         e["score"].alias("score"),
+        F.trim(F.coalesce(e["reason"], F.lit(""))).alias("reason"),
+        F.coalesce(e["category"], F.lit("")).alias("category"),
+        F.coalesce(e["attribution"], F.struct(F.lit(CURATED[0]).alias("name"), F.lit(CURATED[1]).alias("url"))).alias("attribution"),
+        F.coalesce(age_hours(dt, as_of) > window_hours, F.lit(False)).alias("stale"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Sinks: the brief by day, run reports as JSON, snapshots of the case library."""
+"""Sinks and what reads them back: the brief by day, run reports as JSON, snapshots of the case library."""
 
 from __future__ import annotations
 
@@ -31,3 +31,38 @@ def write_snapshot(library: DataFrame, path: str, version: int) -> str:
     at = f"{path}/v={version:012d}"
     library.write.mode("overwrite").parquet(at)
     return at
+
+
+REPORT = (
+    "counts struct<total:long, stale:long>, "
+    "sources array<struct<source_id:string, raw:long, deduped:long, in_window:long, taken:long, stale:long>>, "
+    "degraded array<struct<source_id:string, reason:string>>"
+)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """run_date and the parts of each stored report."""
+    rows = spark.read.schema("run_date date, report string").json(path)
+    return rows.select("run_date", F.from_json("report", REPORT).alias("r")).select("run_date", "r.*")
+
+
+def report_sources(reports: DataFrame) -> DataFrame:
+    """A row per run and source, with the reason where it was degraded."""
+    rows = reports.select("run_date", F.explode("sources").alias("s"), "degraded")
+    why = F.get(F.filter("degraded", lambda x: x["source_id"] == F.col("s.source_id")), F.lit(0))["reason"]
+    return rows.select("run_date", "s.*", why.alias("reason"))
+
+
+def write_cases(library: DataFrame, path: str, version: int) -> None:
+    """A snapshot, and beside it its size and sorted distinct types."""
+    at = write_snapshot(library, path, version)
+    stored = library.sparkSession.read.schema(library.schema).parquet(at)
+    kinds = F.array_sort(F.collect_set(F.nullif(F.col("type"), F.lit(""))))
+    stored.agg(F.count(F.lit(1)).alias("n"), kinds.alias("types")).write.mode("overwrite").json(f"{path}/about/v={version:012d}")
+
+
+def read_cases(rows: DataFrame) -> DataFrame:
+    """A stored library by url: rows without one go, of rows that share a url the last (greatest pos) stays."""
+    kept = rows.filter(F.coalesce("url", F.lit("")) != "")
+    rest = [c for c in rows.columns if c != "url"]
+    return kept.groupBy("url").agg(F.max_by(F.struct(*rest), "pos").alias("r")).select("url", "r.*")

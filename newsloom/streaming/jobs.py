@@ -1,4 +1,8 @@
-"""Structured Streaming jobs over landed files. Late rows are never dropped from the items; only state expires."""
+"""Structured Streaming jobs over landed files.
+
+Ingest keeps every row. Dedup and pins drop rows that are older than their watermark
+(30 days behind the newest row), health those an hour behind: their state is gone.
+"""
 
 from __future__ import annotations
 
@@ -39,7 +43,7 @@ def title_pins(items: DataFrame, horizon_days: int = 30) -> DataFrame:
     """id, pinned, seen_at: the wording an id keeps until it hasn't been seen for horizon_days; a row per id and batch.
 
     The earliest wording of a batch pins a new id (ties: the smallest). The state is
-    one wording per id, and expires by event time.
+    one wording per id, and expires by event time, the horizon behind the newest row.
     """
     wait = horizon_days * 86_400_000
 
@@ -48,15 +52,18 @@ def title_pins(items: DataFrame, horizon_days: int = 30) -> DataFrame:
             state.remove()
             return
         kept, seen = state.get if state.exists else (None, 0)
-        found = None
+        found = first = newest = None
         for p in parts:
             ms = p["seen_at"].astype("datetime64[ms]").astype("int64")
             best = min(zip(ms, p["title_cn"]))
             found = best if found is None else min(found, best)
-            seen = max(seen, int(ms.max()))
+            first = best[0] if first is None else min(first, best[0])
+            newest = int(ms.max()) if newest is None else max(newest, int(ms.max()))
         if found is None:
             return
-        kept = kept or found[1]
+        if kept is None or first - seen > wait:  # a new id, or one not seen for the horizon
+            kept = found[1]
+        seen = max(seen, newest)
         if seen + wait > state.getCurrentWatermarkMs():
             state.update((kept, seen))
             state.setTimeoutTimestamp(seen + wait)
@@ -64,7 +71,7 @@ def title_pins(items: DataFrame, horizon_days: int = 30) -> DataFrame:
             state.remove()
         yield pd.DataFrame({"id": [key[0]], "pinned": [kept], "seen_at": [pd.Timestamp(seen, unit="ms")]})
 
-    worded = items.filter(F.coalesce("title_cn", F.lit("")) != "").select("id", "title_cn", "seen_at").withWatermark("seen_at", "1 day")
+    worded = items.filter(F.coalesce("title_cn", F.lit("")) != "").select("id", "title_cn", "seen_at").withWatermark("seen_at", f"{horizon_days} days")
     return worded.groupBy("id").applyInPandasWithState(pin, "id string, pinned string, seen_at timestamp", "pinned string, seen long", "update", GroupStateTimeout.EventTimeTimeout)
 
 
@@ -81,7 +88,10 @@ def cases_upsert(new: DataFrame, library: DataFrame, path: str, day: str) -> Dat
 
 
 def drained(stream: DataFrame, at: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there, into Parquet under `at`, and read that."""
+    """Run a stream over all that is there, into Parquet under `at`, and read that.
+
+    In update mode the rows of all batches are there, with their batch (`k`); see latest().
+    """
     spark: SparkSession = stream.sparkSession
     out = f"{at.rstrip('/')}/stream-{uuid.uuid4().hex}"
     writer = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{out}/state").outputMode(mode)
@@ -90,4 +100,11 @@ def drained(stream: DataFrame, at: str, mode: str = "append") -> DataFrame:
     else:
         query = writer.foreachBatch(lambda df, k: df.write.mode("overwrite").parquet(f"{out}/rows/k={k}")).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+    schema = stream.schema if mode == "append" else stream.schema.add("k", "long")
+    return spark.read.schema(schema).parquet(f"{out}/rows")
+
+
+def latest(rows: DataFrame, key: str) -> DataFrame:
+    """Of each key the row of its last batch."""
+    rest = [c for c in rows.columns if c not in (key, "k")]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), "k").alias("r")).select(key, "r.*")

@@ -33,6 +33,11 @@ def test_model_feeds(spark):
     assert [r.url.rpartition("/")[2] for r in B.parse_model_listing(bodies(spark, listed), AS_OF).orderBy(F.desc_nulls_last("dt")).collect()] == ["new", "undated"]
 
 
+def test_items_beside_the_channel(spark):
+    body = "<rdf><channel><item><title>in</title></item></channel><item><title>beside &amp;#8217;</title><link>http://x</link></item></rdf>"
+    assert [(r.title, r.url) for r in B.parse_rss(bodies(spark, body)).collect()] == [("in", ""), ("beside ’", "http://x")]
+
+
 ROW = '{"i": 0, "title": "标题", "rel": 11, "info": 1, "fresh": 2, "apptype": "tool"}'
 
 
@@ -100,6 +105,20 @@ def test_pins_hold_over_batches(spark, tmp_path):
     assert [x for x in seen if x[0] == "a"] == [("a", "一"), ("a", "一"), ("a", "五")]
 
 
+def test_pins_of_late_rows(spark, tmp_path):
+    """A row 20 days behind the newest is still within the horizon and keeps its wording."""
+    at = lambda day: dt.datetime(2024, 1, 1) + dt.timedelta(days=day)
+    path = str(tmp_path / "in")
+    out = []
+    for rows in ([("a", "一", at(30))], [("b", "二", at(10)), ("a", "三", at(31))], [("b", "四", at(12))]):
+        landing(spark, path, rows)
+        stream = spark.readStream.schema("id string, title_cn string, seen_at timestamp").parquet(path)
+        q = T.title_pins(stream).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+        q.foreachBatch(lambda df, k: out.extend((r.id, r.pinned, k) for r in df.collect())).start().awaitTermination()
+    got = spark.createDataFrame(out, "id string, pinned string, k long")
+    assert {r.id: r.pinned for r in T.latest(got, "id").collect()} == {"a": "一", "b": "二"}
+
+
 def test_library_grows_over_batches(spark, tmp_path):
     path, lib = str(tmp_path / "in"), str(tmp_path / "lib")
     cols = "url string, pos long, title string, summary string, type string, score double, rel int"

@@ -72,3 +72,69 @@ def test_greedy_resolution(spark):
     edges = spark.createDataFrame([(a, b, r) for (a, b), r in best.items()], "pos long, other long, reason int")
     got = {r.pos: r.reason for r in D.resolve(ranked, edges, handover).collect()}
     assert got == want
+
+
+def test_set_bounds_are_whole_numbers(spark):
+    a, b = [f"w{k}" for k in range(100)], [f"w{k}" for k in range(55)]
+    rows = [(0, a, []), (1, b, []), (2, [*b[:54], "x"], [])]
+    t = spark.createDataFrame(rows, "pos long, en array<string>, zh array<string>")
+    assert {tuple(r) for r in D.title_edges(t.filter("pos = 0"), t.filter("pos > 0")).collect()} == {(0, 1)}
+
+
+def test_a_tier_below_the_next_is_told(spark):
+    from newsloom.operators import report as R
+
+    rows = [("a", "top", 8.0), ("a", "watch", 9.0), ("b", "top", 9.0), ("b", "watch", 8.0), ("c", "normal", 1.0)]
+    got = {r.run_date: r.inverted for r in R.tier_inversion(spark.createDataFrame(rows, "run_date string, level string, total double")).collect()}
+    assert got == {"a": True, "b": False, "c": False}
+
+
+def test_html_to_text(spark):
+    from newsloom.functions.residue import body_header_strip, strip_tags
+
+    html = "<p>It&#8217;s &copy; &eacute;&nbsp;&middot; a&amp;b</p><script>x</script><br/>Loading&hellip;"
+    assert one(spark, strip_tags(F.lit(html))) == "It’s © é · a&b\n \nLoading…"
+    assert one(spark, strip_tags(F.lit("Loading… <b>All of the text</b> that stays"))) == "All of the text that stays"
+    assert one(spark, strip_tags(F.lit(None).cast("string"))) == ""
+    assert one(spark, body_header_strip(F.lit("Title: x\nURL Source: y\nMarkdown Content:\nThe body"))) == "The body"
+
+
+def test_show_order(spark):
+    from newsloom.operators import cases as K
+
+    rows = [("d", None, "2024-02-01"), ("c", 9.7, "2024-01-01"), ("b", 8.4, "2024-02-01"), ("a", 10.0, "2024-01-31")]
+    library = spark.createDataFrame(rows, "url string, score double, last_seen string").selectExpr("url", "score", "cast(last_seen as date) last_seen", "cast(last_seen as date) first_seen")
+    assert [r.url for r in K.show_order(library, "2024-02-01").collect()] == ["a", "b", "c", "d"]
+    assert one(spark, K.coarse_type(F.lit("进阶 Agent"))) == "Agent 工作流"
+
+
+def test_stored_libraries_and_reports(spark, tmp_path):
+    from newsloom.sources import sinks as K
+
+    rows = spark.createDataFrame([("u", "old", 1), ("u", "new", 2), ("", "x", 3), (None, "y", 4)], "url string, title string, pos long")
+    assert [tuple(r) for r in K.read_cases(rows).collect()] == [("u", "new", 2)]
+    library = spark.createDataFrame([("u", "b"), ("v", "a"), ("w", ""), ("x", "b")], "url string, type string")
+    K.write_cases(library, str(tmp_path), 3)
+    about = spark.read.json(f"{tmp_path}/about/v=*").first()
+    assert (about.n, about.types) == (4, ["a", "b"])
+
+
+def test_a_path_without_items_fails_unless_special(spark):
+    from newsloom.operators import report as R
+
+    rows = [("s", 0, "a", True, 0, 0, False, "a:0"), ("s", 1, "b", True, 3, 90, False, "b:3"), ("t", 0, "c", True, 0, 0, True, "c:0"), ("u", 0, "d", True, 0, 0, False, "d:0"), ("u", 1, "e", False, 5, 99, False, "e:5")]
+    a = spark.createDataFrame(rows, "source_id string, path_rank int, host string, ok boolean, n long, desc_median long, special boolean, diag string")
+    assert {r.source_id: r.host for r in R.pick_path(a, 0).collect()} == {"s": "b", "t": "c"}
+    assert [tuple(r) for r in R.degraded(a, 0).collect()] == [("u", "d:0; e:5")]
+
+
+def test_hand_over_needs_a_shared_folder():
+    import pytest
+
+    from newsloom.session import shared_dir
+
+    class Cluster:
+        conf = {"spark.master": "spark://host:7077"}
+
+    with pytest.raises(ValueError):
+        shared_dir(Cluster)

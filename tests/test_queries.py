@@ -44,3 +44,54 @@ def test_daily_brief_survives_an_empty_day(spark):
     from newsloom.sources.items import items
 
     assert L.brief(items(spark, DATA).filter("false")).count() == 0
+
+
+#: What the SQL has to show on sf0.01, so that agreeing with it says something.
+SHOWS = {
+    "also_in": "count(*) > 0",
+    "cross_source_fold": "count(*) > 0",
+    "keyword_hit": "bool_or(hit) AND NOT bool_and(hit)",
+    "keyword_boost": "bool_or(kw_boost) AND NOT bool_and(kw_boost)",
+    "fallback_total": "count(*) > 0",
+    "title_pin": "bool_or(was_pinned) AND NOT bool_and(was_pinned)",
+    "cross_day_repeat": "bool_or(is_repeat) AND NOT bool_and(is_repeat)",
+    "brief_counts": "max(repeat) > 0 AND min(repeat) = 0",
+    "dup_url": "count(*) > 0",
+    "dup_title_jaccard": "count(*) > 0",
+    "dup_host_time": "count(*) > 0",
+    "dedup_drop_counts": "min(n) > 0",
+    "batch_assign": "max(batch) > 0",
+    "batch_plan_counts": "max(batches) > 1",
+    "response_acceptance": "bool_or(accepted) AND NOT bool_and(accepted) AND bool_or(low_yield) AND NOT bool_and(low_yield)",
+    "probe_freshness": "count(DISTINCT flag) >= 3",
+    "pick_path": "count(*) > 0",
+    "degraded_sources": "count(*) > 0",
+    "keyword_type": "count(DISTINCT type) = 11",
+    "coarse_type": "count(DISTINCT type) > 5",
+    "case_types": "count(*) > 1",
+    "case_purge": "count(*) > 0",
+    "curated_stale": "bool_or(stale) AND NOT bool_and(stale)",
+    "body_fill": "count(desc_from) > 0 AND count(desc_from) < count(*)",
+    "body_fetch_worklist": "count(*) > 0",
+    "translate_worklist": "count(*) > 0",
+    "nav_fragment": "bool_or(nav) AND NOT bool_and(nav)",
+    "reports_read": "count(reason) > 0 AND count(reason) < count(*)",
+}
+
+
+@pytest.fixture(scope="module")
+def larger():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.01/{t}.parquet'")
+    return c
+
+
+@pytest.mark.parametrize("name", sorted(SHOWS))
+def test_sql_shows_both_outcomes(larger, name):
+    assert larger.execute(f"SELECT {SHOWS[name]} FROM ({registry.ORACLES[name]})").fetchone()[0], name
+
+
+def test_fold_folds(larger):
+    sql = registry.ORACLES
+    assert larger.execute(f"SELECT count(*) FROM ({sql['cross_source_fold']})").fetchone()[0] < larger.execute(f"SELECT count(*) FROM ({sql['window_with_floor']})").fetchone()[0]
