@@ -34,14 +34,23 @@ def publish(brief: DataFrame, as_of: str = C.AS_OF) -> DataFrame:
 
 
 def source_funnel(items: DataFrame) -> DataFrame:
-    """Raw, deduped, in window, taken and stale rows per source and run: one aggregate per stage, joined on the same key."""
-    key = ["run_date", "source_id"]
-    deduped = L.in_source_dedup(items)
-    limit = L.S.as_of_ts(C.AS_OF) - F.make_interval(hours=L.lane_hours(F.col("lane")))
-    raw = items.groupBy(*key).agg(F.count(F.lit(1)).alias("raw"))
-    mid = deduped.groupBy(*key).agg(F.count(F.lit(1)).alias("deduped"), F.count_if(F.col("dt").isNull() | (F.col("dt") >= limit)).alias("in_window"))
-    end = L.window_with_floor(deduped).groupBy(*key).agg(F.count(F.lit(1)).alias("taken"), F.count_if("stale").alias("stale"))
-    return raw.join(mid, key, "left").join(end, key, "left").fillna(0)
+    """Raw, deduped, in window, taken and stale rows per source and run.
+
+    Items are read once: rows are flagged by the rules of in_source_dedup and
+    window_with_floor in place of being dropped, and counted by one aggregate.
+    """
+    source = ["run_date", "source_id"]
+    rows = items.select(*source, "pos", "dt", X.norm_title(F.col("title")).alias("key"), L.in_window().alias("inside"))
+    first = F.row_number().over(W.partitionBy(*source, "key").orderBy("pos")) == 1
+    rows = rows.withColumn("one", F.coalesce(F.col("key") != "", F.lit(False)) & first)
+    rows = rows.withColumn("taken", F.col("one") & L.taken("inside", [*source, "one"]))
+    return rows.groupBy(*source).agg(
+        F.count(F.lit(1)).alias("raw"),
+        F.count_if("one").alias("deduped"),
+        F.count_if(F.col("one") & F.col("inside")).alias("in_window"),
+        F.count_if("taken").alias("taken"),
+        F.count_if(F.col("taken") & ~F.col("inside")).alias("stale"),
+    )
 
 
 def lane_counts(spark: SparkSession, brief: DataFrame) -> DataFrame:

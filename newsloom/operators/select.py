@@ -25,14 +25,24 @@ def lane_hours(lane: Column) -> Column:
     return out
 
 
+def in_window(as_of: str = C.AS_OF) -> Column:
+    """Undated, or not older than the lane's hours."""
+    limit = S.as_of_ts(as_of) - F.make_interval(hours=lane_hours(F.col("lane")))
+    return F.col("dt").isNull() | (F.col("dt") >= limit)
+
+
+def taken(inside: str, group: list[str], take: int = C.TAKE, min_take: int = C.MIN_TAKE) -> Column:
+    """Whether a row is among the newest `take` inside of its group, or fills it up to `min_take` from outside."""
+    place = F.row_number().over(W.partitionBy(*group, inside).orderBy(F.desc_nulls_last("dt"), "pos"))
+    n = F.count_if(inside).over(W.partitionBy(*group))
+    return F.when(F.col(inside), place <= take).otherwise(place <= F.lit(min_take) - F.least(n, F.lit(min_take)))
+
+
 def window_with_floor(items: DataFrame, as_of: str = C.AS_OF, take: int = C.TAKE, min_take: int = C.MIN_TAKE) -> DataFrame:
     """Newest `take` in-window rows of a source; filled up to `min_take` with the newest older ones, marked stale. Adds age_h, stale."""
-    limit = S.as_of_ts(as_of) - F.make_interval(hours=lane_hours(F.col("lane")))
-    marked = items.withColumn("_in", F.col("dt").isNull() | (F.col("dt") >= limit)).withColumn("age_h", S.age_hours(F.col("dt"), as_of))
-    source = W.partitionBy("run_date", "source_id")
-    ranked = marked.withColumn("_rn", F.row_number().over(W.partitionBy("run_date", "source_id", "_in").orderBy(F.desc_nulls_last("dt"), "pos"))).withColumn("_n", F.count_if("_in").over(source))
-    kept = ranked.filter((F.col("_in") & (F.col("_rn") <= take)) | (~F.col("_in") & (F.col("_rn") <= F.lit(min_take) - F.least(F.col("_n"), F.lit(min_take)))))
-    return kept.withColumn("stale", ~F.col("_in")).drop("_in", "_rn", "_n")
+    marked = items.withColumn("_in", in_window(as_of)).withColumn("age_h", S.age_hours(F.col("dt"), as_of))
+    kept = marked.withColumn("_taken", taken("_in", ["run_date", "source_id"], take, min_take)).filter("_taken")
+    return kept.withColumn("stale", ~F.col("_in")).drop("_in", "_taken")
 
 
 def lane_rank(lane: Column) -> Column:
