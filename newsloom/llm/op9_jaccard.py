@@ -25,7 +25,9 @@ Two documents link when 100 * common >= 80 * united.
    dropped; the rest gives (token, group) entries with the group's size range. A
    document probes it with its prefix tokens and gets the groups it might link to,
    where its component is not the one with most documents of that token and where the
-   places of the token in both leave room for overlap enough;
+   places of the token in both leave room for overlap enough. A token of more than
+   8 `block` documents is dealt into parts by the probing document, each of which
+   meets all groups of the token;
    the overlap with the union of all tokens of such a group bounds the overlap with
    each member, and only groups whose bound suffices are opened. Pairs already in
    one component are skipped: they can't change the result.
@@ -413,12 +415,17 @@ def jaccard_components(docs: DataFrame, block: int = 512, carry: tuple[str, ...]
     reach = F.floor((5 * F.col("n") - 9 * (F.col("own") + F.col("place"))) / 4)
     posts = posts.select("rep", "n", "token", reach.alias("reach")).join(labels, "rep")
     of_comp = posts.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
-    live = of_comp.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("token", "major")
+    parts = F.ceil(F.sum("c") / (8 * block))  # a token of many documents is probed in so many parts
+    live = of_comp.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("major"), parts.alias("parts"), F.count(F.lit(1)).alias("comps"))
+    live = live.filter("comps > 1").drop("comps")
     posts = handover(posts.join(live, "token").withColumn("minor", F.col("comp") != F.col("major")), "posts")
-    matrix = posts.groupBy("token", "gid").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("reach").alias("widest"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("minor").alias("minors"))
+    ranges = [F.min("n").alias("least"), F.max("n").alias("most"), F.max("reach").alias("widest"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("minor").alias("minors")]
+    matrix = posts.groupBy("token", "gid").agg(*ranges, F.max("parts").alias("parts"))
+    matrix = matrix.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
     # the component with most documents of a token need not probe: the others probe its groups, above their size too
     near = "least <= reach and n <= widest and 5 * most >= 4 * n and (least <= n or not minors) and not (lo = comp and hi = comp)"
-    probes = posts.filter("minor").select("token", "rep", "n", "comp", "reach").join(matrix, "token").filter(near)
+    probes = posts.filter("minor").select("token", F.pmod(F.xxhash64("rep"), "parts").alias("part"), "rep", "n", "comp", "reach")
+    probes = probes.join(matrix, ["token", "part"]).filter(near)
     probes = handover(probes.select("rep", "gid").distinct(), "probes")
     sizes = probes.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / (2 * block)).alias("parts"))
     asked = probes.join(sizes, "gid").select("gid", F.pmod(F.xxhash64("rep"), "parts").alias("part"), "rep")
