@@ -17,11 +17,40 @@ def age_hours(dt: Column, as_of: str) -> Column:
     return F.floor((F.unix_micros(as_of_ts(as_of)) - F.unix_micros(dt.cast("timestamp"))) / F.lit(3_600_000_000)).cast("long")
 
 
+# Named zones of mail dates, in hours; other names are taken as UTC.
+ZONES = {"EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7, "AST": -4, "ADT": -3}
+_MAIL = r"(?i)^(\d{1,2})[ -]([a-z]{3})[a-z]*[ -](\d{2,4}) (\d{1,2}):(\d{2})(?::(\d{2}))?(?: ?(?:([+-])(\d{2})(\d{2})|([a-z]+)))?$"
+
+
+def _mail_dt(c: Column) -> Column:
+    """RFC 822: with or without day name, seconds and zone; two-digit years are 1969 to 2068."""
+    s = F.regexp_replace(F.trim(F.regexp_replace(c, r"\([^()]*\)", " ")), r"\s+", " ")
+    s = F.regexp_replace(F.regexp_replace(s, r"^[A-Za-z]+\.?,? ?(?=\d)", ""), " ?, ?", " ")
+    g = [F.regexp_extract(s, _MAIL, i) for i in range(11)]
+    year = g[3].try_cast("int")
+    year = F.when(year < 69, year + 2000).when(year < 100, year + 1900).otherwise(year)
+    clock = F.concat_ws(":", g[4], g[5], F.when(g[6] == "", "00").otherwise(g[6]))
+    local = F.try_to_timestamp(F.concat_ws(" ", g[1], F.initcap(g[2]), year.cast("string"), clock), F.lit("d MMM yyyy H:mm:ss"))
+    named = F.lit(0)
+    for name, hours in ZONES.items():
+        named = F.when(F.upper(g[10]) == name, hours * 60).otherwise(named)
+    east = F.coalesce(g[8].try_cast("int") * 60 + g[9].try_cast("int"), F.lit(0))
+    minutes = F.when(g[7] == "-", -east).when(g[7] == "+", east).otherwise(named)
+    return F.when(g[0] != "", local - F.make_interval(mins=minutes.cast("int")))
+
+
+def _iso_dt(c: Column) -> Column:
+    """ISO 8601, also without dashes and colons."""
+    s = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
+    s = F.regexp_replace(s, r"^(.{10}[T ]\d{2})(\d{2})(?:(\d{2}))?(?=$|[.+\-Z])", "$1:$2:$3")
+    s = F.regexp_replace(F.regexp_replace(s, ":(?=$|[.+\\-Z])", ":00"), r"^(.{10}[T ].*[+-]\d{2})(\d{2})$", "$1:$2")
+    return s.try_cast("timestamp")
+
+
 def parse_dt(c: Column) -> Column:
     """RFC 822 or ISO 8601; without a zone UTC; else null."""
-    s = F.regexp_replace(F.trim(c), r"^[A-Za-z]{3}, *", "")
-    rfc = [F.try_to_timestamp(s, F.lit(f)) for f in ("d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm:ss xx", "d MMM yyyy HH:mm:ss")]
-    return F.coalesce(*rfc, s.try_cast("timestamp"))
+    s = F.trim(c)
+    return F.coalesce(_mail_dt(s), _iso_dt(s))
 
 
 def pub_display(dt: Column, as_of: str) -> Column:

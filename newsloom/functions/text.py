@@ -75,12 +75,17 @@ def source_label(c: Column) -> Column:
     return F.substring(F.trim(F.regexp_replace(s, r"\s+", " ")), 1, 34)
 
 
-# Accessibility notes and invisible characters, in the order they are removed.
-INLINE_NOTES = [
-    "[\\u2060\\ufeff\\u200b]",
-    r"(?i)\s*\(?\s*opens?\s+in\s+(?:a\s+)?new\s+(?:window|tab)\s*\)?",
-    r"\s*[（(]\s*在新窗口(?:中)?打开\s*[）)]",
-    r"\s*[（(]\s*在新标签页?中?打开\s*[）)]",
+#: White space of all scripts, as a class that Java's and Python's patterns read alike.
+WHITE = r"[\s\x1c-\x1f\x85\xa0  -     　]"
+# Accessibility notes and invisible characters, in the order they are removed. Each match begins
+# at the first of its blanks and gives none of them back, so long runs of white space are read twice at most.
+INLINE_NOTES = ["[\\u2060\\ufeff\\u200b]"] + [
+    note.replace("_", WHITE)
+    for note in (
+        r"(?i)(?<!_)(?:_*+(?:\(_*+)?opens?_++in_++(?:a_++)?new_++(?:window|tab)_*+\)?)++",
+        r"(?<!_)_*+[（(]_*+在新窗口(?:中)?打开_*+[）)]",
+        r"(?<!_)_*+[（(]_*+在新标签页?中?打开_*+[）)]",
+    )
 ]
 
 
@@ -93,8 +98,9 @@ def strip_inline_ui(c: Column) -> Column:
 def without_tags(c: Column) -> Column:
     """HTML without its tags; blocks of script and style go, line ends stay. Entities are left."""
     c = F.regexp_replace(text_or_empty(c), r"(?is)<script.*?</script>|<style.*?</style>", " ")
-    c = F.regexp_replace(c, r"(?i)<br\s*/?>|</p>", "\n")
-    return F.regexp_replace(c, "<[^>]+>", " ")
+    c = F.regexp_replace(c, r"(?i)<br\s*+/?>|</p>", "\n")
+    tail = F.substring_index(c, ">", -1)  # no tag ends there: a search would run to the end from each <
+    return F.concat(F.regexp_replace(F.left(c, F.char_length(c) - F.char_length(tail)), "<[^>]+>", " "), tail)
 
 
 def is_nonwork(c: Column) -> Column:

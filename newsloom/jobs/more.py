@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import scalars as S
 from ..functions import text as X
+from ..functions.residue import cut_nav_head as menu_cut
 from ..functions.residue import strip_tags as strip_tags_of
 from ..operators import cases as K
 from ..operators import curated as U
@@ -122,6 +123,25 @@ def nav_fragment(spark, d):
     return table(spark, d, "documents").select("doc_id", X.is_nav_fragment(F.col("text")).alias("nav"))
 
 
+_MENU_WORDS = r"""SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '') AS own FROM documents"""
+
+
+@query(
+    rf"""WITH o AS ({_MENU_WORDS}), m AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text ELSE 'Share ' || array_to_string(own[1:12], ' ') || ' ' || array_to_string(own[1:12], ' ') || ' ' || coalesce(text, '') END AS t FROM o),
+    w AS (SELECT doc_id, coalesce(t, '') AS t, list_filter(regexp_split_to_array(coalesce(t, ''), '\s+'), lambda x: x <> '') AS w FROM m),
+    g AS (SELECT doc_id, i + n AS e, row_number() OVER (PARTITION BY doc_id, n, array_to_string(w[i + 1:i + n], ' ') ORDER BY i) AS seen
+          FROM (SELECT doc_id, w[1:80] AS w FROM w), (VALUES (3), (4), (5)) t(n), range(0, greatest(len(w) - n + 1, 0)) r(i)),
+    c AS (SELECT w.doc_id, t, w, coalesce(max(e) FILTER (seen > 1), 0) AS e FROM w LEFT JOIN g USING (doc_id) GROUP BY ALL),
+    h AS (SELECT *, array_to_string(w[1:e], ' ') AS head FROM c)
+    SELECT doc_id, md5(CASE WHEN len(w) < 20 OR e < 8 OR e >= len(w) - 8 OR regexp_matches(head, '[.。!！?？]') OR length(head) > 12 * e THEN t ELSE array_to_string(w[e + 1:], ' ') END) AS cut FROM h"""
+)
+def cut_nav_head(spark, d):
+    """Whole texts, two of three behind a looping menu of their own first words."""
+    own = F.array_join(F.slice(F.filter(F.split("text", r"\s+"), lambda w: w != ""), 1, 12), " ")
+    text = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.concat(F.lit("Share "), F.coalesce(own, F.lit("")), F.lit(" "), F.coalesce(own, F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))))
+    return table(spark, d, "documents").select("doc_id", F.md5(menu_cut(text).cast("binary")).alias("cut"))
+
+
 # dates and scores
 
 
@@ -130,10 +150,17 @@ def age_hours(spark, d):
     return table(spark, d, "events").select("event_id", S.age_hours(F.col("ts"), C.AS_OF).alias("age_h"))
 
 
-@query("SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS rfc, strftime(date_trunc('second', ts) - INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS zoned, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS iso FROM events")
+_AT = "strftime(date_trunc('{}', ts){}, '%Y-%m-%d %H:%M:%S') AS {}"
+_SAME = {"rfc": "", "iso": "", "comment": "", "two_digit": "", "long_names": "", "compact": "", "zoned": " - INTERVAL 8 HOUR", "named": " + INTERVAL 5 HOUR", "compact_zoned": " - INTERVAL 8 HOUR"}
+
+
+@query("SELECT event_id, " + ", ".join(_AT.format("second", shift, name) for name, shift in _SAME.items()) + ", " + _AT.format("minute", "", "no_seconds") + ", CAST(NULL AS VARCHAR) AS bad FROM events")
 def parse_dt(spark, d):
-    e = table(spark, d, "events").select("event_id", F.date_format("ts", "E, d MMM yyyy HH:mm:ss").alias("s"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("i"))
-    return e.select("event_id", S.parse_dt(F.concat("s", F.lit(" GMT"))).alias("rfc"), S.parse_dt(F.concat("s", F.lit(" +0800"))).alias("zoned"), S.parse_dt(F.col("i")).alias("iso"))
+    forms = {
+        "rfc": "E, d MMM yyyy HH:mm:ss 'GMT'", "zoned": "E, d MMM yyyy HH:mm:ss '+0800'", "iso": "yyyy-MM-dd'T'HH:mm:ss'Z'", "comment": "E,  d MMM yyyy  HH:mm:ss '+0000 (UTC)'", "two_digit": "E, d MMM yy HH:mm:ss 'UT'",
+        "long_names": "EEEE, d MMMM yyyy HH:mm:ss", "named": "d MMM yyyy HH:mm:ss 'EST'", "compact": "yyyyMMdd'T'HHmmss'Z'", "compact_zoned": "yyyyMMdd'T'HHmmss'+0800'", "no_seconds": "E, d MMM yyyy HH:mm 'GMT'", "bad": "'the' d 'of' MMM",
+    }
+    return table(spark, d, "events").select("event_id", *[S.parse_dt(F.date_format("ts", f)).alias(k) for k, f in forms.items()])
 
 
 @query(
