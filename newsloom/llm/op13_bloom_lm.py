@@ -5,7 +5,8 @@ behind it, which also stands for what is before its first word. Counts of words
 pairs of neighbours are combined in each task and dealt by gram. A gram of count c has
 level 1 + floor(log_b c); the filter holds (gram, 1), (gram, 2) ... up to its level, so a
 count is read by probing levels until one is missing. It is never read too low, and too
-high by j levels only if j false answers meet (each has a chance of about 2 ** -PROBES).
+high by j levels only if j false answers meet (each has a chance of about half a hundredth).
+The PROBES bits of an entry lie in one block of 64 bytes.
 The filter has parts: a task makes the parts of the grams that it was dealt, sized by what
 they hold (BITS a level), so nothing is built on the driver.
 
@@ -127,20 +128,20 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").transform(batched, run, GRAMS)
 
 
-def places(grams: np.ndarray, step: int, probe: int, bits: np.ndarray) -> np.ndarray:
-    """The bit of a probe for (gram, step)."""
+def spots(grams: np.ndarray, step: int, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of (gram, step): the block of 512 bits that holds all its bits, and a number with 9 bits for each of them."""
     h = mix(grams + np.uint64(step * int(ROLL) % (1 << 64)))
-    return (h + np.uint64(probe) * (mix(h) | np.uint64(1))) % bits
+    return ((h >> np.uint64(32)) * blocks) >> np.uint64(32), mix(h)
 
 
 def made_part(grams: np.ndarray, levels: np.ndarray, each: int = BITS) -> bytes:
     """A part of the filter: `each` bits for an entry."""
-    size = max(64, (int(levels.sum()) * each + 63) // 64 * 64)
-    bits = np.zeros(size, bool)
+    blocks = max(1, -(-int(levels.sum()) * each // 512))
+    bits = np.zeros(512 * blocks, bool)
     for step in range(1, int(levels.max(initial=0)) + 1):
-        at = grams[levels >= step]
+        block, where = spots(grams[levels >= step], step, np.uint64(blocks))
         for probe in range(PROBES):
-            bits[places(at, step, probe, np.uint64(size))] = True
+            bits[block * np.uint64(512) + (where >> np.uint64(9 * probe) & np.uint64(511))] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -208,26 +209,31 @@ class Filter:
 
     def __init__(self, parts: int, bits: dict[int, bytes]):
         self.parts = parts
-        self.size = np.ones(parts, np.uint64)
+        self.blocks = np.ones(parts, np.uint64)
         self.at = np.zeros(parts, np.int64)
-        at = 1  # a part without grams is one bit that is not set
+        at = 64  # a part without grams is a block without bits
         for k, b in sorted(bits.items()):
-            self.size[k], self.at[k] = 8 * len(b), at
+            self.blocks[k], self.at[k] = len(b) // 64, at
             at += len(b)
-        self.raw = np.frombuffer(b"".join([b"\0", *(b for _, b in sorted(bits.items()))]), np.uint8)
+        self.raw = np.frombuffer(b"".join([bytes(64), *(b for _, b in sorted(bits.items()))]), np.uint8)
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
         """Of each gram: the steps that are in the filter, from the first to the one before the first that is missing."""
         out = np.zeros(len(grams), np.int64)
         part = (grams.view(np.int64) >> 1) % self.parts
-        left, step = np.arange(len(grams)), 1
-        while len(left):
+        base, blocks = self.at[part], self.blocks[part]
+        left = np.arange(len(grams))
+        for step in range(1, len(MIDDLE)):
+            block, where = spots(grams[left], step, blocks[left])
+            at = base[left] + (block << np.uint64(6)).astype(np.int64)
             for probe in range(PROBES):
-                bit = places(grams[left], step, probe, self.size[part[left]]).astype(np.int64)
-                left = left[self.raw[self.at[part[left]] + (bit >> 3)] >> (bit & 7) & 1 > 0]
+                bit = (where >> np.uint64(9 * probe)).astype(np.int64) & 511
+                there = np.flatnonzero(self.raw[at + (bit >> 3)] >> (bit & 7).astype(np.uint8) & 1)
+                if len(there) < len(left):
+                    left, at, where = left[there], at[there], where[there]
+            if not len(left):
+                break
             out[left] = step
-            step += 1
-            left = left if step < len(MIDDLE) else left[:0]
         return out
 
 
