@@ -44,13 +44,28 @@ PAGE = 3000  # ids a body may span, so that bodies don't grow with the table
 def _bodies(rows, entry, head, tail):
     """Entries of a source, day and page in order of pos, as one body."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", entry.alias("x")))), lambda e: e["x"]), "")
-    return rows.groupBy("run_date", "source_id", "page").agg(F.concat(F.lit(head), text, F.lit(tail)).alias("body"))
+    return rows.groupBy("run_date", "source_id", "page").agg(text.alias("body")).withColumn("body", F.concat(head, "body", tail))
 
 
 def _element(name, value):
     return F.concat(F.lit(f"<{name}>"), F.coalesce(value, F.lit("")), F.lit(f"</{name}>"))
 
 
+# Bodies of three shapes, by page and source: usual prefixes; other prefixes; other prefixes with the channels one level deeper.
+
+
+def _by_shape(*values):
+    shape, out = F.pmod(F.col("page") + F.ascii(F.right("source_id", F.lit(1))), F.lit(3)), F.lit(values[0])
+    for i, v in enumerate(values[1:], 1):
+        out = F.when(shape == i, v).otherwise(out)
+    return out
+
+
+def _prefixed(name, prefix, value):
+    tag = F.concat(prefix, F.lit(name))
+    return F.concat(F.lit("<"), tag, F.lit(">"), F.coalesce(value, F.lit("")), F.lit("</"), tag, F.lit(">"))
+
+
 @query(Q.chain("items", f" SELECT run_date, source_id, {_PLAIN_TITLE.format('title')} AS title, CASE WHEN pos % 5 <> 1 THEN replace(url, '&', '') ELSE 'https://guid.example.com/' || pos END AS url, CASE WHEN pos % 2 = 0 THEN 'full ' || pos ELSE 'short ' || pos END AS \"desc\", {_STAMP} AS dt FROM items"))
 def parse_rss(spark, d):
     p = F.col("pos").cast("string")
@@ -60,29 +75,32 @@ def parse_rss(spark, d):
         _element("title", F.concat(F.lit("&lt;b&gt;"), "title", F.lit("&lt;/b&gt;"))),
         F.when(F.col("pos") % 5 != 1, _element("link", F.col("url"))).otherwise(F.concat(F.lit("<link></link><guid isPermaLink=\"false\">https://guid.example.com/"), p, F.lit("</guid>"))),
         _element("description", F.concat(F.lit("short "), p)),
-        F.when(F.col("pos") % 2 == 0, _element("content:encoded", F.concat(F.lit("full "), p))).otherwise(""),
-        F.when(F.col("pos") % 3 == 0, _element("dc:date", stamp)).otherwise(_element("pubDate", stamp)),
+        F.when(F.col("pos") % 2 == 0, _prefixed("encoded", _by_shape("content:", "c:", "x:"), F.concat(F.lit("full "), p))).otherwise(""),
+        F.when(F.col("pos") % 3 == 0, _prefixed("date", _by_shape("dc:", "d:", "y:"), stamp)).otherwise(_element("pubDate", stamp)),
         F.lit("</item>"),
     )
-    head = '<rss xmlns:content="c" xmlns:dc="d"><channel>'
-    return B.parse_rss(_bodies(_stories(spark, d), entry, head, "</channel></rss>")).drop("ord", "page")
+    names = [f'<rss xmlns:{c}="http://purl.org/rss/1.0/modules/content/" xmlns:{n}="http://purl.org/dc/elements/1.1/">' for c, n in (("content", "dc"), ("c", "d"), ("x", "y"))]
+    head = _by_shape(f"{names[0]}<channel>", f"{names[1]}<channel>", f"{names[2]}<all><channel><title>no item</title></channel><channel>")
+    return B.parse_rss(_bodies(_stories(spark, d), entry, head, _by_shape("</channel></rss>", "</channel></rss>", "</channel></all></rss>"))).drop("ord", "page")
 
 
 @query(Q.chain("items", f" SELECT run_date, source_id, {_PLAIN_TITLE.format('title')} AS title, CASE WHEN pos % 4 = 0 THEN 'https://self.example.com/' || pos ELSE url END AS url, 'text ' || pos AS \"desc\", {_STAMP} AS dt FROM items"))
 def parse_atom(spark, d):
     p = F.col("pos").cast("string")
-    me = F.concat(F.lit('<link rel="self" href="https://self.example.com/'), p, F.lit('"/>'))
-    link = F.concat(F.lit("<link"), F.when(F.col("pos") % 2 == 0, ' rel="alternate"').otherwise(""), F.lit(' href="'), "url", F.lit('"/>'))
+    pre = _by_shape("", "a:", "atom:")
+    me = F.concat(F.lit("<"), pre, F.lit('link rel="self" href=" https://self.example.com/'), p, F.lit('"/>'))
+    link = F.concat(F.lit("<"), pre, F.lit("link"), F.when(F.col("pos") % 2 == 0, ' rel="alternate"').otherwise(""), F.lit(' href="'), "url", F.lit('"/>'))
     stamp = F.date_format("dt", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     entry = F.concat(
-        F.lit("<entry>"),
-        _element("title", F.col("title")),
+        *[F.lit("<"), pre, F.lit("entry>")],
+        _prefixed("title", pre, F.col("title")),
         F.when(F.col("pos") % 4 == 0, me).otherwise(F.concat(me, link)),
-        F.when(F.col("pos") % 3 == 0, _element("content", F.concat(F.lit("text "), p))).otherwise(_element("summary", F.concat(F.lit("text "), p))),
-        F.when(F.col("pos") % 2 == 0, _element("published", stamp)).otherwise(_element("updated", stamp)),
-        F.lit("</entry>"),
+        F.when(F.col("pos") % 3 == 0, _prefixed("content", pre, F.concat(F.lit("text "), p))).otherwise(_prefixed("summary", pre, F.concat(F.lit("text "), p))),
+        F.when(F.col("pos") % 2 == 0, _prefixed("published", pre, stamp)).otherwise(_prefixed("updated", pre, stamp)),
+        *[F.lit("</"), pre, F.lit("entry>")],
     )
-    return B.parse_atom(_bodies(_stories(spark, d), entry, "<feed>", "</feed>")).drop("ord", "page")
+    head = _by_shape('<feed xmlns="http://www.w3.org/2005/Atom">', '<a:feed xmlns:a="http://www.w3.org/2005/Atom">', '<all xmlns:atom="http://www.w3.org/2005/Atom"><atom:feed>')
+    return B.parse_atom(_bodies(_stories(spark, d), entry, head, _by_shape("</feed>", "</a:feed>", "</atom:feed></all>"))).drop("ord", "page")
 
 
 @query(Q.chain("items", f" SELECT run_date, source_id, {_PLAIN_TITLE.format('title')} AS title, CASE WHEN pos % 3 = 0 THEN '{B.PAPERS}' || pos ELSE url END AS url, 'about ' || pos AS \"desc\", {_STAMP} AS dt FROM items WHERE {_PLAIN_TITLE.format('title')} <> ''"))

@@ -15,15 +15,13 @@ from ..config import LANE_HOURS
 from ..functions import text as X
 from ..functions.residue import strip_tags
 from ..functions.scalars import age_hours, as_of_ts, parse_dt
+from . import xmlfeeds
 
 # The curated feed's name and address, where an entry has none.
 CURATED = ("AIHOT", "https://aihot.news/")
 # Where listed names live. The display strings of the parsers below are fixed values too.
 PAPERS, HUB, APPS, ROUTER = "https://huggingface.co/papers/", "https://huggingface.co/", "https://huggingface.co/spaces/", "https://openrouter.ai/"
 
-_RSS_ITEM = "array<struct<title:string, link:string, guid:string, description:string, `content:encoded`:string, pubDate:string, `dc:date`:string>>"
-RSS = f"channel struct<item: {_RSS_ITEM}>, item {_RSS_ITEM}"
-ATOM = "entry array<struct<title:string, link:array<struct<_href:string, _rel:string>>, content:string, summary:string, published:string, updated:string>>"
 _PAPER = "title:string, summary:string, abstract:string, url:string"
 _ENTRY = f"struct<{_PAPER}, id:string, description:string, publishedAt:string, published_at:string, date:string, createdAt:string, paper:struct<{_PAPER}>>"
 _LISTED = "models array<struct<id:string, display_name:string, org:string, listed_at_iso:string, arena_score:string, arena_rank:string, open_weights:boolean, context_length:double, price_in:string, price_out:string>>"
@@ -59,23 +57,25 @@ def _commas(c: Column) -> Column:
     return F.format_number(c.cast("long"), 0)
 
 
+def _feed(bodies: DataFrame, form: str | None) -> DataFrame:
+    rows = xmlfeeds.entries(bodies).filter(F.col("ord").isNotNull() if form is None else F.col("form") == form)
+    keys = [c for c in bodies.columns if c != "body"]
+    return rows.select(*keys, "ord", strip_tags(F.col("title")).alias("title"), strip_tags(F.col("desc")).alias("desc"), "url", parse_dt(F.nullif(F.col("stamp"), F.lit(""))).alias("dt"))
+
+
+def parse_feed(bodies: DataFrame) -> DataFrame:
+    """RSS items of a body; if it has none, its Atom entries."""
+    return _feed(bodies, None)
+
+
 def parse_rss(bodies: DataFrame) -> DataFrame:
-    """Items of the channel, then those beside it (RSS 1.0)."""
-    none = F.array().cast(_RSS_ITEM)
-    rows = F.from_xml("body", RSS)
-    rows = _entries(bodies, F.concat(F.coalesce(rows["channel"]["item"], none), F.coalesce(rows["item"], none)))
-    guid = F.trim("e.guid")
-    url = F.coalesce(F.nullif(F.trim("e.link"), F.lit("")), F.when(guid.startswith("http"), guid))
-    return _items(rows, strip_tags(F.col("e.title")), strip_tags(filled(F.col("e.`content:encoded`"), F.col("e.description"))), url, parse_dt(filled(F.col("e.pubDate"), F.col("e.`dc:date`"))))
+    """Items at any depth, in order; bodies without items give no rows."""
+    return _feed(bodies, "rss")
 
 
 def parse_atom(bodies: DataFrame) -> DataFrame:
-    """Entries; a body with <item> is no Atom feed."""
-    rows = _entries(bodies.filter(~F.col("body").contains("<item>")), F.from_xml("body", ATOM)["entry"])
-    own = F.filter("e.link", lambda x: x["_href"].isNotNull() & F.coalesce(x["_rel"] == "alternate", F.lit(True)))
-    any_ = F.filter("e.link", lambda x: x["_href"].isNotNull())
-    url = F.coalesce(F.get(own, F.lit(0))["_href"], F.get(any_, F.lit(0))["_href"])
-    return _items(rows, strip_tags(F.col("e.title")), strip_tags(filled(F.col("e.content"), F.col("e.summary"))), url, parse_dt(filled(F.col("e.published"), F.col("e.updated"))))
+    """Atom entries at any depth, in order; a body with items is no Atom feed."""
+    return _feed(bodies, "atom")
 
 
 def parse_json_items(bodies: DataFrame) -> DataFrame:
@@ -199,6 +199,6 @@ def latest_snapshot(attempts: DataFrame) -> DataFrame:
 
 
 PARSERS = {
-    "rss": parse_rss, "atom": parse_atom, "json": parse_json_items, "listing": parse_model_listing, "catalogue": parse_stealth_models,
+    "feed": parse_feed, "rss": parse_rss, "atom": parse_atom, "json": parse_json_items, "listing": parse_model_listing, "catalogue": parse_stealth_models,
     "models": parse_new_models, "spaces": parse_spaces, "curated": parse_curated,
 }
