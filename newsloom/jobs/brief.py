@@ -111,7 +111,7 @@ def keyword_hit(spark, d):
 
 @query(Q.chain("leveled", " SELECT run_date, pos, total, level FROM leveled"))
 def assign_levels(spark, d):
-    return L.assign_levels(L.score_items(_folded(spark, d))).select("run_date", "pos", "total", "level")
+    return L.assign_levels(handover(L.score_items(_folded(spark, d)), "scored")).select("run_date", "pos", "total", "level")
 
 
 @query(Q.chain("ordered", " SELECT run_date, pos, ord FROM ordered"))

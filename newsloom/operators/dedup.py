@@ -9,6 +9,7 @@ bucket; both are verified exactly.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,26 +91,92 @@ def edges(incoming: DataFrame, base: DataFrame) -> DataFrame:
     return found.groupBy("pos", "other").agg(F.min("reason").alias("reason"))
 
 
-def resolve(ranked: DataFrame, links: DataFrame, checkpoint) -> DataFrame:
-    """pos, reason (null: kept). Greedy by rank: a row goes if it conflicts with the base or with a better row that is kept.
+def _neighbours(edges: DataFrame) -> DataFrame:
+    return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
 
-    Rounds: keep what has no undecided better neighbour, drop the neighbours of what is kept, until nothing is undecided.
-    `ranked` is pos, rank of the incoming rows; `checkpoint` writes a table and reads it back.
+def components(edges: DataFrame, checkpoint) -> DataFrame:
+    """pos, component (its least pos) of all rows in `edges` (pos, other), by large and small stars.
+
+    Each round links what lies around a row to the least row around it: first the greater ones,
+    then the lesser ones. A chain of n rows takes about log n rounds. No row gathers its
+    neighbours: the least one is an aggregate, joined back.
     """
-    inner = links.join(ranked.select("pos", F.col("rank").alias("r1")), "pos").join(ranked.select(F.col("pos").alias("other"), F.col("rank").alias("r2")), "other", "left")
-    links = checkpoint(inner)
-    hit = links.filter("r2 is null").groupBy("pos").agg(F.min("reason").alias("reason"))
-    state = checkpoint(ranked.join(hit, "pos", "left").select("pos", F.when(F.col("reason").isNotNull(), "dropped").otherwise("open").alias("state")))
-    better = links.filter("r2 < r1").select("pos", "other", "reason")
+    now = checkpoint(edges.select(F.greatest("pos", "other").alias("u"), F.least("pos", "other").alias("v")).filter("u <> v").distinct())
+    mark = None
+    while True:
+        around = _neighbours(now)
+        least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
+        now = checkpoint(small)
+        new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if new == mark:
+            break
+        mark = new
+    least = now.groupBy(F.col("u").alias("pos")).agg(F.min("v").alias("component"))
+    return least.unionByName(least.select("component").distinct().select(F.col("component").alias("pos"), "component"))
+
+
+def _greedy(better: DataFrame) -> DataFrame:
+    """pos of the rows that go, of better (component, pos, other, r1: conflicts of pos, of rank r1, with better rows).
+
+    A component's conflicts stream by in order of r1: one of them drops a row if the better row
+    was not dropped itself. Only the dropped rows of one component are held.
+    """
+
+    def run(batches):
+        component, dropped, last = None, set(), None
+        for batch in batches:
+            out = []
+            for c, pos, other in zip(*(x.to_pylist() for x in batch.columns)):
+                if c != component:
+                    component, dropped, last = c, set(), None
+                if pos != last and other not in dropped:
+                    dropped.add(pos)
+                    out.append(pos)
+                    last = pos
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["pos"])
+
+    return better.repartition("component").sortWithinPartitions("component", "r1").select("component", "pos", "other").mapInArrow(run, "pos long")
+
+
+def _by_rounds(better: DataFrame, checkpoint) -> DataFrame:
+    """pos of the rows that go, in rounds: keep what has no undecided better neighbour, drop the neighbours of what is kept."""
+    rows = better.select("pos").unionByName(better.select(F.col("other").alias("pos"))).distinct()
+    state = checkpoint(rows.withColumn("state", F.lit("open")))
     while state.filter("state = 'open'").take(1):
         of_other = state.select(F.col("pos").alias("other"), F.col("state").alias("s2"))
         sums = better.join(of_other, "other").groupBy("pos").agg(F.max((F.col("s2") == "kept").cast("int")).alias("kept"), F.max((F.col("s2") == "open").cast("int")).alias("open"))
         new = F.when(F.col("state") != "open", F.col("state")).when(F.col("kept") == 1, "dropped").when(F.coalesce("open", F.lit(0)) == 0, "kept").otherwise("open")
         state = checkpoint(state.join(sums, "pos", "left").select("pos", new.alias("state")))
-    kept = state.filter("state = 'kept'").select(F.col("pos").alias("other"))
-    against = links.filter("r2 is null").select("pos", "reason").unionByName(better.join(kept, "other", "left_semi").select("pos", "reason"))
-    why = against.groupBy("pos").agg(F.min("reason").alias("reason"))
-    return state.join(why, "pos", "left").select("pos", F.when(F.col("state") == "dropped", F.col("reason")).alias("reason"))
+    return state.filter("state = 'dropped'").select("pos")
+
+
+def resolve(ranked: DataFrame, links: DataFrame, checkpoint, most: int = 2_000_000) -> DataFrame:
+    """pos, reason (null: kept). Greedy by rank: a row goes if it conflicts with the base or with a better row that is kept.
+
+    The rule is applied in order of rank within each connected component of the conflicts among
+    incoming rows, so long chains take one pass. A component of more than `most` conflicts is
+    decided in rounds over all tasks. `ranked` is pos, rank (unique) of the incoming rows;
+    `checkpoint` writes a table and reads it back.
+    """
+    inner = links.join(ranked.select("pos", F.col("rank").alias("r1")), "pos").join(ranked.select(F.col("pos").alias("other"), F.col("rank").alias("r2")), "other", "left")
+    links = checkpoint(inner)
+    hit = links.filter("r2 is null").select("pos").distinct()
+    better = links.filter("r2 < r1").select("pos", "other", "reason", "r1", "r2")
+    live = checkpoint(better.join(hit, "pos", "left_anti").join(hit.select(F.col("pos").alias("other")), "other", "left_anti"))
+    placed = checkpoint(live.join(components(live.select("pos", "other"), checkpoint), "pos").select("component", "pos", "other", "r1"))
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).select("component")
+    gone = _greedy(placed.join(sizes, "component", "left_anti"))
+    if sizes.take(1):
+        gone = gone.unionByName(_by_rounds(checkpoint(placed.join(sizes, "component", "left_semi")), checkpoint))
+    gone = checkpoint(gone.unionByName(hit))
+    lost = gone.select(F.col("pos").alias("other"))
+    against = links.filter("r2 is null").select("pos", "reason").unionByName(better.join(lost, "other", "left_anti").select("pos", "reason"))
+    why = against.join(gone, "pos", "left_semi").groupBy("pos").agg(F.min("reason").alias("reason"))
+    return ranked.select("pos").join(why, "pos", "left").select("pos", "reason")
 
 
 def drop_counts(resolved: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import scalars as S
 from ..functions import text as X
+from ..session import handover
+from . import ranks as R
 
 
 def in_source_dedup(items: DataFrame) -> DataFrame:
@@ -79,25 +81,39 @@ def score_items(items: DataFrame) -> DataFrame:
 
 
 def assign_levels(items: DataFrame) -> DataFrame:
-    """Adds level: top and watch under the day's quotas, else normal."""
-    day = W.partitionBy("run_date")
-    n = F.count(F.lit(1)).over(day)
+    """Adds level: top and watch under the day's quotas, else normal. `items` is read a few times: give it a table.
+
+    Rows stay where they are. Counts per day and total tell at which totals the quotas end; how
+    far they reach among the rows of these totals is a pos, found by counting. A row per day
+    then goes to all tasks.
+    """
+    sums = handover(items.groupBy("run_date", F.col("total").alias("t")).agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high")), "levels")
+    starts = R.class_starts(sums.select("run_date", (-F.col("t")).alias("key"), "n"), "run_date", "key").select("run_date", (-F.col("key")).alias("t"), "n", "before", F.col("total").alias("of"))
+    n = F.col("of")
     top = F.least(F.lit(C.TOP_MAX), F.greatest(F.lit(C.TOP_MIN), S.half_even_percent(n, C.TOP_PERCENT)))
-    watch = F.greatest(F.lit(0), S.half_even_percent(n, C.WATCH_PERCENT))
-    ranked = items.withColumn("_rn", F.row_number().over(day.orderBy(F.desc("total"), "pos"))).withColumn("_top", top).withColumn("_watch", watch)
-    level = F.when((F.col("_rn") <= F.col("_top")) & (F.col("total") >= C.FLOOR_TOP), "top").when((F.col("_rn") <= F.col("_top") + F.col("_watch")) & (F.col("total") >= C.FLOOR_WATCH), "watch").otherwise("normal")
-    return ranked.withColumn("level", level).drop("_rn", "_top", "_watch")
+    watch = top + F.greatest(F.lit(0), S.half_even_percent(n, C.WATCH_PERCENT))
+    quotas = F.array(F.struct(F.lit("top").alias("cut"), top.cast("long").alias("upto")), F.struct(F.lit("watch").alias("cut"), watch.cast("long").alias("upto")))
+    cuts = starts.withColumn("q", F.explode(quotas)).select("run_date", "t", "n", "before", "q.cut", F.least("of", F.col("q.upto")).alias("upto"))
+    cuts = cuts.filter((F.col("before") < F.col("upto")) & (F.col("upto") <= F.col("before") + F.col("n"))).join(sums.drop("n"), ["run_date", "t"])
+    wanted = cuts.select("run_date", F.col("t").alias("total"), "cut", (F.col("upto") - F.col("before")).alias("k"), "low", "high")
+    span = sums.agg(F.max(F.col("high") - F.col("low") + 1)).first()[0] or 1
+    last = R.kth_smallest(items.select("run_date", "total", "pos").withColumn("cut", F.explode(F.array(F.lit("top"), F.lit("watch")))), wanted, ["run_date", "total", "cut"], R.rounds_for(span))
+    ends = last.groupBy("run_date").agg(*[F.max(F.when(F.col("cut") == c, F.struct("total", "pos"))).alias(f"_{c}") for c in ("top", "watch")])
+    within = lambda c: (F.col("total") > F.col(f"_{c}.total")) | ((F.col("total") == F.col(f"_{c}.total")) & (F.col("pos") <= F.col(f"_{c}.pos")))
+    level = F.when(within("top") & (F.col("total") >= C.FLOOR_TOP), "top").when(within("watch") & (F.col("total") >= C.FLOOR_WATCH), "watch").otherwise("normal")
+    return items.join(F.broadcast(ends), "run_date").withColumn("level", level).drop("_top", "_watch")
 
 
 def brief_order(items: DataFrame, compat_age_zero: bool = False) -> DataFrame:
-    """Adds ord: place in the day's brief."""
+    """Adds ord: place in the day's brief. `items` is read three times: give it a table."""
     rank = F.when(F.col("level") == "top", 0).when(F.col("level") == "watch", 1).otherwise(2)
     age = age_sort(F.col("age_h"))
     if compat_age_zero:
         age = F.when(F.col("age_h") == 0, 9999).otherwise(age)
-    return items.withColumn("ord", F.row_number().over(W.partitionBy("run_date").orderBy(rank, F.desc("total"), age, "pos")).cast("long"))
+    return R.places(items, "run_date", F.struct(rank.alias("r"), (-F.col("total")).alias("t")), age).withColumnRenamed("place", "ord")
 
 
 def brief(items: DataFrame) -> DataFrame:
     """The whole chain from items to an ordered brief."""
-    return brief_order(assign_levels(score_items(cross_source_fold(window_with_floor(in_source_dedup(items))))))
+    scored = handover(score_items(cross_source_fold(window_with_floor(in_source_dedup(items)))), "scored")
+    return brief_order(assign_levels(scored))

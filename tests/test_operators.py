@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions import scalars as S
@@ -48,7 +49,8 @@ def test_retention_bounds(spark):
     assert got["2024-01-02"] == (False, False) and got["2024-01-01"] == (True, False) and got["note"] == (True, True) and got["20231001T0810"] == (True, False)
 
 
-def test_greedy_resolution(spark):
+@pytest.mark.parametrize("most", [2_000_000, 5])
+def test_greedy_resolution(spark, most):
     rnd = random.Random(3)
     n, base = 40, {1000, 1001}
     links = set()
@@ -70,10 +72,38 @@ def test_greedy_resolution(spark):
             kept.add(p)
     ranked = spark.createDataFrame([(p, p) for p in range(n)], "pos long, rank long")
     edges = spark.createDataFrame([(a, b, r) for (a, b), r in best.items()], "pos long, other long, reason int")
-    got = {r.pos: r.reason for r in D.resolve(ranked, edges, handover).collect()}
+    got = {r.pos: r.reason for r in D.resolve(ranked, edges, handover, most).collect()}
     assert got == want
 
 
+def test_a_long_chain_of_conflicts_takes_few_tables(spark):
+    n, tables = 10_000, []
+
+    def counted(df):
+        tables.append(1)
+        return handover(df)
+
+    order = list(range(n))
+    random.Random(5).shuffle(order)  # of ids along the chain
+    ranked = spark.createDataFrame([(p, k) for k, p in enumerate(order)], "pos long, rank long")
+    edges = spark.createDataFrame([(a, b, 1) for k in range(n - 1) for a, b in ((order[k], order[k + 1]), (order[k + 1], order[k]))] + [(order[0], -1, 2)], "pos long, other long, reason int")
+    got = {r.pos: r.reason for r in D.resolve(ranked, edges, counted).collect()}
+    assert [got[p] for p in order] == [2] + [None, 1] * (n // 2 - 1) + [None]
+    assert len(tables) < 30
+
+
+def test_components(spark):
+    rnd = random.Random(7)
+    pairs = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(230)] + [(1000, 1000 + k) for k in range(1, 300)]
+    root = {}
+    find = lambda x: x if root.setdefault(x, x) == x else find(root[x])
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    got = {r.pos: r.component for r in D.components(spark.createDataFrame(pairs, "pos long, other long"), handover).collect()}
+    assert got == {x: find(x) for a, b in pairs if a != b for x in (a, b)}
+
+
 def test_set_bounds_are_whole_numbers(spark):
     a, b = [f"w{k}" for k in range(100)], [f"w{k}" for k in range(55)]
     rows = [(0, a, []), (1, b, []), (2, [*b[:54], "x"], [])]
