@@ -3,18 +3,23 @@
 Edges come from three rules: same canonical URL; same-language token Jaccard of at
 least SIM_TITLE; same host, less than HOST_HOURS apart and Jaccard of at least
 SIM_HOST. Title edges are found by a prefix filter (tokens in ascending document
-frequency, the first n - ceil(t n) + 1 of each set), host edges by host and time
-bucket; both are verified exactly.
+frequency, the first n - ceil(t n) + 1 of each set), host edges by a sweep over ranges
+of host and time; both are verified exactly.
 """
 
 from __future__ import annotations
 
+from collections import deque
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .. import config as C
 from ..functions import text as X
+from ..session import handover
 
 
 def with_tokens(items: DataFrame) -> DataFrame:
@@ -61,21 +66,95 @@ def title_edges(left: DataFrame, right: DataFrame, percent: int = C.SIM_TITLE) -
     return out.distinct()
 
 
-def host_edges(left: DataFrame, right: DataFrame, hours: int = C.HOST_HOURS, percent: int = C.SIM_HOST, salts: int = 8) -> DataFrame:
+class _Window:
+    """Rows of one side and host in the last hours, by token: what shares tokens with a row, and how many."""
+
+    def __init__(self):
+        self.rows: dict[str, deque] = {}
+
+    def add(self, s: int, row: tuple, tokens: list[str]) -> None:
+        for t in tokens:
+            self.rows.setdefault(t, deque()).append((s, row))
+
+    def alike(self, since: int, tokens: list[str], percent: int):
+        """Rows after `since` whose Jaccard similarity with the tokens is `percent` hundredths at least. Rows before it are forgotten."""
+        shared: dict[tuple, int] = {}
+        for t in tokens:
+            held = self.rows.get(t)
+            if held is None:
+                continue
+            while held and held[0][0] <= since:
+                held.popleft()
+            if not held:
+                del self.rows[t]
+                continue
+            for _, row in held:
+                shared[row] = shared.get(row, 0) + 1
+        return [row for row, n in shared.items() if 100 * n >= percent * (len(tokens) + row[1] - n)]
+
+
+_SWEPT = "pos long, other long, part int, head boolean, tail boolean, left boolean, host string, s long, zh array<string>, en array<string>"
+
+
+def _sweep(rows: DataFrame, span: int, percent: int) -> DataFrame:
+    """Edges within each partition of rows (part, left, pos, host, s, zh, en) in order of host and s, and the rows near its ends.
+
+    A row meets the other side's rows of the last `span` seconds that share a token with it;
+    their common tokens are counted by the way, so no pair is made that shares none.
+    """
+    empty = StructType.fromDDL(_SWEPT)
+
+    def run(batches):
+        out, first, host = [], None, None
+        last: deque = deque()  # rows near the end, so far
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["host"] != host:
+                    host, sides = r["host"], {(left, lang): _Window() for left in (True, False) for lang in ("zh", "en")}
+                    last.clear()
+                first = first or (host, r["s"])
+                since, found = r["s"] - span, set()
+                for lang in ("zh", "en"):
+                    if r[lang]:
+                        found.update(pos for pos, _ in sides[not r["left"], lang].alike(since, r[lang], percent))
+                        sides[r["left"], lang].add(r["s"], (r["pos"], len(r[lang])), r[lang])
+                found.discard(r["pos"])
+                out += [(r["pos"], x) + (None,) * 8 if r["left"] else (x, r["pos"]) + (None,) * 8 for x in found]
+                if host == first[0] and r["s"] - first[1] < span:
+                    out.append((r["pos"], None, r["part"], True, False, r["left"], host, r["s"], r["zh"], r["en"]))
+                last.append(r)
+                while last and last[0]["s"] <= since:
+                    last.popleft()
+            yield _arrow(out, empty)
+            out = []
+        yield _arrow([(r["pos"], None, r["part"], False, True, r["left"], r["host"], r["s"], r["zh"], r["en"]) for r in last], empty)
+
+    return rows.mapInArrow(run, _SWEPT)
+
+
+def _arrow(rows: list[tuple], schema: StructType) -> pa.RecordBatch:
+    arrow = to_arrow_schema(schema)
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)], names=arrow.names)
+
+
+def host_edges(left: DataFrame, right: DataFrame, hours: int = C.HOST_HOURS, percent: int = C.SIM_HOST, checkpoint=handover) -> DataFrame:
     """pos, other: same host, both dated, less than `hours` apart, Jaccard of at least `percent` hundredths.
 
-    Rows are dealt by host and time bucket, and by a salt: a busy host's bucket is `salts`
-    tasks, each with all of the (few) incoming rows and a part of the others.
+    Both sides are dealt once, in ranges of (host, time), so a busy host is split by time, and
+    swept in order with a sliding window. Pairs that a range's border parts are found
+    among the rows within `hours` of the borders alone, by host and time bucket.
     """
     span = hours * 3600
-    columns = ["pos", "host", "zh", "en", F.unix_timestamp("dt").alias("s")]
-    dated = "dt is not null and host <> ''"
-    a = left.filter(dated).select(*columns).withColumn("bucket", F.explode(F.array(*[F.floor(F.col("s") / span) + k for k in (-1, 0, 1)])))
-    a = a.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    b = right.filter(dated).select(*columns).withColumn("bucket", F.floor(F.col("s") / span)).withColumn("salt", F.pmod(F.xxhash64("pos"), F.lit(salts)).cast("int"))
-    same = (F.col("a.host") == F.col("b.host")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.salt") == F.col("b.salt"))
-    near = (F.col("a.pos") != F.col("b.pos")) & (F.abs(F.col("a.s") - F.col("b.s")) < span)
-    return a.alias("a").join(b.alias("b"), same).filter(near & alike(percent)).select(F.col("a.pos").alias("pos"), F.col("b.pos").alias("other")).distinct()
+    side = lambda df, is_left: df.filter("dt is not null and host <> ''").select(F.lit(is_left).alias("left"), "pos", "host", F.unix_timestamp("dt").alias("s"), "zh", "en")
+    rows = side(left, True).unionByName(side(right, False))
+    dealt = rows.repartitionByRange("host", "s").sortWithinPartitions("host", "s").select(F.spark_partition_id().alias("part"), "*")
+    swept = checkpoint(_sweep(dealt, span, percent))
+    near = swept.filter("part is not null").withColumn("bucket", F.floor(F.col("s") / span))
+    tails = near.filter("tail").withColumn("bucket", F.explode(F.array(F.col("bucket"), F.col("bucket") + 1)))
+    meets = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("host", "bucket")] + [F.col("a.part") < F.col("b.part"), F.col("b.s") - F.col("a.s") < span, F.col("a.left") != F.col("b.left"), F.col("a.pos") != F.col("b.pos")]
+    across = tails.alias("a").join(near.filter("head").alias("b"), meets).filter(alike(percent))
+    pair = F.when(F.col("a.left"), F.struct(F.col("a.pos").alias("pos"), F.col("b.pos").alias("other"))).otherwise(F.struct(F.col("b.pos").alias("pos"), F.col("a.pos").alias("other")))
+    return swept.filter("part is null").select("pos", "other").unionByName(across.select(pair.alias("p")).select("p.*")).distinct()
 
 
 REASONS = {"url": 0, "title": 1, "host_time": 2}

@@ -92,6 +92,30 @@ def test_a_long_chain_of_conflicts_takes_few_tables(spark):
     assert len(tables) < 30
 
 
+@pytest.mark.parametrize("partitions", ["1", "13"])
+def test_host_edges_against_all_pairs(spark, partitions):
+    rnd = random.Random(11)
+    rows = []
+    for pos in range(500):  # one host has half of all rows
+        words = rnd.sample([f"w{k}" for k in range(9)] + ["新模", "模型"], rnd.randint(0, 5))
+        zh, en = [w for w in words if w[0] != "w"], [w for w in words if w[0] == "w"]
+        rows.append((pos, rnd.choice(["busy", "busy", "a", "b", ""]), None if rnd.random() < 0.05 else 1_700_000_000 + rnd.randrange(0, 90 * 3600, 600), zh, en))
+    df = spark.createDataFrame(rows, "pos long, host string, s long, zh array<string>, en array<string>").withColumn("dt", F.timestamp_seconds("s")).drop("s")
+    left, right = df.filter("pos % 3 = 0"), df.filter("pos % 4 <> 1")
+    like = lambda a, b: bool(a and b) and 100 * len(set(a) & set(b)) >= 25 * len(set(a) | set(b))
+    want = {(a[0], b[0]) for a in rows if a[0] % 3 == 0 for b in rows if b[0] % 4 != 1 and a[0] != b[0] and a[1] == b[1] != "" and a[2] and b[2] and abs(a[2] - b[2]) < 6 * 3600 and (like(a[3], b[3]) or like(a[4], b[4]))}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.pos, r.other) for r in D.host_edges(left, right).collect()}
+        assert D.host_edges(left.limit(0), right.limit(0)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == want and len(want) > 500
+
+
 def test_components(spark):
     rnd = random.Random(7)
     pairs = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(230)] + [(1000, 1000 + k) for k in range(1, 300)]
