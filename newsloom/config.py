@@ -12,7 +12,7 @@ LANE_HOURS = {"model": 504, "official": 168, "paper": 72, "community": 48, "medi
 DEFAULT_HOURS = 48
 
 # Thresholds.
-TAKE, MIN_TAKE = 20, 2
+TAKE, MIN_TAKE = 8, 3
 FLOOR_TOP, FLOOR_WATCH, FLOOR_KEYWORD, KEYWORD_BONUS = 8.0, 6.5, 7.0, 1.0
 TOP_MAX, TOP_MIN, TOP_PERCENT, WATCH_PERCENT = 15, 4, 12, 35
 CASE_MIN_TOTAL, CASE_MIN_REL, CASE_MAX, RESCORE_MAX, HALF_LIFE_DAYS = 6.0, 5, 300, 30, 21

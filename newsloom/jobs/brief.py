@@ -60,6 +60,24 @@ def language_flag(spark, d):
     return items(spark, d, desc=False).select("pos", (~X.has_cjk(F.col("title"))).alias("translate"), (F.col("lane") == "apps").alias("want_type"))
 
 
+# limits by the number in a source's name; some sources have none of their own
+_NO = "CAST(regexp_extract(source_id, '(\\d+)', 1) AS INT)"
+_LIMITS = f""", limits AS (SELECT *, coalesce(CASE WHEN no % 4 <> 0 THEN no % 4 END, {C.TAKE}) AS take, coalesce(CASE WHEN no % 3 <> 0 THEN no % 3 + 2 END, {C.MIN_TAKE}) AS least, coalesce(CASE WHEN no % 5 = 0 THEN 0 WHEN no % 2 = 0 THEN 100 + no END, 0) AS hours, no % 7 <> 3 AS newest
+  FROM (SELECT *, {_NO} AS no FROM dedup)),
+limited AS (SELECT *, dt IS NULL OR dt >= TIMESTAMP '{C.AS_OF}' - to_hours(CASE WHEN hours > 0 THEN hours ELSE CAST({Q.HOURS} AS INT) END) AS inw FROM limits),
+r AS (SELECT *, row_number() OVER (PARTITION BY run_date, source_id, inw ORDER BY CASE WHEN newest THEN dt END DESC NULLS LAST, pos) AS rn, count(*) FILTER (inw) OVER (PARTITION BY run_date, source_id) AS nin FROM limited)
+SELECT run_date, source_id, pos, NOT inw AS stale FROM r WHERE (inw AND rn <= take) OR (NOT inw AND rn <= least - least(nin, take, least))"""
+
+
+@query(Q.chain("dedup", _LIMITS))
+def window_by_settings(spark, d):
+    no = F.regexp_extract("source_id", r"(\d+)", 1).cast("int")
+    sources = items(spark, d, desc=False).select("source_id").distinct().select(
+        "source_id", F.when(no % 4 != 0, no % 4).alias("take"), F.when(no % 3 != 0, no % 3 + 2).alias("min_take"), F.when(no % 5 == 0, 0).when(no % 2 == 0, no + 100).alias("max_age_h"), F.when(no % 7 == 3, False).alias("sort_desc")
+    )
+    return L.window_by_settings(L.in_source_dedup(items(spark, d, desc=False)), sources).select("run_date", "source_id", "pos", "stale")
+
+
 @query(Q.chain("dedup", " SELECT run_date, source_id, key, pos FROM dedup"))
 def in_source_dedup(spark, d):
     return L.in_source_dedup(items(spark, d, desc=False)).select("run_date", "source_id", "key", "pos")

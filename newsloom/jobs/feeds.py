@@ -13,6 +13,7 @@ from .. import config as C
 from ..functions import text as X
 from ..functions.residue import clean_web_junk as cleaned
 from ..operators import curated as U
+from ..operators import fetching as G
 from ..operators import report as R
 from ..operators import responses as M
 from ..operators import select as L
@@ -337,6 +338,57 @@ def clean_web_junk(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(cleaned(F.concat(head, F.coalesce("text", F.lit("")))).cast("binary")).alias("cleaned"))
 
 
+# Three paths a source: the first one is down, not well-formed, empty or too short, by the source's number; the second is of another kind; the third is good.
+_GATES = f"""WITH items AS (SELECT source, doc_id AS pos, CAST(regexp_extract(source, '(\\d+)', 1) AS INT) AS no FROM documents),
+s AS (SELECT source AS source_id, any_value(no) AS no, count(*) AS n FROM items GROUP BY source),
+p AS (SELECT source_id, no, n, r, CASE r WHEN 0 THEN 'a.example.com' WHEN 1 THEN 'b.example.com' ELSE 'c.example.com' END AS host,
+  CASE WHEN r = 0 THEN CASE no % 5 WHEN 0 THEN 'HTTPError503' WHEN 1 THEN 'ParseError' WHEN 2 THEN 'RuntimeError' END WHEN r = 1 AND no % 4 = 0 THEN 'JSONDecodeError' WHEN r = 2 AND no % 6 = 0 THEN 'URLError' END AS error,
+  CASE r WHEN 0 THEN 6 WHEN 1 THEN 60 ELSE 90 END AS dm, CASE WHEN no % 2 = 1 THEN 60 + no % 4 * 10 ELSE 0 END AS gate FROM s, range(3) t(r)),
+told AS (SELECT *, error IS NULL AND (gate = 0 OR dm >= gate) AS good, host || ':' || CASE WHEN error IS NOT NULL THEN error WHEN dm < gate THEN 'desc中位' || dm || '<' || gate || '跳过' ELSE 'OK(' || n || '条/desc' || dm || ')' END AS said FROM p),
+f AS (SELECT source_id, min(r) FILTER (good) AS r FROM told GROUP BY source_id)"""
+
+
+def _landed_paths(spark, d):
+    """Bodies of each source's three paths, from its documents; sources (source_id, desc_min)."""
+    docs = table(spark, d, "documents")
+    no = F.regexp_extract("source", r"(\d+)", 1).cast("int")
+    p = F.col("doc_id").cast("string")
+    text = lambda n: F.rpad(F.concat(F.lit("t"), p), n, "x")
+    entry = lambda n: F.concat(F.lit("<item><title>t"), p, F.lit("</title><description>"), text(n), F.lit("</description><link>http://x/"), p, F.lit("</link></item>"))
+    paper = F.struct(F.concat(F.lit("t"), p).alias("title"), text(60).alias("description"), F.concat(F.lit("http://x/"), p).alias("url"))
+    joined = lambda x: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", x.alias("x")))), lambda e: e["x"]), "")
+    s = docs.groupBy(F.col("source").alias("source_id"), no.alias("no")).agg(joined(entry(6)).alias("a"), F.to_json(F.struct(F.collect_list(paper).alias("items"))).alias("b"), joined(entry(90)).alias("c"))
+    k = F.col("no")
+    rss = lambda c: F.concat(F.lit("<rss><channel>"), c, F.lit("</channel></rss>"))
+    first = F.when(k % 5 == 1, F.concat(F.lit("<rss>"), "a")).when(k % 5 == 2, "<html></html>").otherwise(rss(F.col("a")))
+    paths = F.array(
+        F.struct(F.lit("a.example.com").alias("host"), F.lit("rss").alias("kind"), F.when(k % 5 == 0, 503).otherwise(200).alias("status"), first.alias("body")),
+        F.struct(F.lit("b.example.com").alias("host"), F.lit("json").alias("kind"), F.lit(200).alias("status"), F.when(k % 4 == 0, F.concat(F.lit("{"), "b")).otherwise(F.col("b")).alias("body")),
+        F.struct(F.lit("c.example.com").alias("host"), F.lit("rss").alias("kind"), F.when(k % 6 != 0, 200).alias("status"), F.when(k % 6 != 0, rss(F.col("c"))).alias("body")),
+    )
+    bodies = handover(s.select("source_id", F.posexplode(paths).alias("path_rank", "p")).select("source_id", "path_rank", "p.*"), "landed")
+    return bodies, s.select("source_id", F.when(k % 2 == 1, 60 + k % 4 * 10).alias("desc_min"))
+
+
+def _fetched(spark, d):
+    bodies, sources = _landed_paths(spark, d)
+    rows = handover(G.parsed(bodies), "parsed")
+    return rows, G.choose(G.attempts(bodies, rows), sources)
+
+
+@query(_GATES + " SELECT t.source_id, any_value(f.r) IS NOT NULL AS ok, any_value(host) FILTER (t.r = f.r) AS via, CAST(coalesce(any_value(n) FILTER (t.r = f.r), 0) AS BIGINT) AS n, string_agg(said, '; ' ORDER BY t.r) FILTER (f.r IS NULL OR t.r <= f.r) AS diag FROM told t JOIN f USING (source_id) GROUP BY t.source_id")
+def source_paths(spark, d):
+    """Each source's chosen path, from parsed bodies and its own gate, with what the paths said."""
+    return _fetched(spark, d)[1].select("source_id", "ok", "via", F.col("n").cast("long").alias("n"), F.array_join("diag", "; ").alias("diag"))
+
+
+@query(_GATES + " SELECT source AS source_id, host AS via, count(*) AS n, CAST(sum(dm) AS BIGINT) AS chars, count(DISTINCT 'http://x/' || pos) AS urls FROM items JOIN told ON told.source_id = source JOIN f ON f.source_id = source AND f.r = told.r GROUP BY ALL")
+def fetched_items(spark, d):
+    """The entries that came by the chosen paths."""
+    rows, chosen = _fetched(spark, d)
+    return G.chosen_items(rows, chosen).groupBy("source_id", "via").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("desc")).alias("chars"), F.count_distinct("url").alias("urls"))
+
+
 # sinks
 
 

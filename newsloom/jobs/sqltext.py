@@ -52,7 +52,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY run_date, source_id, inw ORDER BY dt DESC NULLS LAST, pos) AS rn,
          count(*) FILTER (inw) OVER (PARTITION BY run_date, source_id) AS nin FROM marked
 ),
-windowed AS (SELECT *, NOT inw AS stale FROM ranked WHERE (inw AND rn <= {C.TAKE}) OR (NOT inw AND rn <= {C.MIN_TAKE} - least(nin, {C.MIN_TAKE})))"""
+windowed AS (SELECT *, NOT inw AS stale FROM ranked WHERE (inw AND rn <= {C.TAKE}) OR (NOT inw AND rn <= {C.MIN_TAKE} - least(nin, {C.TAKE}, {C.MIN_TAKE})))"""
 FOLDED = f"""
 placed AS (SELECT *, row_number() OVER (PARTITION BY run_date, key ORDER BY {RANK}, {AGE_SORT}, pos) AS frn FROM windowed),
 others AS (SELECT run_date, key, list(block ORDER BY frn) FILTER (frn > 1) AS also FROM placed GROUP BY run_date, key),

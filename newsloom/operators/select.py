@@ -36,7 +36,7 @@ def in_window(as_of: str = C.AS_OF) -> Column:
 def taken(inside: str, group: list[str], take: int = C.TAKE, min_take: int = C.MIN_TAKE) -> Column:
     """Whether a row is among the newest `take` inside of its group, or fills it up to `min_take` from outside."""
     place = F.row_number().over(W.partitionBy(*group, inside).orderBy(F.desc_nulls_last("dt"), "pos"))
-    n = F.count_if(inside).over(W.partitionBy(*group))
+    n = F.least(F.count_if(inside).over(W.partitionBy(*group)), F.lit(take))
     return F.when(F.col(inside), place <= take).otherwise(place <= F.lit(min_take) - F.least(n, F.lit(min_take)))
 
 
@@ -47,6 +47,25 @@ def window_with_floor(items: DataFrame, as_of: str = C.AS_OF, take: int = C.TAKE
     return kept.withColumn("stale", ~F.col("_in")).drop("_in", "_taken")
 
 
+def window_by_settings(items: DataFrame, sources: DataFrame, as_of: str = C.AS_OF) -> DataFrame:
+    """window_with_floor under each source's own limits: take, min_take, max_age_h (its lane's, if null or 0) and sort_desc (false: feed order).
+
+    sources: source_id and these columns, nulls for the usual values; a row per source. Sources
+    that take nothing give nothing. The largest limit of all sources is a constant, so Spark cuts
+    each source to that many rows before the shuffle; a source's own limit then cuts the rest.
+    """
+    limits = sources.select("source_id", F.coalesce("take", F.lit(C.TAKE)).alias("_take"), F.coalesce("min_take", F.lit(C.MIN_TAKE)).alias("_least"), F.nullif("max_age_h", F.lit(0)).alias("_hours"), F.coalesce("sort_desc", F.lit(True)).alias("_newest"))
+    most = limits.agg(F.max(F.greatest("_take", "_least"))).first()[0] or 0
+    x = items.join(limits, "source_id", "left").fillna({"_take": C.TAKE, "_least": C.MIN_TAKE, "_newest": True}).filter("_take > 0")
+    since = S.as_of_ts(as_of) - F.make_interval(hours=F.coalesce("_hours", lane_hours(F.col("lane"))))
+    x = x.withColumn("_in", F.col("dt").isNull() | (F.col("dt") >= since)).withColumn("age_h", S.age_hours(F.col("dt"), as_of))
+    place = F.row_number().over(W.partitionBy("run_date", "source_id", "_in").orderBy(F.desc_nulls_last(F.when(F.col("_newest"), F.col("dt"))), "pos"))
+    cut = x.withColumn("_place", place).filter(F.col("_place") <= max(most, C.TAKE, C.MIN_TAKE))
+    n = F.least(F.count_if("_in").over(W.partitionBy("run_date", "source_id")), F.col("_take"))
+    kept = cut.withColumn("_n", n).filter(F.when(F.col("_in"), F.col("_place") <= F.col("_take")).otherwise(F.col("_place") <= F.col("_least") - F.least("_n", "_least")))
+    return kept.withColumn("stale", ~F.col("_in")).drop("_in", "_take", "_least", "_hours", "_newest", "_place", "_n")
+
+
 def lane_rank(lane: Column) -> Column:
     out = F.lit(99)
     for i, name in enumerate(C.LANES):

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 CONFIG = (
     "lanes array<struct<id:string, name:string>>, "
-    "sources array<struct<id:string, lane:string, block:string, enabled:boolean, mode:string, route:string, urls:array<string>, take:int, desc_min:int, max_age_h:int>>"
+    "sources array<struct<id:string, lane:string, block:string, enabled:boolean, mode:string, route:string, urls:array<string>, kind:string, take:int, min_take:int, desc_min:int, max_age_h:int, sort_desc:boolean>>"
 )
 
 
 def read_settings(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(lane, lane_rank) and one row per source with its lane's rank (99: unknown lane). A file is one JSON object."""
+    """(lane, lane_rank) and one row per source with its lane's rank (99: unknown lane), its paths' kind, gates and limits. A file is one JSON object."""
     config = spark.read.schema(CONFIG).option("multiLine", True).json(path)
     lanes = config.select(F.posexplode("lanes").alias("lane_rank", "l")).groupBy(F.col("l.id").alias("lane")).agg(F.min("lane_rank").alias("lane_rank"))
     sources = config.select(F.explode("sources").alias("s")).select("s.*").withColumnRenamed("id", "source_id")

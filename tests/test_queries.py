@@ -75,6 +75,9 @@ SHOWS = {
     "body_fetch_worklist": "count(*) > 0",
     "translate_worklist": "count(*) > 0",
     "nav_fragment": "bool_or(nav) AND NOT bool_and(nav)",
+    "source_paths": "bool_or(ok) AND NOT bool_and(ok) AND count(DISTINCT via) = 3 AND count(*) FILTER (diag LIKE '%跳过%') > 0",
+    "fetched_items": "count(DISTINCT via) = 3",
+    "window_by_settings": "bool_or(stale) AND NOT bool_and(stale)",
     "reports_read": "count(reason) > 0 AND count(reason) < count(*)",
 }
 
