@@ -19,6 +19,7 @@ from ..operators import responses as M
 from ..operators import select as L
 from ..session import handover, shared_dir
 from ..sources import feeds as B
+from ..sources import reports as V
 from ..sources import settings as N
 from ..sources import sinks as K
 from ..sources.items import items, table
@@ -327,7 +328,7 @@ def response_join_back(spark, d):
 @query("SELECT event_id, event_type AS host, CASE event_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'short' ELSE 'error' END AS outcome, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 50 AS INT) END AS n, CASE WHEN event_id % 3 < 2 THEN CAST(user_id AS INT) END AS desc_median, CASE WHEN event_id % 3 = 2 THEN 429 END AS code FROM events")
 def diag_parse(spark, d):
     e, m = F.col("event_id"), F.col("user_id").cast("string")
-    line = F.when(e % 3 == 0, F.concat(F.lit("OK("), (e % 50).cast("string"), F.lit("条/desc "), m, F.lit(")"))).when(e % 3 == 1, F.concat(F.lit("desc中位"), m, F.lit("<300跳过"))).otherwise("HTTPError 429")
+    line = F.when(e % 3 == 0, F.concat(F.lit("OK("), (e % 50).cast("string"), F.lit("条/desc"), m, F.lit(")"))).when(e % 3 == 1, F.concat(F.lit("desc中位"), m, F.lit("<300跳过"))).otherwise("HTTPError 429")
     return table(spark, d, "events").select("event_id", M.parse_diag(F.concat("event_type", F.lit(":"), line)).alias("x")).select("event_id", "x.*")
 
 
@@ -413,7 +414,7 @@ _FUNNEL = f"""{Q.WINDOWED}, fun AS (
 def _reports(spark, d):
     """Nested JSON of all days, written and read back."""
     funnel = handover(R.source_funnel(items(spark, d, desc=False)))
-    few = funnel.filter("taken < 3").select("run_date", "source_id", F.concat(F.lit("taken "), F.col("taken").cast("string")).alias("reason"))
+    few = funnel.filter("taken < 4").select("run_date", "source_id", F.concat(F.lit("taken "), F.col("taken").cast("string")).alias("reason"))
     counts = funnel.groupBy("run_date").agg(F.sum("taken").alias("total"), F.sum("stale").alias("stale"))
     path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
     K.run_report(funnel, few, counts).write.json(path)
@@ -423,7 +424,7 @@ def _reports(spark, d):
 @query(
     Q.chain(
         "dedup",
-        f""", {_FUNNEL} SELECT run_date, CAST(sum(taken) AS BIGINT) AS total, CAST(sum(stale) AS BIGINT) AS stale, count(*) AS sources, count(*) FILTER (taken < 3) AS degraded,
+        f""", {_FUNNEL} SELECT run_date, CAST(sum(taken) AS BIGINT) AS total, CAST(sum(stale) AS BIGINT) AS stale, count(*) AS sources, count(*) FILTER (taken < 4) AS degraded,
         string_agg(source_id || ' ' || raw || ' ' || taken, '; ' ORDER BY source_id) AS told FROM fun GROUP BY run_date""",
     )
 )
@@ -433,12 +434,73 @@ def run_report_write(spark, d):
     return x.select("run_date", "counts.total", "counts.stale", F.size("sources").cast("long").alias("sources"), F.size("degraded").cast("long").alias("degraded"), F.array_join(told, "; ").alias("told"))
 
 
-@query(Q.chain("dedup", f", {_FUNNEL} SELECT run_date, source_id, raw, in_window, taken, CASE WHEN taken < 3 THEN 'taken ' || taken END AS reason FROM fun"))
+@query(Q.chain("dedup", f", {_FUNNEL} SELECT run_date, source_id, raw, in_window, taken, CASE WHEN taken < 4 THEN 'taken ' || taken END AS reason FROM fun"))
 def reports_read(spark, d):
     """Stored reports, a row per run and source."""
     return K.report_sources(_reports(spark, d)).select("run_date", "source_id", "raw", "in_window", "taken", "reason")
 
 
+# Reports of the days: those of even days in the older shape. Sources with an odd number met a short path first, those that took nothing an error.
+_RUNS = f"""{Q.WINDOWED}, fun AS (SELECT i.run_date, i.source_id, count(*) AS raw, (SELECT count(*) FROM windowed w WHERE w.run_date = i.run_date AND w.source_id = i.source_id) AS n FROM items i GROUP BY ALL),
+src AS (SELECT *, CAST(right(run_date, 2) AS INT) % 2 = 0 AS old, CAST(regexp_extract(source_id, '(\\d+)', 1) AS INT) AS no FROM fun)"""
+_SAID = "[CASE WHEN no % 2 = 1 THEN 'a' || no || ':desc中位' || no || '<300跳过' END, 'b' || no || ':' || CASE WHEN n > 3 THEN 'OK(' || raw || '条/desc' || (300 + no) || ')' ELSE 'HTTPError429' END]"
+
+
+def _day_reports(spark, d):
+    """Reports of all days, written in two shapes and read by one scan."""
+    funnel = handover(R.source_funnel(items(spark, d, desc=False)))
+    no, fine = F.regexp_extract("source_id", r"(\d+)", 1), F.col("taken") > 3
+    short = F.when(no.cast("int") % 2 == 1, F.concat(F.lit("a"), no, F.lit(":desc中位"), no, F.lit("<300跳过")))
+    last = F.concat(F.lit("b"), no, F.lit(":"), F.when(fine, F.concat(F.lit("OK("), F.col("raw").cast("string"), F.lit("条/desc"), (no.cast("int") + 300).cast("string"), F.lit(")"))).otherwise("HTTPError429"))
+    sources = funnel.select("run_date", F.col("source_id").alias("id"), fine.alias("ok"), F.when(fine, F.concat(F.lit("b"), no)).alias("via"), F.when(fine, F.col("taken")).otherwise(0).alias("n"), F.when(fine, F.col("raw")).alias("raw"), F.array_compact(F.array(short, last)).alias("diag"), "taken")
+    degraded = sources.filter("not ok").select("run_date", "id", F.lit("apps").alias("lane"), F.substring(F.array_join("diag", "; "), 1, 200).alias("reason"))
+    total = funnel.groupBy("run_date").agg(F.sum("taken").alias("total"), F.sum("stale").alias("repeat"), *[(F.sum("taken") % k).alias(x) for k, x in ((5, "top"), (7, "watch"), (9, "normal"))])
+    old = F.dayofmonth("run_date") % 2 == 0
+    now = V.day_reports(total, sources, degraded).filter(~old)
+    then = F.to_json(F.struct(F.struct("total").alias("counts"), "sources"))
+    before = sources.filter(old).groupBy("run_date").agg(F.collect_list(F.struct(F.col("id").alias("source_id"), "taken")).alias("sources")).join(total.select("run_date", "total"), "run_date").select("run_date", then.alias("report"))
+    path = f"{shared_dir(spark)}/reports-{uuid.uuid4().hex}"
+    V.write_day_reports(now.unionByName(before).repartition("run_date"), path)
+    return V.read_reports(spark, path)
+
+
+@query(
+    Q.chain(
+        "dedup",
+        f""", {_RUNS}, t AS (SELECT run_date, any_value(old) AS old, CAST(sum(n) AS BIGINT) AS total, CAST(sum((SELECT count(*) FROM windowed w WHERE w.run_date = src.run_date AND w.source_id = src.source_id AND stale)) AS BIGINT) AS stale FROM src GROUP BY run_date)
+        SELECT run_date, false AS bad, CASE WHEN NOT old THEN run_date || ' 00:00' END AS generated_at, total, CASE WHEN NOT old THEN stale END AS repeat, CASE WHEN NOT old THEN total % 5 END AS top, CASE WHEN NOT old THEN total % 7 END AS watch, CASE WHEN NOT old THEN total % 9 END AS normal FROM t WHERE total > 0""",
+    )
+)
+def report_counts(spark, d):
+    """Counts of all stored reports, old and new."""
+    return V.report_counts(_day_reports(spark, d))
+
+
+@query(
+    Q.chain(
+        "dedup",
+        f""", {_RUNS} SELECT run_date, source_id, CASE WHEN old THEN n > 0 ELSE n > 3 END AS ok, CASE WHEN NOT old AND n > 3 THEN 'b' || no END AS via, CAST(CASE WHEN old OR n > 3 THEN n ELSE 0 END AS BIGINT) AS n, CASE WHEN NOT old AND n > 3 THEN raw END AS raw,
+        CASE WHEN NOT old AND n <= 3 THEN 'apps' END AS lane, CASE WHEN NOT old AND n <= 3 THEN array_to_string(list_filter({_SAID}, lambda x: x IS NOT NULL), '; ') END AS reason FROM src""",
+    )
+)
+def report_source_rows(spark, d):
+    """A row per source of all stored reports, with why it was degraded."""
+    return V.report_sources(_day_reports(spark, d)).drop("diag")
+
+
+@query(
+    Q.chain(
+        "dedup",
+        f""", {_RUNS}, l AS (SELECT run_date, source_id, no, n, raw, unnest(CASE WHEN no % 2 = 1 THEN [0, 1] ELSE [1] END) AS k FROM src WHERE NOT old)
+        SELECT run_date, source_id, CAST(CASE WHEN no % 2 = 1 THEN k ELSE 0 END AS INT) AS path_rank, CASE WHEN k = 0 THEN 'a' ELSE 'b' END || no AS host, CASE WHEN k = 0 THEN 'short' WHEN n > 3 THEN 'ok' ELSE 'error' END AS outcome,
+        CASE WHEN k = 1 AND n > 3 THEN CAST(raw AS INT) END AS n, CASE WHEN k = 0 THEN no WHEN n > 3 THEN 300 + no END AS desc_median, CASE WHEN k = 1 AND n <= 3 THEN 429 END AS code FROM l""",
+    )
+)
+def report_paths(spark, d):
+    """What all paths of all runs said, from the diag lines of the stored reports."""
+    return V.report_paths(_day_reports(spark, d))
+
+
 @query(
     Q.chain(
         "items",

@@ -85,10 +85,10 @@ def join_back(batch: DataFrame, rows: DataFrame, accepted: DataFrame) -> DataFra
 
 
 def parse_diag(c: Column) -> Column:
-    """struct(host, outcome, n, desc_median, code) of a run report's line such as h:OK(3条/desc 171), h:desc中位17<300跳过, h:Error429."""
+    """struct(host, outcome, n, desc_median, code) of a run report's line such as h:OK(3条/desc171), h:desc中位17<300跳过, h:Error429."""
     number = lambda p: F.nullif(F.regexp_extract(c, p, 1), F.lit("")).cast("int")
     outcome = F.when(c.contains(":OK("), "ok").when(c.contains("跳过"), "short").otherwise("error")
     return F.struct(
         F.regexp_extract(c, r"^(.*?):(?:OK\(|desc中位|[A-Za-z]*Error)", 1).alias("host"), outcome.alias("outcome"), number(r":OK\((\d+)条").alias("n"),
-        F.coalesce(number(r"/desc (\d+)\)"), number(r"desc中位(\d+)<")).alias("desc_median"), number(r"Error\D*(\d{3})").alias("code"),
+        F.coalesce(number(r"/desc ?(\d+)\)"), number(r"desc中位(\d+)<")).alias("desc_median"), number(r"Error\D*(\d{3})").alias("code"),
     )

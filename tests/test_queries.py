@@ -78,6 +78,9 @@ SHOWS = {
     "source_paths": "bool_or(ok) AND NOT bool_and(ok) AND count(DISTINCT via) = 3 AND count(*) FILTER (diag LIKE '%跳过%') > 0",
     "fetched_items": "count(DISTINCT via) = 3",
     "window_by_settings": "bool_or(stale) AND NOT bool_and(stale)",
+    "report_source_rows": "count(reason) > 0 AND count(reason) < count(*) AND count(via) > 0",
+    "report_paths": "count(DISTINCT outcome) = 3",
+    "report_counts": "count(repeat) > 0 AND count(repeat) < count(*)",
     "reports_read": "count(reason) > 0 AND count(reason) < count(*)",
 }
 
