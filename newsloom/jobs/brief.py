@@ -194,7 +194,7 @@ def batch_plan_counts(spark, d):
     )
 )
 def batch_assign(spark, d):
-    return R.batch_assign(_folded(spark, d))
+    return R.batch_assign(handover(_folded(spark, d)))
 
 
 _SHOWN = f"""CASE WHEN dt IS NULL THEN '' WHEN CAST(dt + INTERVAL 8 HOUR AS DATE) = CAST(n8 AS DATE) THEN strftime(dt + INTERVAL 8 HOUR, '%H:%M')

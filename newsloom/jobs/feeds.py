@@ -325,6 +325,34 @@ def response_join_back(spark, d):
     return M.join_back(sent, rows, M.acceptance(rows, sent)).select("batch_id", "i", F.md5(F.col("text").cast("binary")).alias("text"), "title_cn", "reason")
 
 
+# Two models answer batches of five texts: the first translates every second batch, but for texts of every third place; of the rest it says the text itself, or too little.
+_BODIES = """WITH s AS (SELECT doc_id // 5 AS batch_id, CAST(doc_id % 5 AS INT) AS i, text FROM documents),
+t AS (SELECT batch_id, i, 0 AS model_rank, '译文 ' || rpad(CAST(batch_id * 5 + i AS VARCHAR), 70, '文') AS desc_zh FROM s WHERE batch_id % 2 = 0 AND i % 3 <> 2
+  UNION ALL SELECT batch_id, i, 1, '再译 ' || rpad(CAST(batch_id * 5 + i AS VARCHAR), 60, '文') FROM s WHERE batch_id % 7 <> 3)"""
+
+
+def _body_responses(spark, d):
+    sent = table(spark, d, "documents").select(F.floor(F.col("doc_id") / 5).alias("batch_id"), (F.col("doc_id") % 5).cast("int").alias("i"), "text")
+    at = (F.col("batch_id") * 5 + F.col("i")).cast("string")
+    first = F.when((F.col("batch_id") % 2 == 0) & (F.col("i") % 3 != 2), F.concat(F.lit("译文 "), F.rpad(at, 70, "文"))).when(F.col("batch_id") % 2 == 0, "译文太短").otherwise(F.rpad(F.lit("English only "), 80, "x"))
+    second = F.when(F.col("batch_id") % 7 != 3, F.concat(F.lit(" 再译 "), F.rpad(at, 60, "文"), F.lit("\n"))).otherwise("")
+    answers = [sent.groupBy("batch_id").agg(F.to_json(F.collect_list(F.struct("i", zh.alias("zh")))).alias("text")).withColumn("model_rank", F.lit(k)) for k, zh in enumerate((first, second))]
+    return sent, answers[0].unionByName(answers[1])
+
+
+@query(_BODIES + " SELECT b.batch_id, m.model_rank, count(t.i) AS translated, count(t.i) > 0 AS accepted FROM (SELECT DISTINCT batch_id FROM s) b CROSS JOIN (VALUES (0), (1)) m(model_rank) LEFT JOIN t ON t.batch_id = b.batch_id AND t.model_rank = m.model_rank GROUP BY 1, 2")
+def body_acceptance(spark, d):
+    sent, answers = _body_responses(spark, d)
+    return M.body_acceptance(answers, M.body_rows(answers, sent))
+
+
+@query(_BODIES + ", f AS (SELECT batch_id, min(model_rank) AS r FROM t GROUP BY 1) SELECT s.batch_id, s.i, t.desc_zh FROM s LEFT JOIN f USING (batch_id) LEFT JOIN t ON t.batch_id = s.batch_id AND t.i = s.i AND t.model_rank = f.r")
+def body_join_back(spark, d):
+    """Translated bodies: the first model's if any of its rows counts, else the second's."""
+    sent, answers = _body_responses(spark, d)
+    return M.join_bodies(sent.select("batch_id", "i"), M.body_rows(answers, sent))
+
+
 @query("SELECT event_id, event_type AS host, CASE event_id % 3 WHEN 0 THEN 'ok' WHEN 1 THEN 'short' ELSE 'error' END AS outcome, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 50 AS INT) END AS n, CASE WHEN event_id % 3 < 2 THEN CAST(user_id AS INT) END AS desc_median, CASE WHEN event_id % 3 = 2 THEN 429 END AS code FROM events")
 def diag_parse(spark, d):
     e, m = F.col("event_id"), F.col("user_id").cast("string")

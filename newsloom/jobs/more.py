@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ from ..operators import dedup as D
 from ..operators import history as H
 from ..operators import report as R
 from ..operators import select as L
-from ..session import handover
+from ..session import handover, shared_dir
 from ..sources.items import items, table
 from . import sqltext as Q
 from .registering import register
@@ -322,6 +325,17 @@ def title_pin(spark, d):
     return H.pin_titles(items(spark, d, desc=False), C.AS_OF_DATE).select("pos", "id", "was_pinned", "title_cn")
 
 
+@query(Q.chain("items", f" SELECT substr(md5({Q.norm('title')}), 1, 10) AS id, arg_max(title_cn, run_date || lpad(CAST(pos AS VARCHAR), 12, '0')) AS pinned, max(run_date) AS seen FROM items WHERE run_date < '{C.AS_OF_DATE}' AND CAST(run_date AS DATE) >= DATE '{C.AS_OF_DATE}' - 15 AND coalesce(title_cn, '') <> '' GROUP BY 1"))
+def pins_rolled(spark, d):
+    """Pins of fifteen days, rolled forward over versions with gaps between them; the archive's partitions are read once each."""
+    at = f"{shared_dir(spark)}/pins-{uuid.uuid4().hex}"
+    items(spark, d, desc=False).select("run_date", "pos", "title", "title_cn").repartition("run_date").write.partitionBy("run_date").parquet(f"{at}/archive")
+    archive = spark.read.schema("pos long, title string, title_cn string, run_date date").parquet(f"{at}/archive")
+    for back in (14, 13, 4, 0):
+        pins = H.roll_pins(archive, f"{at}/pins", str(datetime.date.fromisoformat(C.AS_OF_DATE) - datetime.timedelta(days=back)), 15)
+    return pins.select("id", "pinned", "seen")
+
+
 @query(Q.chain("items", f", ids AS (SELECT *, substr(md5({Q.norm('title')}), 1, 10) AS id FROM items) SELECT pos, first_value(nullif(title_cn, '') IGNORE NULLS) OVER (PARTITION BY id ORDER BY run_date, pos ROWS UNBOUNDED PRECEDING) AS pinned FROM ids"))
 def pin_latest(spark, d):
     return H.first_wordings(items(spark, d, desc=False)).select("pos", "pinned")

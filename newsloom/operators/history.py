@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,6 +44,42 @@ def pin_titles(items: DataFrame, before: str) -> DataFrame:
     return joined.withColumn("was_pinned", differs).withColumn("title_cn", F.when(differs, F.col("pinned")).otherwise(F.col("title_cn"))).drop("pinned")
 
 
+def newest_pins(*pins: DataFrame) -> DataFrame:
+    """id, pinned, seen, pos: of each id the wording that was seen last."""
+    rows = pins[0]
+    for more in pins[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy("id").agg(F.max_by(F.struct("pinned", "seen", "pos"), F.struct("seen", "pos")).alias("p")).select("id", "p.*")
+
+
+def archive_pins(archive: DataFrame) -> DataFrame:
+    """The pins that archived rows (run_date, pos, title, title_cn) speak for."""
+    worded = archive.filter(F.coalesce("title_cn", F.lit("")) != "")
+    return newest_pins(worded.select(X.item_id(F.col("title")).alias("id"), F.col("title_cn").alias("pinned"), F.col("run_date").alias("seen"), "pos"))
+
+
+def roll_pins(archive: DataFrame, store: str, day: str, keep_days: int = 30) -> DataFrame:
+    """Pins as of `day` (dates before it count): the newest stored version before, merged with the archive since then.
+
+    A daily run reads yesterday's version and one partition of the archive; after a gap, those
+    of the gap; at first, all that is kept. Pins not seen for `keep_days` go, as their archives do.
+    A version that is written twice is the same, and versions are never read while being written.
+    `archive` is partitioned by run_date.
+    """
+    spark, to = archive.sparkSession, F.lit(day).cast("date")
+    try:
+        before = spark.read.parquet(store).filter(F.col("v") < to)
+        last = before.agg(F.max("v")).first()[0]
+    except AnalysisException:  # nothing stored yet
+        last = None
+    since = F.date_sub(to, keep_days) if last is None else F.greatest(F.date_sub(to, keep_days), F.lit(last).cast("date"))
+    pins = archive_pins(archive.filter((F.col("run_date") >= since) & (F.col("run_date") < to)))
+    if last is not None:
+        pins = newest_pins(before.filter(F.col("v") == F.lit(last)).drop("v"), pins)
+    pins.filter(F.col("seen") >= F.date_sub(to, keep_days)).write.mode("overwrite").parquet(f"{store}/v={day}")
+    return spark.read.parquet(f"{store}/v={day}")
+
+
 def first_wordings(items: DataFrame) -> DataFrame:
     """Backfill of pins: the first translated title so far of each id, per row."""
     w = W.partitionBy("id").orderBy("run_date", "pos").rowsBetween(W.unboundedPreceding, 0)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import text as X
+from ..functions.residue import BLANKS
 
 # Names under which the form of an application comes back.
 TYPE_KEYS = ["type", "apptype", "app_type", "kind", "形态", "应用形态"]
@@ -32,7 +33,7 @@ def whole_array(text: str | None) -> str | None:
     return None
 
 
-def lenient_array(c: Column) -> Column:
+def lenient_array(c: Column, rows: str = ROW) -> Column:
     """Rows of a response: code fences go, a truncated array is closed after its last complete row. Null if nothing can be read."""
 
     def repair(s: pd.Series) -> pd.Series:
@@ -40,7 +41,7 @@ def lenient_array(c: Column) -> Column:
 
     repair.__annotations__ = {"s": pd.Series, "return": pd.Series}
     plain = F.trim(F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), r"(?m)^```(json)?|```$", ""))
-    return F.from_json(F.pandas_udf(repair, "string")(plain), ROW)
+    return F.from_json(F.pandas_udf(repair, "string")(plain), rows)
 
 
 def response_rows(responses: DataFrame) -> DataFrame:
@@ -84,6 +85,34 @@ def join_back(batch: DataFrame, rows: DataFrame, accepted: DataFrame) -> DataFra
     return x.select(*batch.columns, F.when(F.col("translate") & X.has_cjk(F.col("r.title")), F.col("r.title")).alias("title_cn"), F.col("r.summary").alias("summary"), F.col("r.reason").alias("reason"), F.col("r.topic").alias("topic"), F.col("r.apptype").alias("apptype"), F.col("r.score").alias("score"))
 
 
+BODY_ROW, BODY_LEAST = "array<struct<i:string, zh:string>>", 60
+
+
+def body_rows(responses: DataFrame, sent: DataFrame) -> DataFrame:
+    """batch_id, model_rank, i, desc_zh: the translations that count: of a row that was sent, Chinese, 60 characters at least. Of a row answered twice the last one counts.
+
+    `sent`: batch_id, i.
+    """
+    r = responses.select("batch_id", "model_rank", F.posexplode(lenient_array(F.col("text"), BODY_ROW)).alias("at", "r"))
+    zh = F.btrim("r.zh", F.lit(BLANKS))
+    r = r.select("batch_id", "model_rank", "at", F.col("r.i").try_cast("int").alias("i"), zh.alias("desc_zh")).filter((F.char_length("desc_zh") >= BODY_LEAST) & X.has_cjk(F.col("desc_zh")))
+    return r.join(sent.select("batch_id", "i").distinct(), ["batch_id", "i"], "left_semi").groupBy("batch_id", "model_rank", "i").agg(F.max_by("desc_zh", "at").alias("desc_zh"))
+
+
+def body_acceptance(responses: DataFrame, rows: DataFrame) -> DataFrame:
+    """batch_id, model_rank, translated, accepted of each response: one translation that counts makes it good. rows: what body_rows() gave."""
+    n = rows.groupBy("batch_id", "model_rank").agg(F.count(F.lit(1)).alias("translated"))
+    x = responses.select("batch_id", "model_rank").distinct().join(n, ["batch_id", "model_rank"], "left").withColumn("translated", F.coalesce("translated", F.lit(0)))
+    return x.withColumn("accepted", F.col("translated") > 0)
+
+
+def join_bodies(sent: DataFrame, rows: DataFrame) -> DataFrame:
+    """The sent rows with desc_zh of the first model that translated any row of the batch; the others keep what they have."""
+    best = rows.groupBy("batch_id").agg(F.min("model_rank").alias("model_rank"))
+    told = rows.join(best, ["batch_id", "model_rank"], "left_semi").select("batch_id", "i", "desc_zh")
+    return sent.join(told, ["batch_id", "i"], "left")
+
+
 def parse_diag(c: Column) -> Column:
     """struct(host, outcome, n, desc_median, code) of a run report's line such as h:OK(3条/desc171), h:desc中位17<300跳过, h:Error429."""
     number = lambda p: F.nullif(F.regexp_extract(c, p, 1), F.lit("")).cast("int")

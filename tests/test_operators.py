@@ -192,3 +192,36 @@ def test_hand_over_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         shared_dir(Cluster)
+
+
+def test_pins_rolled_over_days_with_gaps(spark, tmp_path):
+    import datetime as dt
+
+    rnd = random.Random(2)
+    begin = dt.date(2024, 1, 1)
+    rows = [(begin + dt.timedelta(days=d), p, f"Title {rnd.randrange(25)}", rnd.choice([None, "", f"题{rnd.randrange(9)}"])) for d in range(45) if d % 7 != 3 for p in range(rnd.randint(1, 6))]
+    schema = "run_date date, pos long, title string, title_cn string"
+    spark.createDataFrame(rows, schema).write.partitionBy("run_date").parquet(str(tmp_path / "archive"))
+    archive = spark.read.schema("pos long, title string, title_cn string, run_date date").parquet(str(tmp_path / "archive"))
+    days = [1, 2, 3, 4, 9, 10, 20, 28, 29, 30, 44, 45]  # a run may be left out, for days
+    for d in days:
+        day = begin + dt.timedelta(days=d)
+        got = {r.id: (r.pinned, r.seen, r.pos) for r in H.roll_pins(archive, str(tmp_path / "pins"), str(day), 20).collect()}
+        kept = spark.createDataFrame([r for r in rows if day - dt.timedelta(days=20) <= r[0] < day], schema)
+        assert got == {r.id: (r.pinned, r.seen, r.pos) for r in H.archive_pins(kept).collect()}, d
+    plan = H.archive_pins(archive.filter("run_date >= date'2024-02-13' and run_date < date'2024-02-14'"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan and "2024-02-13" in plan
+
+
+def test_batches_equal_those_of_a_sort(spark):
+    from pyspark.sql import Window as W
+
+    from newsloom.operators import report as R
+
+    rnd = random.Random(4)
+    rows = [(f"d{rnd.choice([1, 1, 1, 2])}", p, rnd.choice(["新 title", "title"]), rnd.choice(["apps", "media"])) for p in rnd.sample(range(10**6), 500)]
+    df = spark.createDataFrame(rows, "run_date string, pos long, title string, lane string").cache()
+    rn = F.row_number().over(W.partitionBy("run_date", ~X.has_cjk(F.col("title")), F.col("lane") == "apps").orderBy("pos")) - 1
+    want = {(r.run_date, r.pos, r.b, r.i) for r in df.select("run_date", "pos", F.floor(rn / 7).alias("b"), (rn % 7).alias("i")).collect()}
+    got = {(r.run_date, r.pos, r.batch, r.i) for r in R.batch_assign(df, 7).collect()}
+    assert got == want
