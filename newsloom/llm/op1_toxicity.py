@@ -9,6 +9,9 @@
    the reading of least channel cost plus trigram cost. Decoded are tokens that
    show such marks, and runs of three or more single characters with white space
    or punctuation between them, where each separator is dropped or a word edge.
+   When scoring, words that tell toxic documents are also looked for across one
+   blank (mo ron) and inside of longer tokens (youmoron): there the blank is
+   dropped, or a word edge set, if the language model finds that reading cheaper.
 3. Score: words and word beginnings of the restored text, of which those that
    tell toxic documents are chosen by their counts over the labelled rows, feed a
    logistic regression.
@@ -51,7 +54,7 @@ SEPARATOR = re.compile(rf"([^\w{SIGNS}]|_)+")
 SPELLED = re.compile(rf"(?<![^\W_])(?<![^\W_]['’])(?:[^\W_]|[{SIGNS}])(?:(?:[^\w{SIGNS}]|_)++(?:[^\W_]|[{SIGNS}])){{2,}}(?![^\W_])")
 #: A letter four times or more reads as three times: beyond two it is stretched.
 STRETCHED = re.compile(rf"((?P<ch>[^\W_])(?P<by>(?:[^\w{SIGNS}]|_)++)(?P=ch)(?P=by)(?P=ch))(?:(?P=by)(?P=ch))+(?![^\W_])")
-MARKED = re.compile(r"[^\W\d_][.\-_*][^\W\d_]|[^\W\d_][0-9@$!|+(€£¡*]|[0-9@$!|+(€£¡*][^\W\d_]|([^\W\d_])\1\1").search
+MARKED = re.compile(r"[^\W\d_][.\-_*][^\W\d_]|[^\W\d_][0-9@$!|+(€£¡*]|[0-9@$!|+(€£¡*][^\W\d_]|([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3").search
 SUBSTITUTE, DOUBLE, DROP = 0.7, 1.5, 0.3
 EDGE, OTHER = 2.0, 1.5  # a word edge at the usual separator of a run; a dropped separator of another kind
 
@@ -163,6 +166,16 @@ class Decoder:
         self.known[key] = out
         return out
 
+    def price(self, text: str) -> float:
+        """What the language model finds a text to cost, without a channel."""
+        x = y = 0
+        total = 0.0
+        for ch in text:
+            z = letter_class(ch)
+            total += self.cost[x][y][z]
+            x, y = y, z
+        return total + self.cost[x][y][0]
+
     def words(self, token: str) -> list[str]:
         """Words of a token, restored if it is spelled out or shows marks."""
         if SPELLED.fullmatch(token):
@@ -176,6 +189,9 @@ class Decoder:
 
 
 BEGINNINGS = (4, 5, 6)
+#: Letters of a piece that stands apart; of either part of a token that is read as two; of a word that is found so.
+SHORT, LEAST_PART, LEAST_INSIDE = 3, 2, 4
+AROUND = ".,;:!?()[]\"'*_-"
 
 
 def tokens_of(text: str) -> set[str]:
@@ -193,9 +209,29 @@ class Features:
 
     def of_token(self, token: str) -> tuple:
         words = self.decoder.words(token)
+        if self.chosen is not None:
+            words = [*words, *self.inside(words)]
         found = (*words, *(w[:n] + "~" for w in words for n in BEGINNINGS if len(w) > n))
         return found if self.chosen is None else tuple(f for f in found if f in self.chosen)
 
+    def inside(self, words: list[str]) -> list[str]:
+        """Chosen words at an end of a longer word that is cheaper to read as two."""
+        return [
+            part for w in words if w not in self.chosen for at in range(LEAST_PART, len(w) - LEAST_PART + 1)
+            for part in (w[:at], w[at:]) if len(part) >= LEAST_INSIDE and part in self.chosen and self.decoder.price(w[:at] + " " + w[at:]) < self.decoder.price(w)
+        ]
+
+    def across(self, text: str) -> list[str]:
+        """Chosen words that stand in two pieces, one of them short, and are cheaper to read as one."""
+        parts = text.split()
+        found = []
+        for a, b in zip(parts, parts[1:]):
+            if len(a) <= SHORT or len(b) <= SHORT:
+                a, b = a.lower().lstrip(AROUND), b.lower().rstrip(AROUND)
+                if a + b in self.chosen and len(a + b) >= LEAST_INSIDE and a and b and self.decoder.price(a + b) < self.decoder.price(f"{a} {b}"):
+                    found.append(a + b)
+        return found
+
     def of(self, text: str | None) -> set[str]:
         if not text:
             return set()
@@ -206,7 +242,11 @@ class Features:
         for t in tokens:
             if t not in known:
                 known[t] = self.of_token(t)
-        return set().union(*filter(None, map(known.__getitem__, tokens)))
+        found = set().union(*filter(None, map(known.__getitem__, tokens)))
+        if self.chosen:
+            for w in self.across(text):
+                found.update(f for f in (w, *(w[:n] + "~" for n in BEGINNINGS if len(w) > n)) if f in self.chosen)
+        return found
 
 
 def held_out(doc_id):

@@ -238,8 +238,9 @@ def test_toxicity_of_spelled_out_words(spark):
     text = [(i, f"plain words of a calm text as I think you {bad[i // 5 % 5] if i % 5 == 0 else 'friend'} there", int(i % 5 == 0)) for i in range(1500)]
     corpus = spark.createDataFrame([(i, t) for i, t, _ in text], "doc_id long, text string")
     model = m.train(corpus, spark.createDataFrame([(i, y) for i, _, y in text], "doc_id long, toxic int"))
-    hard = ["you 1d10t there", "are a m o r o n today", "i d i o t I think", "i d i o t. Then", 'said "i d i o t" to', "s c u m, all", "$ t u p ! d", "i  d  i  o  t", "i\nd\ni\no\nt", "i d  i o\nt", "a s s", "m, o, r, o, n", "1 d 1 0 7", "i d i o t   m o r o n"]
-    calm = ["plain calm text", "a b c", "1 2 3 4", "words of a I think", "- - - -", "it's a b c", "x y z " * 9, "ç " * 5000]
+    hard = ["you 1d10t there", "are a m o r o n today", "i d i o t I think", "i d i o t. Then", 'said "i d i o t" to', "s c u m, all", "$ t u p ! d", "i  d  i  o  t", "i\nd\ni\no\nt", "i d  i o\nt", "a s s", "m, o, r, o, n", "1 d 1 0 7", "i d i o t   m o r o n",
+            "mo ron", "you id iot, there", "idio t", "iiddiioott", "iidiott", "youidiot", "stupidfriend"]
+    calm = ["plain calm text", "a b c", "1 2 3 4", "words of a I think", "- - - -", "it's a b c", "x y z " * 9, "ç " * 5000, "the committee and its success", "calm words of us all", "as so"]
     features = m.Features(model.cost, model.weights)
     assert [t for t in hard if model.score(features, t) < 0.5] == []
     assert [t for t in calm if model.score(features, t) >= 0.5] == []
