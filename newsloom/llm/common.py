@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: SQL (DuckDB) of crc32: a table by its rule as `tab` of the CTE `crc`, and the checksum of a text of Latin-1 characters.
+SQL_CRC = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS tab)"
+
+
+def sql_crc32(text: str) -> str:
+    code = "CAST(unicode(ch) AS BIGINT)"
+    in_utf8 = f"flatten(list_transform(string_split({text}, ''), lambda ch: CASE WHEN {code} < 128 THEN [{code}] ELSE [192 | ({code} >> 6), 128 | ({code} & 63)] END))"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {in_utf8}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -34,7 +34,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batched, record_batch, table
+from .common import SQL_CRC, batched, record_batch, sql_crc32, table
 
 # Costs of the edits, and what a truncated turn costs that is not deleted.
 DELETE, INSERT, REROLE, TRUNCATED = 4, 3, 3, 3
@@ -229,3 +229,42 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = damage(table(spark, sf_dir, "conversations"))
     rows = broken.filter("n > 0").withColumn("_", F.explode(F.sequence(F.lit(1), F.col("n"))))
     return digest(edits(rows, also=broken.select("conv_id")))
+
+
+def _add(x: str, cost: str, token: str) -> str:
+    """SQL: edits so far (six digits of cost, then pairs of edit and role) and one more."""
+    return f"lpad(CAST(CAST(left({x}, 6) AS INT) + {cost} AS VARCHAR), 6, '0') || substr({x}, 7) || '{token}'"
+
+
+_BLANK = r"\x20\x09-\x0D"
+_INSERTED = f"SELECT *, least(u, {_add('z', '3', 'Iu')}, {_add('s', '3', 'Iu')}, {_add('a', '3', 'Iu')}) AS u1"
+_BOTH = f"SELECT *, least(a, {_add('u1', '3', 'Ia')}) AS a1"
+SQL = rf"""
+WITH RECURSIVE {SQL_CRC},
+told AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {sql_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS mark FROM conversations, crc),
+broken AS (SELECT conv_id, turn, CASE WHEN mark = 4 THEN 'user' ELSE role END AS role, CASE mark WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE mark WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM told),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS again,
+  left(role, 1) AS c, regexp_extract(text, '([^{_BLANK}])[{_BLANK}]*$', 1) AS last FROM broken),
+r AS (SELECT *, CASE WHEN last = '' THEN 'B' WHEN again > 1 THEN 'D' WHEN last IN ('.', '!', '?') THEN '-' ELSE 'T' END AS fault, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS p FROM placed),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+sums AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'B') AS blank, count(*) FILTER (fault = 'D') AS duplicate, count(*) FILTER (fault = 'T') AS truncated,
+  count(*) FILTER (i > 1 AND p || c NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '000000' AS z, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a FROM ids
+  UNION ALL
+  SELECT b.conv_id, r.i, {_add('z', '4', 'D-')},
+    least({_add('s', '4', 'D-')}, CASE WHEN r.c = 's' AND stays THEN {_add('z', 'more', 'Ks')} END),
+    least({_add('u1', '4', 'D-')}, CASE WHEN r.c = 'u' AND stays THEN {_add('least(z, s, a1)', 'more', 'Ku')} END, CASE WHEN stays THEN {_add('least(z, s, a1)', '3 + more', 'Ru')} END),
+    least({_add('a1', '4', 'D-')}, CASE WHEN r.c = 'a' AND stays THEN {_add('u1', 'more', 'Ka')} END, CASE WHEN stays THEN {_add('u1', '3 + more', 'Ra')} END)
+  FROM ({_BOTH} FROM ({_INSERTED} FROM steps)) b JOIN (SELECT *, fault IN ('-', 'T') AS stays, CASE WHEN fault = 'T' THEN 3 ELSE 0 END AS more FROM r) r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+),
+ends AS (SELECT b.conv_id, least(z, a1) AS best FROM ({_BOTH} FROM ({_INSERTED} FROM steps)) b LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM b.conv_id WHERE b.i = coalesce(sums.n, 0)),
+edits AS (SELECT conv_id, best, k, substr(best, 7 + 2 * k, 1) AS e, substr(best, 8 + 2 * k, 1) AS role FROM (SELECT conv_id, best, unnest(range((length(best) - 6) // 2)) AS k FROM ends)),
+spots AS (SELECT *, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i, CASE role WHEN 'u' THEN 'user:' ELSE 'assistant:' END AS called FROM edits),
+said AS (SELECT spots.conv_id, string_agg(spots.e, '' ORDER BY k) AS audit, string_agg(CASE spots.e WHEN 'I' THEN called WHEN 'R' THEN called || r.text ELSE r.role || ':' || r.text END, chr(10) ORDER BY k) FILTER (spots.e <> 'D') AS text
+  FROM spots LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM spots.conv_id AND r.i = spots.i GROUP BY spots.conv_id)
+SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(left(best, 6) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(said.text, '')) AS repaired_sha256
+FROM ends LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM ends.conv_id LEFT JOIN said ON said.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""

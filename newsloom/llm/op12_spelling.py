@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, batched, handover, table
+from .common import LOWER, SQL_CRC, UPPER, batched, handover, sql_crc32, table
 
 # What is a letter, and the least length of a word.
 LETTERS, LEAST = "[A-Za-z\\u00C0-\\u00FF]", 7
@@ -160,3 +160,22 @@ def variants(words: DataFrame, times: int = TIMES) -> DataFrame:
 
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(handover(word_counts(table(spark, sf_dir, "documents"), spoil=True), "words"))
+
+
+SQL = rf"""
+WITH RECURSIVE {SQL_CRC},
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(r, '{UPPER}', '{LOWER}') AS run FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{{LEAST},}}')) AS r FROM documents)),
+hashed AS (SELECT run, {sql_crc32("id || ':' || run")} AS h FROM runs, crc),
+spoilt AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+v AS (SELECT word, count(*) AS n FROM spoilt WHERE length(word) >= {LEAST} GROUP BY word HAVING count(*) >= 2),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS m FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM d JOIN v ON v.word = d.rest
+  UNION SELECT v.word, d.word, d.n FROM d JOIN v ON v.word = d.rest
+),
+near AS (SELECT word, count(*) AS n_near, arg_min(near, (-m, near)) AS best, max(m) AS m FROM pairs GROUP BY word),
+f AS (SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= {TIMES} * n THEN best END AS form, CASE WHEN m >= {TIMES} * n THEN m END AS form_n FROM v LEFT JOIN near USING (word)),
+chain AS (SELECT word, word AS root, 0 AS k FROM f UNION ALL SELECT c.word, f.form, k + 1 FROM chain c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT word, arg_max(root, k) AS root FROM chain GROUP BY word) r USING (word)
+"""
