@@ -10,6 +10,7 @@ from ..functions import scalars as S
 from ..functions import text as X
 from ..operators import history as H
 from ..operators import report as R
+from ..operators import run as D
 from ..operators import select as L
 from ..session import handover
 from ..sources.items import items
@@ -50,6 +51,12 @@ again AS (
 flagged AS (SELECT o.*, coalesce(a.yes, false) AS is_repeat FROM ordered o LEFT JOIN again a ON a.run_date = o.run_date AND a.pos = o.pos)"""
 
 
+@query(Q.chain_pinned(C.AS_OF_DATE, _FLAGGED + f" SELECT run_date, ord, pos, title_cn, level, total, was_pinned, is_repeat FROM flagged WHERE run_date = '{C.AS_OF_DATE}'"))
+def daily_run(spark, d):
+    """The last day's run in its order: pinned titles ahead of scores and levels, repeats of the day before."""
+    return D.daily_run(items(spark, d, desc=False), C.AS_OF_DATE).select("run_date", "ord", "pos", "title_cn", "level", "total", "was_pinned", "is_repeat")
+
+
 @query(Q.chain("items", f" SELECT pos, lane, {Q.RANK} AS lane_rank FROM items"))
 def lane_rank_join(spark, d):
     return items(spark, d, desc=False).select("pos", "lane").join(F.broadcast(R.dim_lane(spark)), "lane", "left").select("pos", "lane", F.coalesce("lane_rank", F.lit(99)).alias("lane_rank"))

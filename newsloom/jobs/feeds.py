@@ -583,6 +583,18 @@ def stream_ingest(spark, d):
     return T.drained(T.ingest(_landed(spark, d, "pages").select("page_id", body.alias("body")), B.parse_json_items), shared_dir(spark)).select("page_id", "title", "desc", "id")
 
 
+@query(f"SELECT page_id, title, 'about ' || page_id AS \"desc\", 'http://x/' || page_id AS url, substr(md5({Q.norm('title')}), 1, 10) AS id FROM (SELECT page_id, 'Page ' || page_id AS title FROM pages)")
+def stream_ingest_mixed(spark, d):
+    """JSON, RSS and Atom bodies in one stream."""
+    k = F.col("page_id").cast("string")
+    json = F.to_json(F.array(F.struct(F.concat(F.lit("Page "), k).alias("title"), F.concat(F.lit("about "), k).alias("description"), F.concat(F.lit("http://x/"), k).alias("url"))))
+    rss = F.concat(F.lit("<rss><channel><item><title>Page "), k, F.lit("</title><link>http://x/"), k, F.lit("</link><description>about "), k, F.lit("</description></item></channel></rss>"))
+    atom = F.concat(F.lit('<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:entry><a:title>Page '), k, F.lit('</a:title><a:link href="http://x/'), k, F.lit('"/><a:summary>about '), k, F.lit("</a:summary></a:entry></a:feed>"))
+    kind = F.when(F.col("page_id") % 3 == 0, "json").otherwise("rss")
+    landed = _landed(spark, d, "pages").select("page_id", kind.alias("kind"), F.when(F.col("page_id") % 3 == 0, json).when(F.col("page_id") % 3 == 1, rss).otherwise(atom).alias("body"))
+    return T.drained(T.ingest_mixed(landed), shared_dir(spark)).select("page_id", "title", "desc", "url", "id")
+
+
 @query(Q.chain("items", f" SELECT DISTINCT {_ID} AS id FROM items"))
 def stream_dedup(spark, d):
     return T.drained(T.dedup(_arriving(spark, d)), shared_dir(spark)).select("id")

@@ -85,3 +85,13 @@ def chain(to: str, rest: str) -> str:
     """WITH the chain up to the CTE `to`, then the rest (more CTEs may follow after a comma)."""
     names = ["items", "dedup", "windowed", "folded", "totals", "leveled", "ordered"]
     return "WITH " + ",".join(_CHAIN[: names.index(to) + 1]) + rest
+
+
+def chain_pinned(day: str, rest: str) -> str:
+    """The chain to `ordered`, in which titles of `day` are pinned to their wording before it, ahead of the scores; then the rest."""
+    pins = f"""
+    pins AS (SELECT substr(md5({norm('title')}), 1, 10) AS id, arg_max(title_cn, run_date || lpad(CAST(pos AS VARCHAR), 12, '0')) AS pinned FROM items WHERE run_date < '{day}' AND coalesce(title_cn, '') <> '' GROUP BY 1),
+    folded AS (SELECT f.* REPLACE (CASE WHEN run_date = '{day}' AND coalesce(title_cn, '') <> '' THEN coalesce(pinned, title_cn) ELSE title_cn END AS title_cn), run_date = '{day}' AND coalesce(title_cn, '') <> '' AND coalesce(pinned <> title_cn, false) AS was_pinned
+      FROM folded0 f LEFT JOIN pins ON pins.id = substr(md5({norm('f.title')}), 1, 10))"""
+    parts = [ITEMS_SQL, DEDUP, WINDOWED, FOLDED.replace("folded AS (", "folded0 AS ("), pins, SCORED, LEVELED, ORDERED]
+    return "WITH " + ",".join(parts) + rest

@@ -36,14 +36,18 @@ def title_pins(items: DataFrame, before: str) -> DataFrame:
     return old.groupBy(X.item_id(F.col("title")).alias("id")).agg(F.max_by("title_cn", F.struct("run_date", "pos")).alias("pinned"))
 
 
-def pin_titles(items: DataFrame, before: str) -> DataFrame:
-    """Items of the day with title_cn replaced by its pin where both exist and differ. Adds id, was_pinned."""
-    today = items.filter(F.col("run_date") == F.lit(before).cast("date")).withColumn("id", X.item_id(F.col("title")))
-    joined = today.join(title_pins(items, before), "id", "left")
+def pinned(items: DataFrame, pins: DataFrame) -> DataFrame:
+    """Items with title_cn replaced by its pin where both exist and differ. Adds id, was_pinned."""
+    joined = items.withColumn("id", X.item_id(F.col("title"))).join(pins.select("id", "pinned"), "id", "left")
     differs = F.col("pinned").isNotNull() & (F.coalesce("title_cn", F.lit("")) != "") & (F.col("title_cn") != F.col("pinned"))
     return joined.withColumn("was_pinned", differs).withColumn("title_cn", F.when(differs, F.col("pinned")).otherwise(F.col("title_cn"))).drop("pinned")
 
 
+def pin_titles(items: DataFrame, before: str) -> DataFrame:
+    """Items of the day `before`, pinned to their wording in the archives before it."""
+    return pinned(items.filter(F.col("run_date") == F.lit(before).cast("date")), title_pins(items, before))
+
+
 def newest_pins(*pins: DataFrame) -> DataFrame:
     """id, pinned, seen, pos: of each id the wording that was seen last."""
     rows = pins[0]

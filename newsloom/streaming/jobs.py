@@ -17,6 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import text as X
 from ..operators import cases as K
+from ..sources import feeds
 from ..sources.sinks import write_snapshot
 
 HORIZON = "30 days"
@@ -27,6 +28,13 @@ def ingest(bodies: DataFrame, parser, **settings) -> DataFrame:
     return parser(bodies, **settings).withColumn("id", X.item_id(F.col("title")))
 
 
+def ingest_mixed(bodies: DataFrame) -> DataFrame:
+    """Landed bodies of several kinds (`kind`: json, else a feed) to cleaned items with their id, each by its kind's parser in one stream."""
+    by = lambda cond: bodies.filter(cond).drop("kind")
+    parts = [ingest(by(F.col("kind") == "json"), feeds.parse_json_items), ingest(by(F.coalesce(F.col("kind") != "json", F.lit(True))), feeds.parse_feed)]
+    return parts[0].unionByName(parts[1])
+
+
 def dedup(items: DataFrame, horizon: str = HORIZON) -> DataFrame:
     """The first row of an id within the horizon; seen_at is the event time."""
     return items.withWatermark("seen_at", horizon).dropDuplicatesWithinWatermark(["id"])

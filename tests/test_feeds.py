@@ -129,3 +129,19 @@ def test_library_grows_over_batches(spark, tmp_path):
         q.start().awaitTermination()
     rows = {r.url: r for r in spark.read.parquet(f"{lib}/v=000000000001").collect()}
     assert set(rows) == {"u", "v0", "v1"} and rows["u"].title == "old" and rows["u"].rel == 1
+
+
+def test_a_restarted_stream_of_mixed_bodies_loses_and_repeats_nothing(spark, tmp_path):
+    def land(*rows):
+        spark.createDataFrame(rows, "page long, kind string, body string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def drain():
+        stream = spark.readStream.schema("page long, kind string, body string").parquet(str(tmp_path / "in"))
+        T.ingest_mixed(stream).writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "state")).format("parquet").start(str(tmp_path / "out")).awaitTermination()
+        return sorted((r.page, r.title) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    rss = "<rss><item><title>r{0}</title></item><item><title>s{0}</title></item></rss>"
+    land((1, "json", '[{"title": "j1"}]'), (2, "rss", rss.format(2)), (3, "json", "{"), (4, "rss", None))
+    assert drain() == [(1, "j1"), (2, "r2"), (2, "s2")]
+    land((5, None, rss.format(5)), (6, "json", '{"items": [{"title": "j6"}]}'))
+    assert drain() == drain() == [(1, "j1"), (2, "r2"), (2, "s2"), (5, "r5"), (5, "s5"), (6, "j6")]

@@ -77,6 +77,7 @@ SHOWS = {
     "nav_fragment": "bool_or(nav) AND NOT bool_and(nav)",
     "body_acceptance": "bool_or(accepted) AND NOT bool_and(accepted)",
     "body_join_back": "count(desc_zh) > 0 AND count(desc_zh) < count(*) AND count(DISTINCT left(desc_zh, 2)) = 2",
+    "daily_run": "bool_or(is_repeat) AND NOT bool_and(is_repeat) AND bool_or(was_pinned) AND NOT bool_and(was_pinned)",
     "pins_rolled": "count(DISTINCT seen) > 5",
     "source_paths": "bool_or(ok) AND NOT bool_and(ok) AND count(DISTINCT via) = 3 AND count(*) FILTER (diag LIKE '%跳过%') > 0",
     "fetched_items": "count(DISTINCT via) = 3",
