@@ -54,7 +54,7 @@ SEPARATOR = re.compile(rf"([^\w{SIGNS}]|_)+")
 SPELLED = re.compile(rf"(?<![^\W_])(?<![^\W_]['’])(?:[^\W_]|[{SIGNS}])(?:(?:[^\w{SIGNS}]|_)++(?:[^\W_]|[{SIGNS}])){{2,}}(?![^\W_])")
 #: A letter four times or more reads as three times: beyond two it is stretched.
 STRETCHED = re.compile(rf"((?P<ch>[^\W_])(?P<by>(?:[^\w{SIGNS}]|_)++)(?P=ch)(?P=by)(?P=ch))(?:(?P=by)(?P=ch))+(?![^\W_])")
-MARKED = re.compile(r"[^\W\d_][.\-_*][^\W\d_]|[^\W\d_][0-9@$!|+(€£¡*]|[0-9@$!|+(€£¡*][^\W\d_]|([^\W\d_])\1\1|([^\W\d_])\2.*([^\W\d_])\3").search
+MARKED = re.compile(r"[^\W\d_][.\-_*][^\W\d_]|[^\W\d_][0-9@$!|+(€£¡*]|[0-9@$!|+(€£¡*][^\W\d_]|([^\W\d_])\1\1|([^\W\d_])\2([^\W\d_])\3|^([^\W\d_])\4").search
 SUBSTITUTE, DOUBLE, DROP = 0.7, 1.5, 0.3
 EDGE, OTHER = 2.0, 1.5  # a word edge at the usual separator of a run; a dropped separator of another kind
 
@@ -191,6 +191,7 @@ class Decoder:
 BEGINNINGS = (4, 5, 6)
 #: Letters of a piece that stands apart; of either part of a token that is read as two; of a word that is found so.
 SHORT, LEAST_PART, LEAST_INSIDE = 3, 2, 4
+STRONG = 0.5  # least weight of such a word
 AROUND = ".,;:!?()[]\"'*_-"
 
 
@@ -206,30 +207,37 @@ class Features:
 
     def __init__(self, cost: np.ndarray, chosen=None, most: int = 100_000):
         self.decoder, self.chosen, self.most, self.known = Decoder(cost), chosen, most, {}
+        # words that tell much, when scoring: their second pieces by the first, and where they begin and end
+        self.strong = {w for w, x in (chosen or {}).items() if isinstance(x, float) and x >= STRONG and len(w) >= LEAST_INSIDE and w[-1] != "~"}
+        self.ends = {w[:LEAST_INSIDE] for w in self.strong} | {w[-LEAST_INSIDE:] for w in self.strong}
+        self.pieces: dict[str, set[str]] = {}
+        for w in self.strong:
+            for at in range(1, len(w)):
+                if at <= SHORT or len(w) - at <= SHORT:
+                    self.pieces.setdefault(w[:at], set()).add(w[at:])
 
     def of_token(self, token: str) -> tuple:
         words = self.decoder.words(token)
-        if self.chosen is not None:
+        if self.strong:
             words = [*words, *self.inside(words)]
         found = (*words, *(w[:n] + "~" for w in words for n in BEGINNINGS if len(w) > n))
         return found if self.chosen is None else tuple(f for f in found if f in self.chosen)
 
     def inside(self, words: list[str]) -> list[str]:
-        """Chosen words at an end of a longer word that is cheaper to read as two."""
+        """Strong words at an end of a longer word that is cheaper to read as two."""
         return [
-            part for w in words if w not in self.chosen for at in range(LEAST_PART, len(w) - LEAST_PART + 1)
-            for part in (w[:at], w[at:]) if len(part) >= LEAST_INSIDE and part in self.chosen and self.decoder.price(w[:at] + " " + w[at:]) < self.decoder.price(w)
+            part for w in words if (w[:LEAST_INSIDE] in self.ends or w[-LEAST_INSIDE:] in self.ends) and w not in self.strong for at in range(LEAST_PART, len(w) - LEAST_PART + 1)
+            for part in (w[:at], w[at:]) if part in self.strong and self.decoder.price(w[:at] + " " + w[at:]) < self.decoder.price(w)
         ]
 
     def across(self, text: str) -> list[str]:
-        """Chosen words that stand in two pieces, one of them short, and are cheaper to read as one."""
-        parts = text.split()
+        """Strong words that stand in two pieces, one of them short, and are cheaper to read as one."""
+        parts, pieces = text.lower().split(), self.pieces
         found = []
-        for a, b in zip(parts, parts[1:]):
-            if len(a) <= SHORT or len(b) <= SHORT:
-                a, b = a.lower().lstrip(AROUND), b.lower().rstrip(AROUND)
-                if a + b in self.chosen and len(a + b) >= LEAST_INSIDE and a and b and self.decoder.price(a + b) < self.decoder.price(f"{a} {b}"):
-                    found.append(a + b)
+        for i in [i for i, a in enumerate(parts[:-1]) if a in pieces]:
+            a, b = parts[i], parts[i + 1].rstrip(AROUND)
+            if b in pieces[a] and self.decoder.price(a + b) < self.decoder.price(f"{a} {b}"):
+                found.append(a + b)
         return found
 
     def of(self, text: str | None) -> set[str]:
@@ -243,7 +251,7 @@ class Features:
             if t not in known:
                 known[t] = self.of_token(t)
         found = set().union(*filter(None, map(known.__getitem__, tokens)))
-        if self.chosen:
+        if self.pieces:
             for w in self.across(text):
                 found.update(f for f in (w, *(w[:n] + "~" for n in BEGINNINGS if len(w) > n)) if f in self.chosen)
         return found
