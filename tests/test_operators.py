@@ -225,3 +225,83 @@ def test_batches_equal_those_of_a_sort(spark):
     want = {(r.run_date, r.pos, r.b, r.i) for r in df.select("run_date", "pos", F.floor(rn / 7).alias("b"), (rn % 7).alias("i")).collect()}
     got = {(r.run_date, r.pos, r.batch, r.i) for r in R.batch_assign(df, 7).collect()}
     assert got == want
+
+
+def _titled(rnd, n):
+    """Rows with few words, hosts and times: groups that are all alike, copies, nulls."""
+    words = [f"w{k}" for k in range(8)] + ["新模", "模型", "型上"]
+    rows = []
+    for pos in range(n):
+        own = rnd.sample(words, rnd.randint(0, 4))
+        story = ["shared", "story", "told"] if rnd.random() < 0.5 else []
+        zh, en = [w for w in own if w[0] != "w"], story + [w for w in own if w[0] == "w"]
+        rows.append((pos, rnd.choice(["busy", "busy", "a", ""]), None if rnd.random() < 0.05 else 1_700_000_000 + rnd.randrange(0, 40 * 3600, 600), zh, en, rnd.choice(["", f"u{rnd.randrange(n)}"]), rnd.randrange(5)))
+    return rows
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, "pos long, host string, s long, zh array<string>, en array<string>, canon string, rel long").withColumn("dt", F.timestamp_seconds("s"))
+
+
+def _like(a, b, percent):
+    return any(x and y and 100 * len(set(x) & set(y)) >= percent * len(set(x) | set(y)) for x, y in ((a[3], b[3]), (a[4], b[4])))
+
+
+def _near(a, b):
+    return a[1] == b[1] != "" and a[2] is not None and b[2] is not None and abs(a[2] - b[2]) < 6 * 3600 and _like(a, b, 25)
+
+
+@pytest.mark.parametrize("part, pairs", [(16384, 1 << 20), (7, 3)])
+def test_links_are_counted_without_pairs(spark, monkeypatch, part, pairs):
+    monkeypatch.setattr(D, "PART", part)
+    monkeypatch.setattr(D, "PAIRS", pairs)
+    rows = _titled(random.Random(3), 300)
+    df = _frame(spark, rows)
+    a, b = df.filter("pos % 3 = 0"), df.filter("pos % 4 <> 1")
+    right = [r for r in rows if r[0] % 4 != 1]
+    want = {r[0]: sum(x[0] != r[0] and _like(r, x, 55) for x in right) for r in rows if r[0] % 3 == 0}
+    near = {r[0]: sum(x[0] != r[0] and _near(r, x) for x in right) for r in rows if r[0] % 3 == 0}
+    assert {r.pos: r.n for r in D.title_links(a, b).collect()} == want
+    assert {r.pos: r.n for r in D.host_links(a, b).collect()} == {p: n for p, n in near.items() if n}
+    assert {tuple(r) for r in D.title_edges(a, b).collect()} == {(r[0], x[0]) for r in rows if r[0] % 3 == 0 for x in right if x[0] != r[0] and _like(r, x, 55)}
+
+
+@pytest.mark.parametrize("first", [2000, 5])
+def test_dedup_without_all_pairs_against_one_row_a_step(spark, first):
+    rows = _titled(random.Random(4), 240)
+    rows = [(*r[:3], r[3], r[4] if r[0] % 10 == 3 or r[0] % 4 else [f"own{r[0]}"], *r[5:]) for r in rows]
+    a, b = [r for r in rows if r[0] % 2], [r for r in rows if r[0] % 12 == 0]
+    why = lambda x, y: min([k for k, yes in enumerate((x[5] == y[5] != "", _like(x, y, 55), _near(x, y))) if yes], default=None)
+    kept, want = [], {}
+    for r in sorted(a, key=lambda r: (-r[6], r[0])):
+        met = [k for x in b + kept if (k := why(r, x)) is not None]
+        want[r[0]] = min(met, default=None)
+        if not met:
+            kept.append(r)
+    made = []
+
+    def counted(df):
+        out = handover(df)
+        made.append(out.count())
+        return out
+
+    df = _frame(spark, rows)
+    x, base = df.filter("pos % 2 = 1"), df.filter("pos % 12 = 0")
+    got = {r.pos: r.reason for r in D.deduplicate(x, base, x.select("pos", F.struct((-F.col("rel")).alias("s"), F.col("pos").alias("p")).alias("rank")), counted, first).collect()}
+    assert got == want and 0 < len(kept) < len(a) and set(want.values()) == {None, 0, 1, 2}
+
+
+def test_a_group_of_alike_rows_is_not_paired(spark):
+    """3000 notes of one host and hour: nine million links, of which no table may hold a tenth."""
+    rows = [(pos, "busy", 1_700_000_000, [], ["weekly", "notes", f"a{pos}", f"b{pos}"], "", 0) for pos in range(3000)]
+    x = _frame(spark, rows)
+    sizes = []
+
+    def counted(df):
+        out = handover(df)
+        sizes.append(out.count())
+        return out
+
+    got = D.deduplicate(x, x.limit(0), x.select("pos", F.col("pos").alias("rank")), counted, 300).groupBy("reason").count().collect()
+    assert {r.reason: r["count"] for r in got} == {None: 1, 2: 2999} and max(sizes) < 900_000
+    assert {r.n for r in D.host_links(x, x).collect()} == {2999}
