@@ -305,3 +305,13 @@ def test_a_group_of_alike_rows_is_not_paired(spark):
     got = D.deduplicate(x, x.limit(0), x.select("pos", F.col("pos").alias("rank")), counted, 300).groupBy("reason").count().collect()
     assert {r.reason: r["count"] for r in got} == {None: 1, 2: 2999} and max(sizes) < 900_000
     assert {r.n for r in D.host_links(x, x).collect()} == {2999}
+
+
+def test_a_date_is_matched_once(spark):
+    """Eleven extractions, each behind its own clean-up, took 43 s for 1.1 million dates."""
+    from newsloom.functions.scalars import parse_dt
+
+    dates = spark.createDataFrame([("Thu, 1 Feb 2024 10:00:00 +0800",), ("1 Feb 2024 1:00:60",), ("31 Feb 2024 10:00",), ("3 Jan 123 10:00",), (None,)], "t string")
+    df = dates.select(parse_dt(F.col("t")).cast("string").alias("at"))
+    assert [r.at for r in df.collect()] == ["2024-02-01 02:00:00", None, None, None, None]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_") < 20
