@@ -315,3 +315,26 @@ def test_a_date_is_matched_once(spark):
     df = dates.select(parse_dt(F.col("t")).cast("string").alias("at"))
     assert [r.at for r in df.collect()] == ["2024-02-01 02:00:00", None, None, None, None]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_") < 20
+
+
+def test_upper_case_letter_by_letter(spark):
+    import duckdb
+
+    letters = ["straße", "Éñ", "", "plain"] + [chr(k) for k in range(0x80, 0x10000) if len(chr(k).upper()) > 1]
+    want = [duckdb.execute("SELECT upper(?)", [x]).fetchone()[0] for x in letters]
+    rows = spark.createDataFrame(list(enumerate([*letters, None])), "i int, t string").select("i", X.upper_by_letter(F.col("t")).alias("u")).orderBy("i").collect()
+    assert [r.u for r in rows] == [*want, None]
+
+
+def test_pages_with_entities_that_do_not_end(spark, tmp_path):
+    import duckdb
+
+    from newsloom.jobs import more
+
+    html = ["<p>a &amp<b>b</b> &amp; &copy; &copy 2 &lt;", "&", "x&y;z &#39; &#39 &nbsp", None, ""]
+    spark.createDataFrame(list(enumerate(html)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.plain, r.n) for r in more.QUERIES["strip_tags"](spark, str(tmp_path)).collect()}
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = {i: (plain, n) for i, plain, n in c.execute(more.ORACLES["strip_tags"]).fetchall() if html[i] is not None}
+    assert {i: got[i] for i in want} == want
