@@ -421,11 +421,11 @@ def fetched_items(spark, d):
 # sinks
 
 
-@query(Q.chain("ordered", " SELECT run_date, pos, ord, level FROM ordered WHERE run_date = (SELECT max(run_date) FROM ordered)"))
+@query(Q.brief_chain("ordered", " SELECT run_date, pos, ord, level FROM ordered WHERE run_date = (SELECT max(run_date) FROM ordered)"))
 def brief_write(spark, d):
     """Days are written, some of them again, and the newest is read back."""
     path = f"{shared_dir(spark)}/brief-{uuid.uuid4().hex}"
-    brief = L.brief(items(spark, d, desc=False)).select("run_date", "pos", "ord", "level")
+    brief = L.brief(items(spark, d, desc=False), C.BRIEF_TAKE).select("run_date", "pos", "ord", "level")
     K.write_brief(brief, path)
     K.write_brief(brief.filter(F.dayofmonth("run_date") % 2 == 1), path)
     return K.latest_brief(spark, path).select("run_date", "pos", "ord", "level")

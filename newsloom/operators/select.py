@@ -132,7 +132,7 @@ def brief_order(items: DataFrame, compat_age_zero: bool = False) -> DataFrame:
     return R.places(items, "run_date", F.struct(rank.alias("r"), (-F.col("total")).alias("t")), age).withColumnRenamed("place", "ord")
 
 
-def brief(items: DataFrame) -> DataFrame:
+def brief(items: DataFrame, take: int = C.TAKE) -> DataFrame:
     """The whole chain from items to an ordered brief."""
-    scored = handover(score_items(cross_source_fold(window_with_floor(in_source_dedup(items)))), "scored")
+    scored = handover(score_items(cross_source_fold(window_with_floor(in_source_dedup(items), take=take))), "scored")
     return brief_order(assign_levels(scored))

@@ -105,3 +105,12 @@ def test_sql_shows_both_outcomes(larger, name):
 def test_fold_folds(larger):
     sql = registry.ORACLES
     assert larger.execute(f"SELECT count(*) FROM ({sql['cross_source_fold']})").fetchone()[0] < larger.execute(f"SELECT count(*) FROM ({sql['window_with_floor']})").fetchone()[0]
+
+
+def test_the_brief_takes_twenty_of_a_source():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.1/{t}.parquet'")
+    most = "SELECT max(n) FROM (SELECT count(*) AS n FROM ({}) GROUP BY run_date, source_id)"
+    assert c.execute(most.format(registry.ORACLES["daily_brief"])).fetchone()[0] > 8
+    assert c.execute(most.format(registry.ORACLES["window_with_floor"])).fetchone()[0] == 8
