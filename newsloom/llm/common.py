@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import ctypes
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import handover, shared_dir  # noqa: F401
+from ..session import BATCH, batched, give_back, handover, shared_dir  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -48,34 +46,6 @@ def free_name(name: str, taken) -> str:
     return name
 
 
-#: Rows and bytes that an Arrow batch may hold: texts are long, and two tasks share an executor's memory.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20)}
-
-
-def give_back() -> None:
-    """Free buffers go back to the system after a task, since Python workers live on."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # no glibc
-        pass
-
-
-def batched(df: DataFrame, run, schema) -> DataFrame:
-    """mapInArrow with bounded batches: a bound that the session has set itself is left as it is."""
-    spark = df.sparkSession
-    own = spark.conf.getAll
-    for k, v in BATCH.items():
-        if k not in own:
-            spark.conf.set(k, v)
-
-    def whole(batches):
-        yield from run(batches)
-        give_back()
-
-    return df.mapInArrow(whole, schema)
-
-
 def text_buffers(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes as uint8, offsets) of an Arrow string column; nulls are empty."""
     arr = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

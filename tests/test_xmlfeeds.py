@@ -81,3 +81,18 @@ def test_a_long_body_builds_no_tree():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(rows) == 1230 and peak < 3_000_000 < len(body)  # the tree of its 740,000 elements would take 100 MB
+
+
+def test_entries_are_handed_on_in_small_batches(spark, monkeypatch):
+    """A worker held up to 10,000 bodies and all of their entries at once."""
+    from newsloom.sources import xmlfeeds
+
+    texts = ["<rss>" + "".join(f"<item><title>t{k}</title><link>http://{i}/{k}</link></item>" for k in range(i)) + "</rss>" for i in range(40)] + ["<rss>", None]
+    bodies = spark.createDataFrame([(i, f"s{i}", x) for i, x in enumerate(texts)], "i int, s string, body string").coalesce(1)
+    monkeypatch.setattr(xmlfeeds, "MOST", 100)
+    df = xmlfeeds.entries(bodies)
+    assert df.columns[:3] == ["i", "s", "ord"] and "MapInArrow" in df._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.i, r.s, r.ord, r.url) for r in df.filter("ord is not null").collect())
+    assert got == [(i, f"s{i}", k, f"http://{i}/{k}") for i in range(40) for k in range(i)]
+    assert sorted(r.i for r in df.filter("ord is null").collect()) == [0, 40, 41]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 26
