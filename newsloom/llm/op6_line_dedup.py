@@ -8,9 +8,10 @@ the first place that run occurs at (least doc_id, then line); a run that isn't t
 first is deleted. A common line that stands elsewhere with other neighbours is
 another run and hides nothing.
 
-With `window` up to `min_lines` every run of `min_lines` lines is a fingerprint,
+With `window` up to `min_lines` every run of `min_lines` lines holds a picked line,
 and the result is exact: a line goes if and only if it lies in such a run that
-occurs before. With wider windows runs shorter than `window` may be missed, and
+occurs before. A match that goes on is then met by its next run, so there is nothing
+to extend. With wider windows runs shorter than `window` may be missed, and
 matches are extended both ways, line by line, as far as `reach` lines.
 
 Shuffle: one row per fingerprint (about one a line), pre-aggregated to the first
@@ -61,10 +62,7 @@ def selected(hashes: list[int], window: int) -> set[int]:
 def key_runs(hashes: list[int], words: list[int], window: int, min_lines: int, min_words: int) -> list[tuple[int, int]]:
     """(begin, lines) of the runs that are fingerprints."""
     last = len(hashes) - min_lines
-    if window <= min_lines:  # each run holds a picked line
-        out = [(i, min_lines) for i in range(last + 1)]
-    else:
-        out = [(i, min_lines) for i in sorted({b for i in selected(hashes, window) for b in range(max(0, i - min_lines + 1), min(i, last) + 1)})]
+    out = [(i, min_lines) for i in sorted({b for i in selected(hashes, window) for b in range(max(0, i - min_lines + 1), min(i, last) + 1)})]
     for i in range(len(hashes)):
         total = 0
         for n in range(1, min(min_lines, len(hashes) - i + 1)):

@@ -536,3 +536,17 @@ def test_words():
     from newsloom.llm.op4_decontamination import words_of
 
     assert words_of("Ab-cÉ 9_x") == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low("Ab-cÉ 9_x"))
+
+
+def test_line_dedup_takes_its_runs_by_picked_lines(monkeypatch):
+    import random
+
+    from newsloom.llm import op6_line_dedup as op6
+
+    rnd = random.Random(8)
+    for n in range(12):
+        hashes = [rnd.randrange(5) for _ in range(n)]
+        for window, min_lines in ((1, 1), (2, 2), (2, 3), (3, 3)):
+            assert op6.key_runs(hashes, [1] * n, window, min_lines, 50) == [(i, min_lines) for i in range(n - min_lines + 1)]
+    monkeypatch.setattr(op6, "selected", lambda hashes, window: {3})
+    assert op6.key_runs(list(range(9)), [1] * 9, 2, 2, 50) == [(2, 2), (3, 2)]
