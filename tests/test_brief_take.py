@@ -59,3 +59,7 @@ def same(got, want):
 
 def test_keyword_boost(rows):
     same(rows("keyword_boost", "pos", "total", "kw_boost"), lambda b: [(r["pos"], r["total"], r["kw_boost"]) for r in b])
+
+
+def test_assign_levels(rows):
+    same(rows("assign_levels", "run_date", "pos", "total", "level"), lambda b: [(DAY, r["pos"], r["total"], r["level"]) for r in b])
