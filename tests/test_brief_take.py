@@ -63,3 +63,7 @@ def test_keyword_boost(rows):
 
 def test_assign_levels(rows):
     same(rows("assign_levels", "run_date", "pos", "total", "level"), lambda b: [(DAY, r["pos"], r["total"], r["level"]) for r in b])
+
+
+def test_brief_order(rows):
+    same(rows("brief_order", "run_date", "pos", "ord"), lambda b: [(DAY, r["pos"], k + 1) for k, r in enumerate(b)])
