@@ -67,3 +67,7 @@ def test_assign_levels(rows):
 
 def test_brief_order(rows):
     same(rows("brief_order", "run_date", "pos", "ord"), lambda b: [(DAY, r["pos"], k + 1) for k, r in enumerate(b)])
+
+
+def test_lane_counts(rows):
+    same([x for x in rows("lane_counts", "run_date", "lane", "n") if x[2]], lambda b: [(DAY, "model", len(b))])
