@@ -71,3 +71,7 @@ def test_brief_order(rows):
 
 def test_lane_counts(rows):
     same([x for x in rows("lane_counts", "run_date", "lane", "n") if x[2]], lambda b: [(DAY, "model", len(b))])
+
+
+def test_level_counts(rows):
+    same(rows("level_counts", "run_date", "top", "watch", "normal"), lambda b: [(DAY, *[sum(r["level"] == x for r in b) for x in ("top", "watch", "normal")])])
