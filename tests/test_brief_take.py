@@ -75,3 +75,9 @@ def test_lane_counts(rows):
 
 def test_level_counts(rows):
     same(rows("level_counts", "run_date", "top", "watch", "normal"), lambda b: [(DAY, *[sum(r["level"] == x for r in b) for x in ("top", "watch", "normal")])])
+
+
+def test_brief_counts(rows):
+    levels = ("top", "watch", "normal")
+    want = lambda b: [(DAY, None, None, len(b), 0, 0), (DAY, "model", None, len(b), 0, 0), *[(DAY, None, x, sum(r["level"] == x for r in b), 0, 0) for x in levels]]
+    same(rows("brief_counts", "run_date", "lane", "level", "n", "stale", "repeat"), want)
