@@ -81,3 +81,8 @@ def test_brief_counts(rows):
     levels = ("top", "watch", "normal")
     want = lambda b: [(DAY, None, None, len(b), 0, 0), (DAY, "model", None, len(b), 0, 0), *[(DAY, None, x, sum(r["level"] == x for r in b), 0, 0) for x in levels]]
     same(rows("brief_counts", "run_date", "lane", "level", "n", "stale", "repeat"), want)
+
+
+def test_tier_inversion(rows):
+    want = lambda b: [(DAY, min(r["total"] for r in b if r["level"] == "top"), max((r["total"] for r in b if r["level"] == "watch"), default=None), False)]
+    same(rows("tier_inversion", "run_date", "top_min", "watch_max", "inverted"), want)
