@@ -86,3 +86,7 @@ def test_brief_counts(rows):
 def test_tier_inversion(rows):
     want = lambda b: [(DAY, min(r["total"] for r in b if r["level"] == "top"), max((r["total"] for r in b if r["level"] == "watch"), default=None), False)]
     same(rows("tier_inversion", "run_date", "top_min", "watch_max", "inverted"), want)
+
+
+def test_batch_plan_counts(rows):
+    same(rows("batch_plan_counts", "run_date", "translate", "want_type", "n", "batches"), lambda b: [(DAY, True, False, len(b), -(-len(b) // 25))])
