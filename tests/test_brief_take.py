@@ -90,3 +90,7 @@ def test_tier_inversion(rows):
 
 def test_batch_plan_counts(rows):
     same(rows("batch_plan_counts", "run_date", "translate", "want_type", "n", "batches"), lambda b: [(DAY, True, False, len(b), -(-len(b) // 25))])
+
+
+def test_batch_assign(rows):
+    same(rows("batch_assign", "run_date", "pos", "batch", "i"), lambda b: [(DAY, d, k // 25, k % 25) for k, d in enumerate(sorted(r["pos"] for r in b))])
