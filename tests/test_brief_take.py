@@ -94,3 +94,8 @@ def test_batch_plan_counts(rows):
 
 def test_batch_assign(rows):
     same(rows("batch_assign", "run_date", "pos", "batch", "i"), lambda b: [(DAY, d, k // 25, k % 25) for k, d in enumerate(sorted(r["pos"] for r in b))])
+
+
+def test_publish_projection(rows):
+    want = lambda b: [(DAY, r["pos"], TEXTS[r["pos"]], TEXTS[r["pos"]][:200], "译文 " + TEXTS[r["pos"]] if r["level"] == "top" else None) for r in b]
+    same(rows("publish_projection", "run_date", "pos", "descr", "summary", "desc_zh"), want)
