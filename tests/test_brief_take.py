@@ -99,3 +99,7 @@ def test_batch_assign(rows):
 def test_publish_projection(rows):
     want = lambda b: [(DAY, r["pos"], TEXTS[r["pos"]], TEXTS[r["pos"]][:200], "译文 " + TEXTS[r["pos"]] if r["level"] == "top" else None) for r in b]
     same(rows("publish_projection", "run_date", "pos", "descr", "summary", "desc_zh"), want)
+
+
+def test_body_fetch_worklist(rows):
+    same(rows("body_fetch_worklist", "run_date", "pos", "ord"), lambda b: [(DAY, r["pos"], k + 1) for k, r in enumerate(b) if len(TEXTS[r["pos"]]) < 300][:8])
