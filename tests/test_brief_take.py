@@ -103,3 +103,8 @@ def test_publish_projection(rows):
 
 def test_body_fetch_worklist(rows):
     same(rows("body_fetch_worklist", "run_date", "pos", "ord"), lambda b: [(DAY, r["pos"], k + 1) for k, r in enumerate(b) if len(TEXTS[r["pos"]]) < 300][:8])
+
+
+def test_translate_worklist(rows):
+    long = lambda b: [r["pos"] for r in b if r["level"] == "top" and len(TEXTS[r["pos"]]) >= 300]
+    same(rows("translate_worklist", "run_date", "pos", "batch", "body"), lambda b: [(DAY, d, k // 5, TEXTS[d][:1200]) for k, d in enumerate(long(b)[:20])])
