@@ -123,3 +123,59 @@ def test_nothing_to_learn_from(spark):
     assert model.tokens == 0 and m.score(none, model).count() == 0
     for most in (1 << 28, -1):
         assert found(m.score(some, model, most_broadcast=most)) == [(1, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_learning_and_scoring_at_once(spark, odd, monkeypatch):
+    from newsloom.llm import op13_bloom_lm as m
+
+    docs, table = odd
+    rows = table.select("doc_id", "text", m.held_out(table.doc_id).alias("held_out"))
+    for most in (m.CHUNK, 500):  # some texts in a chunk
+        monkeypatch.setattr(m, "CHUNK", most)
+        model, scores = m.learn_and_score(rows, bits=80)
+        close(found(scores), plain(docs))
+        assert found(m.score(rows, model, most_broadcast=0)) == found(scores)
+    none = spark.createDataFrame([], rows.schema)
+    assert m.learn_and_score(none)[1].count() == 0
+    some = spark.createDataFrame([(1, "a b", True)], rows.schema)
+    assert found(m.learn_and_score(some)[1]) == [(1, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def test_grams_pass_unchanged():
+    import numpy as np
+
+    from newsloom.llm import op13_bloom_lm as m
+
+    grams = np.unique(np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 5000))
+    for bins in (1, 7, 8, 2400):
+        back = np.zeros_like(grams)
+        for some in m.dealt(grams, bins):
+            for bin, mine in some:
+                back[mine] = m.received(m.sent(grams[mine], bins), bin, bins)
+        assert (back == grams).all()
+    for x in ([], [0], [0, 1, 255, 256, (1 << 62)], [3] * 100):
+        assert m.unpacked(m.packed(np.array(x, np.int64))).tolist() == x
+
+
+def test_disk_of_a_filter_that_is_not_broadcast(spark):
+    import os
+
+    from newsloom.llm import op13_bloom_lm as m
+
+    def shuffled(run):
+        status, bus = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+        bus.waitUntilEmpty(30_000)
+        before = status.executorList(False).head().totalShuffleWrite()
+        run().write.format("noop").mode("overwrite").save()
+        bus.waitUntilEmpty(30_000)
+        return status.executorList(False).head().totalShuffleWrite() - before
+
+    at = DATA.replace("0.001", "0.01") + "/documents.parquet"
+    docs = spark.read.parquet(at)
+    rows = docs.select("doc_id", "text", m.held_out(docs.doc_id).alias("held_out"))
+    size = sum(os.path.getsize(f"{at}/{f}") for f in os.listdir(at)) if os.path.isdir(at) else os.path.getsize(at)
+    model = m.summed(m.learn(rows.filter("not held_out")))
+    asked = shuffled(lambda: m.score(rows, model, most_broadcast=0))
+    assert 0 < asked < 4 * size, asked / size
+    whole = shuffled(lambda: m.op13_bloom_lm(spark, os.path.dirname(at)))
+    assert 0 < whole < 4 * size, whole / size
