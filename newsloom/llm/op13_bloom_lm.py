@@ -57,7 +57,7 @@ BASE, BITS, PROBES = 1.5, 12, 6
 HOT = 200_000
 MOST_BROADCAST = 256 << 20
 #: Bytes of text whose grams a task holds before it combines them.
-CHUNK = 32 << 20
+CHUNK = 16 << 20
 
 END = np.uint64(0x5E7D00D5E7D00D5E)
 GRAMS = "bin int, grams binary, n binary"
