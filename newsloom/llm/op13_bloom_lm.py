@@ -57,7 +57,7 @@ BASE, BITS, PROBES = 1.5, 12, 6
 HOT = 200_000
 MOST_BROADCAST = 256 << 20
 #: Bytes of text whose grams a task holds before it combines them.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 
 END = np.uint64(0x5E7D00D5E7D00D5E)
 GRAMS = "bin int, grams binary, n binary"
@@ -437,7 +437,8 @@ def _asks(chunks: DataFrame, bins: int, learning: bool) -> DataFrame:
 
 def _answers(bin: int, chunks: list[int], grams: np.ndarray, places: list[np.ndarray], bloom: Filter, n: np.ndarray) -> list[tuple]:
     """Of each chunk's grams: their levels in the filter, and the exact counts of the words among them."""
-    levels, is_word = bloom.levels(grams.view(np.uint64)), grams & 1 == 0
+    some = np.array_split(grams.view(np.uint64), 1 + len(grams) // (1 << 18))  # probing takes ten times their memory
+    levels, is_word = np.concatenate([bloom.levels(x) for x in some]), grams & 1 == 0
     return [(chunk, bin, packed(levels[at]), packed(n[at[is_word[at]]])) for chunk, at in zip(chunks, places)]
 
 
